@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 # Plan modules, each exporting QUERIES: dict[name, callable] and ORACLE: dict[name, sql].
 PLAN_MODULES = [
     "quarry.plans.q_core",
+    "quarry.plans.q_select",
 ]
 
 

@@ -36,7 +36,7 @@ def mining_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
              .groupBy("l_orderkey")
              .agg(F.count(F.lit(1)).alias("n_lines"),
                   F.sum("l_quantity").alias("sum_qty"),
-                  F.avg("l_extendedprice").alias("avg_price")))
+                  F.round(F.avg("l_extendedprice"), 6).alias("avg_price")))
     o = orders.join(customer, orders.o_custkey == customer.c_custkey, "left")
     o = o.join(lines, o.o_orderkey == lines.l_orderkey, "left")
     urgent = (F.col("o_orderpriority") == F.lit(URGENT)).cast("int")
@@ -79,7 +79,7 @@ mining_orders AS (
   FROM orders o
   LEFT JOIN customer c ON o.o_custkey = c.c_custkey
   LEFT JOIN (SELECT l_orderkey, count(*) AS n_lines, sum(l_quantity) AS sum_qty,
-                    avg(l_extendedprice) AS avg_price
+                    round(avg(l_extendedprice), 6) AS avg_price
              FROM lineitem GROUP BY l_orderkey) l ON o.o_orderkey = l.l_orderkey
 )"""
 
@@ -108,3 +108,15 @@ scored_orders AS (
            AS prob
   FROM mining_orders
 )"""
+
+
+def split_sql(target: str = "target_s", ratio: float = 0.5, seed: int = 42, src: str = "mining_orders",
+              name: str = "split") -> str:
+    """SQL CTE equal to `sampling.stratified_split(src, target, 'id', (ratio,), ('train','valid'), seed)`."""
+    return f""",
+{name} AS (
+  SELECT * EXCLUDE (__rk, __n),
+         CASE WHEN __rk <= floor({ratio} * __n + 0.5) THEN 'train' ELSE 'valid' END AS split
+  FROM (SELECT *, row_number() OVER (PARTITION BY {target} ORDER BY md5(CAST(id AS VARCHAR) || '|{seed}'), id) AS __rk,
+               count(*) OVER (PARTITION BY {target}) AS __n
+        FROM {src}))"""
