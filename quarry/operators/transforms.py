@@ -48,3 +48,84 @@ def standardize(df: DataFrame, cols: Sequence[str], where=None, suffix: str = ""
         m, s = params[c]
         out = out.withColumn(c + suffix, (F.col(c) - F.lit(m)) / F.lit(s))
     return out, params
+
+
+# Power-transform grid (fixed values): lambda from -2 to 2 in steps of 0.1.
+LAMBDA_GRID = [round(-2.0 + 0.1 * i, 1) for i in range(41)]
+
+
+def _boxcox(x, lam: float):
+    return F.log(x) if lam == 0 else (F.pow(x, F.lit(lam)) - F.lit(1.0)) / F.lit(lam)
+
+
+def _yeojohnson(x, lam: float):
+    pos = F.log1p(x) if lam == 0 else (F.pow(x + F.lit(1.0), F.lit(lam)) - F.lit(1.0)) / F.lit(lam)
+    neg = (-F.log1p(-x) if lam == 2 else
+           -(F.pow(F.lit(1.0) - x, F.lit(2.0 - lam)) - F.lit(1.0)) / F.lit(2.0 - lam))
+    return F.when(x >= 0, pos).otherwise(neg)
+
+
+def power_profile(df: DataFrame, cols: Sequence[str], method: str = "boxcox",
+                  grid: Sequence[float] = LAMBDA_GRID) -> DataFrame:
+    """Profile log-likelihood of a power transform on a lambda grid: one aggregate for all columns.
+
+    loglik(l) = -n/2 * log(var_pop(y_l)) + (l - 1) * J, with J = sum(log x) (Box-Cox, x > 0 only)
+    or sum(sign(x) * log(|x| + 1)) (Yeo-Johnson). Returns (col_name, lambda, n, loglik).
+    """
+    aggs = []
+    for c in cols:
+        x = F.col(c).cast("double")
+        if method == "boxcox":
+            x = F.when(x > 0, x)
+            jac = F.log(x)
+        else:
+            jac = F.signum(x) * F.log1p(F.abs(x))
+        aggs += [F.count(x).alias(f"n|{c}"), F.sum(jac).alias(f"j|{c}")]
+        for i, lam in enumerate(grid):
+            y = _boxcox(x, lam) if method == "boxcox" else _yeojohnson(x, lam)
+            aggs.append(F.var_pop(y).alias(f"v|{c}|{i}"))
+    wide = df.agg(*aggs)
+    # Unpivot the single aggregate row to (col_name, lambda, n, var, jac): no data pass.
+    entries = []
+    for c in cols:
+        for i, lam in enumerate(grid):
+            entries.append(F.struct(F.lit(c).alias("col_name"), F.lit(lam).alias("lambda"),
+                                    F.col(f"`n|{c}`").alias("n"), F.col(f"`v|{c}|{i}`").alias("v"),
+                                    F.col(f"`j|{c}`").alias("j")))
+    long = wide.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
+    return long.select("col_name", "lambda", "n",
+                       (-F.col("n") / 2.0 * F.log(F.col("v")) + (F.col("lambda") - 1.0) * F.col("j")).alias("loglik"))
+
+
+def best_lambda(profile: DataFrame) -> DataFrame:
+    """Lambda of the highest profile log-likelihood per column (ties -> smaller lambda)."""
+    return profile.groupBy("col_name").agg(
+        F.max_by("lambda", F.struct(F.col("loglik"), -F.col("lambda"))).alias("lambda"),
+        F.max("loglik").alias("loglik"), F.first("n").alias("n"))
+
+
+def dummy_levels(df: DataFrame, cols: Sequence[str], where=None) -> dict[str, list]:
+    """Sorted distinct non-NULL levels per nominal column (fit-time state; levels are few)."""
+    src = df if where is None else df.filter(where)
+    row = src.agg(*[F.sort_array(F.collect_set(F.col(c))).alias(c) for c in cols]).first()
+    return {c: list(row[c]) for c in cols}
+
+
+def add_dummies(df: DataFrame, levels: dict[str, list], full_rank: bool = True) -> DataFrame:
+    """Indicator columns `<col>_<level>`; full rank drops the first level. NULL stays NULL."""
+    exprs = []
+    for c, lv in levels.items():
+        for level in (lv[1:] if full_rank else lv):
+            exprs.append(F.when(F.col(c).isNull(), F.lit(None).cast("int"))
+                         .when(F.col(c) == F.lit(level), 1).otherwise(0).alias(f"{c}_{level}"))
+    return df.select("*", *exprs)
+
+
+def products(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """Interaction (a*b) and square (a*a) terms named `a_x_b`."""
+    return df.select("*", *[(F.col(a) * F.col(b)).alias(f"{a}_x_{b}") for a, b in pairs])
+
+
+def all_pairs(cols: Sequence[str]) -> list[tuple[str, str]]:
+    cols = list(cols)
+    return [(cols[i], cols[j]) for i in range(len(cols)) for j in range(i + 1, len(cols))]

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 PLAN_MODULES = [
     "quarry.plans.q_core",
     "quarry.plans.q_select",
+    "quarry.plans.q_transform",
 ]
 
 
