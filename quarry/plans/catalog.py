@@ -12,6 +12,7 @@ PLAN_MODULES = [
     "quarry.plans.q_core",
     "quarry.plans.q_select",
     "quarry.plans.q_transform",
+    "quarry.plans.q_explore",
 ]
 
 
