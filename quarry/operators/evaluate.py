@@ -46,3 +46,104 @@ def with_rates(cm: DataFrame, digits: int = 6) -> DataFrame:
                      F.round(accuracy_expr(), digits).alias("accuracy"),
                      F.round(F.lit(1.0) - accuracy_expr(), digits).alias("misclass"),
                      F.round(f1_expr(), digits).alias("f1"))
+
+
+def confusion_stats(cm: DataFrame, digits: int = 6) -> DataFrame:
+    """Full statistics of a confusion-count row (event = 1): accuracy, no-information rate, kappa,
+    McNemar statistic (continuity-corrected), sensitivity, specificity, PPV, NPV, precision,
+    recall, F1, prevalence, detection rate/prevalence, balanced accuracy."""
+    tp, fp, fn, tn = (F.col(c).cast("double") for c in ("tp", "fp", "fn", "tn"))
+    n = tp + fp + fn + tn
+    acc = (tp + tn) / n
+    prev = (tp + fn) / n
+    pe = ((tp + fp) * (tp + fn) + (fn + tn) * (fp + tn)) / (n * n)
+    sens = _safe_div(tp, tp + fn)
+    spec = _safe_div(tn, tn + fp)
+    stats = {
+        "accuracy": acc,
+        "nir": F.greatest(prev, F.lit(1.0) - prev),
+        "kappa": (acc - pe) / (F.lit(1.0) - pe),
+        "mcnemar_stat": _safe_div(F.pow(F.abs(fp - fn) - 1, 2), fp + fn),
+        "sensitivity": sens,
+        "specificity": spec,
+        "ppv": _safe_div(tp, tp + fp),
+        "npv": _safe_div(tn, tn + fn),
+        "f1": f1_expr(tp, fp, fn),
+        "prevalence": prev,
+        "detection_rate": tp / n,
+        "detection_prevalence": (tp + fp) / n,
+        "balanced_accuracy": (sens + spec) / 2,
+    }
+    return cm.select("*", *[F.round(v, digits).alias(k) for k, v in stats.items()])
+
+
+def score_counts(df: DataFrame, prob: str = "prob", actual: str = "actual") -> DataFrame:
+    """Distinct scores with event / non-event counts (map-side combined)."""
+    return df.groupBy(F.col(prob).alias("score")).agg(
+        F.sum(F.col(actual).cast("long")).alias("pos"),
+        F.sum((1 - F.col(actual)).cast("long")).alias("neg"))
+
+
+def _totals(counts: DataFrame) -> tuple[int, int]:
+    row = counts.agg(F.sum("pos").alias("p"), F.sum("neg").alias("n")).first()
+    return int(row["p"] or 0), int(row["n"] or 0)
+
+
+def roc_points(df: DataFrame, prob: str = "prob", actual: str = "actual") -> DataFrame:
+    """One ROC point per distinct score s: classify prob >= s. (cutoff, tp, fp, sensitivity, specificity)."""
+    counts = score_counts(df, prob, actual)
+    p, n = _totals(counts)
+    cum = with_running_totals(counts, "score", {"tp": F.col("pos"), "fp": F.col("neg")}, descending=True)
+    return cum.select(F.col("score").alias("cutoff"), "tp", "fp",
+                      (F.col("tp") / F.lit(float(p))).alias("sensitivity"),
+                      (F.lit(1.0) - F.col("fp") / F.lit(float(n))).alias("specificity"))
+
+
+def auc(df: DataFrame, prob: str = "prob", actual: str = "actual") -> DataFrame:
+    """Exact AUC with ties counted one half: sum_k pos_k * (neg below s_k + neg_k / 2) / (P * N)."""
+    counts = score_counts(df, prob, actual)
+    p, n = _totals(counts)
+    cum = with_running_totals(counts, "score", {"neg_le": F.col("neg")})
+    below = F.col("neg_le") - F.col("neg")
+    return cum.agg((F.sum(F.col("pos") * (below + F.col("neg") / 2.0)) / F.lit(float(p) * float(n))).alias("auc"),
+                   F.lit(p).alias("n_pos"), F.lit(n).alias("n_neg"))
+
+
+def best_cutoff_topleft(roc: DataFrame) -> DataFrame:
+    """Cutoff closest to the top-left corner; ties -> smallest cutoff."""
+    d = F.pow(1 - F.col("sensitivity"), 2) + F.pow(1 - F.col("specificity"), 2)
+    return roc.agg(F.min_by("cutoff", F.struct(d, F.col("cutoff"))).alias("cutoff"), F.min(d).alias("distance"))
+
+
+def lift_curve(df: DataFrame, prob: str = "prob", actual: str = "actual") -> DataFrame:
+    """(cutoff, rpp, lift): rate of positive predictions and precision / prevalence per distinct score."""
+    counts = score_counts(df, prob, actual)
+    p, n = _totals(counts)
+    total = float(p + n)
+    cum = with_running_totals(counts, "score", {"tp": F.col("pos"), "k": F.col("pos") + F.col("neg")},
+                              descending=True)
+    return cum.select(F.col("score").alias("cutoff"), (F.col("k") / F.lit(total)).alias("rpp"),
+                      ((F.col("tp") / F.col("k")) / F.lit(p / total)).alias("lift"))
+
+
+def lift_at(curve: DataFrame, depth: float = 0.2) -> DataFrame:
+    """Lift at the rpp nearest to `depth` (ties -> smaller rpp)."""
+    key = F.struct(F.abs(F.col("rpp") - F.lit(depth)), F.col("rpp"))
+    return curve.agg(F.min_by("lift", key).alias("lift"), F.min_by("rpp", key).alias("rpp"))
+
+
+def profit_cutoff(pmatrix: Sequence[Sequence[float]]) -> float:
+    """Bayes cutoff of a 2x2 profit matrix (rows actual, columns predicted, event first)."""
+    num = pmatrix[1][1] - pmatrix[1][0]
+    den = num - (pmatrix[0][1] - pmatrix[0][0])
+    return num / den
+
+
+def avg_profit(df: DataFrame, pmatrix: Sequence[Sequence[float]], prob: str = "prob",
+               actual: str = "actual", group_cols: Sequence[str] = ()) -> DataFrame:
+    """Average profit per case with class = prob >= the matrix's cutoff."""
+    cut = profit_cutoff(pmatrix)
+    a, c = F.col(actual), F.col(prob) >= F.lit(cut)
+    cell = (F.when((a == 1) & c, pmatrix[0][0]).when((a == 1) & ~c, pmatrix[0][1])
+            .when((a == 0) & c, pmatrix[1][0]).otherwise(pmatrix[1][1]))
+    return df.groupBy(*group_cols).agg(F.lit(cut).alias("cutoff"), F.avg(cell).alias("avg_profit"))

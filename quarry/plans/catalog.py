@@ -13,6 +13,7 @@ PLAN_MODULES = [
     "quarry.plans.q_select",
     "quarry.plans.q_transform",
     "quarry.plans.q_explore",
+    "quarry.plans.q_evaluate",
 ]
 
 
