@@ -14,6 +14,7 @@ PLAN_MODULES = [
     "quarry.plans.q_transform",
     "quarry.plans.q_explore",
     "quarry.plans.q_evaluate",
+    "quarry.plans.q_importance",
 ]
 
 
