@@ -11,11 +11,11 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.operators.joins import join_small
 
 ROWS_PER_BUCKET = 2_000_000
 _BUCKET = "__bucket"
@@ -29,24 +29,32 @@ def hash_prefix_bucket(hex_col: Column, digits: int = 4) -> Column:
     return F.conv(F.substring(hex_col, 1, digits), 16, 10).cast("long")
 
 
+# Resolution of the quantile grid from which bucket edges are picked (one aggregate job).
+_GRID = 1000
+
+
 def quantile_bucket(df: DataFrame, col: str, rows_per_bucket: int = ROWS_PER_BUCKET,
-                    rel_err: float = 0.001) -> tuple[DataFrame, str]:
+                    accuracy: int = 10_000) -> tuple[DataFrame, int]:
     """Add an integer bucket column that is monotone in `col`, with about `rows_per_bucket` rows each.
 
-    Edges come from `approxQuantile` and are literals, so re-computation assigns the same buckets.
+    Row count and a grid of approximate quantiles come from one aggregate; edges are literals, so
+    re-computation (e.g. after an executor loss) assigns the same buckets.
     """
-    n = df.count()
-    n_buckets = max(1, math.ceil(n / rows_per_bucket))
-    if n_buckets == 1:
-        return df.withColumn(_BUCKET, F.lit(0).cast("long")), _BUCKET
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    edges = sorted(set(df.approxQuantile(col, probs, rel_err)))
+    grid = [i / _GRID for i in range(1, _GRID)]
+    row = df.agg(F.count(F.lit(1)).alias("n"),
+                 F.percentile_approx(F.col(col).cast("double"), grid, accuracy).alias("q")).first()
+    n = row["n"]
+    n_buckets = min(_GRID, max(1, math.ceil(n / rows_per_bucket)))
+    if n_buckets == 1 or row["q"] is None:
+        return df.withColumn(_BUCKET, F.lit(0).cast("long")), 1
+    step = _GRID / n_buckets
+    edges = sorted(set(row["q"][int(round(i * step)) - 1] for i in range(1, n_buckets)))
     splits = [-math.inf] + edges + [math.inf]
     src, tmp = _BUCKET + "_x", _BUCKET + "_d"
     out = Bucketizer(splits=splits, inputCol=src, outputCol=tmp, handleInvalid="keep").transform(
         df.withColumn(src, F.col(col).cast("double")))
     out = out.withColumn(_BUCKET, F.col(tmp).cast("long")).drop(src, tmp)
-    return out, _BUCKET
+    return out, len(edges) + 1
 
 
 def with_running_totals(df: DataFrame, order_col: str, sums: dict[str, Column],
@@ -58,28 +66,39 @@ def with_running_totals(df: DataFrame, order_col: str, sums: dict[str, Column],
 
     `bucket`, when given, must be non-decreasing in `order_col`; otherwise one is derived from
     quantiles of `order_col`. A running total of ``F.lit(1)`` is the row number.
+
+    Plan: bucket totals (one small aggregate, one row per non-empty bucket and group) -> exclusive
+    prefix sums over that small table -> equi-join back on (group, bucket), which AQE broadcasts
+    when its measured size is under the broadcast threshold and shuffles otherwise -> window per
+    (group, bucket). With a single bucket the offsets are zero and the join is skipped.
     """
     parts = list(partition_cols)
+    single = False
     if bucket is not None:
         work = df.withColumn(_BUCKET, bucket)
     else:
-        work, _ = quantile_bucket(df, order_col, rows_per_bucket)
+        src = df.persist(StorageLevel.MEMORY_AND_DISK)   # read by the quantile pass and the ranking
+        work, n_buckets = quantile_bucket(src, order_col, rows_per_bucket)
+        single = n_buckets == 1
     if descending:
         work = work.withColumn(_BUCKET, -F.col(_BUCKET))
     vals = {f"__v_{k}": v for k, v in sums.items()}
     work = work.select("*", *[v.alias(k) for k, v in vals.items()])
 
-    # Totals per (group, bucket): a small table, one row per non-empty bucket.
-    per_bucket = work.groupBy(*parts, _BUCKET).agg(*[F.sum(k).alias(k) for k in vals])
-    wb = Window.partitionBy(*parts).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_bucket.select(*parts, _BUCKET,
-                                *[F.coalesce(F.sum(k).over(wb), F.lit(0)).alias(f"{k}_off") for k in vals])
-    work = join_small(work, offsets, on=[*parts, _BUCKET], how="inner")
+    if single:
+        offs = {k: F.lit(0) for k in vals}
+    else:
+        per_bucket = work.groupBy(*parts, _BUCKET).agg(*[F.sum(k).alias(k) for k in vals])
+        wb = Window.partitionBy(*parts).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+        offsets = per_bucket.select(*parts, _BUCKET,
+                                    *[F.coalesce(F.sum(k).over(wb), F.lit(0)).alias(f"{k}_off") for k in vals])
+        work = work.join(offsets, on=[*parts, _BUCKET], how="inner")
+        offs = {k: F.col(f"{k}_off") for k in vals}
 
     order = [F.col(order_col).desc() if descending else F.col(order_col).asc()]
     order += [F.col(c).desc() if descending else F.col(c).asc() for c in tie_cols]
     wr = (Window.partitionBy(*parts, _BUCKET).orderBy(*order)
           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     for name, k in zip(sums, vals):
-        work = work.withColumn(name, F.sum(k).over(wr) + F.col(f"{k}_off"))
-    return work.drop(_BUCKET, *vals, *[f"{k}_off" for k in vals])
+        work = work.withColumn(name, F.sum(k).over(wr) + offs[k])
+    return work.drop(_BUCKET, *vals, *[f"{k}_off" for k in vals if not single])

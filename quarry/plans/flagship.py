@@ -3,6 +3,7 @@ confusion and F1 per split."""
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,7 +23,9 @@ CUTOFF = 0.5
 def prepared_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """mining_orders + split + train-fitted mean imputation + missing flags + log1p(sum_qty)."""
     mo = mining_orders(spark, sf_dir)
-    split = sampling.stratified_split(mo, "target_s", "id", (TRAIN_RATIO,), ("train", "valid"), SEED)
+    # The split table feeds three passes (flag check, means, scoring): keep it materialized.
+    split = sampling.stratified_split(mo, "target_s", "id", (TRAIN_RATIO,), ("train", "valid"), SEED).persist(
+        StorageLevel.MEMORY_AND_DISK)
     train = F.col("split") == "train"
     flags = transforms.missing_flag_columns(split, NUMERIC_INPUTS, where=train)
     means = impute.fit_means(split, NUMERIC_INPUTS, where=train)

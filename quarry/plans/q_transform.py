@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from quarry.functions import columns as fc
@@ -18,7 +19,8 @@ PRIORITY_RECODE = {"1-URGENT": "HIGH", "2-HIGH": "HIGH", "3-MEDIUM": "MEDIUM"}
 
 
 def _split(spark, sf_dir):
-    return sampling.stratified_split(mo(spark, sf_dir), "target_s", "id", (0.5,), ("train", "valid"), 42)
+    split = sampling.stratified_split(mo(spark, sf_dir), "target_s", "id", (0.5,), ("train", "valid"), 42)
+    return split.persist(StorageLevel.MEMORY_AND_DISK)   # read by the fit pass and the apply pass
 
 
 def _train():
