@@ -15,6 +15,7 @@ PLAN_MODULES = [
     "quarry.plans.q_explore",
     "quarry.plans.q_evaluate",
     "quarry.plans.q_importance",
+    "quarry.plans.q_basket",
 ]
 
 

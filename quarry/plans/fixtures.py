@@ -120,3 +120,38 @@ def split_sql(target: str = "target_s", ratio: float = 0.5, seed: int = 42, src:
   FROM (SELECT *, row_number() OVER (PARTITION BY {target} ORDER BY md5(CAST(id AS VARCHAR) || '|{seed}'), id) AS __rk,
                count(*) OVER (PARTITION BY {target}) AS __n
         FROM {src}))"""
+
+
+def baskets_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct (basket = l_orderkey, item = p_brand) pairs."""
+    li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
+    part = read_table(spark, sf_dir, "part").select("p_partkey", "p_brand")
+    return li.join(part, li.l_partkey == part.p_partkey).select("l_orderkey", "p_brand").distinct()
+
+
+BASKETS_SQL = """baskets AS (
+  SELECT DISTINCT l.l_orderkey, p.p_brand FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey)"""
+
+
+def customer_rfm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per customer with orders: n_orders, mean_price, recency (days before the last order date
+    of the table), balance."""
+    o = read_table(spark, sf_dir, "orders").select("o_custkey", "o_totalprice", "o_orderdate")
+    c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
+    last = o.agg(F.max("o_orderdate").alias("d")).first()["d"]
+    per = o.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n_orders"),
+                                     F.avg("o_totalprice").alias("mean_price"),
+                                     F.max("o_orderdate").alias("last_date"))
+    j = per.join(c, per.o_custkey == c.c_custkey)
+    return j.select(F.col("o_custkey").alias("custkey"), F.col("n_orders").cast("double").alias("n_orders"),
+                    "mean_price",
+                    F.datediff(F.lit(last), F.col("last_date")).cast("double").alias("recency"),
+                    F.col("c_acctbal").alias("balance"))
+
+
+CUSTOMER_RFM_SQL = """customer_rfm AS (
+  SELECT o.o_custkey AS custkey, CAST(count(*) AS DOUBLE) AS n_orders, avg(o.o_totalprice) AS mean_price,
+         CAST(date_diff('day', CAST(max(o.o_orderdate) AS DATE), CAST((SELECT max(o_orderdate) FROM orders) AS DATE))
+              AS DOUBLE) AS recency,
+         any_value(c.c_acctbal) AS balance
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey GROUP BY o.o_custkey)"""
