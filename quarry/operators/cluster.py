@@ -17,8 +17,11 @@ def assemble(df: DataFrame, cols: Sequence[str], out: str = FEATURES) -> DataFra
     return VectorAssembler(inputCols=list(cols), outputCol=out, handleInvalid="skip").transform(df)
 
 
-def fit_kmeans(df: DataFrame, k: int, seed: int = 1, max_iter: int = 100):
-    return KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol=FEATURES, predictionCol="cluster").fit(df)
+def fit_kmeans(df: DataFrame, k: int, seed: int = 1, max_iter: int = 100, init_mode: str = "random"):
+    """Lloyd iterations from k randomly drawn rows (the reference's random starts); one Spark job
+    per iteration over the cached features. `init_mode="k-means||"` gives Spark's seeding."""
+    return KMeans(k=k, seed=seed, maxIter=max_iter, initMode=init_mode, featuresCol=FEATURES,
+                  predictionCol="cluster").fit(df)
 
 
 def multistart(df: DataFrame, k: int, seeds: Sequence[int], max_iter: int = 100):

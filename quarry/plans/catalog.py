@@ -16,6 +16,7 @@ PLAN_MODULES = [
     "quarry.plans.q_evaluate",
     "quarry.plans.q_importance",
     "quarry.plans.q_basket",
+    "quarry.plans.q_cluster",
 ]
 
 
