@@ -17,6 +17,7 @@ PLAN_MODULES = [
     "quarry.plans.q_importance",
     "quarry.plans.q_basket",
     "quarry.plans.q_cluster",
+    "quarry.plans.q_models",
 ]
 
 

@@ -155,3 +155,11 @@ CUSTOMER_RFM_SQL = """customer_rfm AS (
               AS DOUBLE) AS recency,
          any_value(c.c_acctbal) AS balance
   FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey GROUP BY o.o_custkey)"""
+
+
+def mining_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled documents: inputs n_chars, lang, source; targets toxic and quality."""
+    d = read_table(spark, sf_dir, "documents").select("doc_id", "n_chars", "lang", "source")
+    lb = read_table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
+    return d.join(lb, "doc_id").select(F.col("doc_id").alias("id"), F.col("n_chars").cast("double").alias("n_chars"),
+                                       "lang", "source", "quality", "toxic")
