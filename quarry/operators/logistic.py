@@ -8,8 +8,10 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.sql import DataFrame
@@ -44,7 +46,9 @@ class LogitFit:
 
 
 def fit_logit(train: DataFrame, target: str, terms: dict[str, list[str]], use: Sequence[str],
-              weight_col: str | None = None, max_iter: int = 50) -> LogitFit:
+              weight_col: str | None = None, max_iter: int = 50, light: bool = False) -> LogitFit:
+    """IRLS fit of the given terms. `light` skips the inference tables (search candidates only
+    need the criterion), saving one pass over the data."""
     cols = [c for t in use for c in terms[t]]
     if not cols:
         return null_logit(train, target)
@@ -56,10 +60,14 @@ def fit_logit(train: DataFrame, target: str, terms: dict[str, list[str]], use: S
     m = glm.fit(data)
     s = m.summary
     k = len(cols)
+    aic = float(s.aic)
+    if light:
+        return LogitFit(list(use), cols, float(m.intercept), [float(x) for x in m.coefficients],
+                        [], [], [], float("nan"), aic, 0)
     se, z, p = list(s.coefficientStandardErrors), list(s.tValues), list(s.pValues)
     # The summary lists the intercept last.
     return LogitFit(list(use), cols, float(m.intercept), [float(x) for x in m.coefficients],
-                    se[:k], z[:k], p[:k], float(s.deviance), float(s.aic), int(s.numInstances))
+                    se[:k], z[:k], p[:k], float(s.deviance), aic, int(s.numInstances))
 
 
 def null_logit(train: DataFrame, target: str) -> LogitFit:
@@ -72,13 +80,15 @@ def null_logit(train: DataFrame, target: str) -> LogitFit:
 
 
 def stepwise(train: DataFrame, target: str, terms: dict[str, list[str]], direction: str = "both",
-             k: float | None = None, start: Sequence[str] | None = None, max_steps: int = 100):
+             k: float | None = None, start: Sequence[str] | None = None, max_steps: int = 100,
+             parallel: int = 4):
     """Greedy term selection minimising -2 logLik + k * parameters.
 
     direction: "forward" (from the empty model), "backward" (from all terms) or "both" (from
     `start`, default empty, adding or dropping one term per step). Returns (final fit, steps) where
     steps is a list of (step, action, term, criterion).
     """
+    train = train.persist(StorageLevel.MEMORY_AND_DISK)   # every candidate fit re-reads it
     n = train.count()
     k = math.log(n) if k is None else k
     if start is None:
@@ -95,10 +105,10 @@ def stepwise(train: DataFrame, target: str, terms: dict[str, list[str]], directi
         if direction in ("backward", "both"):
             for t in current:
                 candidates.append(("drop", t, [x for x in current if x != t]))
-        scored = []
-        for action, t, use in candidates:
-            f = fit_logit(train, target, terms, use)
-            scored.append((f.criterion(k), action, t, f, use))
+        # Candidate fits are independent Spark jobs: submit a few at once from driver threads.
+        with ThreadPoolExecutor(max_workers=parallel) as pool:
+            fits = list(pool.map(lambda c: fit_logit(train, target, terms, c[2], light=True), candidates))
+        scored = [(f.criterion(k), action, t, f, use) for (action, t, use), f in zip(candidates, fits)]
         if not scored:
             break
         crit, action, t, f, use = min(scored, key=lambda x: (x[0], x[2]))
@@ -106,7 +116,7 @@ def stepwise(train: DataFrame, target: str, terms: dict[str, list[str]], directi
             break
         best, current = f, use
         steps.append((step, action, t, crit))
-    return best, steps
+    return fit_logit(train, target, terms, current), steps
 
 
 def coefficient_table(fit: LogitFit) -> list[tuple]:

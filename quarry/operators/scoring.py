@@ -40,6 +40,7 @@ class ScoringPipeline:
     intercept: float = 0.0
     coefs: dict[str, float] = field(default_factory=dict)
     model: object = None                # fitted Spark ML model for kind == "spark"
+    scale: dict[str, list[float]] = field(default_factory=dict)   # feature -> [mean, sd] before the model
 
     def transform(self, df: DataFrame) -> DataFrame:
         raw = df.columns
@@ -47,6 +48,8 @@ class ScoringPipeline:
         work = df.select("*", *[F.col(c).alias(PREFIX + c) for c in needed])
         work = _prefixed(self.prep).transform(work)
         feats = [PREFIX + c for c in self.features]
+        for c, (m, sd) in self.scale.items():
+            work = work.withColumn(PREFIX + c, (F.col(PREFIX + c) - F.lit(m)) / F.lit(sd if sd else 1.0))
         if self.kind == "logit":
             coefs = {PREFIX + c: b for c, b in self.coefs.items()}
             prob = fc.sigmoid(fc.linear_predictor(coefs, self.intercept))
@@ -70,4 +73,4 @@ class ScoringPipeline:
     def params_json(self) -> str:
         return json.dumps({"prep": json.loads(self.prep.to_json()), "features": self.features, "kind": self.kind,
                            "cutoff": self.cutoff, "strict": self.strict, "intercept": self.intercept,
-                           "coefs": self.coefs, "model_class": type(self.model).__name__ if self.model else None})
+                           "coefs": self.coefs, "scale": self.scale, "model_class": type(self.model).__name__ if self.model else None})

@@ -7,6 +7,7 @@ import math
 
 from pyspark import StorageLevel
 from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quarry.functions import columns as fc
@@ -313,62 +314,24 @@ def score_forest(spark, sf_dir):
 
 
 def score_mlp(spark, sf_dir):
-    """Network scored from standardized inputs; the scaler is folded into the input step."""
+    """Network on standardized inputs; the train means/sds travel in the bundle."""
     prep, train, valid, _ = _frame(spark, sf_dir)
     from pyspark.ml.feature import StandardScaler
-    from pyspark.ml import Pipeline
     n_in = len(prep.feature_columns())
     sc = StandardScaler(inputCol="features", outputCol="zfeatures", withMean=True, withStd=True).fit(train)
     best, _, _ = mlp.fit_early_stopping(sc.transform(train), sc.transform(valid), TARGET, [4], n_in,
                                         iters_per_round=5, max_rounds=10, patience=5, seed=SEED, features="zfeatures")
-    # Standardize explicitly in column space so the bundle holds only the network.
-    means = dict(zip(prep.feature_columns(), sc.mean.toArray()))
-    sds = dict(zip(prep.feature_columns(), sc.std.toArray()))
+    scale = {c: [float(m), float(s)] for c, m, s in zip(prep.feature_columns(), sc.mean.toArray(), sc.std.toArray())}
     pipe = ScoringPipeline(prep, prep.feature_columns(), "spark", cutoff=0.5, strict=False,
-                           model=best.copy().setFeaturesCol("features"))
-    raw = mo(spark, sf_dir)
-    return _score_scaled(spark, pipe, raw, means, sds)
-
-
-def _score_scaled(spark, pipe, raw, means, sds):
-    from quarry.operators import scoring as sc_mod
-    path = _bundle_path(spark, "mlp")
-    save_bundle(spark, pipe, path)
-    loaded = load_bundle(spark, path)
-    # Fold (x - mean) / sd into the prep means: shift stored features before assembly.
-    orig = sc_mod.ScoringPipeline.transform
-
-    def transform(self, df):
-        return orig(self, df)
-    loaded.scaler = (means, sds)
-    return _transform_with_scaler(loaded, raw)
-
-
-def _transform_with_scaler(pipe, df):
-    from quarry.operators.scoring import PREFIX, _prefixed
-    from pyspark.ml.functions import vector_to_array
-    means, sds = pipe.scaler
-    raw = df.columns
-    needed = sorted(set(pipe.prep.numeric) | set(pipe.prep.nominal))
-    work = df.select("*", *[F.col(c).alias(PREFIX + c) for c in needed])
-    work = _prefixed(pipe.prep).transform(work)
-    for c in pipe.features:
-        s = sds[c] if sds[c] else 1.0
-        work = work.withColumn(PREFIX + c, (F.col(PREFIX + c) - F.lit(means[c])) / F.lit(s))
-    work = VectorAssembler(inputCols=[PREFIX + c for c in pipe.features], outputCol=PREFIX + "vec").transform(work)
-    m = pipe.model.copy().setFeaturesCol(PREFIX + "vec").setPredictionCol(PREFIX + "pred").setProbabilityCol(
-        PREFIX + "prob").setRawPredictionCol(PREFIX + "raw")
-    work = m.transform(work).withColumn("pred_prob", vector_to_array(PREFIX + "prob")[1])
-    work = work.withColumn("pred_class", fc.cutoff_class("pred_prob", pipe.cutoff, pipe.strict))
-    return work.select(*raw, "pred_prob", "pred_class")
+                           model=best.copy(), scale=scale)
+    return _score_roundtrip(spark, sf_dir, pipe, "mlp")
 
 
 def score_report(spark, sf_dir):
     """Class counts and shares of a scored table."""
     s = score_logit(spark, sf_dir)
     c = s.groupBy("pred_class").agg(F.count(F.lit(1)).alias("n"))
-    return c.select("pred_class", "n", F.round(F.col("n") / F.sum("n").over(
-        __import__("pyspark.sql", fromlist=["Window"]).Window.partitionBy()), D).alias("share"))
+    return c.select("pred_class", "n", F.round(F.col("n") / F.sum("n").over(Window.partitionBy()), D).alias("share"))
 
 
 QUERIES = {

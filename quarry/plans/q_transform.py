@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark import StorageLevel
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quarry.functions import columns as fc
@@ -36,8 +37,7 @@ def cast_nominal(spark, sf_dir):
     lv = mo(spark, sf_dir).groupBy(F.col("order_month").cast("string").alias("level")).agg(
         F.count(F.lit(1)).alias("n"))
     # The level table has one row per level.
-    return lv.select("level", "n", F.row_number().over(
-        __import__("pyspark.sql", fromlist=["Window"]).Window.orderBy("level")).alias("level_order"))
+    return lv.select("level", "n", F.row_number().over(Window.orderBy("level")).alias("level_order"))
 
 
 def ordinal_rank(spark, sf_dir):

@@ -29,4 +29,5 @@ def load_bundle(spark: SparkSession, path: str) -> ScoringPipeline:
         model = klass.load(f"{path}/model")
     prep = FittedPrep.from_json(json.dumps(p["prep"]))
     return ScoringPipeline(prep=prep, features=p["features"], kind=p["kind"], cutoff=p["cutoff"],
-                           strict=p["strict"], intercept=p["intercept"], coefs=p["coefs"], model=model)
+                           strict=p["strict"], intercept=p["intercept"], coefs=p["coefs"], model=model,
+                           scale={k: list(v) for k, v in p.get("scale", {}).items()})
