@@ -18,6 +18,7 @@ PLAN_MODULES = [
     "quarry.plans.q_basket",
     "quarry.plans.q_cluster",
     "quarry.plans.q_models",
+    "quarry.plans.q_io",
 ]
 
 

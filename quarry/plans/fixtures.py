@@ -26,9 +26,13 @@ SCORE_COEF_BAL = 1.5        # per bal / 10000
 SCORE_COEF_LINES = 0.05     # per line of the order
 
 
-def mining_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per order, with nominal inputs, NULLs made by sentinels/ranges/left joins."""
-    orders = read_table(spark, sf_dir, "orders").select(
+def mining_orders(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None) -> DataFrame:
+    """One row per order, with nominal inputs, NULLs made by sentinels/ranges/left joins.
+
+    `orders` may be a streaming DataFrame: the other inputs are static, and the joins are
+    stream-static left joins.
+    """
+    orders = (orders if orders is not None else read_table(spark, sf_dir, "orders")).select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", "c_mktsegment")
     # Partial aggregation per order runs map-side before the shuffle on l_orderkey.
