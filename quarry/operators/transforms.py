@@ -129,3 +129,13 @@ def products(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
 def all_pairs(cols: Sequence[str]) -> list[tuple[str, str]]:
     cols = list(cols)
     return [(cols[i], cols[j]) for i in range(len(cols)) for j in range(i + 1, len(cols))]
+
+
+def relevel(levels: Sequence, reference) -> list:
+    """Level list with `reference` moved to the front (the reference level of a nominal input)."""
+    return [reference] + [lv for lv in levels if lv != reference]
+
+
+def reverse_levels(levels: Sequence) -> list:
+    """Reverse level order (event first)."""
+    return list(reversed(list(levels)))
