@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans
@@ -24,16 +25,21 @@ def fit_kmeans(df: DataFrame, k: int, seed: int = 1, max_iter: int = 100, init_m
                   predictionCol="cluster").fit(df)
 
 
-def multistart(df: DataFrame, k: int, seeds: Sequence[int], max_iter: int = 100):
-    """Fit once per seed and keep the lowest within-cluster sum of squares (nstart)."""
+def multistart(df: DataFrame, k: int, seeds: Sequence[int], max_iter: int = 100, parallel: int = 4,
+               init_mode: str = "random"):
+    """Fit once per seed and keep the lowest within-cluster sum of squares (nstart).
+
+    Starts are independent jobs over the cached features, submitted a few at a time from driver
+    threads; ties in cost go to the earlier seed."""
     data = df.persist(StorageLevel.MEMORY_AND_DISK)
-    best = None
-    for s in seeds:
-        m = fit_kmeans(data, k, s, max_iter)
-        cost = m.summary.trainingCost
-        if best is None or cost < best[1]:
-            best = (m, cost, s)
-    return best
+
+    def one(s):
+        m = fit_kmeans(data, k, s, max_iter, init_mode)
+        return m, m.summary.trainingCost, s
+
+    with ThreadPoolExecutor(max_workers=parallel) as pool:
+        fits = list(pool.map(one, seeds))
+    return min(fits, key=lambda f: (f[1], list(seeds).index(f[2])))
 
 
 def total_ss(df: DataFrame, cols: Sequence[str]) -> float:
@@ -43,17 +49,22 @@ def total_ss(df: DataFrame, cols: Sequence[str]) -> float:
 
 
 def elbow(df: DataFrame, cols: Sequence[str], ks: Sequence[int], seed: int = 1, max_iter: int = 100,
-          n_starts: int = 1) -> list[tuple[int, float]]:
-    """(k, WCSS) per k; k = 1 is the total sum of squares (Spark's k-means needs k >= 2)."""
+          n_starts: int = 1, parallel: int = 4, init_mode: str = "k-means||") -> list[tuple[int, float]]:
+    """(k, WCSS) per k; k = 1 is the total sum of squares (Spark's k-means needs k >= 2).
+
+    Each k starts from k-means|| seeding: far fewer Lloyd passes than random rows at any scale."""
     data = df.persist(StorageLevel.MEMORY_AND_DISK)
-    out = []
-    for k in ks:
+
+    def one(k):
         if k == 1:
-            out.append((1, total_ss(data, cols)))
-        else:
-            _, cost, _ = multistart(data, k, [seed + i for i in range(n_starts)], max_iter)
-            out.append((k, float(cost)))
-    return out
+            return 1, total_ss(data, cols)
+        _, cost, _ = multistart(data, k, [seed + i for i in range(n_starts)], max_iter, parallel=1,
+                                init_mode=init_mode)
+        return k, float(cost)
+
+    # One fit per k, independent of each other: run several at once.
+    with ThreadPoolExecutor(max_workers=parallel) as pool:
+        return list(pool.map(one, ks))
 
 
 def profile(assigned: DataFrame, cols: Sequence[str], cluster: str = "cluster") -> DataFrame:

@@ -81,7 +81,7 @@ def null_logit(train: DataFrame, target: str) -> LogitFit:
 
 def stepwise(train: DataFrame, target: str, terms: dict[str, list[str]], direction: str = "both",
              k: float | None = None, start: Sequence[str] | None = None, max_steps: int = 100,
-             parallel: int = 4):
+             parallel: int = 8):
     """Greedy term selection minimising -2 logLik + k * parameters.
 
     direction: "forward" (from the empty model), "backward" (from all terms) or "both" (from

@@ -29,7 +29,7 @@ def kmeans_sizes(spark, sf_dir):
 
 def kmeans_multistart(spark, sf_dir):
     d = _scaled(spark, sf_dir)
-    m, cost, seed = cluster.multistart(d, 6, [SEED + i for i in range(5)])
+    m, cost, seed = cluster.multistart(d, 6, [SEED + i for i in range(25)])     # nstart = 25
     sizes = m.transform(d).groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
     return sizes.withColumn("wcss", F.lit(float(cost))).withColumn("seed", F.lit(seed))
 
