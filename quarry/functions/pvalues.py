@@ -111,3 +111,23 @@ def f_sf(f: float, df1: float, df2: float) -> float:
     if f is None or df1 is None or df2 is None or df1 <= 0 or df2 <= 0 or f < 0:
         return float("nan")
     return beta_inc(df2 / 2.0, df1 / 2.0, df2 / (df2 + df1 * f))
+
+
+def t_quantile(p: float, df: float) -> float:
+    """Quantile of Student's t (p in (0, 1)) by bisection on the two-sided tail."""
+    if not 0.0 < p < 1.0 or df <= 0:
+        return float("nan")
+    if p == 0.5:
+        return 0.0
+    tail = 2.0 * min(p, 1.0 - p)           # two-sided tail mass beyond |t|
+    lo, hi = 0.0, 1.0
+    while t_two_sided(hi, df) > tail:
+        hi *= 2.0
+    for _ in range(200):
+        mid = (lo + hi) / 2.0
+        if t_two_sided(mid, df) > tail:
+            lo = mid
+        else:
+            hi = mid
+    t = (lo + hi) / 2.0
+    return t if p > 0.5 else -t

@@ -19,6 +19,7 @@ PLAN_MODULES = [
     "quarry.plans.q_cluster",
     "quarry.plans.q_models",
     "quarry.plans.q_io",
+    "quarry.plans.q_more",
 ]
 
 

@@ -22,3 +22,8 @@ def test_f_tabulated():
 def test_degenerate():
     assert math.isnan(pvalues.chi2_sf(1.0, 0))
     assert pvalues.chi2_sf(0.0, 3) == 1.0
+
+
+def test_t_quantile():
+    assert abs(pvalues.t_quantile(0.975, 10) - 2.228138851986274) < 1e-9
+    assert abs(pvalues.t_quantile(0.025, 30) + 2.042272456301238) < 1e-9
