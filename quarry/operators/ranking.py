@@ -60,17 +60,19 @@ def quantile_bucket(df: DataFrame, col: str, rows_per_bucket: int = ROWS_PER_BUC
 def with_running_totals(df: DataFrame, order_col: str, sums: dict[str, Column],
                         partition_cols: Sequence[str] = (), tie_cols: Sequence[str] = (),
                         descending: bool = False, bucket: Column | None = None,
-                        rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+                        rows_per_bucket: int = ROWS_PER_BUCKET, group_totals: bool = False) -> DataFrame:
     """Add inclusive running totals (`sums` name -> value expression) in the order of
     (`order_col`, `tie_cols`) inside `partition_cols` groups.
 
     `bucket`, when given, must be non-decreasing in `order_col`; otherwise one is derived from
-    quantiles of `order_col`. A running total of ``F.lit(1)`` is the row number.
-
-    Plan: bucket totals (one small aggregate, one row per non-empty bucket and group) -> exclusive
-    prefix sums over that small table -> equi-join back on (group, bucket), which AQE broadcasts
-    when its measured size is under the broadcast threshold and shuffles otherwise -> window per
-    (group, bucket). With a single bucket the offsets are zero and the join is skipped.
+    quantiles of `order_col`. A running total of ``F.lit(1)`` is the row number. With
+    `group_totals`, `<name>_total` holds the group's grand total of each sum.
+
+    Plan: bucket totals are a map-side-combined aggregate (one row per non-empty bucket and group;
+    Catalyst prunes that branch to the columns the sums need). Exclusive prefix sums over that small
+    table are joined back on (group, bucket), the shuffle that also places rows for the ranking
+    windows; AQE broadcasts the small side when its measured size allows. When everything fits one
+    bucket (at most `rows_per_bucket` rows in total) the offsets are zero and no join is needed.
     """
     parts = list(partition_cols)
     single = False
@@ -85,13 +87,21 @@ def with_running_totals(df: DataFrame, order_col: str, sums: dict[str, Column],
     vals = {f"__v_{k}": v for k, v in sums.items()}
     work = work.select("*", *[v.alias(k) for k, v in vals.items()])
 
-    if single:
+    tot_cols = []
+    if single and not group_totals:
         offs = {k: F.lit(0) for k in vals}
     else:
         per_bucket = work.groupBy(*parts, _BUCKET).agg(*[F.sum(k).alias(k) for k in vals])
         wb = Window.partitionBy(*parts).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+        wg = Window.partitionBy(*parts)
+        extra = []
+        if group_totals:
+            for name, k in zip(sums, vals):
+                extra.append(F.sum(k).over(wg).alias(f"{name}_total"))
+                tot_cols.append(f"{name}_total")
         offsets = per_bucket.select(*parts, _BUCKET,
-                                    *[F.coalesce(F.sum(k).over(wb), F.lit(0)).alias(f"{k}_off") for k in vals])
+                                    *[F.coalesce(F.sum(k).over(wb), F.lit(0)).alias(f"{k}_off") for k in vals],
+                                    *extra)
         work = work.join(offsets, on=[*parts, _BUCKET], how="inner")
         offs = {k: F.col(f"{k}_off") for k in vals}
 
@@ -101,4 +111,5 @@ def with_running_totals(df: DataFrame, order_col: str, sums: dict[str, Column],
           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     for name, k in zip(sums, vals):
         work = work.withColumn(name, F.sum(k).over(wr) + offs[k])
-    return work.drop(_BUCKET, *vals, *[f"{k}_off" for k in vals if not single])
+    drop_offs = [f"{k}_off" for k in vals] if not (single and not group_totals) else []
+    return work.drop(_BUCKET, *vals, *drop_offs)

@@ -27,26 +27,20 @@ def class_counts(df: DataFrame, target: str) -> dict:
 
 
 def rank_in_class(df: DataFrame, target: str, id_col: str, seed: int, out: str = "__rank") -> DataFrame:
-    """Exact 1-based rank of each row inside its class in md5(id|seed) order (ties by id).
+    """Exact 1-based rank of each row inside its class in md5(id|seed) order (ties by id), and the
+    class size in `<out>_total`.
 
     A class may hold most rows, so ranking is done per hash-prefix bucket of a class and offset
-    by the counts of the earlier buckets (see `ranking`).
+    by the counts of the earlier buckets (see `ranking`); the class sizes come from the same
+    per-bucket table, so no separate counting job is needed.
     """
     h = "__h"
     work = df.withColumn(h, row_hash(id_col, seed))
     ranked = with_running_totals(work, h, {out: F.lit(1).cast("long")}, partition_cols=[target],
-                                 tie_cols=[id_col], bucket=hash_prefix_bucket(F.col(h)))
+                                 tie_cols=[id_col], bucket=hash_prefix_bucket(F.col(h)), group_totals=True)
     return ranked.drop(h)
 
 
-def _class_size(target: str, counts: dict) -> Column:
-    pairs = []
-    for k, v in counts.items():
-        if k is not None:
-            pairs += [F.lit(k), F.lit(v)]
-    return F.create_map(*pairs)[F.col(target)]
-
-
 def stratified_split(df: DataFrame, target: str, id_col: str, ratios: Sequence[float] = (0.5,),
                      labels: Sequence[str] = ("train", "valid"), seed: int = 42,
                      out: str = "split") -> DataFrame:
@@ -56,9 +50,8 @@ def stratified_split(df: DataFrame, target: str, id_col: str, ratios: Sequence[f
     """
     if len(labels) != len(ratios) + 1:
         raise ValueError("need one label more than ratios")
-    counts = class_counts(df, target)
-    n_cls = _class_size(target, counts)
     ranked = rank_in_class(df, target, id_col, seed)
+    n_cls = F.col("__rank_total")
     rk = F.col("__rank")
     expr = None
     cum = 0.0
@@ -67,7 +60,7 @@ def stratified_split(df: DataFrame, target: str, id_col: str, ratios: Sequence[f
         bound = F.floor(F.lit(cum) * n_cls + F.lit(0.5))
         expr = F.when(rk <= bound, F.lit(label)) if expr is None else expr.when(rk <= bound, F.lit(label))
     expr = expr.otherwise(F.lit(labels[-1]))
-    return ranked.withColumn(out, expr).drop("__rank")
+    return ranked.withColumn(out, expr).drop("__rank", "__rank_total")
 
 
 def downsample(df: DataFrame, target: str, id_col: str, seed: int = 42,
@@ -81,8 +74,8 @@ def downsample(df: DataFrame, target: str, id_col: str, seed: int = 42,
     ranked = rank_in_class(df, target, id_col, seed)
     keep = F.col("__rank") <= F.lit(n_min)
     if out is None:
-        return ranked.filter(keep).drop("__rank")
-    return ranked.withColumn(out, keep.cast("int")).drop("__rank")
+        return ranked.filter(keep).drop("__rank", "__rank_total")
+    return ranked.withColumn(out, keep.cast("int")).drop("__rank", "__rank_total")
 
 
 def inverse_prior_weights(df: DataFrame, target: str, out: str = "weight") -> DataFrame:
