@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 
 from quarry.operators.ranking import with_running_totals
 
+# Most levels a nominal column may have when its level list is brought to the driver.
+MAX_LEVELS = 10_000
+
 
 def unpivot_values(df: DataFrame, cols: Sequence[str], group_cols: Sequence[str] = (),
                    value_type: str = "double") -> DataFrame:
@@ -149,7 +152,9 @@ def contingency(df: DataFrame, a: str, b: str, zero_fill: bool = True) -> DataFr
     counts = df.groupBy(a, b).agg(F.count(F.lit(1)).alias("n"))
     if not zero_fill:
         return counts
-    levels_b = [r[0] for r in counts.select(b).distinct().collect()]  # nominal: few levels
+    levels_b = [r[0] for r in counts.select(b).distinct().limit(MAX_LEVELS + 1).collect()]
+    if len(levels_b) > MAX_LEVELS:
+        raise ValueError(f"{b} has more than {MAX_LEVELS} levels")
     tag = {lv: f"__l{i}" for i, lv in enumerate(levels_b)}
     wide = counts.groupBy(a).pivot(b, levels_b).agg(F.sum("n"))
     wide = wide.toDF(a, *[tag[lv] for lv in levels_b])
@@ -243,3 +248,20 @@ def arg_extremes(df: DataFrame, measure: str, key: str) -> DataFrame:
                   F.max_by(key, F.struct(m, -F.col(key))).alias("argmax_key"),
                   F.min(m).alias("min_value"),
                   F.min_by(key, F.struct(m, F.col(key))).alias("argmin_key"))
+
+
+def bounded_levels(df: DataFrame, cols: Sequence[str], max_levels: int = MAX_LEVELS) -> dict[str, list]:
+    """Sorted distinct non-NULL levels per nominal column, from one distributed distinct.
+
+    At most `max_levels` levels per column may reach the driver; a column with more is not a
+    nominal input and raises instead of pulling an unbounded list.
+    """
+    long = unpivot_values(df, cols, value_type="string").filter(F.col("value").isNotNull()).distinct()
+    per = long.groupBy("col_name").agg(F.count(F.lit(1)).alias("n"))
+    too_many = per.filter(F.col("n") > max_levels).select("col_name").limit(1).collect()
+    if too_many:
+        raise ValueError(f"column {too_many[0][0]} has more than {max_levels} levels")
+    out: dict[str, list] = {c: [] for c in cols}
+    for r in long.collect():
+        out[r["col_name"]].append(r["value"])
+    return {c: sorted(v) for c, v in out.items()}

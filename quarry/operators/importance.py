@@ -85,9 +85,11 @@ def single_input_auc(df: DataFrame, cols: Sequence[str], target: str) -> DataFra
 
 def level_codes(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Replace nominal columns by the 1-based alphabetical code of their level (level lists are small)."""
+    from quarry.operators.explore import bounded_levels
+    all_levels = bounded_levels(df, cols)
     out = df
     for c in cols:
-        levels = sorted(r[0] for r in df.select(c).distinct().collect() if r[0] is not None)
+        levels = all_levels[c]
         pairs = []
         for i, lv in enumerate(levels, start=1):
             pairs += [F.lit(lv), F.lit(float(i))]

@@ -103,10 +103,10 @@ def best_lambda(profile: DataFrame) -> DataFrame:
 
 
 def dummy_levels(df: DataFrame, cols: Sequence[str], where=None) -> dict[str, list]:
-    """Sorted distinct non-NULL levels per nominal column (fit-time state; levels are few)."""
+    """Sorted distinct non-NULL levels per nominal column (fit-time state; bounded level count)."""
+    from quarry.operators.explore import bounded_levels
     src = df if where is None else df.filter(where)
-    row = src.agg(*[F.sort_array(F.collect_set(F.col(c))).alias(c) for c in cols]).first()
-    return {c: list(row[c]) for c in cols}
+    return bounded_levels(src, cols)
 
 
 def add_dummies(df: DataFrame, levels: dict[str, list], full_rank: bool = True) -> DataFrame:
