@@ -49,7 +49,7 @@ def total_ss(df: DataFrame, cols: Sequence[str]) -> float:
 
 
 def elbow(df: DataFrame, cols: Sequence[str], ks: Sequence[int], seed: int = 1, max_iter: int = 100,
-          n_starts: int = 1, parallel: int = 4, init_mode: str = "k-means||") -> list[tuple[int, float]]:
+          n_starts: int = 1, parallel: int = 8, init_mode: str = "k-means||") -> list[tuple[int, float]]:
     """(k, WCSS) per k; k = 1 is the total sum of squares (Spark's k-means needs k >= 2).
 
     Each k starts from k-means|| seeding: far fewer Lloyd passes than random rows at any scale."""

@@ -28,9 +28,10 @@ def unpivot_values(df: DataFrame, cols: Sequence[str], group_cols: Sequence[str]
     ])).alias("__kv")).select(*group_cols, "__kv.col_name", "__kv.value")
 
 
-def value_counts(df: DataFrame, cols: Sequence[str], group_cols: Sequence[str] = ()) -> DataFrame:
+def value_counts(df: DataFrame, cols: Sequence[str], group_cols: Sequence[str] = (),
+                 value_type: str = "double") -> DataFrame:
     """Distinct non-NULL (group..., col_name, value) with their counts `cnt`."""
-    long = unpivot_values(df, cols, group_cols).filter(F.col("value").isNotNull())
+    long = unpivot_values(df, cols, group_cols, value_type).filter(F.col("value").isNotNull())
     return long.groupBy(*group_cols, "col_name", "value").agg(F.count(F.lit(1)).alias("cnt"))
 
 

@@ -37,13 +37,28 @@ class FittedPrep:
             flag_candidates: Sequence[str] | None = None) -> "FittedPrep":
         prep = cls(list(numeric), list(nominal), list(log_cols), dict(level_maps or {}))
         base = prep._recode(df)
+        src = base if where is None else base.filter(where)
         cand = list(flag_candidates) if flag_candidates is not None else list(numeric)
-        prep.flags = transforms.missing_flag_columns(base, cand, where=where)
-        prep.means = impute.fit_means(base, numeric, where=where)
+        # One aggregate for the flag list and the means.
+        row = src.agg(*[F.max(F.col(c).isNull().cast("int")).alias(f"na|{c}") for c in cand],
+                      *[F.avg(c).alias(f"m|{c}") for c in numeric]).first()
+        prep.flags = [c for c in cand if row[f"na|{c}"] == 1]
+        prep.means = {c: row[f"m|{c}"] for c in numeric}
         if nominal:
-            prep.modes = impute.fit_modes(base, nominal, where=where)
-            filled = impute.apply_fill(base, prep.modes)
-            prep.levels = transforms.dummy_levels(filled, nominal, where=where)
+            # One value-count table gives both the modes and the dummy levels (bounded level count).
+            from quarry.operators.explore import MAX_LEVELS, value_counts
+            vc = value_counts(src, nominal, value_type="string").withColumnRenamed("cnt", "n")
+            if vc.groupBy("col_name").count().filter(F.col("count") > MAX_LEVELS).limit(1).count():
+                raise ValueError(f"a nominal input has more than {MAX_LEVELS} levels")
+            counts: dict[str, dict] = {c: {} for c in nominal}
+            for r in vc.collect():
+                counts[r["col_name"]][r["value"]] = r["n"]
+            types = dict(df.dtypes)
+            for c in nominal:
+                if counts[c]:
+                    mode = min(counts[c].items(), key=lambda kv: (-kv[1], kv[0]))[0]
+                    prep.modes[c] = impute._cast_back(mode, types[c])
+                prep.levels[c] = sorted(counts[c])
         return prep
 
     # ---- applying ------------------------------------------------------------------------
