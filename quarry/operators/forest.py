@@ -76,3 +76,36 @@ def tune_mtry(train: DataFrame, valid: DataFrame, target: str, grid: Sequence[in
         results.append((m, float(cm["f1"] or 0.0), model))
     best = min(results, key=lambda r: (-r[1], r[0]))
     return best, [(m, f) for m, f, _ in results]
+
+
+def permute_column(df: DataFrame, col: str, key: str, seed: int) -> DataFrame:
+    """Column `col` shuffled across rows, reproducibly: the value of the row ranked r in key order
+    moves to the row ranked r in md5(key|seed|col) order. Both ranks are exact and distributed
+    (bucketed running counts), and the two sides meet in an equi-join on the rank."""
+    from quarry.operators.ranking import hash_prefix_bucket, with_running_totals
+    one = {"__r": F.lit(1).cast("long")}
+    h = F.md5(F.concat(F.col(key).cast("string"), F.lit(f"|{seed}|{col}")))
+    dest = with_running_totals(df.withColumn("__h", h), "__h", one, tie_cols=[key],
+                               bucket=hash_prefix_bucket(F.col("__h"))).drop("__h", col)
+    src = with_running_totals(df.select(key, col).withColumn("__h", F.md5(F.col(key).cast("string"))), "__h", one,
+                              tie_cols=[key], bucket=hash_prefix_bucket(F.col("__h")))
+    src = src.select(F.col("__r"), F.col(col))
+    return dest.join(src, "__r").drop("__r")
+
+
+def permutation_importance(model, valid: DataFrame, target: str, feature_cols: Sequence[str], key: str,
+                           seed: int = 1) -> list[tuple[str, float]]:
+    """Accuracy drop on validation rows when one input column is permuted (features re-assembled)."""
+    from pyspark.ml.feature import VectorAssembler
+    fcol = model.getFeaturesCol()
+    base_rows = valid.drop(fcol)
+
+    def accuracy(d):
+        scored = model.transform(VectorAssembler(inputCols=list(feature_cols), outputCol=fcol).transform(d))
+        return scored.agg(F.avg((F.col("prediction") == F.col(target)).cast("double")).alias("a")).first()["a"]
+
+    base = accuracy(base_rows)
+    out = []
+    for c in feature_cols:
+        out.append((c, float(base - accuracy(permute_column(base_rows, c, key, seed)))))
+    return sorted(out, key=lambda x: (-x[1], x[0]))

@@ -16,7 +16,7 @@ from quarry.operators.prep import FittedPrep
 from quarry.operators.scoring import ScoringPipeline
 from quarry.plans.common import mo, with_mo
 from quarry.plans.fixtures import mining_docs, split_sql
-from quarry.session import ensure_checkpoint_dir
+from quarry.session import cut_lineage, ensure_checkpoint_dir
 from quarry.sources.bundle import load_bundle, save_bundle
 
 D = 6
@@ -38,7 +38,10 @@ def _frame(spark, sf_dir):
         train_rows = F.col("split") == "train"
         prep = FittedPrep.fit(split, NUMERIC, NOMINAL, where=train_rows, flag_candidates=FLAG_CANDIDATES)
         allp = VectorAssembler(inputCols=prep.feature_columns(), outputCol="features").transform(
-            prep.transform(split)).persist(StorageLevel.MEMORY_AND_DISK)
+            prep.transform(split))
+        # Dozens of search jobs read this frame: write it to the shared checkpoint folder (lineage
+        # cut, survives executor loss) and keep it cached.
+        allp = cut_lineage(allp).persist(StorageLevel.MEMORY_AND_DISK)
         _FRAMES[key] = (prep, allp.filter(train_rows), allp.filter(~train_rows), allp)
     return _FRAMES[key]
 
@@ -245,6 +248,15 @@ def forest_importance(spark, sf_dir):
     return _rows(spark, forest.importance_rows(rf, prep.feature_columns()), "feature string, importance double")
 
 
+def forest_permutation_importance(spark, sf_dir):
+    """Accuracy drop on validation rows when each input column is permuted."""
+    prep, train, valid, _ = _frame(spark, sf_dir)
+    rf = forest.fit_forest(train, TARGET, n_trees=30, mtry=3, seed=SEED)
+    rows = forest.permutation_importance(rf, valid.select("id", TARGET, *prep.feature_columns(), "features"),
+                                         TARGET, prep.feature_columns(), "id", seed=SEED)
+    return _rows(spark, rows, "feature string, accuracy_drop double")
+
+
 def forest_balanced(spark, sf_dir):
     """Imbalanced target (toxic documents): class-balanced forest by inverse-prior weights (M5)."""
     docs = mining_docs(spark, sf_dir)
@@ -327,6 +339,59 @@ def score_mlp(spark, sf_dir):
     return _score_roundtrip(spark, sf_dir, pipe, "mlp")
 
 
+# Relabel map of the balanced-data pipeline (fixed values).
+SEGMENT_GROUPS = {"AUTOMOBILE": "AUTO", "BUILDING": "HOME", "HOUSEHOLD": "HOME", "MACHINERY": "INDUSTRY"}
+
+
+def score_balanced_logit(spark, sf_dir):
+    """Balanced-data pipeline (X1): down-sampled training rows; log of skewed inputs, level relabel,
+    train means, missing flags, full logistic model, class = prob > 0.5 (strict)."""
+    d = sampling.stratified_split(mo(spark, sf_dir), "target_b", "id", (0.5,), ("train", "valid"), SEED)
+    train_rows = sampling.downsample(d.filter(F.col("split") == "train"), "target_b", "id", seed=7)
+    train_rows = train_rows.persist(StorageLevel.MEMORY_AND_DISK)
+    prep = FittedPrep.fit(train_rows, NUMERIC, NOMINAL, log_cols=["sum_qty", "avg_price"],
+                          level_maps={"segment": SEGMENT_GROUPS}, flag_candidates=FLAG_CANDIDATES)
+    x = prep.transform(train_rows)
+    fit = logistic.fit_logit(x, "target_b", prep.terms(), list(prep.terms()))
+    pipe = ScoringPipeline(prep, fit.columns, "logit", cutoff=0.5, strict=True, intercept=fit.intercept,
+                           coefs=fit.coef_map())
+    return _score_roundtrip(spark, sf_dir, pipe, "balanced-logit")
+
+
+# Cleaning rules of the full-cleaning pipeline (fixed values).
+STATUS_ORDER = ["F", "P", "O"]
+PRIORITY_GROUPS = {"1-URGENT": "HIGH", "2-HIGH": "HIGH", "3-MEDIUM": "MEDIUM"}
+
+
+def _clean(df):
+    """Derived, cleaned inputs next to the untouched raw columns (a narrow projection)."""
+    return df.select(
+        "*",
+        fc.ordinal_rank("status", STATUS_ORDER).cast("double").alias("status_rank"),
+        fc.level_map("segment", SEGMENT_GROUPS).alias("segment_grp"),
+        fc.sentinel_null(F.col("n_lines").cast("double"), 1.0).alias("multi_lines"),
+        fc.below_null("bal", 1).alias("bal_pos"),
+        fc.weighted_score([F.col("avg_price") / 1000.0, F.col("sum_qty")], [2 / 3, 1 / 3]).alias("size_score"))
+
+
+def score_forest_clean(spark, sf_dir):
+    """Full-cleaning forest pipeline (the shape of X5): ordinal rank, relabel, sentinel and range
+    NULLs, weighted score, train means/modes, flags, forest; scores every raw row."""
+    d = sampling.stratified_split(_clean(mo(spark, sf_dir)), TARGET, "id", (0.5,), ("train", "valid"), SEED)
+    d = d.persist(StorageLevel.MEMORY_AND_DISK)
+    num = ["totalprice", "status_rank", "multi_lines", "bal_pos", "size_score"]
+    prep = FittedPrep.fit(d, num, ["segment_grp"], where=F.col("split") == "train",
+                          flag_candidates=["multi_lines", "bal_pos"])
+    x = VectorAssembler(inputCols=prep.feature_columns(), outputCol="features").transform(
+        prep.transform(d.filter(F.col("split") == "train")))
+    rf = forest.fit_forest(x, TARGET, n_trees=50, mtry=3, seed=SEED)
+    pipe = ScoringPipeline(prep, prep.feature_columns(), "spark", cutoff=0.5, strict=True, model=rf)
+    path = _bundle_path(spark, "forest-clean")
+    save_bundle(spark, pipe, path)
+    scored = load_bundle(spark, path).transform(_clean(mo(spark, sf_dir)))
+    return scored.drop("status_rank", "segment_grp", "multi_lines", "bal_pos", "size_score")
+
+
 def score_report(spark, sf_dir):
     """Class counts and shares of a scored table."""
     s = score_logit(spark, sf_dir)
@@ -356,12 +421,15 @@ QUERIES = {
     "forest_by_ntrees": forest_by_ntrees,
     "forest_mtry": forest_mtry,
     "forest_importance": forest_importance,
+    "forest_permutation_importance": forest_permutation_importance,
     "forest_balanced": forest_balanced,
     "mlp_fit_best": mlp_fit_best,
     "score_logit": score_logit,
     "score_forest": score_forest,
     "score_mlp": score_mlp,
     "score_report": score_report,
+    "score_balanced_logit": score_balanced_logit,
+    "score_forest_clean": score_forest_clean,
 }
 
 ORACLE = {

@@ -61,3 +61,13 @@ def test_score_after_reload_equals_before(spark, tmp_path):
     assert before == after
     assert all(0.0 <= p <= 1.0 for p, _ in before.values())
     assert set(pipe.transform(raw).columns) == set(raw.columns) | {"pred_prob", "pred_class"}
+
+
+def test_permute_column_is_a_permutation(spark):
+    from quarry.operators.forest import permute_column
+    df = spark.createDataFrame([(i, float(i * i), i % 3) for i in range(200)], "id long, x double, g int")
+    p = permute_column(df, "x", "id", seed=5)
+    assert p.count() == 200
+    assert sorted(r["x"] for r in p.collect()) == sorted(r["x"] for r in df.collect())
+    moved = p.join(df.withColumnRenamed("x", "x0"), ["id", "g"]).filter("x != x0").count()
+    assert moved > 150
