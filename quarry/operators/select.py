@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType, BooleanType
 
+from quarry.operators.joins import join_small
 from quarry.operators.ranking import with_running_totals
 
 
@@ -67,9 +68,13 @@ def which_rows(df: DataFrame, cond: Column, key: str) -> DataFrame:
 
 
 def member_flag(df: DataFrame, other: DataFrame, key: str, out: str = "member") -> DataFrame:
-    """1 when the row's key occurs in `other` (left join on the distinct keys of `other`)."""
+    """1 when the row's key occurs in `other` (left join on the distinct keys of `other`).
+
+    The distinct-key side is counted first and broadcast only under a row bound; a large sample
+    (it grows with the data) is joined by shuffle instead.
+    """
     keys = other.select(F.col(key).alias("__k")).distinct().withColumn("__hit", F.lit(1))
-    j = df.join(keys, df[key] == keys["__k"], "left")
+    j = join_small(df, keys, df[key] == keys["__k"], "left")
     return j.withColumn(out, F.coalesce(F.col("__hit"), F.lit(0))).drop("__k", "__hit")
 
 

@@ -31,7 +31,7 @@ _FRAMES: dict = {}
 
 def _frame(spark, sf_dir):
     """(prep, train, valid, all) prepared once per session and table folder, kept cached."""
-    key = (id(spark), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _FRAMES:
         split = sampling.stratified_split(mo(spark, sf_dir), TARGET, "id", (0.5,), ("train", "valid"), SEED)
         split = split.persist(StorageLevel.MEMORY_AND_DISK)
