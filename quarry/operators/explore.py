@@ -35,11 +35,49 @@ def value_counts(df: DataFrame, cols: Sequence[str], group_cols: Sequence[str] =
     return long.groupBy(*group_cols, "col_name", "value").agg(F.count(F.lit(1)).alias("cnt"))
 
 
+def cumulative_counts(long: DataFrame, group_cols: Sequence[str] = ()) -> DataFrame:
+    """From (group..., col_name, value) rows: distinct values with `cnt`, inclusive running count
+    `__cum` in value order and the group size `__n` (one ranking pass; see `ranking`)."""
+    keys = [*group_cols, "col_name"]
+    vc = long.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("cnt"))
+    cum = with_running_totals(vc, "value", {"__cum": F.col("cnt")}, partition_cols=keys, group_totals=True)
+    return cum.withColumnRenamed("__cum_total", "__n")
+
+
+def quantiles_from_counts(cum: DataFrame, probs: Sequence[float], group_cols: Sequence[str] = ()) -> DataFrame:
+    """Exact type-7 quantiles (group..., col_name, p, q) from a `cumulative_counts` table."""
+    keys = [*group_cols, "col_name"]
+    h = (F.col("__n") - 1) * F.col("p") + 1
+    ranks = cum.select(*keys, "value", "cnt", "__cum", "__n",
+                       F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p"))
+    ranks = ranks.withColumn("__lo", F.floor(h)).withColumn("__hi", F.ceil(h)).withColumn("__h", h)
+    first = F.col("__cum") - F.col("cnt") + 1
+    hit_lo = (first <= F.col("__lo")) & (F.col("__lo") <= F.col("__cum"))
+    hit_hi = (first <= F.col("__hi")) & (F.col("__hi") <= F.col("__cum"))
+    picked = ranks.filter(hit_lo | hit_hi).groupBy(*keys, "p").agg(
+        F.max(F.when(hit_lo, F.col("value"))).alias("x_lo"),
+        F.max(F.when(hit_hi, F.col("value"))).alias("x_hi"),
+        F.first("__h").alias("h"), F.first("__lo").alias("lo"))
+    q = F.col("x_lo") + (F.col("h") - F.col("lo")) * (F.col("x_hi") - F.col("x_lo"))
+    return picked.select(*keys, "p", q.alias("q"))
+
+
+def trimmed_from_counts(cum: DataFrame, trim: float, group_cols: Sequence[str] = ()) -> DataFrame:
+    """Trimmed mean (drop floor(trim*n) values at each end) from a `cumulative_counts` table: equal
+    values are weighted by their overlap with the kept rank range."""
+    keys = [*group_cols, "col_name"]
+    k = F.floor(F.col("__n") * trim)
+    lo, hi = k + 1, F.col("__n") - k
+    first = F.col("__cum") - F.col("cnt") + 1
+    overlap = F.greatest(F.least(F.col("__cum"), hi) - F.greatest(first, lo) + 1, F.lit(0))
+    return cum.groupBy(*keys).agg((F.sum(F.col("value") * overlap) / F.sum(overlap)).alias("trimmed_mean"))
+
+
 def quantile_table(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                    group_cols: Sequence[str] = ()) -> DataFrame:
     """Exact type-7 quantiles: (group..., col_name, p, q), NULLs ignored."""
     long = unpivot_values(df, cols, group_cols).filter(F.col("value").isNotNull())
-    return _quantile_long(long.withColumnRenamed("value", "dev"), group_cols, probs)
+    return quantiles_from_counts(cumulative_counts(long, group_cols), probs, group_cols)
 
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> dict[str, list]:
@@ -190,50 +228,24 @@ def class_shares(df: DataFrame, col: str) -> DataFrame:
 
 
 def trimmed_mean_mad(df: DataFrame, cols: Sequence[str], group_cols: Sequence[str] = (),
-                     trim: float = 0.1) -> DataFrame:
-    """Per (group, column): trimmed mean (drop floor(trim*n) values at each end) and
-    mad = 1.4826 * median |x - median|.
+                     trim: float = 0.1, cum: DataFrame | None = None) -> DataFrame:
+    """Per (group, column): trimmed mean, median and mad = 1.4826 * median |x - median|.
 
-    The trim works on distinct values with exact running counts, so equal values are weighted by
-    their overlap with the kept rank range and no raw rows are sorted in one task.
+    One cumulative value-count table serves the trim and the median (pass `cum` to share it with
+    other quantiles); the deviations from the median need a second one.
     """
     keys = [*group_cols, "col_name"]
-    vc = value_counts(df, cols, group_cols)
-    n = vc.groupBy(*keys).agg(F.sum("cnt").alias("__n"))
-    cum = with_running_totals(vc, "value", {"__cum": F.col("cnt")}, partition_cols=keys).join(n, keys)
-    k = F.floor(F.col("__n") * trim)
-    lo, hi = k + 1, F.col("__n") - k
-    first = F.col("__cum") - F.col("cnt") + 1
-    overlap = F.greatest(F.least(F.col("__cum"), hi) - F.greatest(first, lo) + 1, F.lit(0))
-    tmean = cum.groupBy(*keys).agg((F.sum(F.col("value") * overlap) / F.sum(overlap)).alias("trimmed_mean"))
-    med = quantile_table(df, cols, [0.5], group_cols).select(*keys, F.col("q").alias("__med"))
     long = unpivot_values(df, cols, group_cols).filter(F.col("value").isNotNull())
-    # One median per (group, column): a small side, joined on its keys.
+    if cum is None:
+        cum = cumulative_counts(long, group_cols)
+    tmean = trimmed_from_counts(cum, trim, group_cols)
+    med = quantiles_from_counts(cum, [0.5], group_cols).select(*keys, F.col("q").alias("__med"))
+    # One median per (group, column): a side bounded by the number of groups times columns.
     dev = long.join(F.broadcast(med), keys).select(*group_cols, "col_name",
-                                                   F.abs(F.col("value") - F.col("__med")).alias("dev"))
-    mad_q = _quantile_long(dev, group_cols, [0.5]).select(*keys, (F.col("q") * 1.4826).alias("mad"))
-    return tmean.join(mad_q, keys, "full")
-
-
-def _quantile_long(long: DataFrame, group_cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
-    """Exact quantiles of an already unpivoted (group..., col_name, dev) table."""
-    keys = [*group_cols, "col_name"]
-    vc = long.groupBy(*keys, F.col("dev").alias("value")).agg(F.count(F.lit(1)).alias("cnt"))
-    n = vc.groupBy(*keys).agg(F.sum("cnt").alias("__n"))
-    cum = with_running_totals(vc, "value", {"__cum": F.col("cnt")}, partition_cols=keys).join(n, keys)
-    h = (F.col("__n") - 1) * F.col("p") + 1
-    ranks = cum.select(*keys, "value", "cnt", "__cum", "__n",
-                       F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p"))
-    ranks = ranks.withColumn("__lo", F.floor(h)).withColumn("__hi", F.ceil(h)).withColumn("__h", h)
-    first = F.col("__cum") - F.col("cnt") + 1
-    hit_lo = (first <= F.col("__lo")) & (F.col("__lo") <= F.col("__cum"))
-    hit_hi = (first <= F.col("__hi")) & (F.col("__hi") <= F.col("__cum"))
-    picked = ranks.filter(hit_lo | hit_hi).groupBy(*keys, "p").agg(
-        F.max(F.when(hit_lo, F.col("value"))).alias("x_lo"),
-        F.max(F.when(hit_hi, F.col("value"))).alias("x_hi"),
-        F.first("__h").alias("h"), F.first("__lo").alias("lo"))
-    q = F.col("x_lo") + (F.col("h") - F.col("lo")) * (F.col("x_hi") - F.col("x_lo"))
-    return picked.select(*keys, "p", q.alias("q"))
+                                                   F.abs(F.col("value") - F.col("__med")).alias("value"))
+    mad = quantiles_from_counts(cumulative_counts(dev, group_cols), [0.5], group_cols).select(
+        *keys, (F.col("q") * 1.4826).alias("mad"))
+    return tmean.join(med.withColumnRenamed("__med", "median"), keys).join(mad, keys, "full")
 
 
 def top_n(df: DataFrame, measure: str, n: int, key: str, descending: bool = True) -> DataFrame:

@@ -89,9 +89,8 @@ def describe_by_target(spark, sf_dir):
     d = mo(spark, sf_dir)
     cols = ["totalprice", "bal", "sum_qty"]
     m = explore.moments(d, cols, ["target_s"])
-    med = explore.quantile_table(d, cols, [0.5], ["target_s"]).select("target_s", "col_name", F.col("q").alias("median"))
-    tm = explore.trimmed_mean_mad(d, cols, ["target_s"])
-    j = m.join(med, ["target_s", "col_name"]).join(tm, ["target_s", "col_name"])
+    tm = explore.trimmed_mean_mad(d, cols, ["target_s"])            # also yields the median
+    j = m.join(tm, ["target_s", "col_name"])
     j = j.withColumn("range", F.col("max") - F.col("min"))
     return j.select("target_s", "col_name", "n", *_r(["mean", "sd", "median", "trimmed_mean", "mad", "min", "max",
                                                       "range", "skew", "kurt", "se"]))
