@@ -135,7 +135,12 @@ def split_sql(target: str = "target_s", ratio: float = 0.5, seed: int = 42, src:
 
 
 def baskets_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Distinct (basket = l_orderkey, item = p_brand) pairs."""
+    """Distinct (basket = l_orderkey, item = p_brand) pairs (written once per session)."""
+    from quarry.plans.views import materialized
+    return materialized(spark, "baskets", sf_dir, lambda: _baskets_plan(spark, sf_dir))
+
+
+def _baskets_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_brand")
     return li.join(part, li.l_partkey == part.p_partkey).select("l_orderkey", "p_brand").distinct()
@@ -147,7 +152,12 @@ BASKETS_SQL = """baskets AS (
 
 def customer_rfm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per customer with orders: n_orders, mean_price, recency (days before the last order date
-    of the table), balance."""
+    of the table), balance (written once per session)."""
+    from quarry.plans.views import materialized
+    return materialized(spark, "customer_rfm", sf_dir, lambda: _customer_rfm_plan(spark, sf_dir))
+
+
+def _customer_rfm_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read_table(spark, sf_dir, "orders").select("o_custkey", "o_totalprice", "o_orderdate")
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
     last = o.agg(F.max("o_orderdate").alias("d")).first()["d"]
@@ -170,7 +180,12 @@ CUSTOMER_RFM_SQL = """customer_rfm AS (
 
 
 def mining_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labelled documents: inputs n_chars, lang, source; targets toxic and quality."""
+    """Labelled documents: inputs n_chars, lang, source; targets toxic and quality (written once)."""
+    from quarry.plans.views import materialized
+    return materialized(spark, "mining_docs", sf_dir, lambda: _mining_docs_plan(spark, sf_dir))
+
+
+def _mining_docs_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = read_table(spark, sf_dir, "documents").select("doc_id", "n_chars", "lang", "source")
     lb = read_table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
     return d.join(lb, "doc_id").select(F.col("doc_id").alias("id"), F.col("n_chars").cast("double").alias("n_chars"),
