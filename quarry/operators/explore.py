@@ -240,8 +240,8 @@ def trimmed_mean_mad(df: DataFrame, cols: Sequence[str], group_cols: Sequence[st
         cum = cumulative_counts(long, group_cols)
     tmean = trimmed_from_counts(cum, trim, group_cols)
     med = quantiles_from_counts(cum, [0.5], group_cols).select(*keys, F.col("q").alias("__med"))
-    # One median per (group, column): a side bounded by the number of groups times columns.
-    dev = long.join(F.broadcast(med), keys).select(*group_cols, "col_name",
+    # One median per (group, column): AQE broadcasts it when small, shuffles it otherwise.
+    dev = long.join(med, keys).select(*group_cols, "col_name",
                                                    F.abs(F.col("value") - F.col("__med")).alias("value"))
     mad = quantiles_from_counts(cumulative_counts(dev, group_cols), [0.5], group_cols).select(
         *keys, (F.col("q") * 1.4826).alias("mad"))

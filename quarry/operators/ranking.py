@@ -29,8 +29,16 @@ def hash_prefix_bucket(hex_col: Column, digits: int = 4) -> Column:
     return F.conv(F.substring(hex_col, 1, digits), 16, 10).cast("long")
 
 
-# Resolution of the quantile grid from which bucket edges are picked (one aggregate job).
+# Quantile grid of the first edge pass (one aggregate job). Data needing more buckets than this
+# (over GRID * rows_per_bucket rows) gets a second, finer pass of at most MAX_BUCKETS edges.
 _GRID = 1000
+MAX_BUCKETS = 100_000
+
+
+def _edges(df: DataFrame, col: str, n_buckets: int, accuracy: int) -> list[float]:
+    grid = [i / n_buckets for i in range(1, n_buckets)]
+    q = df.agg(F.percentile_approx(F.col(col).cast("double"), grid, accuracy).alias("q")).first()["q"]
+    return sorted(set(q or []))
 
 
 def quantile_bucket(df: DataFrame, col: str, rows_per_bucket: int = ROWS_PER_BUCKET,
@@ -44,11 +52,15 @@ def quantile_bucket(df: DataFrame, col: str, rows_per_bucket: int = ROWS_PER_BUC
     row = df.agg(F.count(F.lit(1)).alias("n"),
                  F.percentile_approx(F.col(col).cast("double"), grid, accuracy).alias("q")).first()
     n = row["n"]
-    n_buckets = min(_GRID, max(1, math.ceil(n / rows_per_bucket)))
-    if n_buckets == 1 or row["q"] is None:
+    wanted = max(1, math.ceil(n / rows_per_bucket))
+    if wanted == 1 or row["q"] is None:
         return df.withColumn(_BUCKET, F.lit(0).cast("long")), 1
-    step = _GRID / n_buckets
-    edges = sorted(set(row["q"][int(round(i * step)) - 1] for i in range(1, n_buckets)))
+    if wanted <= _GRID:
+        step = _GRID / wanted
+        edges = sorted(set(row["q"][int(round(i * step)) - 1] for i in range(1, wanted)))
+    else:
+        b = min(wanted, MAX_BUCKETS)
+        edges = _edges(df, col, b, 10 * b)
     splits = [-math.inf] + edges + [math.inf]
     src, tmp = _BUCKET + "_x", _BUCKET + "_d"
     out = Bucketizer(splits=splits, inputCol=src, outputCol=tmp, handleInvalid="keep").transform(

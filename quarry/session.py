@@ -39,8 +39,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not current:
         current = tempfile.mkdtemp(prefix="quarry-ckpt-")
-    os.makedirs(current, exist_ok=True) if current.startswith("/") else None
-    sc.setCheckpointDir(current)
+    if current.startswith("/"):
+        os.makedirs(current, exist_ok=True)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(current)
     return current
 
 

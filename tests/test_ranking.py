@@ -39,3 +39,12 @@ def test_running_totals_single_bucket(spark):
     got = with_running_totals(spark.createDataFrame(rows), "s", {"rn": F.lit(1)}, tie_cols=["id"]).collect()
     ref = _brute(rows, "s")
     assert all(r["rn"] == ref[r["id"]][0] for r in got)
+
+
+def test_running_totals_fine_grid_pass(spark):
+    """More buckets than the first grid holds: the second, finer edge pass is used."""
+    rows = [{"id": i, "s": float((i * 7919) % 5003), "w": 1} for i in range(5000)]
+    got = with_running_totals(spark.createDataFrame(rows), "s", {"rn": F.lit(1)}, tie_cols=["id"],
+                              rows_per_bucket=2).collect()
+    ref = _brute(rows, "s")
+    assert all(r["rn"] == ref[r["id"]][0] for r in got)
