@@ -99,12 +99,33 @@ def stream_scored_orders(spark, sf_dir):
     return score_stream(spark, table_stream(spark, sf_dir, "orders"), score, "scored-orders")
 
 
+def stream_score_forest(spark, sf_dir):
+    """A fitted forest scoring bundle (saved, reloaded) applied to the orders stream: the
+    preparation, assembly and model are one stateless streaming projection."""
+    from quarry.operators import forest
+    from quarry.operators.scoring import ScoringPipeline
+    from quarry.plans.q_models import SEED, TARGET, _bundle_path, _frame
+    from quarry.sources.bundle import load_bundle, save_bundle
+    prep, train, _, _ = _frame(spark, sf_dir)
+    rf = forest.fit_forest(train, TARGET, n_trees=20, mtry=3, seed=SEED)
+    path = _bundle_path(spark, "stream-forest")
+    save_bundle(spark, ScoringPipeline(prep, prep.feature_columns(), "spark", cutoff=0.5, strict=True, model=rf), path)
+    pipe = load_bundle(spark, path)
+
+    def score(stream_orders):
+        return pipe.transform(mining_orders(spark, sf_dir, orders=stream_orders)).select(
+            "id", "target_s", "pred_prob", "pred_class")
+
+    return score_stream(spark, table_stream(spark, sf_dir, "orders"), score, "forest")
+
+
 QUERIES = {
     "csv_null_tokens": csv_null_tokens,
     "csv_default_nulls": csv_default_nulls,
     "csv_roundtrip": csv_roundtrip,
     "schema_head": schema_head,
     "stream_scored_orders": stream_scored_orders,
+    "stream_score_forest": stream_score_forest,
 }
 
 _TYPES = {"id": "bigint", "target_b": "bigint", "target_s": "bigint", "target_d": "double", "price_text": "string",

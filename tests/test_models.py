@@ -71,3 +71,17 @@ def test_permute_column_is_a_permutation(spark):
     assert sorted(r["x"] for r in p.collect()) == sorted(r["x"] for r in df.collect())
     moved = p.join(df.withColumnRenamed("x", "x0"), ["id", "g"]).filter("x != x0").count()
     assert moved > 150
+
+
+def test_stream_scoring_equals_batch(spark):
+    from quarry.operators import forest
+    from quarry.streaming.score_stream import score_stream, table_stream
+    prep, x = _frame(spark)
+    rf = forest.fit_forest(x, "target_s", n_trees=5, mtry=2, seed=3)
+    pipe = ScoringPipeline(prep, prep.feature_columns(), "spark", cutoff=0.5, strict=True, model=rf)
+    batch = {(r["id"], round(r["pred_prob"], 12), r["pred_class"])
+             for r in pipe.transform(mining_orders(spark, SF_SMALL)).collect()}
+    streamed = score_stream(spark, table_stream(spark, SF_SMALL, "orders"),
+                            lambda s: pipe.transform(mining_orders(spark, SF_SMALL, orders=s)), "test")
+    got = {(r["id"], round(r["pred_prob"], 12), r["pred_class"]) for r in streamed.collect()}
+    assert got == batch
