@@ -18,9 +18,12 @@ def fit_forest(train: DataFrame, target: str, n_trees: int = 50, mtry: int | str
     A balanced per-tree sample (strata + equal sample sizes) has no Spark parameter; class balance
     is given by `weight_col` (inverse class prior) instead.
     """
+    # Node ids cached per row (checkpointed every 10 levels to the shared checkpoint folder) save
+    # re-walking deep trees on every pass; a larger node-statistics budget splits more nodes per pass.
     rf = RandomForestClassifier(labelCol=target, featuresCol=features, numTrees=n_trees,
                                 featureSubsetStrategy=str(mtry), maxDepth=max_depth, seed=seed,
-                                minInstancesPerNode=min_instances)
+                                minInstancesPerNode=min_instances, cacheNodeIds=True, maxMemoryInMB=1024,
+                                checkpointInterval=10)
     if weight_col:
         rf = rf.setWeightCol(weight_col)
     return rf.fit(train)
