@@ -43,7 +43,7 @@ def _profile(df, types):
     for c in df.columns:
         rows.append(F.struct(F.lit(c).alias("col_name"), F.lit(types[c]).alias("dtype"),
                              F.count_if(F.col(c).isNull()).alias("n_null"),
-                             (F.round(F.sum(F.col(c)), 4) if types[c] != "string" else F.lit(None).cast("double"))
+                             (F.round(F.sum(F.col(c)), 2) if types[c] != "string" else F.lit(None).cast("double"))
                              .alias("total")))
     return df.agg(F.array(*rows).alias("r")).select(F.explode("r").alias("e")).select("e.*")
 
@@ -136,7 +136,7 @@ _TYPES = {"id": "bigint", "target_b": "bigint", "target_s": "bigint", "target_d"
 def _null_sql():
     parts = []
     for c in MO_COLS:
-        total = f"round(sum({c}), 4)" if c in NUMERIC else "CAST(NULL AS DOUBLE)"
+        total = f"round(sum({c}), 2)" if c in NUMERIC else "CAST(NULL AS DOUBLE)"
         parts.append(f"SELECT '{c}' AS col_name, '{_TYPES[c]}' AS dtype, count(*) FILTER (WHERE {c} IS NULL) AS n_null, "
                      f"{total} AS total FROM mining_orders")
     return with_mo(" " + " UNION ALL ".join(parts))
