@@ -83,3 +83,25 @@ def test_histogram_right_closed(spark):
     df = spark.createDataFrame([(0.0,), (1.0,), (2.0,), (10.0,)], "x double")
     h = {r["bin"]: r["n"] for r in explore.histogram(df, ["x"], 5).collect()}
     assert h == {1: 3, 5: 1}          # width 2: [0, 2] holds 0, 1, 2 (right-closed, lowest included)
+
+
+def test_fit_time_state_applies_by_name(spark):
+    """Flags come from the fit-time list (Q6); unseen levels give all-zero dummies; stored means
+    and modes apply by column name whatever the column order of the scored table (Q12)."""
+    from quarry.operators.prep import FittedPrep
+    train = spark.createDataFrame([(1.0, None, "a"), (3.0, 2.0, "b"), (None, 4.0, "a")], "x double, y double, c string")
+    prep = FittedPrep.fit(train, ["x", "y"], ["c"])
+    assert sorted(prep.flags) == ["x", "y"] and prep.means == {"x": 2.0, "y": 3.0} and prep.modes == {"c": "a"}
+    # Scored table: other column order, a NULL-free x, an unseen level and a NULL level.
+    score = spark.createDataFrame([("z", 5.0, 7.0), (None, None, 1.0)], "c string, y double, x double")
+    out = {r["x"]: r for r in prep.transform(score).collect()}
+    assert set(prep.transform(score).columns) >= {"x_NA", "y_NA", "c_b"}
+    assert out[7.0]["c_b"] == 0 and out[7.0]["x_NA"] == 0 and out[7.0]["y_NA"] == 0
+    assert out[1.0]["y"] == 3.0 and out[1.0]["y_NA"] == 1 and out[1.0]["c"] == "a" and out[1.0]["c_b"] == 0
+
+
+def test_cutoff_strict_and_inclusive(spark):
+    df = spark.createDataFrame([(0.5,), (0.49,), (0.51,)], "p double")
+    rows = df.select(fc.cutoff_class("p", 0.5, strict=True).alias("s"),
+                     fc.cutoff_class("p", 0.5, strict=False).alias("i")).collect()
+    assert [(r["s"], r["i"]) for r in rows] == [(0, 1), (0, 0), (1, 1)]
