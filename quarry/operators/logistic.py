@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions import columns as fc
+from quarry.session import right_size
 
 
 @dataclass
@@ -88,8 +89,10 @@ def stepwise(train: DataFrame, target: str, terms: dict[str, list[str]], directi
     `start`, default empty, adding or dropping one term per step). Returns (final fit, steps) where
     steps is a list of (step, action, term, criterion).
     """
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)   # every candidate fit re-reads it
     n = train.count()
+    # Every candidate fit re-reads the training rows: cache them, in partitions sized to the data
+    # (each IRLS pass is one job; tiny partitions only add task overhead).
+    train = right_size(train, n).persist(StorageLevel.MEMORY_AND_DISK)
     k = math.log(n) if k is None else k
     if start is None:
         start = list(terms) if direction == "backward" else []

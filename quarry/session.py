@@ -50,3 +50,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+ROWS_PER_PARTITION = 1_000_000
+
+
+def right_size(df: DataFrame, n_rows: int, rows_per_partition: int = ROWS_PER_PARTITION) -> DataFrame:
+    """Merge partitions (no shuffle) down to about `rows_per_partition` rows each.
+
+    Iterative fits run one job per pass over a cached frame; on a small frame, many tiny partitions
+    cost more in task overhead than they add in parallelism. Large frames keep their partitions.
+    """
+    target = max(1, -(-n_rows // rows_per_partition))
+    return df.coalesce(target) if df.rdd.getNumPartitions() > target else df
