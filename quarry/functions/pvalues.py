@@ -131,3 +131,36 @@ def t_quantile(p: float, df: float) -> float:
             hi = mid
     t = (lo + hi) / 2.0
     return t if p > 0.5 else -t
+
+
+def beta_quantile(q: float, a: float, b: float) -> float:
+    """Inverse of the regularized incomplete beta I_x(a, b) by bisection."""
+    if q <= 0:
+        return 0.0
+    if q >= 1:
+        return 1.0
+    lo, hi = 0.0, 1.0
+    for _ in range(200):
+        mid = (lo + hi) / 2.0
+        if beta_inc(a, b, mid) < q:
+            lo = mid
+        else:
+            hi = mid
+    return (lo + hi) / 2.0
+
+
+def binom_ci(k: int, n: int, level: float = 0.95) -> tuple[float, float]:
+    """Exact (Clopper-Pearson) interval of a binomial proportion."""
+    alpha = 1.0 - level
+    lo = 0.0 if k == 0 else beta_quantile(alpha / 2, k, n - k + 1)
+    hi = 1.0 if k == n else beta_quantile(1 - alpha / 2, k + 1, n - k)
+    return lo, hi
+
+
+def binom_upper_tail(k: int, n: int, p: float) -> float:
+    """P(X >= k) for X ~ Binomial(n, p)."""
+    if k <= 0:
+        return 1.0
+    if k > n:
+        return 0.0
+    return beta_inc(k, n - k + 1, p)

@@ -147,3 +147,23 @@ def avg_profit(df: DataFrame, pmatrix: Sequence[Sequence[float]], prob: str = "p
     cell = (F.when((a == 1) & c, pmatrix[0][0]).when((a == 1) & ~c, pmatrix[0][1])
             .when((a == 0) & c, pmatrix[1][0]).otherwise(pmatrix[1][1]))
     return df.groupBy(*group_cols).agg(F.lit(cut).alias("cutoff"), F.avg(cell).alias("avg_profit"))
+
+
+def confusion_inference(cm: DataFrame, level: float = 0.95) -> DataFrame:
+    """Accuracy with its exact binomial interval, P(accuracy > no-information rate) and the McNemar
+    p-value, from a one-row confusion-count table (the counts are the only data brought back)."""
+    from quarry.functions import pvalues
+    r = cm.first()
+    tp, fp, fn, tn = (int(r[c]) for c in ("tp", "fp", "fn", "tn"))
+    n = tp + fp + fn + tn
+    correct = tp + tn
+    lo, hi = pvalues.binom_ci(correct, n, level) if n else (float("nan"), float("nan"))
+    prev = (tp + fn) / n if n else float("nan")
+    nir = max(prev, 1 - prev) if n else float("nan")
+    p_nir = pvalues.binom_upper_tail(correct, n, nir) if n else float("nan")
+    mc = (abs(fp - fn) - 1) ** 2 / (fp + fn) if fp + fn else float("nan")
+    p_mc = pvalues.chi2_sf(mc, 1) if fp + fn else float("nan")
+    row = [(n, correct / n if n else float("nan"), lo, hi, nir, p_nir, mc, p_mc)]
+    return cm.sparkSession.createDataFrame(
+        row, "n long, accuracy double, acc_ci_low double, acc_ci_high double, nir double, p_acc_gt_nir double, "
+             "mcnemar_stat double, mcnemar_p double")

@@ -25,10 +25,13 @@ def validation_metrics(model, valid: DataFrame, target: str) -> tuple[float, flo
 
 def fit_early_stopping(train: DataFrame, valid: DataFrame, target: str, hidden: Sequence[int],
                        n_inputs: int, iters_per_round: int = 5, max_rounds: int = 40, patience: int = 5,
-                       monitor: str = "loss", seed: int = 1, features: str = "features"):
+                       monitor: str = "loss", seed: int = 1, features: str = "features",
+                       checkpoint_path: str | None = None):
     """Train in rounds of `iters_per_round` optimizer steps, each round warm-started from the
     previous weights; keep the round with the best validation metric and stop after `patience`
-    rounds without improvement. Returns (best model, history [(round, loss, accuracy)])."""
+    rounds without improvement. With `checkpoint_path`, every improvement is saved there and the
+    best model is reloaded from it at the end (save-best-only checkpointing).
+    Returns (best model, history [(round, loss, accuracy)], best round)."""
     layers = [n_inputs, *hidden, 2]
     weights = None
     best = None
@@ -47,8 +50,13 @@ def fit_early_stopping(train: DataFrame, valid: DataFrame, target: str, hidden:
         if best is None or score < best[0] - 1e-12:
             best = (score, model, r)
             stale = 0
+            if checkpoint_path:
+                model.write().overwrite().save(checkpoint_path)
         else:
             stale += 1
             if stale >= patience:
                 break
+    if checkpoint_path:
+        from pyspark.ml.classification import MultilayerPerceptronClassificationModel
+        return MultilayerPerceptronClassificationModel.load(checkpoint_path), history, best[2]
     return best[1], history, best[2]

@@ -25,6 +25,10 @@ def confusion_stats(spark, sf_dir):
     return evaluate.confusion_stats(evaluate.confusion_counts(_classed(spark, sf_dir)), D)
 
 
+def confusion_inference(spark, sf_dir):
+    return evaluate.confusion_inference(evaluate.confusion_counts(_classed(spark, sf_dir)))
+
+
 def f1(spark, sf_dir):
     return evaluate.with_rates(evaluate.confusion_counts(_classed(spark, sf_dir)), D).select("f1", "misclass",
                                                                                              "accuracy")
@@ -80,6 +84,7 @@ def avg_profit(spark, sf_dir):
 QUERIES = {
     "confusion": confusion,
     "confusion_stats": confusion_stats,
+    "confusion_inference": confusion_inference,
     "f1": f1,
     "misclass_compare": misclass_compare,
     "roc_points": roc_points,

@@ -286,7 +286,8 @@ def mlp_fit_best(spark, sf_dir):
     prep, _, tr, va = _scaled_frame(spark, sf_dir)
     n_in = len(prep.feature_columns())
     _, history, best_round = mlp.fit_early_stopping(tr, va, TARGET, [6, 6], n_in, iters_per_round=5, max_rounds=20,
-                                                    patience=5, seed=SEED, features="zfeatures")
+                                                    patience=5, seed=SEED, features="zfeatures",
+                                                    checkpoint_path=_bundle_path(spark, "mlp-best"))
     return _rows(spark, [(r, loss, acc, r == best_round) for r, loss, acc in history],
                  "round int, val_loss double, val_accuracy double, best boolean")
 
