@@ -3,7 +3,12 @@
 A window ordered over a whole table (or over a two-class target) puts every row in one task.
 Here rows are cut into value buckets that are monotone in the sort order; each bucket is ranked
 by its own window task, and the totals of all earlier buckets are added from a small per-bucket
-table. The result is exact and no task holds more than one bucket of one group.
+table. The result is exact and no task holds more than one bucket of one group; a table of at most
+`ROWS_PER_BUCKET` rows is one bucket.
+
+A bucket is a function of the sort value, so callers pass (nearly) distinct sort values: unique
+keys, md5 orders, or tables already collapsed to distinct values with counts. A value held by a
+third of all rows is thus one row here, never one task's third of the data.
 """
 
 from __future__ import annotations
