@@ -23,7 +23,7 @@ def basket_summary(baskets: DataFrame) -> DataFrame:
     b = per.agg(F.count(F.lit(1)).alias("n_baskets"), F.sum("k").alias("n_pairs"),
                 F.avg("k").alias("mean_size"), F.max("k").alias("max_size"))
     n_items = items.first()["n_items"]   # a single number
-    return b.select("n_baskets", F.lit(n_items).alias("n_items"), "n_pairs",
+    return b.select("n_baskets", F.lit(n_items).cast("long").alias("n_items"), "n_pairs",
                     (F.col("n_pairs") / (F.col("n_baskets") * F.lit(n_items))).alias("density"),
                     "mean_size", "max_size")
 

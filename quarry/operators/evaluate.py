@@ -106,7 +106,7 @@ def auc(df: DataFrame, prob: str = "prob", actual: str = "actual") -> DataFrame:
     cum = with_running_totals(counts, "score", {"neg_le": F.col("neg")})
     below = F.col("neg_le") - F.col("neg")
     return cum.agg((F.sum(F.col("pos") * (below + F.col("neg") / 2.0)) / F.lit(float(p) * float(n))).alias("auc"),
-                   F.lit(p).alias("n_pos"), F.lit(n).alias("n_neg"))
+                   F.lit(p).cast("long").alias("n_pos"), F.lit(n).cast("long").alias("n_neg"))
 
 
 def best_cutoff_topleft(roc: DataFrame) -> DataFrame:

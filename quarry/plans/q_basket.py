@@ -120,7 +120,7 @@ ORACLE = {
                    "CAST(count(*) AS INTEGER) AS n_items FROM baskets GROUP BY l_orderkey",
     "basket_summary": f"WITH {BASKETS_SQL}, s AS (SELECT l_orderkey, count(*) AS k FROM baskets GROUP BY 1) "
                       "SELECT count(*) AS n_baskets, (SELECT count(DISTINCT p_brand) FROM baskets) AS n_items, "
-                      "sum(k) AS n_pairs, round(sum(k) / (count(*) * (SELECT count(DISTINCT p_brand) FROM baskets)), 6) "
+                      "CAST(sum(k) AS BIGINT) AS n_pairs, round(sum(k) / (count(*) * (SELECT count(DISTINCT p_brand) FROM baskets)), 6) "
                       "AS density, round(avg(k), 6) AS mean_size, CAST(max(k) AS INTEGER) AS max_size FROM s",
     "basket_sizes": f"WITH {BASKETS_SQL} SELECT CAST(k AS INTEGER) AS size, count(*) AS n_baskets FROM "
                     "(SELECT l_orderkey, count(*) AS k FROM baskets GROUP BY 1) GROUP BY 1",

@@ -184,7 +184,7 @@ SELECT col_name, round(skew, 6) AS skew, round(kurt, 6) AS kurt FROM sk"""),
         f"SELECT '{c}', 'rows_1_100' FROM ri HAVING bool_or({c} IS NULL)" for c in _MO_ALL)),
     "missing_map": with_mo(", ri AS (SELECT *, CAST(floor((row_number() OVER (ORDER BY id) - 1) / 1000) AS BIGINT) AS "
                            "row_block FROM mining_orders) " + " UNION ALL ".join(
-        f"SELECT row_block, '{c}' AS col_name, sum(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS n_missing, "
+        f"SELECT row_block, '{c}' AS col_name, CAST(sum(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_missing, "
         f"count(*) AS n_rows FROM ri GROUP BY row_block" for c in _MO_ALL if c != "id")),
     "freq_desc": with_mo(" SELECT segment AS level, count(*) AS n FROM mining_orders GROUP BY 1"),
     "histogram": with_mo(f""", l AS ({_long(["totalprice", "avg_price"])}),

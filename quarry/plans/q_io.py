@@ -161,7 +161,7 @@ ORACLE = {
     "csv_null_tokens": _null_sql(),
     "csv_default_nulls": _default_sql(),
     "csv_roundtrip": "SELECT o_orderstatus, count(*) AS n, round(sum(o_totalprice), 2) AS total, "
-                     "sum(o_orderkey) AS key_sum FROM orders GROUP BY 1",
+                     "CAST(sum(o_orderkey) AS BIGINT) AS key_sum FROM orders GROUP BY 1",
     "schema_head": with_mo(" SELECT id, totalprice, status FROM mining_orders ORDER BY id LIMIT 5"),
     "stream_scored_orders": with_so(" SELECT * FROM scored_orders"),
 }

@@ -56,7 +56,7 @@ def null_logit(spark, sf_dir):
     f = logistic.null_logit(train, TARGET)
     return spark.range(1).select(F.round(F.lit(f.intercept), D).alias("intercept"),
                                  F.round(F.lit(f.deviance), 4).alias("deviance"),
-                                 F.round(F.lit(f.aic), 4).alias("aic"), F.lit(f.n).alias("n"))
+                                 F.round(F.lit(f.aic), 4).alias("aic"), F.lit(f.n).cast("long").alias("n"))
 
 
 def _full_fit(spark, sf_dir):

@@ -114,12 +114,12 @@ ORACLE = {
     "select_by_type": with_mo(" SELECT id, totalprice, bal, n_lines, sum_qty, avg_price, order_month FROM mining_orders"),
     "semi_join": with_mo(" SELECT id, totalprice FROM mining_orders WHERE id IN "
                          "(SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')"),
-    "split_two": with_mo(split_sql("target_s", 0.5, 42) + " SELECT target_s, split, count(*) AS n, sum(id) AS id_sum "
+    "split_two": with_mo(split_sql("target_s", 0.5, 42) + " SELECT target_s, split, count(*) AS n, CAST(sum(id) AS BIGINT) AS id_sum "
                          "FROM split GROUP BY 1, 2"),
-    "split_three": with_mo(_SPLIT3 + " SELECT target_s, split, count(*) AS n, sum(id) AS id_sum FROM split GROUP BY 1, 2"),
+    "split_three": with_mo(_SPLIT3 + " SELECT target_s, split, count(*) AS n, CAST(sum(id) AS BIGINT) AS id_sum FROM split GROUP BY 1, 2"),
     "downsample": with_mo(""", r AS (SELECT *, row_number() OVER (PARTITION BY target_b
                                      ORDER BY md5(CAST(id AS VARCHAR) || '|7'), id) AS rk FROM mining_orders)
-SELECT target_b, count(*) AS n, sum(id) AS id_sum FROM r
+SELECT target_b, count(*) AS n, CAST(sum(id) AS BIGINT) AS id_sum FROM r
 WHERE rk <= (SELECT min(c) FROM (SELECT count(*) AS c FROM mining_orders GROUP BY target_b)) GROUP BY 1"""),
     "inverse_prior_weights": with_mo(" SELECT target_b, count(*) AS n, round(sum(count(*)) OVER () / count(*), 6) AS weight "
                                      "FROM mining_orders GROUP BY 1"),

@@ -152,7 +152,7 @@ tr AS (SELECT id, target_b, row_number() OVER (PARTITION BY target_b ORDER BY md
        FROM split WHERE split = 'train'),
 samp AS (SELECT id FROM tr WHERE rk <= (SELECT min(n) FROM (SELECT count(*) AS n FROM tr GROUP BY target_b))),
 flagged AS (SELECT s.*, CASE WHEN p.id IS NULL THEN 0 ELSE 1 END AS in_sample FROM split s LEFT JOIN samp p ON s.id = p.id)
-SELECT split, target_b, count(*) AS n, sum(in_sample) AS n_in_sample FROM flagged
+SELECT split, target_b, count(*) AS n, CAST(sum(in_sample) AS BIGINT) AS n_in_sample FROM flagged
 WHERE in_sample = 1 OR split = 'valid' GROUP BY split, target_b"""),
     "append_predictions": with_mo(""",
 f AS (SELECT *, coalesce(bal, (SELECT avg(bal) FROM mining_orders)) AS __f_bal FROM mining_orders),

@@ -211,7 +211,7 @@ ORACLE = {
     "currency_parse": with_mo(" SELECT id, TRY_CAST(regexp_replace(price_text, '[$,]', '', 'g') AS DOUBLE) AS amount "
                               "FROM mining_orders"),
     "cast_nominal": with_mo(", lv AS (SELECT CAST(order_month AS VARCHAR) AS level, count(*) AS n FROM mining_orders "
-                            "GROUP BY 1) SELECT level, n, row_number() OVER (ORDER BY level) AS level_order FROM lv"),
+                            "GROUP BY 1) SELECT level, n, CAST(row_number() OVER (ORDER BY level) AS INTEGER) AS level_order FROM lv"),
     "ordinal_rank": with_mo(" SELECT status, CASE status WHEN 'F' THEN 1 WHEN 'P' THEN 2 WHEN 'O' THEN 3 END AS "
                             "status_rank, count(*) AS n FROM mining_orders GROUP BY 1, 2"),
     "level_collapse": with_mo(" SELECT CASE segment WHEN 'AUTOMOBILE' THEN 'AUTO' WHEN 'BUILDING' THEN 'HOME' "
