@@ -67,6 +67,17 @@ def rules_top_confidence(spark, sf_dir):
     return _rule_cols(basket.top_rules(_rules(spark, sf_dir), "confidence", 10))
 
 
+# The other support / confidence floors used by the reference (fixed values).
+ALL_SUPPORT = 0.05
+ALL_CONFIDENCE = 0.1
+
+
+def rules_all(spark, sf_dir):
+    """Every rule at support 0.05 / confidence 0.1, including {} => x, as apriori reports them."""
+    r = basket.association_rules(_baskets(spark, sf_dir), ALL_SUPPORT, ALL_CONFIDENCE, include_empty_lhs=True)
+    return _rule_cols(r)
+
+
 def rules_with_empty_lhs(spark, sf_dir):
     r = basket.association_rules(_baskets(spark, sf_dir), MIN_SUPPORT, MIN_CONFIDENCE, include_empty_lhs=True)
     return _rule_cols(r)
@@ -83,12 +94,17 @@ QUERIES = {
     "rules_top_support": rules_top_support,
     "rules_top_confidence": rules_top_confidence,
     "rules_with_empty_lhs": rules_with_empty_lhs,
+    "rules_all": rules_all,
 }
 
-# Frequent item sets of sizes 1-3 by self-joins, rules with antecedents of size 1 and 2.
-_RULES = f"""WITH {BASKETS_SQL},
+def _rules_sql(min_support: float, min_confidence: float) -> str:
+    """Frequent item sets of sizes 1-3 by self-joins, rules with antecedents of size 1 and 2."""
+    return _RULES_TEMPLATE.replace("{MIN_SUPPORT}", repr(min_support)).replace("{MIN_CONFIDENCE}", repr(min_confidence))
+
+
+_RULES_TEMPLATE = f"""WITH {BASKETS_SQL},
 nb AS (SELECT count(DISTINCT l_orderkey) AS n FROM baskets),
-minc AS (SELECT ceil({MIN_SUPPORT} * n) AS c FROM nb),
+minc AS (SELECT ceil({{MIN_SUPPORT}} * n) AS c FROM nb),
 i1 AS (SELECT p_brand AS a, count(*) AS f FROM baskets GROUP BY 1 HAVING count(*) >= (SELECT c FROM minc)),
 i2 AS (SELECT x.p_brand AS a, y.p_brand AS b, count(*) AS f FROM baskets x JOIN baskets y
          ON x.l_orderkey = y.l_orderkey AND x.p_brand < y.p_brand
@@ -106,7 +122,8 @@ r AS (
   UNION ALL SELECT i3.a || ',' || i3.c, i3.b, i3.f, p.f, c1.f FROM i3 JOIN i2 p ON p.a = i3.a AND p.b = i3.c JOIN i1 c1 ON c1.a = i3.b
   UNION ALL SELECT i3.b || ',' || i3.c, i3.a, i3.f, p.f, c1.f FROM i3 JOIN i2 p ON p.a = i3.b AND p.b = i3.c JOIN i1 c1 ON c1.a = i3.a),
 rules AS (SELECT antecedent, consequent, f / (SELECT n FROM nb) AS support, f / fa AS confidence,
-                 (f / fa) / (fc / (SELECT n FROM nb)) AS lift FROM r WHERE f / fa >= {MIN_CONFIDENCE})"""
+                 (f / fa) / (fc / (SELECT n FROM nb)) AS lift FROM r WHERE f / fa >= {{MIN_CONFIDENCE}})"""
+_RULES = _rules_sql(MIN_SUPPORT, MIN_CONFIDENCE)
 
 _COLS = "antecedent, consequent, round(support, 6) AS support, round(confidence, 6) AS confidence, round(lift, 6) AS lift"
 
@@ -115,7 +132,12 @@ def _top(by):
     return f"{_RULES} SELECT {_COLS} FROM rules ORDER BY {by} DESC, antecedent, consequent LIMIT 10"
 
 
+_RULES_ALL = _rules_sql(ALL_SUPPORT, ALL_CONFIDENCE)
+
 ORACLE = {
+    "rules_all": f"""{_RULES_ALL} SELECT {_COLS} FROM rules UNION ALL
+        SELECT '' AS antecedent, a AS consequent, round(f / (SELECT n FROM nb), 6), round(f / (SELECT n FROM nb), 6),
+               1.0 FROM i1 WHERE f / (SELECT n FROM nb) >= {ALL_CONFIDENCE}""",
     "basket_sets": f"WITH {BASKETS_SQL} SELECT l_orderkey AS basket, array_to_string(list_sort(list(p_brand)), ',') AS items, "
                    "CAST(count(*) AS INTEGER) AS n_items FROM baskets GROUP BY l_orderkey",
     "basket_summary": f"WITH {BASKETS_SQL}, s AS (SELECT l_orderkey, count(*) AS k FROM baskets GROUP BY 1) "

@@ -43,6 +43,28 @@ def downsample(spark, sf_dir):
     return d.groupBy("target_b").agg(F.count(F.lit(1)).alias("n"), F.sum("id").alias("id_sum"))
 
 
+def downsample_plus_valid(spark, sf_dir):
+    """The rows kept for modelling: a class-balanced down-sample of the training part plus every
+    validation row (M4), as (id, split, target_b)."""
+    d = sampling.stratified_split(mo(spark, sf_dir), "target_b", "id", (0.5,), ("train", "valid"), 42)
+    sample = sampling.downsample(d.filter(F.col("split") == "train"), "target_b", "id", seed=7)
+    flagged = select.member_flag(d, sample, "id", out="in_sample")
+    return flagged.filter((F.col("in_sample") == 1) | (F.col("split") == "valid")).select("id", "split", "target_b")
+
+
+def rank_measures(spark, sf_dir):
+    """Ten highest and ten lowest order totals with their rank (ties by id), A16/A17."""
+    d = mo(spark, sf_dir).select("id", "totalprice")
+    top = explore.top_n(d, "totalprice", 10, "id").withColumn("direction", F.lit("top"))
+    low = explore.top_n(d, "totalprice", 10, "id", descending=False).withColumn("direction", F.lit("bottom"))
+    both = top.unionByName(low)
+    # 20 rows: the rank is a window over that bounded set.
+    from pyspark.sql import Window
+    w = Window.partitionBy("direction").orderBy(
+        F.when(F.col("direction") == "top", -F.col("totalprice")).otherwise(F.col("totalprice")), "id")
+    return both.withColumn("rnk", F.row_number().over(w))
+
+
 def inverse_prior_weights(spark, sf_dir):
     w = sampling.inverse_prior_weights(mo(spark, sf_dir), "target_b")
     return w.groupBy("target_b").agg(F.count(F.lit(1)).alias("n"), F.round(F.first("weight"), D).alias("weight"))
@@ -96,6 +118,8 @@ QUERIES = {
     "split_three": split_three,
     "downsample": downsample,
     "inverse_prior_weights": inverse_prior_weights,
+    "downsample_plus_valid": downsample_plus_valid,
+    "rank_measures": rank_measures,
     "summary_nominal_by_target": summary_nominal_by_target,
     "mean_ci": mean_ci,
     "ttest_pvalues": ttest_pvalues,
@@ -111,6 +135,16 @@ split AS (
                count(*) OVER (PARTITION BY target_s) AS n FROM mining_orders))"""
 
 ORACLE = {
+    "downsample_plus_valid": with_mo(split_sql("target_b", 0.5, 42) + """,
+tr AS (SELECT id, target_b, row_number() OVER (PARTITION BY target_b ORDER BY md5(CAST(id AS VARCHAR) || '|7'), id) AS rk
+       FROM split WHERE split = 'train'),
+samp AS (SELECT id FROM tr WHERE rk <= (SELECT min(n) FROM (SELECT count(*) AS n FROM tr GROUP BY target_b)))
+SELECT id, split, target_b FROM split WHERE split = 'valid' OR id IN (SELECT id FROM samp)"""),
+    "rank_measures": with_mo(""", t AS (SELECT id, totalprice, 'top' AS direction FROM mining_orders ORDER BY totalprice DESC, id LIMIT 10),
+b AS (SELECT id, totalprice, 'bottom' AS direction FROM mining_orders ORDER BY totalprice, id LIMIT 10),
+u AS (SELECT * FROM t UNION ALL SELECT * FROM b)
+SELECT id, totalprice, direction, CAST(row_number() OVER (PARTITION BY direction ORDER BY
+       CASE WHEN direction = 'top' THEN -totalprice ELSE totalprice END, id) AS INTEGER) AS rnk FROM u"""),
     "select_by_type": with_mo(" SELECT id, totalprice, bal, n_lines, sum_qty, avg_price, order_month FROM mining_orders"),
     "semi_join": with_mo(" SELECT id, totalprice FROM mining_orders WHERE id IN "
                          "(SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')"),
