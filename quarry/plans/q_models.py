@@ -157,6 +157,16 @@ def tree_fit(spark, sf_dir):
                  "node int, rule string, n double, p_event double, pred_class int")
 
 
+def tree_cptable(spark, sf_dir):
+    """Complexity table of the grown tree with 10-fold cross-validated error."""
+    _, train, _, _ = _frame(spark, sf_dir)
+    model, nodes = tree.grow(train, TARGET)
+    path = tree.pruning_path(nodes)
+    rows = tree.cross_validated_path(train, TARGET, path, nodes, key="id", folds=10, seed=SEED)
+    return _rows(spark, [(r["cp"], r["nsplit"], r["rel_error"], r["xerror"], r["xstd"]) for r in rows],
+                 "cp double, nsplit int, rel_error double, xerror double, xstd double")
+
+
 def tree_prune_misc(spark, sf_dir):
     _, _, _, _, evals = _grown(spark, sf_dir)
     return _rows(spark, _path_rows(evals, tree.choose(evals, "valid_misclass")), _PATH_SCHEMA)
@@ -420,6 +430,7 @@ QUERIES = {
     "logit_poly": logit_poly,
     "logit_validate": logit_validate,
     "tree_fit": tree_fit,
+    "tree_cptable": tree_cptable,
     "tree_prune_misc": tree_prune_misc,
     "tree_prune_f1": tree_prune_f1,
     "tree_cost": tree_cost,

@@ -14,7 +14,7 @@ from conftest import SF_SMALL
 
 ROWS_ONLY = sorted(set(E.queries()) - set(E.oracle_sql()))
 SLOW = {"logit_step_forward", "logit_step_backward", "logit_step_both", "logit_poly", "logit_validate",
-        "mlp_fit_best", "score_mlp", "score_logit", "score_report", "kmeans_elbow", "kmeans_multistart",
+        "mlp_fit_best", "score_mlp", "score_logit", "score_report", "kmeans_elbow", "kmeans_multistart", "tree_cptable",
         "forest_mtry", "forest_permutation_importance", "score_balanced_logit", "score_forest_clean",
         "surrogate_tree"}
 
