@@ -95,6 +95,26 @@ def power_profile(df: DataFrame, cols: Sequence[str], method: str = "boxcox",
                       (-F.col("n") / 2.0 * F.log(F.col("v")) + (F.col("lambda") - 1.0) * F.col("j")).alias("loglik"))
 
 
+def refined_lambda(df: DataFrame, cols: Sequence[str], method: str = "yeojohnson",
+                   step: float = 0.01, half_width: float = 0.1) -> DataFrame:
+    """Grid fit, then one refinement pass on a finer grid around each column's best lambda.
+
+    Both passes are the same keyed aggregate; the second uses per-column literal grids
+    (best +- half_width in `step`s) chosen from the first pass's small result.
+    """
+    coarse = {r["col_name"]: r["lambda"] for r in best_lambda(power_profile(df, cols, method)).collect()}
+    k = int(round(half_width / step))
+    parts = []
+    for c in cols:
+        lam0 = coarse[c]
+        grid = [round(lam0 + step * i, 6) for i in range(-k, k + 1)]
+        parts.append(best_lambda(power_profile(df, [c], method, grid)))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def best_lambda(profile: DataFrame) -> DataFrame:
     """Lambda of the highest profile log-likelihood per column (ties -> smaller lambda)."""
     return profile.groupBy("col_name").agg(

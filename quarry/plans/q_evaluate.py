@@ -51,6 +51,21 @@ def misclass_compare(spark, sf_dir):
     return evaluate.with_rates(cm, D).select("model", "misclass", "f1")
 
 
+def profit_compare(spark, sf_dir):
+    """Average profit per case of the three stacked scorers under one profit matrix."""
+    s = so(spark, sf_dir)
+    price_only = fc.sigmoid(F.lit(-2.5) + F.lit(5.0) * F.col("totalprice") / F.lit(PRICE_SCALE))
+    from quarry.plans.fixtures import mining_orders
+    base = s.join(mining_orders(spark, sf_dir).select("id", "totalprice"), "id")
+    stacked = base.select(F.explode(F.array(
+        F.struct(F.lit("logit").alias("model"), F.col("prob").alias("p")),
+        F.struct(F.lit("price").alias("model"), F.round(price_only, D).alias("p")),
+        F.struct(F.lit("root").alias("model"), F.lit(0.0).alias("p")))).alias("m"), "actual")
+    stacked = stacked.select("m.model", "actual", F.col("m.p").alias("prob"))
+    p = evaluate.avg_profit(stacked, PROFIT, group_cols=["model"])
+    return p.select("model", F.round("avg_profit", D).alias("avg_profit"))
+
+
 def roc_points(spark, sf_dir):
     r = evaluate.roc_points(so(spark, sf_dir))
     return r.select("cutoff", "tp", "fp", F.round("sensitivity", D).alias("sensitivity"),
@@ -87,6 +102,7 @@ QUERIES = {
     "confusion_inference": confusion_inference,
     "f1": f1,
     "misclass_compare": misclass_compare,
+    "profit_compare": profit_compare,
     "roc_points": roc_points,
     "auc": auc,
     "best_cutoff": best_cutoff,
@@ -125,6 +141,13 @@ FROM (SELECT tp, fp, fn, tn, CAST(tp + fp + fn + tn AS DOUBLE) AS n,
       FROM cm)"""
 
 ORACLE = {
+    "profit_compare": with_so(f""", s AS (SELECT so.actual, so.prob, mo.totalprice FROM scored_orders so
+                                 JOIN mining_orders mo ON so.id = mo.id),
+st AS (SELECT 'logit' AS model, actual, prob AS p FROM s
+       UNION ALL SELECT 'price', actual, round(1.0 / (1.0 + exp(-(-2.5 + 5.0 * totalprice / {PRICE_SCALE}))), 6) FROM s
+       UNION ALL SELECT 'root', actual, 0.0 FROM s)
+SELECT model, round(avg(CASE WHEN actual = 1 AND p >= 0.45 THEN 0.55 WHEN actual = 1 THEN 0.0
+                             WHEN p >= 0.45 THEN -0.45 ELSE 0.0 END), 6) AS avg_profit FROM st GROUP BY model"""),
     "confusion": with_so(_CM + " SELECT * FROM cm"),
     "confusion_stats": with_so(_CM + " " + _STATS),
     "f1": with_so(_CM + " SELECT round(2.0 * tp / (2 * tp + fp + fn), 6) AS f1, "

@@ -109,6 +109,13 @@ def yeojohnson_lambda(spark, sf_dir):
     return transforms.best_lambda(prof).select("col_name", "lambda", "n")
 
 
+def yeojohnson_refined(spark, sf_dir):
+    """Yeo-Johnson lambda: the 0.1 grid, then a 0.01 grid around its best value."""
+    c = read_table(spark, sf_dir, "customer")
+    r = transforms.refined_lambda(c, ["c_acctbal"], "yeojohnson")
+    return r.select("col_name", F.round("lambda", 2).alias("lambda"), "n")
+
+
 def standardize_train(spark, sf_dir):
     d = _split(spark, sf_dir)
     cols = ["totalprice", "bal", "sum_qty"]
@@ -169,6 +176,7 @@ QUERIES = {
     "math_scalars": math_scalars,
     "boxcox_lambda": boxcox_lambda,
     "yeojohnson_lambda": yeojohnson_lambda,
+    "yeojohnson_refined": yeojohnson_refined,
     "standardize_train": standardize_train,
     "standardize_all": standardize_all,
     "dummy_full_rank": dummy_full_rank,
@@ -199,6 +207,24 @@ ll AS (SELECT p.col_name, p.lam, j.n, -j.n / 2.0 * ln(p.v) + (p.lam - 1) * j.j A
 SELECT col_name, arg_max(lam, (loglik, -lam)) AS "lambda", any_value(n) AS n FROM ll GROUP BY col_name"""
 
 
+_YJ = ("CASE WHEN v >= 0 THEN (CASE WHEN lam = 0 THEN ln(1 + v) ELSE (pow(v + 1, lam) - 1) / lam END) "
+       "ELSE (CASE WHEN lam = 2 THEN -ln(1 - v) ELSE -(pow(1 - v, 2 - lam) - 1) / (2 - lam) END) END")
+_YJ_REFINED_SQL = f"""WITH
+x AS (SELECT 'c_acctbal' AS col_name, c_acctbal AS v FROM customer WHERE c_acctbal IS NOT NULL),
+j AS (SELECT col_name, count(*) AS n, sum(sign(v) * ln(1 + abs(v))) AS j FROM x GROUP BY col_name),
+lams AS (SELECT CAST(round(-2.0 + 0.1 * i, 1) AS DOUBLE) AS lam FROM (SELECT unnest(range(0, 41)) AS i)),
+p1 AS (SELECT col_name, lam, var_pop({_YJ}) AS vv FROM x, lams GROUP BY col_name, lam),
+b1 AS (SELECT p1.col_name, arg_max(p1.lam, (-j.n / 2.0 * ln(p1.vv) + (p1.lam - 1) * j.j, -p1.lam)) AS lam0
+       FROM p1 JOIN j ON p1.col_name = j.col_name GROUP BY p1.col_name),
+lams2 AS (SELECT b1.col_name, CAST(round(b1.lam0 + 0.01 * i, 6) AS DOUBLE) AS lam
+          FROM b1, (SELECT unnest(range(-10, 11)) AS i)),
+p2 AS (SELECT x.col_name, l.lam, var_pop({_YJ}) AS vv FROM x JOIN lams2 l ON x.col_name = l.col_name
+       GROUP BY x.col_name, l.lam)
+SELECT p2.col_name, round(arg_max(p2.lam, (-j.n / 2.0 * ln(p2.vv) + (p2.lam - 1) * j.j, -p2.lam)), 2) AS "lambda",
+       any_value(j.n) AS n
+FROM p2 JOIN j ON p2.col_name = j.col_name GROUP BY p2.col_name"""
+
+
 def _z_sql(where: str) -> str:
     cols = ["totalprice", "bal", "sum_qty"]
     stats = ", ".join(f"avg({c}) AS m_{c}, stddev_samp({c}) AS s_{c}" for c in cols)
@@ -241,6 +267,7 @@ ORACLE = {
     "yeojohnson_lambda": "WITH " + _power_sql(
         "SELECT 'c_acctbal' AS col_name, c_acctbal AS v FROM customer WHERE c_acctbal IS NOT NULL",
         "yeojohnson")[2:],
+    "yeojohnson_refined": _YJ_REFINED_SQL,
     "standardize_train": with_mo(_SPLIT + _z_sql("WHERE split = 'train'")),
     "standardize_all": with_mo(_z_sql("")),
     "dummy_full_rank": with_mo(_SPLIT + " SELECT id, "
