@@ -65,6 +65,28 @@ def rank_measures(spark, sf_dir):
     return both.withColumn("rnk", F.row_number().over(w))
 
 
+def argmax_all(spark, sf_dir):
+    """Every row whose line count equals the maximum (ties kept), with its position.
+
+    The maximum is one aggregate brought back as a literal; the filter is then a pushed-down
+    predicate on the view scan.
+    """
+    d = mo(spark, sf_dir)
+    top = d.agg(F.max("n_lines").alias("m")).first()["m"]
+    idx = select.with_row_index(d.select("id", "n_lines"), "id")
+    return idx.filter(F.col("n_lines") == F.lit(top))
+
+
+def class_flag_counts(spark, sf_dir):
+    """Class counts, the minority count and sums of missing flags."""
+    from quarry.operators import transforms
+    d = transforms.add_missing_flags(mo(spark, sf_dir), ["bal", "n_lines"])
+    per = d.groupBy("target_b").agg(F.count(F.lit(1)).alias("n"), F.sum("bal_NA").alias("bal_na"),
+                                    F.sum("n_lines_NA").alias("n_lines_na"))
+    from pyspark.sql import Window
+    return per.withColumn("minority_n", F.min("n").over(Window.partitionBy()))   # one row per class
+
+
 def inverse_prior_weights(spark, sf_dir):
     w = sampling.inverse_prior_weights(mo(spark, sf_dir), "target_b")
     return w.groupBy("target_b").agg(F.count(F.lit(1)).alias("n"), F.round(F.first("weight"), D).alias("weight"))
@@ -119,6 +141,8 @@ QUERIES = {
     "downsample": downsample,
     "inverse_prior_weights": inverse_prior_weights,
     "downsample_plus_valid": downsample_plus_valid,
+    "argmax_all": argmax_all,
+    "class_flag_counts": class_flag_counts,
     "rank_measures": rank_measures,
     "summary_nominal_by_target": summary_nominal_by_target,
     "mean_ci": mean_ci,
@@ -135,6 +159,12 @@ split AS (
                count(*) OVER (PARTITION BY target_s) AS n FROM mining_orders))"""
 
 ORACLE = {
+    "argmax_all": with_mo(""", ri AS (SELECT id, n_lines, row_number() OVER (ORDER BY id) AS row_idx FROM mining_orders)
+SELECT id, n_lines, row_idx FROM ri WHERE n_lines = (SELECT max(n_lines) FROM mining_orders)"""),
+    "class_flag_counts": with_mo(""", per AS (SELECT target_b, count(*) AS n,
+       CAST(sum(CASE WHEN bal IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS bal_na,
+       CAST(sum(CASE WHEN n_lines IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_lines_na FROM mining_orders GROUP BY 1)
+SELECT *, min(n) OVER () AS minority_n FROM per"""),
     "downsample_plus_valid": with_mo(split_sql("target_b", 0.5, 42) + """,
 tr AS (SELECT id, target_b, row_number() OVER (PARTITION BY target_b ORDER BY md5(CAST(id AS VARCHAR) || '|7'), id) AS rk
        FROM split WHERE split = 'train'),
