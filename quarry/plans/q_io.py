@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from quarry.functions import columns as fc
 from quarry.plans.common import mo, with_mo, with_so
 from quarry.plans.fixtures import (
-    BALANCE_SCALE, PRICE_SCALE, SCORE_COEF_BAL, SCORE_COEF_LINES, SCORE_COEF_PRICE, SCORE_INTERCEPT, mining_orders)
+    PRICE_SCALE, SCORE_COEF_BAL, SCORE_COEF_LINES, SCORE_COEF_PRICE, SCORE_INTERCEPT, mining_orders)
 from quarry.session import ensure_checkpoint_dir
 from quarry.sources import csv
 from quarry.sources.tables import read_table
