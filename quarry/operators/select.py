@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType, BooleanType
 
@@ -55,8 +55,21 @@ def with_row_index(df: DataFrame, key: str, out: str = "row_idx") -> DataFrame:
     return with_running_totals(df, key, {out: F.lit(1).cast("long")})
 
 
+# Largest head of a table sliced with a top-k (TakeOrdered) instead of a full ranking.
+SMALL_SLICE = 100_000
+
+
 def row_slice(df: DataFrame, key: str, lo: int, hi: int, exclude: bool = False) -> DataFrame:
-    """Rows lo..hi (1-based, inclusive) in key order, or all other rows when `exclude`."""
+    """Rows lo..hi (1-based, inclusive) in key order, or all other rows when `exclude`.
+
+    A bounded head (hi <= SMALL_SLICE) is a top-k: every task keeps at most `hi` rows and the row
+    numbers are taken over those `hi` rows only. Exclusions and long ranges use the exact bucketed
+    ranking of the whole table.
+    """
+    if not exclude and hi <= SMALL_SLICE:
+        head = df.orderBy(F.col(key).asc()).limit(hi)
+        numbered = head.withColumn("row_idx", F.row_number().over(Window.orderBy(F.col(key).asc())).cast("long"))
+        return numbered.filter(F.col("row_idx") >= lo)
     idx = with_row_index(df, key)
     inside = F.col("row_idx").between(lo, hi)
     return idx.filter(~inside if exclude else inside)
