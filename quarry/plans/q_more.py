@@ -87,6 +87,13 @@ def class_flag_counts(spark, sf_dir):
     return per.withColumn("minority_n", F.min("n").over(Window.partitionBy()))   # one row per class
 
 
+def rank_all(spark, sf_dir):
+    """Every order with its exact rank by total price, highest first (ties: higher id first); A17 full sort."""
+    from quarry.operators.ranking import with_running_totals
+    d = mo(spark, sf_dir).select("id", "totalprice")
+    return with_running_totals(d, "totalprice", {"rnk": F.lit(1).cast("long")}, tie_cols=["id"], descending=True)
+
+
 def inverse_prior_weights(spark, sf_dir):
     w = sampling.inverse_prior_weights(mo(spark, sf_dir), "target_b")
     return w.groupBy("target_b").agg(F.count(F.lit(1)).alias("n"), F.round(F.first("weight"), D).alias("weight"))
@@ -142,6 +149,7 @@ QUERIES = {
     "inverse_prior_weights": inverse_prior_weights,
     "downsample_plus_valid": downsample_plus_valid,
     "argmax_all": argmax_all,
+    "rank_all": rank_all,
     "class_flag_counts": class_flag_counts,
     "rank_measures": rank_measures,
     "summary_nominal_by_target": summary_nominal_by_target,
@@ -159,6 +167,8 @@ split AS (
                count(*) OVER (PARTITION BY target_s) AS n FROM mining_orders))"""
 
 ORACLE = {
+    "rank_all": with_mo(" SELECT id, totalprice, row_number() OVER (ORDER BY totalprice DESC, id DESC) AS rnk "
+                        "FROM mining_orders"),
     "argmax_all": with_mo(""", ri AS (SELECT id, n_lines, row_number() OVER (ORDER BY id) AS row_idx FROM mining_orders)
 SELECT id, n_lines, row_idx FROM ri WHERE n_lines = (SELECT max(n_lines) FROM mining_orders)"""),
     "class_flag_counts": with_mo(""", per AS (SELECT target_b, count(*) AS n,
