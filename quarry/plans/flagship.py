@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions import columns as fc
-from quarry.operators import evaluate, impute, sampling, transforms
+from quarry.operators import evaluate, sampling, transforms
+from quarry.operators.prep import FittedPrep
 from quarry.plans.fixtures import MINING_ORDERS_SQL, mining_orders
 
 SEED = 42
@@ -26,12 +27,9 @@ def prepared_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The split table feeds three passes (flag check, means, scoring): keep it materialized.
     split = sampling.stratified_split(mo, "target_s", "id", (TRAIN_RATIO,), ("train", "valid"), SEED).persist(
         StorageLevel.MEMORY_AND_DISK)
-    train = F.col("split") == "train"
-    flags = transforms.missing_flag_columns(split, NUMERIC_INPUTS, where=train)
-    means = impute.fit_means(split, NUMERIC_INPUTS, where=train)
-    out = transforms.add_missing_flags(split, flags)
-    out = impute.apply_fill(out, means)
-    return transforms.log1p_columns(out, ["sum_qty"])
+    # Flag list and means come from one aggregate over the training rows.
+    prep = FittedPrep.fit(split, NUMERIC_INPUTS, [], where=F.col("split") == "train")
+    return transforms.log1p_columns(prep.transform(split), ["sum_qty"])
 
 
 def flagship_score(spark: SparkSession, sf_dir: str) -> DataFrame:
