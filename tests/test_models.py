@@ -85,3 +85,28 @@ def test_stream_scoring_equals_batch(spark):
                             lambda s: pipe.transform(mining_orders(spark, SF_SMALL, orders=s)), "test")
     got = {(r["id"], round(r["pred_prob"], 12), r["pred_class"]) for r in streamed.collect()}
     assert got == batch
+
+
+def test_confusion_inference_values(spark):
+    from quarry.functions import pvalues
+    from quarry.operators import evaluate
+    rows = [(1, 1)] * 40 + [(0, 0)] * 45 + [(0, 1)] * 5 + [(1, 0)] * 10
+    cm = evaluate.confusion_counts(spark.createDataFrame(rows, "actual int, pred_class int"))
+    r = evaluate.confusion_inference(cm).first()
+    assert r["n"] == 100 and abs(r["accuracy"] - 0.85) < 1e-12
+    lo, hi = pvalues.binom_ci(85, 100)
+    assert abs(r["acc_ci_low"] - lo) < 1e-12 and abs(r["acc_ci_high"] - hi) < 1e-12
+    assert abs(r["mcnemar_stat"] - (abs(5 - 10) - 1) ** 2 / 15) < 1e-12
+    assert abs(r["mcnemar_p"] - pvalues.chi2_sf(16 / 15, 1)) < 1e-12
+    assert r["nir"] == 0.5 and r["p_acc_gt_nir"] < 1e-10
+
+
+def test_cross_validated_cp_table(spark):
+    prep, x = _frame(spark)
+    model, nodes = tree.grow(x, "target_s", max_depth=4)
+    path = tree.pruning_path(nodes)
+    cv = tree.cross_validated_path(x, "target_s", path, nodes, key="id", folds=5, seed=1, max_depth=4)
+    assert len(cv) == len(path)
+    assert all(r["xerror"] >= 0 and r["xstd"] >= 0 for r in cv)
+    root = [r for r in cv if r["nsplit"] == 0][0]
+    assert 0.8 <= root["xerror"] <= 1.2        # the root predicts the majority class in every fold
