@@ -167,3 +167,11 @@ def confusion_inference(cm: DataFrame, level: float = 0.95) -> DataFrame:
     return cm.sparkSession.createDataFrame(
         row, "n long, accuracy double, acc_ci_low double, acc_ci_high double, nir double, p_acc_gt_nir double, "
              "mcnemar_stat double, mcnemar_p double")
+
+
+def best_cutoff_midpoint(scored: DataFrame, prob: str = "prob", actual: str = "actual") -> float:
+    """Top-left best cutoff reported as the midpoint between the chosen score and the next lower
+    distinct score (the lowest score keeps its own value): the threshold a new row is compared to."""
+    best = best_cutoff_topleft(roc_points(scored, prob, actual)).first()["cutoff"]
+    lower = scored.filter(F.col(prob) < F.lit(best)).agg(F.max(prob).alias("m")).first()["m"]
+    return best if lower is None else (best + lower) / 2.0

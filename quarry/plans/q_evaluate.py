@@ -81,6 +81,11 @@ def best_cutoff(spark, sf_dir):
     return b.select("cutoff", F.round("distance", D).alias("distance"))
 
 
+def best_cutoff_mid(spark, sf_dir):
+    cut = evaluate.best_cutoff_midpoint(so(spark, sf_dir))
+    return spark.range(1).select(F.round(F.lit(cut), D).alias("cutoff"))
+
+
 def lift_curve(spark, sf_dir):
     c = evaluate.lift_curve(so(spark, sf_dir))
     return c.select("cutoff", F.round("rpp", D).alias("rpp"), F.round("lift", D).alias("lift"))
@@ -106,6 +111,7 @@ QUERIES = {
     "roc_points": roc_points,
     "auc": auc,
     "best_cutoff": best_cutoff,
+    "best_cutoff_mid": best_cutoff_mid,
     "lift_curve": lift_curve,
     "lift_at_20": lift_at_20,
     "avg_profit": avg_profit,
@@ -169,6 +175,10 @@ SELECT model, round(1 - (tp + tn) / CAST(tp + fp + fn + tn AS DOUBLE), 6) AS mis
                    "CAST(any_value(P) AS BIGINT) AS n_pos, CAST(any_value(N) AS BIGINT) AS n_neg FROM cum, t"),
     "best_cutoff": with_so(_CUM + " SELECT arg_min(cutoff, (pow(1 - sensitivity, 2) + pow(1 - specificity, 2), cutoff)) "
                            "AS cutoff, round(min(pow(1 - sensitivity, 2) + pow(1 - specificity, 2)), 6) AS distance FROM roc"),
+    "best_cutoff_mid": with_so(_CUM + """, b AS (SELECT arg_min(cutoff, (pow(1 - sensitivity, 2) + pow(1 - specificity, 2), cutoff))
+                                      AS s FROM roc)
+SELECT round(CASE WHEN l.m IS NULL THEN b.s ELSE (b.s + l.m) / 2 END, 6) AS cutoff
+FROM b, (SELECT max(prob) AS m FROM scored_orders WHERE prob < (SELECT s FROM b)) l"""),
     "lift_curve": with_so(_CUM + " SELECT cutoff, round(rpp, 6) AS rpp, round(lift, 6) AS lift FROM roc"),
     "lift_at_20": with_so(_CUM + " SELECT round(arg_min(lift, (abs(rpp - 0.2), rpp)), 6) AS lift, "
                           "round(arg_min(rpp, (abs(rpp - 0.2), rpp)), 6) AS rpp FROM roc"),

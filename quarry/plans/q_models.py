@@ -120,7 +120,7 @@ def logit_validate(spark, sf_dir):
     fit, _ = logistic.stepwise(train, TARGET, prep.terms(), "both", 2.0)
     scored = valid.select(F.col(TARGET).alias("actual"), F.round(fit.probability(), D).alias("prob"))
     scored = scored.persist(StorageLevel.MEMORY_AND_DISK)
-    cut = evaluate.best_cutoff_topleft(evaluate.roc_points(scored)).first()["cutoff"]
+    cut = evaluate.best_cutoff_midpoint(scored)
     cm = evaluate.confusion_counts(scored.withColumn("pred_class", fc.cutoff_class("prob", cut)))
     a = evaluate.auc(scored).first()["auc"]
     return evaluate.with_rates(cm, D).select(F.lit(cut).alias("cutoff"), F.lit(round(a, D)).alias("auc"),
@@ -329,7 +329,7 @@ def _logit_pipeline(spark, sf_dir):
     prep, train, valid, _ = _frame(spark, sf_dir)
     fit, _ = logistic.stepwise(train, TARGET, prep.terms(), "backward")
     scored = valid.select(F.col(TARGET).alias("actual"), F.round(fit.probability(), D).alias("prob"))
-    cut = evaluate.best_cutoff_topleft(evaluate.roc_points(scored)).first()["cutoff"]
+    cut = evaluate.best_cutoff_midpoint(scored)
     return ScoringPipeline(prep, fit.columns, "logit", cutoff=cut, strict=False, intercept=fit.intercept,
                            coefs=fit.coef_map())
 
