@@ -32,7 +32,7 @@ from quarry.operators.ranking import with_running_totals  # noqa: F401
 from quarry.operators.sampling import downsample, inverse_prior_weights, stratified_split  # noqa: F401
 from quarry.operators.scoring import ScoringPipeline  # noqa: F401
 from quarry.operators.select import (  # noqa: F401
-    columns_matching, columns_of_kind, drop_by_position, member_flag, role_profile, row_slice, select_by_position,
+    columns_matching, columns_of_kind, complete_cases, drop_by_position, member_flag, role_profile, row_slice, select_by_position,
     select_by_regex, semi_member, which_rows, with_row_index)
 from quarry.operators.transforms import (  # noqa: F401
     add_dummies, add_missing_flags, all_pairs, best_lambda, dummy_levels, log1p_columns, missing_flag_columns,

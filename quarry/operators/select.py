@@ -80,6 +80,15 @@ def which_rows(df: DataFrame, cond: Column, key: str) -> DataFrame:
     return with_row_index(df, key).filter(cond).select("row_idx")
 
 
+def complete_cases(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Rows with no NULL in `cols`. Written as IS NOT NULL predicates (not `dropna`, whose
+    at-least-n-non-nulls test is not pushed to the Parquet scan) so the filter reaches the files."""
+    cond = None
+    for c in cols:
+        cond = F.col(c).isNotNull() if cond is None else cond & F.col(c).isNotNull()
+    return df.filter(cond)
+
+
 def member_flag(df: DataFrame, other: DataFrame, key: str, out: str = "member") -> DataFrame:
     """1 when the row's key occurs in `other` (left join on the distinct keys of `other`).
 

@@ -50,7 +50,7 @@ def filter_and_or(spark, sf_dir):
 
 
 def complete_cases(spark, sf_dir):
-    return mo(spark, sf_dir).dropna(subset=["target_d"]).select("id", "target_d")
+    return select.complete_cases(mo(spark, sf_dir), ["target_d"]).select("id", "target_d")
 
 
 def sentinel_null(spark, sf_dir):
