@@ -93,7 +93,8 @@ def roc_points(df: DataFrame, prob: str = "prob", actual: str = "actual") -> Dat
     """One ROC point per distinct score s: classify prob >= s. (cutoff, tp, fp, sensitivity, specificity)."""
     counts = score_counts(df, prob, actual)
     p, n = _totals(counts)
-    cum = with_running_totals(counts, "score", {"tp": F.col("pos"), "fp": F.col("neg")}, descending=True)
+    cum = with_running_totals(counts, "score", {"tp": F.col("pos"), "fp": F.col("neg")}, descending=True,
+                              persist_input=True)
     return cum.select(F.col("score").alias("cutoff"), "tp", "fp",
                       (F.col("tp") / F.lit(float(p))).alias("sensitivity"),
                       (F.lit(1.0) - F.col("fp") / F.lit(float(n))).alias("specificity"))
@@ -103,7 +104,7 @@ def auc(df: DataFrame, prob: str = "prob", actual: str = "actual") -> DataFrame:
     """Exact AUC with ties counted one half: sum_k pos_k * (neg below s_k + neg_k / 2) / (P * N)."""
     counts = score_counts(df, prob, actual)
     p, n = _totals(counts)
-    cum = with_running_totals(counts, "score", {"neg_le": F.col("neg")})
+    cum = with_running_totals(counts, "score", {"neg_le": F.col("neg")}, persist_input=True)
     below = F.col("neg_le") - F.col("neg")
     return cum.agg((F.sum(F.col("pos") * (below + F.col("neg") / 2.0)) / F.lit(float(p) * float(n))).alias("auc"),
                    F.lit(p).cast("long").alias("n_pos"), F.lit(n).cast("long").alias("n_neg"))
@@ -121,7 +122,7 @@ def lift_curve(df: DataFrame, prob: str = "prob", actual: str = "actual") -> Dat
     p, n = _totals(counts)
     total = float(p + n)
     cum = with_running_totals(counts, "score", {"tp": F.col("pos"), "k": F.col("pos") + F.col("neg")},
-                              descending=True)
+                              descending=True, persist_input=True)
     return cum.select(F.col("score").alias("cutoff"), (F.col("k") / F.lit(total)).alias("rpp"),
                       ((F.col("tp") / F.col("k")) / F.lit(p / total)).alias("lift"))
 

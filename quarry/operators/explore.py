@@ -39,7 +39,8 @@ def cumulative_counts(long: DataFrame, group_cols: Sequence[str] = ()) -> DataFr
     `__cum` in value order and the group size `__n` (one ranking pass; see `ranking`)."""
     keys = [*group_cols, "col_name"]
     vc = long.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("cnt"))
-    cum = with_running_totals(vc, "value", {"__cum": F.col("cnt")}, partition_cols=keys, group_totals=True)
+    cum = with_running_totals(vc, "value", {"__cum": F.col("cnt")}, partition_cols=keys, group_totals=True,
+                              persist_input=True)
     return cum.withColumnRenamed("__cum_total", "__n")
 
 

@@ -75,7 +75,8 @@ def single_input_auc(df: DataFrame, cols: Sequence[str], target: str) -> DataFra
     long = _long(df, cols, target, "double").filter(F.col("value").isNotNull())
     counts = long.groupBy("col_name", "value").agg(
         F.sum(F.col("y").cast("long")).alias("pos"), F.sum((1 - F.col("y")).cast("long")).alias("neg"))
-    cum = with_running_totals(counts, "value", {"neg_le": F.col("neg")}, partition_cols=["col_name"])
+    cum = with_running_totals(counts, "value", {"neg_le": F.col("neg")}, partition_cols=["col_name"],
+                              persist_input=True)
     per = cum.groupBy("col_name").agg(
         F.sum(F.col("pos") * (F.col("neg_le") - F.col("neg") + F.col("neg") / 2.0)).alias("num"),
         F.sum("pos").alias("p"), F.sum("neg").alias("n"))

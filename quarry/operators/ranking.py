@@ -77,13 +77,16 @@ def quantile_bucket(df: DataFrame, col: str, rows_per_bucket: int = ROWS_PER_BUC
 def with_running_totals(df: DataFrame, order_col: str, sums: dict[str, Column],
                         partition_cols: Sequence[str] = (), tie_cols: Sequence[str] = (),
                         descending: bool = False, bucket: Column | None = None,
-                        rows_per_bucket: int = ROWS_PER_BUCKET, group_totals: bool = False) -> DataFrame:
+                        rows_per_bucket: int = ROWS_PER_BUCKET, group_totals: bool = False,
+                        persist_input: bool = False) -> DataFrame:
     """Add inclusive running totals (`sums` name -> value expression) in the order of
     (`order_col`, `tie_cols`) inside `partition_cols` groups.
 
     `bucket`, when given, must be non-decreasing in `order_col`; otherwise one is derived from
     quantiles of `order_col`. A running total of ``F.lit(1)`` is the row number. With
-    `group_totals`, `<name>_total` holds the group's grand total of each sum.
+    `group_totals`, `<name>_total` holds the group's grand total of each sum. `persist_input` keeps
+    the input cached between the edge pass and the ranking: worth it for an aggregated input (which
+    would be recomputed), not for a table scan (the edge pass reads only the pruned sort column).
 
     Plan: bucket totals are a map-side-combined aggregate (one row per non-empty bucket and group;
     Catalyst prunes that branch to the columns the sums need). Exclusive prefix sums over that small
@@ -96,7 +99,7 @@ def with_running_totals(df: DataFrame, order_col: str, sums: dict[str, Column],
     if bucket is not None:
         work = df.withColumn(_BUCKET, bucket)
     else:
-        src = df.persist(StorageLevel.MEMORY_AND_DISK)   # read by the quantile pass and the ranking
+        src = df.persist(StorageLevel.MEMORY_AND_DISK) if persist_input else df
         work, n_buckets = quantile_bucket(src, order_col, rows_per_bucket)
         single = n_buckets == 1
     if descending:
