@@ -54,3 +54,17 @@ def running_offsets(df: DataFrame, order: list[str], size: str, out: str = "offs
     ranked = ranged.withColumn("__in", F.coalesce(F.sum(size).over(inside), F.lit(0)))
     return (ranked.join(bases, "__pid").withColumn(out, F.col("__in") + F.col("__base"))
             .drop("__pid", "__in", "__base"))
+
+
+_HELD: dict[str, tuple[str, object]] = {}
+
+
+def per_worker(name: str, version: str, make):
+    """One object per Python worker process, kept for its later tasks; a new `version` replaces it.
+
+    Only for objects whose answers do not depend on what they have seen (bounded caches).
+    """
+    held = _HELD.get(name)
+    if held is None or held[0] != version:
+        _HELD[name] = held = (version, make())
+    return held[1]

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import packing, token_count, url_filter, warc
+from quarry.llm import (decontam, jaccard_join, line_dedup, lm_score, packing, quality, token_count, toxicity,
+                        url_filter, warc)
 from quarry.llm.common import scratch_path, table
 
 URL_RULES = (
@@ -28,6 +29,16 @@ def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), URL_RULES, keep=("page_id",))
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                        "base_failed", "kept")
+
+
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"),
                           SEQUENCE_TOKENS, END_ID)
@@ -35,6 +46,23 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "sequence_id", "offset")
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit_toxicity(docs, table(spark, sf_dir, "labels"))
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+    return toxicity.score_toxicity(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "text", F.col("__removed").cast("long").alias("n_removed_lines"))
+
+
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "class_id", "n_links", "n_link_texts")
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     warc.write_warc(table(spark, sf_dir, "pages"), path)
@@ -47,11 +75,22 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(table(spark, sf_dir, "documents"), scores)
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return lm_score.score_documents(docs, lm_score.fit_network(docs))
+
+
 QUERIES = {
     "op1_url_filters": op1_url_filters,
+    "op2_quality_rules": op2_quality_rules,
+    "op3_decontamination": op3_decontamination,
     "op4_packing": op4_packing,
+    "op5_toxicity": op5_toxicity,
+    "op6_line_dedup": op6_line_dedup,
+    "op7_jaccard_join": op7_jaccard_join,
     "op8_warc": op8_warc,
     "op9_token_counts": op9_token_counts,
+    "op10_lm_scoring": op10_lm_scoring,
 }
 
 ORACLE = {
@@ -73,6 +112,32 @@ fits AS (
   GROUP BY p.page_id)
 SELECT p.page_id, p.host, p.path, f.rule, coalesce(f.verdict, 'allow') AS verdict
 FROM parts p LEFT JOIN fits f USING (page_id)
+""",
+    "op6_line_dedup": """
+WITH RECURSIVE lines AS (
+  SELECT doc_id, none, no, line, trim(translate(line, chr(9) || chr(11) || chr(12) || chr(13), '    ')) AS t
+  FROM (SELECT doc_id, text IS NULL AS none, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+               generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS no FROM documents)),
+seq AS (
+  SELECT doc_id, no, t, len(regexp_extract_all(t, '[^\x20\x09-\x0D]+')) AS w,
+         row_number() OVER (ORDER BY doc_id, no) AS pos,
+         row_number() OVER (PARTITION BY doc_id ORDER BY no) AS i
+  FROM lines WHERE t <> ''),
+grown AS (
+  SELECT doc_id, pos, i, pos AS last, t AS run, w FROM seq
+  UNION ALL
+  SELECT g.doc_id, g.pos, g.i, s.pos, g.run || chr(10) || s.t, g.w + s.w
+  FROM grown g JOIN seq s ON s.pos = g.last + 1 AND s.doc_id = g.doc_id
+  WHERE g.last - g.pos < 50 AND (g.w < 50 OR g.w - (SELECT x.w FROM seq x WHERE x.pos = g.pos) < 50)),
+runs AS (SELECT pos, last, run FROM grown WHERE w >= 50),
+copies AS (
+  SELECT pos, last FROM (SELECT *, min(pos) OVER (PARTITION BY run) AS first FROM runs) WHERE pos > first),
+gone AS (SELECT DISTINCT s.doc_id, s.no FROM copies c JOIN seq s ON s.pos BETWEEN c.pos AND c.last)
+SELECT l.doc_id, count(g.no) AS n_removed_lines,
+       CASE WHEN NOT l.none THEN coalesce(
+         string_agg(CASE WHEN g.no IS NULL THEN l.line END, chr(10) ORDER BY l.no), '') END AS text
+FROM lines l LEFT JOIN gone g ON g.doc_id = l.doc_id AND g.no = l.no
+GROUP BY l.doc_id, l.none
 """,
     "op8_warc": """
 WITH sized AS (
