@@ -73,11 +73,12 @@ class WindowNetwork:
         mass = np.cumsum(smooth[order]) - smooth[order] / 2
         class_of = np.empty(len(counts), np.int64)
         class_of[order] = np.minimum((mass / smooth.sum() * classes).astype(np.int64), classes - 1)
-        totals = np.bincount(class_of, weights=smooth, minlength=classes)
+        class_of = np.unique(class_of, return_inverse=True)[1]  # a very frequent bucket leaves classes empty
+        totals = np.bincount(class_of, weights=smooth)
         return WindowNetwork(
             (rng.standard_normal((2 * side, len(counts), hidden)) * 0.1).astype(np.float32), np.zeros(hidden, np.float32),
-            (rng.standard_normal((hidden, classes)) * 0.1).astype(np.float32),
-            np.log(np.maximum(totals, 1.0) / totals.sum()).astype(np.float32), class_of, np.log(smooth / totals[class_of]))
+            (rng.standard_normal((hidden, len(totals))) * 0.1).astype(np.float32),
+            np.log(totals / totals.sum()).astype(np.float32), class_of, np.log(smooth / totals[class_of]))
 
     @property
     def side(self) -> int:
