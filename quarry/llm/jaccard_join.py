@@ -28,7 +28,7 @@ from fractions import Fraction
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.llm.common import WORD, materialize, per_worker
@@ -301,8 +301,9 @@ def verified_links(docs: DataFrame, members: DataFrame, components: DataFrame, t
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, size: int = SIZE, key: str = "doc_id",
                     text: str = "text") -> DataFrame:
-    """One row per row: id, th (text hash), class_id (lowest id of the class), n_links (other documents
-    with a similarity of `threshold` or more, copies included) and n_link_texts (different texts)."""
+    """One row per row: id, th (text hash), class_id and class_th (those of the class's document with
+    the lowest id), n_links (other documents with a similarity of `threshold` or more, copies
+    included) and n_link_texts (different texts)."""
     rows = sketches(docs, size, key, text)
     members = rows.filter("n > 0").groupBy("member").agg(
         F.min(F.struct(F.col("id").isNull().alias("none"), "id", "th")).alias("rep"), F.first("n").alias("n"),
@@ -316,9 +317,26 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, size: int = S
         (F.col("copies") - 1 + F.coalesce("docs", F.lit(0))).alias("n_links"), F.coalesce("texts", F.lit(0)).alias("n_link_texts"))
     linked = materialize(linked, "linked")
     classes = materialize(linked.groupBy("label").agg(F.min("rep").alias("least")), "classes")
-    final = materialize(linked.join(classes, "label").select("member", F.col("least.id").alias("class_id"), "n_links", "n_link_texts"), "final")
+    final = materialize(linked.join(classes, "label").select("member", F.col("least.id").alias("class_id"),
+                        F.col("least.th").alias("class_th"), "n_links", "n_link_texts"), "final")
     joined = rows.select("id", "th", "member", "n").join(final, "member", "left")
     alone = F.col("n") == 0
     return joined.select("id", "th", F.when(alone, F.col("id")).otherwise(F.col("class_id")).alias("class_id"),
+                         F.when(alone, F.col("th")).otherwise(F.col("class_th")).alias("class_th"),
                          F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
                          F.coalesce("n_link_texts", F.lit(0)).cast("long").alias("n_link_texts"))
+
+
+def keep_one_per_class(docs: DataFrame, threshold: float = THRESHOLD, size: int = SIZE, key: str = "doc_id",
+                       text: str = "text") -> DataFrame:
+    """`docs`, all columns, with one document of each class: the one with the lowest id. Of rows equal
+    in id and text one stays."""
+    found = near_duplicates(docs, threshold, size, key, text)
+    first = found.filter(F.col("id").eqNullSafe(F.col("class_id")) & (F.col("th") == F.col("class_th"))).select(
+        F.col("id").alias("__id"), F.col("th").alias("__th")).distinct()
+    first = materialize(first, "first")
+    rows = docs.withColumn("__hash", F.xxhash64(F.col(f"`{text}`")))
+    kept = rows.join(first, rows[f"`{key}`"].eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__th")))
+    order = Window.partitionBy("__id", "__th").orderBy(F.lit(0))
+    return kept.withColumn("__no", F.row_number().over(order)).filter("__no = 1").select(
+        *[F.col(f"`{c}`") for c in docs.columns])

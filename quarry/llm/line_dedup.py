@@ -147,3 +147,15 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, key: str = "doc_id"
         text, F.when(F.col("__gone").isNull(), column).otherwise(keep(column)))
     return out.withColumn("__left", F.translate(F.coalesce(column, F.lit("")), SPACES, "") != "").drop(
         "__hash", "__id", "__th", "__gone")
+
+
+def drop_repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, key: str = "doc_id", text: str = "text",
+                        length: str = "n_chars") -> DataFrame:
+    """`docs` with the same columns, without the later copies of repeated runs. Documents that lose
+    all their lines go: all they held stands elsewhere. `length`, if there, is kept up to date."""
+    out = dedup_lines(docs, min_words, key, text)
+    if length in docs.columns:
+        kind = docs.schema[length].dataType
+        out = out.withColumn(length, F.when(F.col("__removed") > 0, F.length(F.col(f"`{text}`")).cast(kind)).otherwise(
+            F.col(f"`{length}`")))
+    return out.filter((F.col("__removed") == 0) | F.col("__left")).select(*[F.col(f"`{c}`") for c in docs.columns])

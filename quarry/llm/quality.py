@@ -59,9 +59,12 @@ def n_repeat_words(windows: Column) -> Column:
         _let(_let(pairs, flagged), covered))
 
 
-def base_counts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """`key`, the surface counts and `words` (hashes). One row per row, no shuffle."""
-    source = docs.select(F.col(f"`{key}`").alias(key), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("__text"))
+def base_counts(docs: DataFrame, key: str = "doc_id", text: str = "text", whole: bool = False) -> DataFrame:
+    """`key`, the surface counts and `words` (hashes); if `whole`, the row too, as struct `row` in the
+    place of `key`. One row per row, no shuffle."""
+    first = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row") if whole else F.col(f"`{key}`").alias(key)
+    source = docs.select(first, F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("__text"))
+    key = "row" if whole else key
     lines = F.filter(F.split("__text", "\n", -1), lambda x: F.translate(x, SPACES, "") != "")
     out = source.select(
         key, word_hashes(F.col("__text")).alias("words"),
@@ -113,12 +116,12 @@ def fit_ratio(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, smoot
 
 
 def quality(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, threshold: float = THRESHOLD,
-            max_trusted: int = MAX_TRUSTED, smoothing: float = SMOOTHING) -> DataFrame:
+            max_trusted: int = MAX_TRUSTED, smoothing: float = SMOOTHING, whole: bool = False) -> DataFrame:
     """doc_id, the base counts, base_failed, score and kept. Two scans, one small aggregation."""
     ratio = fit_ratio(docs, trusted_ids(labels, max_trusted), buckets, smoothing)
     # A text that the optimiser folds into one literal array, looked up by position.
     table = F.split(F.lit(",".join(map(repr, ratio))), ",").cast("array<double>")
-    counts = base_counts(docs)
+    counts = base_counts(docs, whole=whole)
     grams = _grams(F.col("words"), buckets)
     total = F.aggregate(grams, F.lit(0.0), lambda a, b: a + F.get(table, b))
     n_grams = F.greatest(2 * F.col("n_words") - 1, F.lit(1))
@@ -127,3 +130,8 @@ def quality(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, threshol
     return scored.withColumn("base_failed", failed).withColumn("kept", ~failed & (F.col("score") >= threshold))
 
 
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
+    """The rows of `docs`, all columns, that `quality` keeps."""
+    return quality(docs, labels, whole=True, **options).filter("kept").select("row.*")

@@ -9,16 +9,20 @@ def words(line):
 
 
 def brute(rows, min_words):
-    """Lines covered by any run of min_words words that starts at an earlier position too."""
+    """Lines covered by any run of min_words words that starts at an earlier position too. Runs that
+    stay long enough without their first and without their last line are unions of shorter ones."""
     seq = [(d, no, line.strip(" \t\x0b\x0c\r")) for d, (_, text) in enumerate(rows)
            for no, line in enumerate((text or "").split("\n")) if words(line)]
-    first, gone = {}, set()
+    size, first, gone = [len(words(x[2])) for x in seq], {}, set()
     for a in range(len(seq)):
         for b in range(a, len(seq)):
             if seq[b][0] != seq[a][0]:
                 break
+            total = sum(size[a:b + 1])
+            if total - max(size[a], size[b]) >= min_words:
+                break
             run = tuple(x[2] for x in seq[a:b + 1])
-            if sum(len(words(x)) for x in run) >= min_words:
+            if total >= min_words:
                 if first.setdefault(run, a) < a:
                     gone.update((x[0], x[1]) for x in seq[a:b + 1])
     return [None if t is None else "\n".join(x for no, x in enumerate(t.split("\n")) if (d, no) not in gone)
