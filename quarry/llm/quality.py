@@ -133,5 +133,9 @@ def quality(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, threshol
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """The rows of `docs`, all columns, that `quality` keeps."""
-    return quality(docs, labels, whole=True, **options).filter("kept").select("row.*")
+    """The rows of `docs`, all columns, that `quality` keeps.
+
+    The row number keeps the optimiser from moving the filter below the projections, where it would
+    spell out the word hashes anew for every use."""
+    judged = quality(docs, labels, whole=True, **options).withColumn("at", F.monotonically_increasing_id())
+    return judged.filter(F.col("kept") & (F.col("at") >= 0)).select("row.*")
