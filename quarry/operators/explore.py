@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarry.functions.columns import named
+from quarry.operators.joins import join_null_safe
 from quarry.operators.ranking import with_running_totals
 
 # Most levels a nominal column may have when its level list is brought to the driver.
@@ -23,7 +25,7 @@ def unpivot_values(df: DataFrame, cols: Sequence[str], group_cols: Sequence[str]
                    value_type: str = "double") -> DataFrame:
     """(group..., col_name, value) rows for the given columns (NULL values kept)."""
     return df.select(*group_cols, F.explode(F.array(*[
-        F.struct(F.lit(c).alias("col_name"), F.col(c).cast(value_type).alias("value")) for c in cols
+        F.struct(F.lit(c).alias("col_name"), named(c).cast(value_type).alias("value")) for c in cols
     ])).alias("__kv")).select(*group_cols, "__kv.col_name", "__kv.value")
 
 
@@ -100,7 +102,7 @@ def numeric_summary(df: DataFrame, cols: Sequence[str], group_cols: Sequence[str
         F.max(F.when(F.col("p") == 0.25, F.col("q"))).alias("q1"),
         F.max(F.when(F.col("p") == 0.5, F.col("q"))).alias("median"),
         F.max(F.when(F.col("p") == 0.75, F.col("q"))).alias("q3"))
-    out = basic.join(wide, keys, "left")
+    out = join_null_safe(basic, wide, keys, "left")
     return out.select(*keys, *[F.round(c, digits).alias(c) for c in ("min", "q1", "median", "mean", "q3", "max")],
                       "n_na")
 
@@ -136,7 +138,7 @@ def moments(df: DataFrame, cols: Sequence[str], group_cols: Sequence[str] = ())
 def missing_fraction(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """(col_name, frac_missing) sorted descending; one aggregate over all columns."""
     cols = list(cols or df.columns)
-    row = df.agg(*[F.avg(F.col(c).isNull().cast("double")).alias(c) for c in cols])
+    row = df.agg(*[F.avg(named(c).isNull().cast("double")).alias(c) for c in cols])
     long = row.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("col_name"), F.col(f"`{c}`").alias("frac_missing")) for c in cols
     ])).alias("e")).select("e.*")
@@ -150,7 +152,7 @@ def missing_map(df: DataFrame, key: str, block_rows: int, cols: Sequence[str] |
     idx = with_row_index(df.select(key, *cols), key)
     block = F.floor((F.col("row_idx") - 1) / block_rows).alias("row_block")
     long = idx.select(block, F.explode(F.array(*[
-        F.struct(F.lit(c).alias("col_name"), F.col(c).isNull().cast("int").alias("na")) for c in cols
+        F.struct(F.lit(c).alias("col_name"), named(c).isNull().cast("int").alias("na")) for c in cols
     ])).alias("e")).select("row_block", "e.col_name", "e.na")
     return long.groupBy("row_block", "col_name").agg(F.sum("na").alias("n_missing"),
                                                     F.count(F.lit(1)).alias("n_rows"))
@@ -241,11 +243,11 @@ def trimmed_mean_mad(df: DataFrame, cols: Sequence[str], group_cols: Sequence[st
     tmean = trimmed_from_counts(cum, trim, group_cols)
     med = quantiles_from_counts(cum, [0.5], group_cols).select(*keys, F.col("q").alias("__med"))
     # One median per (group, column): AQE broadcasts it when small, shuffles it otherwise.
-    dev = long.join(med, keys).select(*group_cols, "col_name",
+    dev = join_null_safe(long, med, keys).select(*group_cols, "col_name",
                                                    F.abs(F.col("value") - F.col("__med")).alias("value"))
     mad = quantiles_from_counts(cumulative_counts(dev, group_cols), [0.5], group_cols).select(
         *keys, (F.col("q") * 1.4826).alias("mad"))
-    return tmean.join(med.withColumnRenamed("__med", "median"), keys).join(mad, keys, "full")
+    return join_null_safe(join_null_safe(tmean, med.withColumnRenamed("__med", "median"), keys), mad, keys, "left")
 
 
 def top_n(df: DataFrame, measure: str, n: int, key: str, descending: bool = True) -> DataFrame:

@@ -1,24 +1,17 @@
-"""Joins against small, derived tables with an explicit size check before broadcasting."""
+"""Joins in which NULL is a key value like any other (a class of its own)."""
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+import functools
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows above which a derived side is joined by shuffle instead of broadcast.
-DEFAULT_BROADCAST_ROWS = 2_000_000
-
-
-def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
-               max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Join `big` with a derived side whose row count is checked before it is broadcast.
 
-    The small side is persisted (it is usually an aggregate), counted once, and broadcast only
-    when it holds at most `max_rows` rows; otherwise the join stays a shuffle join that AQE may
-    still convert at run time.
-    """
-    small = small.persist(StorageLevel.MEMORY_AND_DISK)
-    n = small.count()
-    side = F.broadcast(small) if n <= max_rows else small
-    return big.join(side, on, how)
+def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join (inner or left) on `keys` with NULL equal to NULL; the keys come out once, from the left."""
+    names = {k: f"__r_{i}" for i, k in enumerate(keys)}
+    other = right.select(*[F.col(f"`{c}`").alias(names.get(c, c)) for c in right.columns])
+    same = [F.col(f"`{k}`").eqNullSafe(F.col(n)) for k, n in names.items()]
+    return left.join(other, functools.reduce(lambda a, b: a & b, same), how).drop(*names.values())

@@ -67,12 +67,13 @@ def downsample(df: DataFrame, target: str, id_col: str, seed: int = 42,
                out: str | None = None) -> DataFrame:
     """Keep, in every class, the first `min class size` rows in hash order (majority down-sampled).
 
-    With `out`, all rows are kept and `out` is a 0/1 membership flag instead.
+    With `out`, all rows are kept and `out` is a 0/1 membership flag instead. Rows without a class
+    neither set the size nor enter the sample.
     """
     counts = class_counts(df, target)
-    n_min = min(counts.values())
+    n_min = min((n for level, n in counts.items() if level is not None), default=0)
     ranked = rank_in_class(df, target, id_col, seed)
-    keep = F.col("__rank") <= F.lit(n_min)
+    keep = (F.col("__rank") <= F.lit(n_min)) & F.col(f"`{target}`").isNotNull()
     if out is None:
         return ranked.filter(keep).drop("__rank", "__rank_total")
     return ranked.withColumn(out, keep.cast("int")).drop("__rank", "__rank_total")

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType, BooleanType
 
-from quarry.operators.joins import join_small
+from quarry.functions.columns import named
 from quarry.operators.ranking import with_running_totals
 
 
@@ -24,12 +24,12 @@ def select_by_regex(df: DataFrame, pattern: str, reject: bool = False,
     """Select (or, with reject, drop) the columns matching `pattern`; `keep` restores named columns."""
     hit = set(columns_matching(df, pattern))
     chosen = [c for c in df.columns if (c not in hit) == reject or c in keep]
-    return df.select(*chosen)
+    return df.select(*map(named, chosen))
 
 
 def select_by_position(df: DataFrame, positions: Sequence[int]) -> DataFrame:
     """1-based positions, as `df[c(1,2,3)]`."""
-    return df.select(*[df.columns[i - 1] for i in positions])
+    return df.select(*[named(df.columns[i - 1]) for i in positions])
 
 
 def drop_by_position(df: DataFrame, positions: Sequence[int]) -> DataFrame:
@@ -55,21 +55,9 @@ def with_row_index(df: DataFrame, key: str, out: str = "row_idx") -> DataFrame:
     return with_running_totals(df, key, {out: F.lit(1).cast("long")})
 
 
-# Largest head of a table sliced with a top-k (TakeOrdered) instead of a full ranking.
-SMALL_SLICE = 100_000
-
-
 def row_slice(df: DataFrame, key: str, lo: int, hi: int, exclude: bool = False) -> DataFrame:
-    """Rows lo..hi (1-based, inclusive) in key order, or all other rows when `exclude`.
-
-    A bounded head (hi <= SMALL_SLICE) is a top-k: every task keeps at most `hi` rows and the row
-    numbers are taken over those `hi` rows only. Exclusions and long ranges use the exact bucketed
-    ranking of the whole table.
-    """
-    if not exclude and hi <= SMALL_SLICE:
-        head = df.orderBy(F.col(key).asc()).limit(hi)
-        numbered = head.withColumn("row_idx", F.row_number().over(Window.orderBy(F.col(key).asc())).cast("long"))
-        return numbered.filter(F.col("row_idx") >= lo)
+    """Rows lo..hi (1-based, inclusive) in key order (NULL keys first), or all other rows when
+    `exclude`, by the exact bucketed ranking of the whole table."""
     idx = with_row_index(df, key)
     inside = F.col("row_idx").between(lo, hi)
     return idx.filter(~inside if exclude else inside)
@@ -85,18 +73,17 @@ def complete_cases(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     at-least-n-non-nulls test is not pushed to the Parquet scan) so the filter reaches the files."""
     cond = None
     for c in cols:
-        cond = F.col(c).isNotNull() if cond is None else cond & F.col(c).isNotNull()
+        cond = named(c).isNotNull() if cond is None else cond & named(c).isNotNull()
     return df.filter(cond)
 
 
 def member_flag(df: DataFrame, other: DataFrame, key: str, out: str = "member") -> DataFrame:
     """1 when the row's key occurs in `other` (left join on the distinct keys of `other`).
 
-    The distinct-key side is counted first and broadcast only under a row bound; a large sample
-    (it grows with the data) is joined by shuffle instead.
+    A plain join: the sample grows with the data, and AQE broadcasts it only if its bytes allow.
     """
-    keys = other.select(F.col(key).alias("__k")).distinct().withColumn("__hit", F.lit(1))
-    j = join_small(df, keys, df[key] == keys["__k"], "left")
+    keys = other.select(named(key).alias("__k")).distinct().withColumn("__hit", F.lit(1))
+    j = df.join(keys, named(key) == F.col("__k"), "left")
     return j.withColumn(out, F.coalesce(F.col("__hit"), F.lit(0))).drop("__k", "__hit")
 
 
@@ -110,7 +97,7 @@ def role_profile(df: DataFrame, non_input_pattern: str) -> DataFrame:
     non_inputs = set(columns_matching(df, non_input_pattern))
     kinds = {f.name: (isinstance(f.dataType, NumericType), isinstance(f.dataType, (StringType, BooleanType)))
              for f in df.schema.fields}
-    row = df.agg(*[F.max(F.col(c).isNull()).alias(c) for c in df.columns]).first()
+    row = df.agg(*[F.max(named(c).isNull()).alias(c) for c in df.columns]).first()
     rows = []
     for pos, c in enumerate(df.columns, start=1):
         inp = c not in non_inputs

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quarry.functions import columns as fc
+from quarry.operators.joins import join_null_safe
 from quarry.operators import explore
 from quarry.plans.common import mo, so, with_mo, with_so
 
@@ -90,7 +91,7 @@ def describe_by_target(spark, sf_dir):
     cols = ["totalprice", "bal", "sum_qty"]
     m = explore.moments(d, cols, ["target_s"])
     tm = explore.trimmed_mean_mad(d, cols, ["target_s"])            # also yields the median
-    j = m.join(tm, ["target_s", "col_name"])
+    j = join_null_safe(m, tm, ["target_s", "col_name"], "left")
     j = j.withColumn("range", F.col("max") - F.col("min"))
     return j.select("target_s", "col_name", "n", *_r(["mean", "sd", "median", "trimmed_mean", "mad", "min", "max",
                                                       "range", "skew", "kurt", "se"]))
