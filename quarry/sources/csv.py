@@ -19,13 +19,14 @@ DEFAULT_TOKENS = ("NA",)
 
 # The reader's own null marker is set to a value that never occurs, so blank cells arrive as "" and
 # only the listed tokens become NULL; blanks then become NULL only in columns typed numeric.
+_QUOTING = {"quote": '"', "escape": '"'}  # a quote inside a quoted cell is written twice
 _NO_NULL = "\u0001<none>\u0001"
 
 
 def read_csv_text(spark: SparkSession, path: str, tokens: Sequence[str] = NULL_TOKENS) -> DataFrame:
     """All columns as strings with the null tokens turned into NULL (header row required)."""
     raw = (spark.read.option("header", True).option("inferSchema", False).option("mode", "PERMISSIVE")
-           .option("nullValue", _NO_NULL).csv(path))
+           .options(**_QUOTING, multiLine=True).option("nullValue", _NO_NULL).csv(path))
     return raw.select(*[null_tokens(F.col(f"`{c}`"), tokens).alias(c) for c in raw.columns])
 
 
@@ -59,4 +60,4 @@ def read_csv(spark: SparkSession, path: str, tokens: Sequence[str] = NULL_TOKENS
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Header row, no row names; one file per partition under `path`."""
-    df.write.mode(mode).option("header", True).csv(path)
+    df.write.mode(mode).option("header", True).options(**_QUOTING).csv(path)
