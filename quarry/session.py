@@ -33,11 +33,14 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
-    Only when the session names none (local tests) is a private scratch folder set.
+    Only a local session that names none (tests) gets a private scratch folder. On a cluster a folder
+    of the driver's own disk is of no use to the executors, so a missing setting raises.
     """
     sc = spark.sparkContext
     current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not current:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         current = tempfile.mkdtemp(prefix="quarry-ckpt-")
     if current.startswith("/"):
         os.makedirs(current, exist_ok=True)
@@ -56,10 +59,11 @@ ROWS_PER_PARTITION = 1_000_000
 
 
 def right_size(df: DataFrame, n_rows: int, rows_per_partition: int = ROWS_PER_PARTITION) -> DataFrame:
-    """Merge partitions (no shuffle) down to about `rows_per_partition` rows each.
+    """Merge partitions (no shuffle) down to about `rows_per_partition` rows each, but never below the
+    cluster's default parallelism.
 
     Iterative fits run one job per pass over a cached frame; on a small frame, many tiny partitions
     cost more in task overhead than they add in parallelism. Large frames keep their partitions.
     """
-    target = max(1, -(-n_rows // rows_per_partition))
+    target = max(df.sparkSession.sparkContext.defaultParallelism, -(-n_rows // rows_per_partition))
     return df.coalesce(target) if df.rdd.getNumPartitions() > target else df

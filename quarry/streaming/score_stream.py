@@ -25,14 +25,17 @@ def table_stream(spark: SparkSession, sf_dir: str, name: str, max_files_per_trig
             .parquet(sf_dir))
 
 
-def run_to_parquet(stream: DataFrame, name: str, timeout_s: int = 600) -> str:
-    """Run a streaming DataFrame over everything available (trigger availableNow) into Parquet."""
+def run_to_parquet(stream: DataFrame, name: str, timeout_s: int | None = None) -> str:
+    """Run a streaming DataFrame over everything available (trigger availableNow) into Parquet.
+
+    Waits for the end, however long it takes, unless the caller sets a timeout.
+    """
     spark = stream.sparkSession
     base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-{name}-{uuid.uuid4().hex}"
     q = (stream.writeStream.format("parquet").option("path", f"{base}/out")
          .option("checkpointLocation", f"{base}/_checkpoint").outputMode("append")
          .trigger(availableNow=True).start())
-    q.awaitTermination(timeout_s)
+    q.awaitTermination(*([] if timeout_s is None else [timeout_s]))
     if q.isActive:
         q.stop()
         raise TimeoutError(f"stream {name} did not finish in {timeout_s}s")
