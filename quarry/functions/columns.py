@@ -11,6 +11,11 @@ from pyspark.sql import functions as F
 NULL_TOKENS = (".", "NA", "", "?")
 
 
+def named(column: str) -> Column:
+    """The column of exactly this name; dots and back-ticks in it are part of the name."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
 def col_(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 

@@ -76,7 +76,8 @@ def profile(assigned: DataFrame, cols: Sequence[str], cluster: str = "cluster")
         aggs.append(F.avg(c).alias(f"mean_{c}"))
     per = assigned.groupBy(cluster).agg(*aggs)
     for c in cols:
-        per = per.withColumn(f"gap_{c}", (F.col(f"mean_{c}") - F.lit(overall[f"m_{c}"])) / F.lit(overall[f"s_{c}"]))
+        per = per.withColumn(f"gap_{c}", F.try_divide(F.col(f"mean_{c}") - F.lit(overall[f"m_{c}"]),
+                                                     F.lit(overall[f"s_{c}"]).cast("double")))
     return per
 
 

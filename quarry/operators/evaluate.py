@@ -54,15 +54,15 @@ def confusion_stats(cm: DataFrame, digits: int = 6) -> DataFrame:
     recall, F1, prevalence, detection rate/prevalence, balanced accuracy."""
     tp, fp, fn, tn = (F.col(c).cast("double") for c in ("tp", "fp", "fn", "tn"))
     n = tp + fp + fn + tn
-    acc = (tp + tn) / n
-    prev = (tp + fn) / n
-    pe = ((tp + fp) * (tp + fn) + (fn + tn) * (fp + tn)) / (n * n)
+    acc = _safe_div(tp + tn, n)
+    prev = _safe_div(tp + fn, n)
+    pe = _safe_div((tp + fp) * (tp + fn) + (fn + tn) * (fp + tn), n * n)
     sens = _safe_div(tp, tp + fn)
     spec = _safe_div(tn, tn + fp)
     stats = {
         "accuracy": acc,
         "nir": F.greatest(prev, F.lit(1.0) - prev),
-        "kappa": (acc - pe) / (F.lit(1.0) - pe),
+        "kappa": F.try_divide(acc - pe, F.lit(1.0) - pe),
         "mcnemar_stat": _safe_div(F.pow(F.abs(fp - fn) - 1, 2), fp + fn),
         "sensitivity": sens,
         "specificity": spec,
@@ -70,8 +70,8 @@ def confusion_stats(cm: DataFrame, digits: int = 6) -> DataFrame:
         "npv": _safe_div(tn, tn + fn),
         "f1": f1_expr(tp, fp, fn),
         "prevalence": prev,
-        "detection_rate": tp / n,
-        "detection_prevalence": (tp + fp) / n,
+        "detection_rate": _safe_div(tp, n),
+        "detection_prevalence": _safe_div(tp + fp, n),
         "balanced_accuracy": (sens + spec) / 2,
     }
     return cm.select("*", *[F.round(v, digits).alias(k) for k, v in stats.items()])
@@ -84,30 +84,23 @@ def score_counts(df: DataFrame, prob: str = "prob", actual: str = "actual") -> D
         F.sum((1 - F.col(actual)).cast("long")).alias("neg"))
 
 
-def _totals(counts: DataFrame) -> tuple[int, int]:
-    row = counts.agg(F.sum("pos").alias("p"), F.sum("neg").alias("n")).first()
-    return int(row["p"] or 0), int(row["n"] or 0)
-
-
 def roc_points(df: DataFrame, prob: str = "prob", actual: str = "actual") -> DataFrame:
     """One ROC point per distinct score s: classify prob >= s. (cutoff, tp, fp, sensitivity, specificity)."""
-    counts = score_counts(df, prob, actual)
-    p, n = _totals(counts)
-    cum = with_running_totals(counts, "score", {"tp": F.col("pos"), "fp": F.col("neg")}, descending=True,
-                              persist_input=True)
+    cum = with_running_totals(score_counts(df, prob, actual), "score", {"tp": F.col("pos"), "fp": F.col("neg")},
+                              descending=True, persist_input=True, group_totals=True)
     return cum.select(F.col("score").alias("cutoff"), "tp", "fp",
-                      (F.col("tp") / F.lit(float(p))).alias("sensitivity"),
-                      (F.lit(1.0) - F.col("fp") / F.lit(float(n))).alias("specificity"))
+                      F.try_divide(F.col("tp"), F.col("tp_total")).alias("sensitivity"),
+                      (F.lit(1.0) - F.try_divide(F.col("fp"), F.col("fp_total"))).alias("specificity"))
 
 
 def auc(df: DataFrame, prob: str = "prob", actual: str = "actual") -> DataFrame:
     """Exact AUC with ties counted one half: sum_k pos_k * (neg below s_k + neg_k / 2) / (P * N)."""
-    counts = score_counts(df, prob, actual)
-    p, n = _totals(counts)
-    cum = with_running_totals(counts, "score", {"neg_le": F.col("neg")}, persist_input=True)
+    cum = with_running_totals(score_counts(df, prob, actual), "score", {"neg_le": F.col("neg")}, persist_input=True)
     below = F.col("neg_le") - F.col("neg")
-    return cum.agg((F.sum(F.col("pos") * (below + F.col("neg") / 2.0)) / F.lit(float(p) * float(n))).alias("auc"),
-                   F.lit(p).cast("long").alias("n_pos"), F.lit(n).cast("long").alias("n_neg"))
+    sums = cum.agg(F.sum(F.col("pos") * (below + F.col("neg") / 2.0)).alias("won"),
+                   F.coalesce(F.sum("pos"), F.lit(0)).alias("n_pos"), F.coalesce(F.sum("neg"), F.lit(0)).alias("n_neg"))
+    pairs = F.col("n_pos").cast("double") * F.col("n_neg")
+    return sums.select(F.try_divide(F.col("won"), pairs).alias("auc"), "n_pos", "n_neg")
 
 
 def best_cutoff_topleft(roc: DataFrame) -> DataFrame:
@@ -118,13 +111,12 @@ def best_cutoff_topleft(roc: DataFrame) -> DataFrame:
 
 def lift_curve(df: DataFrame, prob: str = "prob", actual: str = "actual") -> DataFrame:
     """(cutoff, rpp, lift): rate of positive predictions and precision / prevalence per distinct score."""
-    counts = score_counts(df, prob, actual)
-    p, n = _totals(counts)
-    total = float(p + n)
-    cum = with_running_totals(counts, "score", {"tp": F.col("pos"), "k": F.col("pos") + F.col("neg")},
-                              descending=True, persist_input=True)
-    return cum.select(F.col("score").alias("cutoff"), (F.col("k") / F.lit(total)).alias("rpp"),
-                      ((F.col("tp") / F.col("k")) / F.lit(p / total)).alias("lift"))
+    cum = with_running_totals(score_counts(df, prob, actual), "score",
+                              {"tp": F.col("pos"), "k": F.col("pos") + F.col("neg")},
+                              descending=True, persist_input=True, group_totals=True)
+    precision, prevalence = F.col("tp") / F.col("k"), F.col("tp_total") / F.col("k_total")
+    return cum.select(F.col("score").alias("cutoff"), (F.col("k") / F.col("k_total")).alias("rpp"),
+                      F.try_divide(precision, prevalence).alias("lift"))
 
 
 def lift_at(curve: DataFrame, depth: float = 0.2) -> DataFrame:

@@ -56,16 +56,17 @@ def chi2_table(df: DataFrame, cols: Sequence[str], target: str, yates: bool = Tr
 
 
 def welch_t(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
-    """Welch two-sample t of each numeric input between target classes 0 and 1: (col_name, t, df)."""
+    """Welch two-sample t of each numeric input between target classes 0 and 1: (col_name, t, df).
+    An input without spread, or a missing class, gives NULL for that input only."""
     long = _long(df, cols, target, "double").filter(F.col("value").isNotNull())
     g = long.groupBy("col_name").agg(
         *[F.count(F.when(F.col("y") == k, F.col("value"))).alias(f"n{k}") for k in (0, 1)],
         *[F.avg(F.when(F.col("y") == k, F.col("value"))).alias(f"m{k}") for k in (0, 1)],
         *[F.var_samp(F.when(F.col("y") == k, F.col("value"))).alias(f"v{k}") for k in (0, 1)])
-    a0 = F.col("v0") / F.col("n0")
-    a1 = F.col("v1") / F.col("n1")
-    t = (F.col("m0") - F.col("m1")) / F.sqrt(a0 + a1)
-    dof = F.pow(a0 + a1, 2) / (F.pow(a0, 2) / (F.col("n0") - 1) + F.pow(a1, 2) / (F.col("n1") - 1))
+    a0 = F.try_divide(F.col("v0"), F.col("n0"))
+    a1 = F.try_divide(F.col("v1"), F.col("n1"))
+    t = F.try_divide(F.col("m0") - F.col("m1"), F.sqrt(a0 + a1))
+    dof = F.try_divide(F.pow(a0 + a1, 2), F.try_divide(F.pow(a0, 2), F.col("n0") - 1) + F.try_divide(F.pow(a1, 2), F.col("n1") - 1))
     return g.select("col_name", t.alias("t"), dof.alias("df"))
 
 
@@ -80,7 +81,7 @@ def single_input_auc(df: DataFrame, cols: Sequence[str], target: str) -> DataFra
     per = cum.groupBy("col_name").agg(
         F.sum(F.col("pos") * (F.col("neg_le") - F.col("neg") + F.col("neg") / 2.0)).alias("num"),
         F.sum("pos").alias("p"), F.sum("neg").alias("n"))
-    a = F.col("num") / (F.col("p") * F.col("n"))
+    a = F.try_divide(F.col("num"), F.col("p") * F.col("n"))
     return per.select("col_name", F.greatest(a, 1 - a).alias("auc"))
 
 
@@ -101,7 +102,10 @@ def level_codes(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def abs_correlation(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
     """Pearson correlation of each input with a numeric target over complete pairs."""
     long = _long(df, cols, target, "double").filter(F.col("value").isNotNull() & F.col("y").isNotNull())
-    g = long.groupBy("col_name").agg(F.corr("value", "y").alias("corr"))
+    # Written out, so that an input without spread gives NULL instead of a failing division.
+    g = long.groupBy("col_name").agg(F.covar_samp("value", "y").alias("c"), F.stddev_samp("value").alias("sv"),
+                                     F.stddev_samp("y").alias("sy"))
+    g = g.select("col_name", F.try_divide(F.col("c"), F.col("sv") * F.col("sy")).alias("corr"))
     return g.select("col_name", "corr", F.abs("corr").alias("abs_corr"))
 
 
@@ -111,7 +115,8 @@ def anova_f(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
     grp = long.groupBy("col_name", "value").agg(
         F.count(F.lit(1)).alias("ng"), F.avg(F.col("y").cast("double")).alias("mg"),
         F.var_samp(F.col("y").cast("double")).alias("vg"))
-    tot = long.groupBy("col_name").agg(F.count(F.lit(1)).alias("n"), F.avg(F.col("y").cast("double")).alias("m"))
+    # Sum of squares between groups from the group table alone: the variance of n copies of each mean.
+    tot = grp.groupBy("col_name").agg(F.sum("ng").alias("n"), (F.sum(F.col("ng") * F.col("mg")) / F.sum("ng")).alias("m"))
     j = grp.join(tot, "col_name")
     per = j.groupBy("col_name").agg(
         F.sum(F.col("ng") * F.pow(F.col("mg") - F.col("m"), 2)).alias("ssb"),
@@ -119,7 +124,7 @@ def anova_f(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
         F.count(F.lit(1)).alias("k"), F.first("n").alias("n"))
     df1 = F.col("k") - 1
     df2 = F.col("n") - F.col("k")
-    return per.select("col_name", ((F.col("ssb") / df1) / (F.col("ssw") / df2)).alias("f"),
+    return per.select("col_name", F.try_divide(F.try_divide(F.col("ssb"), df1), F.try_divide(F.col("ssw"), df2)).alias("f"),
                       df1.cast("long").alias("df1"), df2.cast("long").alias("df2"))
 
 
@@ -143,7 +148,7 @@ def binned_r2(df: DataFrame, cols: Sequence[str], target: str, bins: int = 10) -
     grp = b.groupBy("col_name", "bin").agg(F.count(F.lit(1)).alias("nb"), F.var_samp("y").alias("vb"))
     ssw = grp.groupBy("col_name").agg(F.sum(F.coalesce((F.col("nb") - 1) * F.col("vb"), F.lit(0.0))).alias("ssw"))
     sst = b.groupBy("col_name").agg(((F.count(F.lit(1)) - 1) * F.var_samp("y")).alias("sst"))
-    return ssw.join(sst, "col_name").select("col_name", (1 - F.col("ssw") / F.col("sst")).alias("r2"))
+    return ssw.join(sst, "col_name").select("col_name", (1 - F.try_divide(F.col("ssw"), F.col("sst"))).alias("r2"))
 
 
 @F.pandas_udf(T.DoubleType())

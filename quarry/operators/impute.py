@@ -7,11 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarry.functions.columns import named
+
 
 def fit_means(df: DataFrame, cols: Sequence[str], where: Column | None = None) -> dict[str, float]:
     """Column means over (optionally filtered) rows, NULLs ignored: one aggregate job."""
     src = df if where is None else df.filter(where)
-    row = src.agg(*[F.avg(c).alias(c) for c in cols]).first()
+    row = src.agg(*[F.avg(named(c)).alias(c) for c in cols]).first()
     return {c: row[c] for c in cols}
 
 
@@ -31,7 +33,7 @@ def fit_modes(df: DataFrame, cols: Sequence[str], where: Column | None = None) -
     """
     src = df if where is None else df.filter(where)
     stacked = src.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in cols
+        F.struct(F.lit(c).alias("column"), named(c).cast("string").alias("value")) for c in cols
     ])).alias("kv")).select("kv.column", "kv.value").filter(F.col("value").isNotNull())
     counts = stacked.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
     best = counts.groupBy("column").agg(
@@ -62,9 +64,9 @@ def apply_fill(df: DataFrame, values: dict) -> DataFrame:
         if c in values and values[c] is not None:
             v = values[c]
             if isinstance(v, float):
-                exprs.append(F.coalesce(F.col(c).cast("double"), F.lit(v)).alias(c))
+                exprs.append(F.coalesce(named(c).cast("double"), F.lit(v)).alias(c))
             else:
-                exprs.append(F.coalesce(F.col(c), F.lit(v).cast(dict(df.dtypes)[c])).alias(c))
+                exprs.append(F.coalesce(named(c), F.lit(v).cast(dict(df.dtypes)[c])).alias(c))
         else:
-            exprs.append(F.col(c))
+            exprs.append(named(c))
     return df.select(*exprs)

@@ -75,9 +75,12 @@ def null_logit(train: DataFrame, target: str) -> LogitFit:
     """Intercept-only fit in closed form: logit of the event rate; deviance from the class counts."""
     row = train.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(target).cast("double")).alias("k")).first()
     n, k = int(row["n"]), float(row["k"])
+    if not n:
+        raise ValueError("no rows to fit")
     p = k / n
     dev = -2.0 * ((k * math.log(p) if k > 0 else 0.0) + ((n - k) * math.log(1 - p) if k < n else 0.0))
-    return LogitFit([], [], math.log(p / (1 - p)), [], [], [], [], dev, dev + 2.0, n)
+    odds = math.inf if k == n else p / (1 - p)
+    return LogitFit([], [], math.log(odds) if odds else -math.inf, [], [], [], [], dev, dev + 2.0, n)
 
 
 def stepwise(train: DataFrame, target: str, terms: dict[str, list[str]], direction: str = "both",

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions import columns as fc
+from quarry.functions.columns import named
 from quarry.operators import impute, transforms
 
 
@@ -40,8 +41,8 @@ class FittedPrep:
         src = base if where is None else base.filter(where)
         cand = list(flag_candidates) if flag_candidates is not None else list(numeric)
         # One aggregate for the flag list and the means.
-        row = src.agg(*[F.max(F.col(c).isNull().cast("int")).alias(f"na|{c}") for c in cand],
-                      *[F.avg(c).alias(f"m|{c}") for c in numeric]).first()
+        row = src.agg(*[F.max(named(c).isNull().cast("int")).alias(f"na|{c}") for c in cand],
+                      *[F.avg(named(c)).alias(f"m|{c}") for c in numeric]).first()
         prep.flags = [c for c in cand if row[f"na|{c}"] == 1]
         prep.means = {c: row[f"m|{c}"] for c in numeric}
         if nominal:
@@ -85,7 +86,7 @@ class FittedPrep:
         for c in self.flags:
             t[c + transforms.FLAG_SUFFIX] = [c + transforms.FLAG_SUFFIX]
         for c, lv in self.levels.items():
-            t[c] = [f"{c}_{v}" for v in lv[1:]]
+            t[c] = [transforms.dummy_name(c, v) for v in lv[1:]]
         return t
 
     def feature_columns(self, terms: Sequence[str] | None = None) -> list[str]:

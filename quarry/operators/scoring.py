@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions import columns as fc
+from quarry.functions.columns import named
 from quarry.operators.prep import FittedPrep
 
 PREFIX = "__f_"
@@ -45,7 +46,7 @@ class ScoringPipeline:
     def transform(self, df: DataFrame) -> DataFrame:
         raw = df.columns
         needed = sorted(set(self.prep.numeric) | set(self.prep.nominal))
-        work = df.select("*", *[F.col(c).alias(PREFIX + c) for c in needed])
+        work = df.select("*", *[named(c).alias(PREFIX + c) for c in needed])
         work = _prefixed(self.prep).transform(work)
         feats = [PREFIX + c for c in self.features]
         for c, (m, sd) in self.scale.items():
@@ -67,7 +68,7 @@ class ScoringPipeline:
                 model.setLeafCol("")
             work = model.transform(work).withColumn("pred_prob", vector_to_array(PREFIX + "prob")[1])
         work = work.withColumn("pred_class", fc.cutoff_class("pred_prob", self.cutoff, self.strict))
-        return work.select(*raw, "pred_prob", "pred_class")
+        return work.select(*map(named, raw), "pred_prob", "pred_class")
 
     # ---- persistence (storage-agnostic: written through Spark) -----------------------------
     def params_json(self) -> str:

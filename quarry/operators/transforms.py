@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions import columns as fc
+from quarry.functions.columns import named
 
 FLAG_SUFFIX = "_NA"
 
@@ -15,19 +16,19 @@ FLAG_SUFFIX = "_NA"
 def missing_flag_columns(df: DataFrame, cols: Sequence[str], where=None) -> list[str]:
     """Columns (among `cols`) with at least one NULL, decided once at fit time: one aggregate."""
     src = df if where is None else df.filter(where)
-    row = src.agg(*[F.max(F.col(c).isNull().cast("int")).alias(c) for c in cols]).first()
+    row = src.agg(*[F.max(named(c).isNull().cast("int")).alias(c) for c in cols]).first()
     return [c for c in cols if row[c] == 1]
 
 
 def add_missing_flags(df: DataFrame, cols: Sequence[str], suffix: str = FLAG_SUFFIX) -> DataFrame:
     """`<col>_NA` = 1 when the column is NULL, for a persisted list of columns."""
-    return df.select("*", *[F.col(c).isNull().cast("int").alias(c + suffix) for c in cols])
+    return df.select("*", *[named(c).isNull().cast("int").alias(c + suffix) for c in cols])
 
 
 def log1p_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """log(x + 1) in place for the given columns."""
     cols = set(cols)
-    return df.select(*[F.log1p(F.col(c)).alias(c) if c in cols else F.col(c) for c in df.columns])
+    return df.select(*[F.log1p(named(c)).alias(c) if c in cols else named(c) for c in df.columns])
 
 
 def recode(df: DataFrame, col: str, mapping: Mapping, out: str | None = None) -> DataFrame:
@@ -36,17 +37,18 @@ def recode(df: DataFrame, col: str, mapping: Mapping, out: str | None = None) ->
 
 
 def standardize(df: DataFrame, cols: Sequence[str], where=None, suffix: str = "") -> tuple[DataFrame, dict]:
-    """(x - mean) / sd with mean and sample sd from (optionally filtered) rows; one aggregate."""
+    """(x - mean) / sd with mean and sample sd from (optionally filtered) rows; one aggregate. A column
+    without spread has no standard scores: NULL."""
     src = df if where is None else df.filter(where)
     aggs = []
     for c in cols:
-        aggs += [F.avg(c).alias(f"m_{c}"), F.stddev_samp(c).alias(f"s_{c}")]
+        aggs += [F.avg(named(c)).alias(f"m_{c}"), F.stddev_samp(named(c)).alias(f"s_{c}")]
     row = src.agg(*aggs).first()
     params = {c: (row[f"m_{c}"], row[f"s_{c}"]) for c in cols}
     out = df
     for c in cols:
         m, s = params[c]
-        out = out.withColumn(c + suffix, (F.col(c) - F.lit(m)) / F.lit(s))
+        out = out.withColumn(c + suffix, F.try_divide(named(c) - F.lit(m), F.lit(s).cast("double")))
     return out, params
 
 
@@ -78,7 +80,7 @@ def power_profile(df: DataFrame, cols: Sequence[str], method: str = "boxcox",
     carries one row per (column, lambda) and partition.
     """
     long = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("col_name"), F.col(c).cast("double").alias("x")) for c in cols
+        F.struct(F.lit(c).alias("col_name"), named(c).cast("double").alias("x")) for c in cols
     ])).alias("e")).select("e.col_name", "e.x").filter(F.col("x").isNotNull())
     if method == "boxcox":
         long = long.filter(F.col("x") > 0).withColumn("x", F.log(F.col("x")))   # carry log(x)
@@ -129,13 +131,18 @@ def dummy_levels(df: DataFrame, cols: Sequence[str], where=None) -> dict[str, li
     return bounded_levels(src, cols)
 
 
+def dummy_name(column: str, level) -> str:
+    """Name of a level's indicator column; dots, which model stages can't have, become two underscores."""
+    return f"{column}_{level}".replace(".", "__")
+
+
 def add_dummies(df: DataFrame, levels: dict[str, list], full_rank: bool = True) -> DataFrame:
     """Indicator columns `<col>_<level>`; full rank drops the first level. NULL stays NULL."""
     exprs = []
     for c, lv in levels.items():
         for level in (lv[1:] if full_rank else lv):
-            exprs.append(F.when(F.col(c).isNull(), F.lit(None).cast("int"))
-                         .when(F.col(c) == F.lit(level), 1).otherwise(0).alias(f"{c}_{level}"))
+            exprs.append(F.when(named(c).isNull(), F.lit(None).cast("int"))
+                         .when(named(c) == F.lit(level), 1).otherwise(0).alias(dummy_name(c, level)))
     return df.select("*", *exprs)
 
 
@@ -157,3 +164,17 @@ def relevel(levels: Sequence, reference) -> list:
 def reverse_levels(levels: Sequence) -> list:
     """Reverse level order (event first)."""
     return list(reversed(list(levels)))
+
+
+def apply_boxcox(df: DataFrame, lambdas: Mapping[str, float]) -> DataFrame:
+    """Fitted Box-Cox powers in place; values that are not positive have no power and become NULL."""
+    def power(c: str):
+        x = named(c).cast("double")
+        return F.when(x > 0, _boxcox(F.log(x), F.lit(float(lambdas[c]))))
+    return df.select(*[power(c).alias(c) if c in lambdas else named(c) for c in df.columns])
+
+
+def apply_yeojohnson(df: DataFrame, lambdas: Mapping[str, float]) -> DataFrame:
+    """Fitted Yeo-Johnson powers in place."""
+    return df.select(*[_yeojohnson(named(c).cast("double"), F.lit(float(lambdas[c]))).alias(c) if c in lambdas else named(c)
+                       for c in df.columns])
