@@ -212,7 +212,7 @@ def crosstable(df: DataFrame, a: str, b: str) -> DataFrame:
     cells = contingency(df, a, b)
     j = cells.select("*", F.sum("n").over(Window.partitionBy(a)).alias("row_n"),
                      F.sum("n").over(Window.partitionBy(b)).alias("col_n"),
-                     F.sum("n").over(Window.partitionBy()).alias("total"))
+                     cells.select(F.sum("n")).scalar().alias("total"))
     exp_ = F.col("row_n") * F.col("col_n") / F.col("total")
     return j.select(a, b, "n",
                     (F.col("n") / F.col("row_n")).alias("row_share"),
@@ -224,7 +224,7 @@ def crosstable(df: DataFrame, a: str, b: str) -> DataFrame:
 def class_shares(df: DataFrame, col: str) -> DataFrame:
     """(level, n, share, inverse_prior) for a class column (the count table has one row per class)."""
     counts = df.groupBy(F.col(col).alias("level")).agg(F.count(F.lit(1)).alias("n"))
-    total = F.sum("n").over(Window.partitionBy())
+    total = counts.select(F.sum("n")).scalar()
     return counts.select("level", "n", (F.col("n") / total).alias("share"),
                          (total / F.col("n")).alias("inverse_prior"))
 

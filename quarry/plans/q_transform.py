@@ -92,8 +92,10 @@ def poly_terms(spark, sf_dir):
 
 
 def math_scalars(spark, sf_dir):
-    s = so(spark, sf_dir).filter((F.col("prob") > 0) & (F.col("prob") < 1))
-    logit = F.log(F.col("prob") / (F.lit(1.0) - F.col("prob")))
+    s = so(spark, sf_dir)
+    # Probabilities of exactly 0 or 1 have no log odds: NULL, and the row stays.
+    inside = (F.col("prob") > 0) & (F.col("prob") < 1)
+    logit = F.when(inside, F.log(F.col("prob") / (F.lit(1.0) - F.col("prob"))))
     return s.select("id", F.round(F.abs(F.col("prob") - 0.2), D).alias("gap_02"),
                     F.round(logit, D).alias("log_odds"), F.round(F.exp(logit), D).alias("odds"))
 
@@ -259,8 +261,10 @@ ORACLE = {
     "poly_terms": with_mo(" SELECT id, round(totalprice * bal, 4) AS totalprice_x_bal, "
                           "round(totalprice * sum_qty, 4) AS totalprice_x_sum_qty, round(bal * sum_qty, 4) AS bal_x_sum_qty, "
                           "round(bal * bal, 4) AS bal_x_bal FROM mining_orders"),
-    "math_scalars": with_so(" SELECT id, round(abs(prob - 0.2), 6) AS gap_02, round(ln(prob / (1 - prob)), 6) AS log_odds, "
-                            "round(exp(ln(prob / (1 - prob))), 6) AS odds FROM scored_orders WHERE prob > 0 AND prob < 1"),
+    "math_scalars": with_so(" SELECT id, round(abs(prob - 0.2), 6) AS gap_02, "
+                            "CASE WHEN prob > 0 AND prob < 1 THEN round(ln(prob / (1 - prob)), 6) END AS log_odds, "
+                            "CASE WHEN prob > 0 AND prob < 1 THEN round(exp(ln(prob / (1 - prob))), 6) END AS odds "
+                            "FROM scored_orders"),
     "boxcox_lambda": with_mo(_power_sql(
         "SELECT 'totalprice' AS col_name, totalprice AS v FROM mining_orders WHERE totalprice > 0 UNION ALL "
         "SELECT 'avg_price', avg_price FROM mining_orders WHERE avg_price > 0", "boxcox")),
