@@ -20,53 +20,68 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import materialize, running_offsets
+from quarry.llm.common import materialize, per_worker, running_offsets
 
 DIMS, BITS, BUCKETS, SEED = 3, 16, 256, 7
+#: White space of the tokenizer is that of str.split, but for these.
+_SEPARATORS = re.compile("[\x1c-\x1f]")
 _CHUNK = re.compile(r"[^ \n\t\r]+")
-_ASCII_PRETOKEN = re.compile(r"[a-z]+|[0-9]|[^a-z0-9]+")
+#: Pre-tokens of a lower-case Latin-1 chunk: letters together, digits one by one, all else together.
+_PART = re.compile("[a-zªµºß-öø-ÿ]+|[0-9²³¹¼½¾]|[^a-zªµºß-öø-ÿ0-9²³¹¼½¾]+")
 
 
-class CachedEncoder:
-    """The ids of a text, from remembered ids of its white-space separated chunks.
+def _byte_letters() -> list[str]:
+    """Byte-level spelling: bytes with a visible Latin-1 character are that character, the others
+    take the characters from 256 on, in order."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = iter(range(256, 512))
+    return [chr(b) if b in shown else chr(next(hidden)) for b in range(256)]
+
+
+class CachedEncoder(dict):
+    """Chunk of text between white space -> its ids, little-endian unsigned 32-bit.
 
     Pre-tokens of the tokenizer never span white space, so chunk by chunk gives the ids of the whole
-    text. ASCII chunks are split here and go straight to the vocabulary model; all others take the
-    tokenizer's full path. Memory is bounded: the store is emptied at `max_chunks`.
+    text. Chunks of visible Latin-1 characters are split here and go straight to the vocabulary model,
+    part by part; all others take the tokenizer's full path. Memory is bounded: chunks and parts are
+    forgotten at `limit` each.
     """
 
-    def __init__(self, path: str, max_chunks: int = 400_000):
+    def __init__(self, path: str, limit: int = 400_000):
         from tokenizers import Tokenizer
 
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
-        self.max_chunks = max_chunks
-        self.store: dict[str, bytes] = {}
-
-    def _ascii(self, chunk: str) -> bytes:
-        ids = [t.id for part in _ASCII_PRETOKEN.findall(chunk.lower()) for t in self.model.tokenize(part)]
-        return np.array(ids, "<u4").tobytes()
-
-    def _learn(self, chunks: list[str]) -> None:
-        rest = []
-        for chunk in chunks:
-            if chunk.isascii() and chunk.isprintable() and "'" not in chunk and "<|" not in chunk:
-                self.store[chunk] = self._ascii(chunk)
-            else:
-                rest.append(chunk)
-        for chunk, found in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
-            self.store[chunk] = np.array(found.ids, "<u4").tobytes()
+        self.tokenize = self.tokenizer.model.tokenize
+        self.limit = limit
+        self.letters = _byte_letters()
+        self.packed = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
+        self.parts: dict[str, bytes] = {}
+
+    def _part(self, part: str) -> bytes:
+        found = self.parts.get(part)
+        if found is None:
+            if len(self.parts) >= self.limit:
+                self.parts.clear()
+            spelled = part if part.isascii() else "".join(map(self.letters.__getitem__, part.encode()))
+            found = self.parts[part] = b"".join([self.packed[t.id] for t in self.tokenize(spelled)])
+        return found
+
+    def __missing__(self, chunk: str) -> bytes:
+        if len(self) >= self.limit:
+            self.clear()
+        if chunk.isprintable() and "'" not in chunk and "<|" not in chunk and (chunk.isascii() or max(chunk) <= "ÿ"):
+            low = chunk.lower()
+            found = self._part(low) if low.isalpha() else b"".join(map(self._part, _PART.findall(low)))
+        else:
+            ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
+            found = b"".join([self.packed[i] for i in ids])
+        self[chunk] = found
+        return found
 
     def encode(self, text: str) -> bytes:
-        """Little-endian unsigned 32-bit ids."""
-        chunks = _CHUNK.findall(text)
-        missing = set(chunks).difference(self.store)
-        if len(self.store) + len(missing) > self.max_chunks:
-            self.store.clear()
-            missing = set(chunks)
-        if missing:
-            self._learn(list(missing))
-        return b"".join(map(self.store.__getitem__, chunks))
+        chunks = _CHUNK.findall(text) if _SEPARATORS.search(text) else text.split()
+        return b"".join(map(self.__getitem__, chunks))
 
 
 def hilbert_keys(points: np.ndarray, bits: int) -> np.ndarray:
@@ -120,7 +135,8 @@ def tokenize_on_curve(docs: DataFrame, tokenizer: str, end_id: int, key: str = "
     end = np.array([end_id], "<u4").tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, row = CachedEncoder(tokenizer), TaskContext.get().partitionId() << 40
+        encoder = per_worker("encoder", tokenizer, lambda: CachedEncoder(tokenizer))
+        row = TaskContext.get().partitionId() << 40
         for batch in batches:
             for part in (batch.slice(i, 256) for i in range(0, batch.num_rows, 256)):
                 ids = [encoder.encode(value.as_py() or "") + end for value in part.column(1)]
@@ -148,32 +164,15 @@ def pack(docs: DataFrame, tokenizer: str, length: int = 4096, end_id: int = 2, k
                              ["curve", "key", "row_id"], "n_tokens", "place").select("row_id", "place")
     placed = tokens.select("row_id", "key", "n_tokens", "ids").join(places, "row_id").select(
         "key", "n_tokens", "ids", "place")
-    key_type = tokens.schema["key"].dataType.simpleString()
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            source, starts, sizes, pieces, at = [], [], [], [], []
-            for i, (total, ids, place) in enumerate(zip(
-                    batch.column(1).to_pylist(), batch.column(2), batch.column(3).to_pylist(), strict=True)):
-                data, start = ids.as_buffer(), 0
-                while start < total:
-                    size = min(length - (place + start) % length, total - start)
-                    source.append(i)
-                    starts.append(start)
-                    sizes.append(size)
-                    pieces.append(bytes(data[4 * start:4 * (start + size)]))
-                    at.append(place + start)
-                    start += size
-            take, spot = pa.array(source, pa.int64()), np.array(at, np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(take), pa.array(starts, pa.int64()), pa.array(sizes, pa.int64()),
-                 pa.array(pieces, pa.binary()), batch.column(1).take(take), pa.array(spot // length),
-                 pa.array(spot % length)],
-                ["key", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"])
-
-    schema = (f"key {key_type}, start long, length long, ids binary, doc_tokens long, sequence_id long, "
-              "offset long")
-    return placed.mapInArrow(cut, schema).withColumnRenamed("key", key)
+    last = F.col("place") + F.col("n_tokens")
+    cut = placed.withColumn("sequence_id", F.explode(F.sequence(
+        F.floor(F.col("place") / length), F.floor((last - 1) / length))))
+    low, high = F.col("sequence_id") * length, (F.col("sequence_id") + 1) * length
+    begin, end = F.greatest("place", low), F.least(last, high)
+    return cut.select(
+        F.col("key").alias(key), (begin - F.col("place")).alias("start"), (end - begin).alias("length"),
+        F.substring("ids", (4 * (begin - F.col("place")) + 1).cast("int"), (4 * (end - begin)).cast("int")).alias("ids"),
+        F.col("n_tokens").alias("doc_tokens"), "sequence_id", (begin - low).alias("offset"))
 
 
 def sequences(pieces: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ PATH = tokenizer_path("word_bpe_49k.json")
 
 def test_cached_ids_are_the_tokenizers():
     rng = random.Random(1)
-    tokenizer, encoder = Tokenizer.from_file(PATH), packing.CachedEncoder(PATH, max_chunks=500)
+    tokenizer, encoder = Tokenizer.from_file(PATH), packing.CachedEncoder(PATH, limit=500)
     parts = ["Hello", "don't", "it's", "a1b22", "x__y", "ÄÖß", "e\u0301", "漢字", "<|endoftext|>", "\x0b", "\x0c", "\x1c", "\u00a0",
              "\u3000", "--", "'ll", "İ", "ΟΔΟΣ", "#$%", "thnd,", "\u200b", "é", "\r", "\x85", "I'M", "½", "🙂", "\x00"]
     for _ in range(400):
