@@ -47,7 +47,7 @@ class CachedEncoder(dict):
     forgotten at `limit` each.
     """
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, path: str, limit: int = 250_000):
         from tokenizers import Tokenizer
 
         super().__init__()
