@@ -304,7 +304,7 @@ def _scaled_frame(spark, sf_dir):
 def mlp_fit_best(spark, sf_dir):
     prep, _, tr, va = _scaled_frame(spark, sf_dir)
     n_in = len(prep.feature_columns())
-    _, history, best_round = mlp.fit_early_stopping(tr, va, TARGET, [6, 6], n_in, iters_per_round=5, max_rounds=20,
+    _, history, best_round = mlp.fit_early_stopping(tr, va, TARGET, [6, 6], n_in, iters_per_round=5,
                                                     patience=5, seed=SEED, features="zfeatures",
                                                     checkpoint_path=_bundle_path(spark, "mlp-best"))
     return _rows(spark, [(r, loss, acc, r == best_round) for r, loss, acc in history],
@@ -352,7 +352,7 @@ def score_mlp(spark, sf_dir):
     n_in = len(prep.feature_columns())
     sc = StandardScaler(inputCol="features", outputCol="zfeatures", withMean=True, withStd=True).fit(train)
     best, _, _ = mlp.fit_early_stopping(sc.transform(train), sc.transform(valid), TARGET, [4], n_in,
-                                        iters_per_round=5, max_rounds=10, patience=5, seed=SEED, features="zfeatures")
+                                        iters_per_round=5, patience=5, seed=SEED, features="zfeatures")
     scale = {c: [float(m), float(s)] for c, m, s in zip(prep.feature_columns(), sc.mean.toArray(), sc.std.toArray())}
     pipe = ScoringPipeline(prep, prep.feature_columns(), "spark", cutoff=0.5, strict=False,
                            model=best.copy(), scale=scale)
