@@ -117,8 +117,9 @@ def write_warc(df: DataFrame, out_path: str, key: str = "page_id", url: str = "u
     shards = shards or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // shard_bytes))
     each = max(1, -(-total // shards))
     # One first key per shard: as many numbers as there are shards.
-    edges = np.array(sorted(r[0] for r in placed.filter("key IS NOT NULL").groupBy(
-        F.floor(F.col("before") / each).alias("shard")).agg(F.min("key")).collect()), np.int64)
+    firsts = placed.filter("key IS NOT NULL").groupBy(F.floor(F.col("before") / each).alias("shard")).agg(
+        F.min("key").alias("first"))
+    edges = np.array(sorted(r["first"] for r in firsts.collect()), np.int64)
     shared = spark.sparkContext.broadcast(edges)
 
     @F.pandas_udf("long")

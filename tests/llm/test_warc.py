@@ -44,6 +44,12 @@ def test_same_input_same_bytes(spark):
     assert sums[0] == sums[1]
 
 
+def test_shards_are_of_about_equal_size(spark):
+    df = spark.range(1000).selectExpr("id AS page_id", "'u' AS url", "repeat(cast(id AS string), 50) AS html")
+    rows = warc.write_warc(df, scratch_path(spark, "t"), shards=4).collect()
+    assert len(rows) == 4 and max(r.records for r in rows) < 300
+
+
 def test_files_of_lost_attempts_stay_invisible(spark, tmp_path):
     df, rows = pages(spark)
     path = f"file://{tmp_path}/arc"
