@@ -12,13 +12,14 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import WORD
+from quarry.llm.common import WORD, per_worker
 
 MARK = "▁"
 #: Log-probability charged for each byte of a character outside the vocabulary, below any piece.
@@ -45,9 +46,10 @@ class PrefixTrie:
 
     def __init__(self, scores: dict[str, float], max_nodes: int = 200_000, max_words: int = 400_000):
         self.scores, self.max_nodes, self.max_words = scores, max_nodes, max_words
-        self.longest = max(map(len, scores), default=1)
+        #: Ends of pieces: no piece ends in a string that is not among them.
+        self.ends = {piece[i:] for piece in scores for i in range(len(piece))}
         self.byte_score = min(scores.values(), default=0.0) - BYTE_PENALTY
-        self.counts: dict[str, int] = {}
+        self.counts = _Counts(self)
         self._clear()
 
     def _clear(self) -> None:
@@ -58,7 +60,7 @@ class PrefixTrie:
         """Walk `word`, adding the nodes that are missing; its token count."""
         if self.nodes > self.max_nodes:  # bounded memory: later words compute their prefixes again
             self._clear()
-        scores, longest = self.scores, self.longest
+        scores, ends = self.scores, self.ends
         node, best, count = self.root, [0.0], [0]
         for end in range(1, len(word) + 1):
             child = node[2].get(word[end - 1])
@@ -66,9 +68,13 @@ class PrefixTrie:
                 n_bytes = len(word[end - 1].encode("utf-8", "surrogatepass"))
                 top = best[end - 1] + n_bytes * self.byte_score
                 fewest = count[end - 1] + n_bytes
-                for start in range(max(0, end - longest), end):
-                    piece = scores.get(word[start:end])
-                    if piece is not None:
+                for start in range(end - 1, -1, -1):
+                    part = word[start:end]
+                    piece = scores.get(part)
+                    if piece is None:
+                        if part not in ends:
+                            break
+                    else:
                         score, tokens = best[start] + piece, count[start] + 1
                         if score > top or (score == top and tokens < fewest):
                             top, fewest = score, tokens
@@ -80,14 +86,21 @@ class PrefixTrie:
         return node[1]
 
     def count_words(self, words: list[str]) -> int:
-        counts = self.counts
-        missing = set(words).difference(counts)
-        if len(counts) + len(missing) > self.max_words:
-            counts.clear()
-            missing = set(words)
-        for word in sorted(missing):
-            counts[word] = self.insert(MARK + word)
-        return sum(map(counts.__getitem__, words))
+        return sum(map(self.counts.__getitem__, words))
+
+
+class _Counts(dict):
+    """Word -> its terminal count; remembers at most the trie's `max_words` words."""
+
+    def __init__(self, trie: PrefixTrie):
+        super().__init__()
+        self.trie = trie
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= self.trie.max_words:
+            self.clear()
+        found = self[word] = self.trie.insert(MARK + word)
+        return found
 
 
 def count_tokens(df: DataFrame, scores: dict[str, float], key: str = "doc_id", text: str = "text",
@@ -100,12 +113,13 @@ def count_tokens(df: DataFrame, scores: dict[str, float], key: str = "doc_id", t
     """
     if len(scores) > max_vocabulary:
         raise ValueError(f"vocabulary of {len(scores)} pieces exceeds {max_vocabulary}")
-    shared = df.sparkSession.sparkContext.broadcast(scores)
+    shared, version = df.sparkSession.sparkContext.broadcast(scores), uuid.uuid4().hex
     source = df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
     key_type = source.schema["key"].dataType.simpleString()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie, words_of = PrefixTrie(shared.value), re.compile(WORD).findall
+        trie = per_worker("trie", version, lambda: PrefixTrie(shared.value))
+        words_of = re.compile(WORD).findall
         for batch in batches:
             words, tokens = [], []
             for value in batch.column(1):
