@@ -2,7 +2,8 @@
 
 Texts with equal shingle sets are one member. Each of `RUNS` runs splits the members by a sampled
 shared shingle (the one with the lowest hash of that run). Buckets above `BUCKET` members split again
-on further sampled shingles, some on two; small buckets are compared by brute force on sketches. A pair
+on further sampled shingles, some on two, after its members like a leader are linked to that leader;
+small buckets are compared by brute force on sketches. A pair
 at the threshold shares a run's first shingle with probability `threshold`, so it is missed by all
 runs with probability (1 - threshold)^RUNS, about 4e-9 at 0.8. Buckets that `DEPTH` splits leave large
 hold members that agree throughout, and are taken as candidates whole.
@@ -28,7 +29,7 @@ from fractions import Fraction
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.llm.common import WORD, materialize, per_worker
@@ -38,6 +39,9 @@ SIZE, THRESHOLD = 5, 0.8
 RUNS, SKETCH, BUCKET, DEPTH = 12, 64, 256, 6
 #: Share of equal sketch bytes from which a pair is a candidate: four deviations under the threshold.
 NEAR = 0.6
+#: Share of bytes equal to a large bucket's leader (another in each run) from which a member, linked to
+#: the leader, needs no further split in that run.
+SETTLED = 0.7
 #: Members, and shingles, of a block of the exact step.
 BLOCK_MEMBERS, BLOCK_SHINGLES = 2048, 1_000_000
 _MIX = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
@@ -167,25 +171,30 @@ def _components(linked: np.ndarray) -> np.ndarray:
         label = new
 
 
+def _alike(a: Column, b: Column) -> Column:
+    """Number of equal bytes of two sketches."""
+    places = F.sequence(F.lit(1), F.lit(SKETCH))
+    return F.size(F.filter(places, lambda i: F.substring(a, i, F.lit(1)) == F.substring(b, i, F.lit(1))))
+
+
 def candidate_edges(members: DataFrame) -> DataFrame:
     """(a, b): edges that connect the candidates, from all runs' buckets. Linear in the members."""
     rows = members.select("member", "sketch", F.posexplode("firsts").alias("run", "v")).select(
         F.xxhash64("run", "v").alias("path"), "member", "sketch")
     found = None
     for depth in range(DEPTH + 1):
-        sizes = rows.groupBy("path").agg(F.count("*").alias("c"), F.min("member").alias("b")).filter("c > 1")
-        sizes = materialize(sizes, "buckets")
-        rows = rows.join(sizes, "path")
-        if depth:
-            rows = materialize(rows, "paths")
-        else:
-            rows = materialize(rows.select("path", "member", "sketch", "c", "b"), "paths")
+        leader = F.min(F.struct(F.xxhash64("path", "member").alias("h"), "member", "sketch")).alias("leader")
+        sizes = materialize(rows.groupBy("path").agg(F.count("*").alias("c"), leader).filter("c > 1"), "buckets")
+        rows = materialize(rows.join(sizes, "path").select(
+            "path", "member", "sketch", "c", F.col("leader.member").alias("b"),
+            F.when(F.col("c") > BUCKET, _alike(F.col("sketch"), F.col("leader.sketch"))).alias("alike")), "paths")
         small = _groups(rows.filter(F.col("c") <= BUCKET).select("path", "member", "sketch"), "path",
                         "a binary, b binary", _near_edges)
-        parts = [small]
+        # Members like the bucket's leader are linked to it; the most alike are settled in this run.
         large = rows.filter(F.col("c") > BUCKET)
-        if depth == DEPTH:
-            parts.append(large.filter(F.col("member") != F.col("b")).select(F.col("member").alias("a"), "b"))
+        near = F.lit(True) if depth == DEPTH else F.col("alike") >= NEAR * SKETCH
+        parts = [small, large.filter((F.col("member") != F.col("b")) & near).select(F.col("member").alias("a"), "b")]
+        large = large.filter(F.col("alike") < SETTLED * SKETCH)
         for part in parts:
             edges = materialize(part.distinct(), "edges")
             found = edges if found is None else found.unionByName(edges)
@@ -268,7 +277,8 @@ def verified_links(docs: DataFrame, members: DataFrame, components: DataFrame, t
         F.ceil(F.count("*") / BLOCK_MEMBERS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks")), "sizes")
     named = materialize(named.join(sizes, "component"), "members")
     rows = docs.select(F.col(f"`{key}`").alias("id"), F.xxhash64(F.col(f"`{text}`")).alias("th"), F.col(f"`{text}`").alias("text"))
-    texts = rows.join(named, rows["id"].eqNullSafe(F.col("rep.id")) & (rows["th"] == F.col("rep.th"))).select(
+    # Always a shuffled join: the members with candidates grow with the corpus.
+    texts = rows.join(named.hint("merge"), rows["id"].eqNullSafe(F.col("rep.id")) & (rows["th"] == F.col("rep.th"))).select(
         "text", "member", "component", "blocks", "copies")
 
     def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -336,7 +346,7 @@ def keep_one_per_class(docs: DataFrame, threshold: float = THRESHOLD, size: int
         F.col("id").alias("__id"), F.col("th").alias("__th")).distinct()
     first = materialize(first, "first")
     rows = docs.withColumn("__hash", F.xxhash64(F.col(f"`{text}`")))
-    kept = rows.join(first, rows[f"`{key}`"].eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__th")))
+    kept = rows.join(first.hint("merge"), rows[f"`{key}`"].eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__th")))
     order = Window.partitionBy("__id", "__th").orderBy(F.lit(0))
     return kept.withColumn("__no", F.row_number().over(order)).filter("__no = 1").select(
         *[F.col(f"`{c}`") for c in docs.columns])
