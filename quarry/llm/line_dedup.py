@@ -7,8 +7,8 @@ one LCP interval; two overlapping ranks of level floor(log2 m) name it. A run of
 has `min_words` words. Every run that also starts at an earlier position is a later copy and is
 deleted, as are longer runs, being unions of such runs.
 
-Only depths up to the longest run that first reaches `min_words` words are asked for, and a line has
-a word at least, so log2(min_words) doublings are enough at any size. Lines that occur once drop out
+Only depths up to the longest run that just reaches `min_words` words are asked for, and a line has a
+word at least, so no more than log2(min_words) doublings are needed at any size. Lines that occur once drop out
 at once; in each round only suffixes with a companion go on.
 
 Cases: null, empty and blank texts have no lines and stay as they are; blank lines are never deleted;
@@ -34,6 +34,13 @@ def _text_hash(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
+def _n_words(trimmed: Column) -> Column:
+    """Words of a trimmed line whose only white space is blanks: single blanks are counted, longer
+    gaps are split."""
+    blanks = F.length(trimmed) - F.length(F.replace(trimmed, F.lit(" "), F.lit("")))
+    return F.when(F.instr(trimmed, "  ") > 0, F.size(F.split(trimmed, SPACE))).otherwise(blanks + 1)
+
+
 def line_sequences(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document (id and text hash): start (position of its first line in the whole
     sequence), n, and lines: array of (no, a, b, w): line number, 128-bit identity, words."""
@@ -42,8 +49,8 @@ def line_sequences(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
                     lambda x, i: F.struct(i.alias("no"), F.trim(F.translate(x, "\x09\x0b\x0c\x0d", "    ")).alias("t"))),
         lambda x: x["t"] != "")
     ids = F.transform(lines, lambda x: F.struct(
-        x["no"].alias("no"), F.xxhash64(x["t"]).alias("a"), F.xxhash64(F.lit(1), F.reverse(x["t"])).alias("b"),
-        F.size(F.split(x["t"], SPACE)).alias("w")))
+        x["no"].alias("no"), F.xxhash64(x["t"]).alias("a"),
+        F.shiftleft(F.hash(x["t"]).cast("long"), 32).bitwiseOR(F.crc32(x["t"])).alias("b"), _n_words(x["t"]).alias("w")))
     found = docs.select(F.col(f"`{key}`").alias("id"), _text_hash(F.col(f"`{text}`")).alias("th"), ids.alias("lines"))
     found = materialize(found.filter(F.size("lines") > 0).groupBy("id", "th").agg(F.first("lines").alias("lines")), "lines")
     starts = running_offsets(found.select("id", "th", F.size("lines").cast("long").alias("n")), ["id", "th"], "n", "start")
@@ -79,11 +86,13 @@ def shortest_runs(sequences: DataFrame, min_words: int) -> DataFrame:
 def _runs(sums: Column, min_words: int) -> Column:
     def both(s: Column) -> Column:
         last = F.size(s) - 1
-        ahead = F.transform(F.sequence(F.lit(0), last), lambda i: F.struct(i.alias("i"), F.array_position(F.transform(
-            F.slice(s, i + 2, F.lit(min_words)), lambda c: c - F.get(s, i) >= min_words), True).alias("m")))
-        behind = F.transform(F.sequence(F.lit(0), last), lambda e: F.transform(F.array(F.array_position(F.transform(
-            F.reverse(F.slice(s, F.greatest(e + 1 - min_words, F.lit(1)), F.least(e, F.lit(min_words)))),
-            lambda c: F.get(s, e) - c >= min_words), True)), lambda m: F.struct((e - m).cast("int").alias("i"), m.alias("m")))[0])
+        ahead = F.transform(F.sequence(F.lit(0), last), lambda i: F.struct(i.alias("i"), F.when(
+            F.get(s, i + 1) - F.get(s, i) >= min_words, F.lit(1).cast("long")).otherwise(F.array_position(F.transform(
+                F.slice(s, i + 2, F.lit(min_words)), lambda c: c - F.get(s, i) >= min_words), True)).alias("m")))
+        behind = F.transform(F.sequence(F.lit(0), last), lambda e: F.transform(F.array(F.when(
+            F.get(s, e) - F.get(s, e - 1) >= min_words, F.lit(1).cast("long")).otherwise(F.array_position(F.transform(
+                F.reverse(F.slice(s, F.greatest(e + 1 - min_words, F.lit(1)), F.least(e, F.lit(min_words)))),
+                lambda c: F.get(s, e) - c >= min_words), True))), lambda m: F.struct((e - m).cast("int").alias("i"), m.alias("m")))[0])
         return F.array_distinct(F.filter(F.concat(ahead, behind), lambda x: x["m"] > 0))
 
     return F.transform(F.array(sums), both)[0]
@@ -94,8 +103,9 @@ def later_copies(sequences: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     lines = sequences.select("start", "n", F.posexplode("lines").alias("i", "x")).select(
         (F.col("start") + F.col("i")).alias("pos"), (F.col("start") + F.col("n")).alias("end"), "x.a", "x.b")
     runs = materialize(shortest_runs(sequences, min_words), "runs")
+    longest = runs.agg(F.max("m")).first()[0] or 1
     ranks, found = first_ranks(lines), None
-    for level in range(math.floor(math.log2(max(min_words, 1))) + 1):
+    for level in range(math.floor(math.log2(longest)) + 1):
         step = 1 << level
         if level:
             ranks = double(ranks, step // 2)
@@ -134,7 +144,8 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, key: str = "doc_id"
     gone = lines.join(copies.distinct(), "pos").groupBy("id", "th").agg(F.sort_array(F.collect_list("no")).alias("__gone"))
     gone = materialize(gone, "gone").select(F.col("id").alias("__id"), F.col("th").alias("__th"), "__gone")
     rows = docs.withColumn("__hash", _text_hash(F.col(f"`{text}`")))
-    joined = rows.join(gone, rows[f"`{key}`"].eqNullSafe(gone["__id"]) & (F.col("__hash") == F.col("__th")), "left")
+    # Always a shuffled join: the deletions grow with the corpus, so no size of it is broadcast.
+    joined = rows.join(gone.hint("merge"), rows[f"`{key}`"].eqNullSafe(gone["__id"]) & (F.col("__hash") == F.col("__th")), "left")
 
     def keep(t: Column) -> Column:
         # Deleted numbers are sorted, so one walk compares both lists.
