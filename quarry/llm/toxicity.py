@@ -15,6 +15,7 @@ empty table gives an empty result; only the named columns are read.
 
 from __future__ import annotations
 
+import itertools
 import re
 import uuid
 from collections.abc import Iterator
@@ -64,10 +65,10 @@ class SubsequenceKernel:
         size = max(map(len, landmarks))
         chars = {c: i + 1 for i, c in enumerate(sorted(set("".join(landmarks))))}
         self.chars = chars
-        self.match = np.zeros((len(chars) + 1, len(landmarks), size), np.float32)
+        self.match = np.zeros((size, len(chars) + 1, len(landmarks)), np.float32)
         for i, mark in enumerate(landmarks):
             for j, c in enumerate(mark):
-                self.match[chars[c], i, j] = 1.0
+                self.match[j, chars[c], i] = 1.0
         self.decay = self._decay(size)
         self.norm = np.sqrt(self._self(landmarks))
 
@@ -79,22 +80,23 @@ class SubsequenceKernel:
     @staticmethod
     def _run(matches: Iterator[np.ndarray], decay: np.ndarray) -> np.ndarray:
         """matches: per character of the words, 1 where it equals a character of the other side
-        (n x m x size). Returns the kernel of each order (n x m x orders)."""
+        (size x n x m: the other side's characters first, so that every step works on whole planes).
+        Returns the kernel of each order (orders x n x m)."""
         total, before = None, None
         for match in matches:
             if total is None:
-                total = np.zeros((*match.shape[:2], ORDERS), np.float32)
+                total = np.zeros((ORDERS, *match.shape[1:]), np.float32)
                 before = [np.zeros_like(match) for _ in range(ORDERS - 1)]
             for order in range(ORDERS - 1, -1, -1):
                 if order:
                     ends = np.zeros_like(match)
-                    np.multiply(match[..., 1:], before[order - 1][..., :-1], out=ends[..., 1:])
+                    np.multiply(match[1:], before[order - 1][:-1], out=ends[1:])
                 else:
                     ends = match
-                total[..., order] += GAP * GAP * ends.sum(axis=-1)
+                total[order] += GAP * GAP * ends.sum(axis=0)
                 if order < ORDERS - 1:
                     before[order] *= GAP
-                    before[order] += ends @ decay
+                    before[order] += (decay.T @ ends.reshape(len(decay), -1)).reshape(ends.shape)
         return total
 
     def _self(self, words: list[str]) -> np.ndarray:
@@ -102,22 +104,23 @@ class SubsequenceKernel:
         codes = np.zeros((len(words), size), np.int64)
         for i, w in enumerate(words):
             codes[i, :len(w)] = [ord(c) for c in w]
-        matches = (((codes == codes[:, [t]]) & (codes[:, [t]] > 0)).astype(np.float32)[:, None, :] for t in range(size))
-        return np.maximum(self._run(matches, self._decay(size))[:, 0, 1:], 1e-9)
+        codes = codes.T.copy()
+        matches = (((codes == codes[t]) & (codes[t] > 0)).astype(np.float32)[:, :, None] for t in range(size))
+        return np.maximum(self._run(matches, self._decay(size))[1:, :, 0], 1e-9)
 
     def __call__(self, words: list[str]) -> np.ndarray:
         """n x landmarks: mean over the orders two and three of the normalised kernels."""
         out = np.empty((len(words), len(self.landmarks)))
         order = sorted(range(len(words)), key=lambda i: len(words[i]))
-        for part in (order[i:i + 1024] for i in range(0, len(order), 1024)):
+        for part in (order[i:i + 192] for i in range(0, len(order), 192)):
             own = [words[i] for i in part]
             size = len(own[-1])
             codes = np.zeros((len(own), size), np.int64)
             for i, w in enumerate(own):
                 codes[i, :len(w)] = [self.chars.get(c, 0) for c in w]
-            raw = self._run((self.match[codes[:, t]] for t in range(size)), self.decay)[..., 1:]
+            raw = self._run((self.match[:, codes[:, t]] for t in range(size)), self.decay)[1:]
             norm = np.sqrt(self._self(own))
-            out[part] = (raw / (norm[:, None, :] * self.norm[None, :, :])).mean(axis=-1)
+            out[part] = (raw / (norm[:, :, None] * self.norm[:, None, :])).mean(axis=0)
         return out
 
 
@@ -139,10 +142,41 @@ class MarginScorer:
     def __init__(self, model: ToxicModel, max_tokens: int = 400_000):
         self.kernel, self.model, self.max_tokens = SubsequenceKernel(model.landmarks), model, max_tokens
         self.known: dict[str, float] = {}
+        self.folded = self._fold()
+
+    def _fold(self) -> list[np.ndarray]:
+        """For each subsequence of two and three characters its weighted sum over the landmarks, so that
+        a word's margin needs its own subsequences only, whatever the number of landmarks."""
+        kernel, n = self.kernel, len(self.kernel.chars) + 1
+        tables = [np.zeros((n,) * order) for order in (2, 3)]
+        for i, mark in enumerate(kernel.landmarks):
+            codes = [kernel.chars[c] for c in mark]
+            for k, table in enumerate(tables):
+                share = self.model.weights[i] / (kernel.norm[k, i] * len(tables))
+                for places in itertools.combinations(range(len(mark)), k + 2):
+                    table[tuple(codes[p] for p in places)] += share * GAP ** (places[-1] - places[0] + 1)
+        return tables
+
+    def word_margins(self, words: list[str]) -> np.ndarray:
+        """kernel(words) @ weights + bias, by the folded weights; words of one length at a time."""
+        out, lengths = np.empty(len(words)), np.array([len(w) for w in words])
+        for size in np.unique(lengths):
+            every = np.flatnonzero(lengths == size)
+            for at in (every[i:i + 1024] for i in range(0, len(every), 1024)):
+                own = [words[i] for i in at]
+                codes = np.array([[self.kernel.chars.get(c, 0) for c in w] for w in own], np.int64)
+                norm, total = np.sqrt(self.kernel._self(own)), np.full(len(own), self.model.bias)
+                for k, table in enumerate(self.folded):
+                    places = np.array(list(itertools.combinations(range(size), k + 2)), np.int64).reshape(-1, k + 2)
+                    span = GAP ** (places[:, -1] - places[:, 0] + 1.0)
+                    found = table[tuple(codes[:, places[:, j]] for j in range(k + 2))]
+                    total += (found @ span) / norm[k]
+                out[at] = total
+        return out
 
     def token_margins(self, tokens: list[str]) -> np.ndarray:
         parts = [(i, c) for i, t in enumerate(tokens) for c in chunks_of(t)]
-        values = self.kernel([c for _, c in parts]) @ self.model.weights + self.model.bias
+        values = self.word_margins([c for _, c in parts])
         out = np.full(len(tokens), -np.inf)
         np.maximum.at(out, [i for i, _ in parts], values)
         return out
@@ -256,6 +290,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, max_toxic: int = MAX_TOXIC,
     if not toxic:
         return ToxicModel(["^none"], np.zeros(1), CLEAN_MARGIN, 0.0, float(np.log(n1 / n0)))
     usual = table.filter((F.col("n_clean") >= 1) & (odds < 2))
+    # The table is small in bytes but long to score: deal it out to all cores, whatever its file sizes.
+    cores = max(table.sparkSession.sparkContext.defaultParallelism, int(table.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    dealt = usual.select("token").repartition(cores)
     clean = [r["token"] for r in usual.orderBy(F.xxhash64("token"), "token").limit(max_tokens).select("token").collect()]
     common = [r["token"] for r in usual.orderBy(F.col("n_clean").desc(), "token").limit(500).select("token").collect()]
     landmarks = _landmarks(toxic, TOXIC_LANDMARKS)
@@ -264,7 +301,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, max_toxic: int = MAX_TOXIC,
     model = _train(toxic, clean, landmarks)
     for _ in range(hard_rounds):
         margin = _margin_column(model, table.sparkSession, tokens=True)
-        hard = usual.select("token", margin("token").alias("m")).orderBy(F.col("m").desc(), "token").limit(1000)
+        hard = dealt.select("token", margin("token").alias("m")).orderBy(F.col("m").desc(), "token").limit(1000)
         clean = list(dict.fromkeys(clean + [r["token"] for r in hard.collect()]))
         model = _train(toxic, clean, landmarks)
     margin = _margin_column(model, table.sparkSession)

@@ -27,6 +27,13 @@ def test_kernel_equals_its_definition():
             assert got[i, j] == pytest.approx(np.mean(parts), abs=1e-5)
 
 
+def test_folded_margins_equal_the_kernel_machine():
+    words = ["^idiot", "^a", "^", "^worthless", "^zzzzzzzz", "^toidi-xyz", "^aab"]
+    model = X.ToxicModel(["^idiot", "^aab", "^xyz"], np.array([1.5, -0.5, 0.25]), -0.3)
+    want = X.SubsequenceKernel(model.landmarks)(words) @ model.weights + model.bias
+    assert X.MarginScorer(model).word_margins(words) == pytest.approx(want, abs=1e-5)
+
+
 def test_machine_separates():
     rng = np.random.default_rng(0)
     x = np.vstack([rng.normal(1, .3, (40, 3)), rng.normal(-1, .3, (200, 3))])
