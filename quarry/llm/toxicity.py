@@ -36,6 +36,8 @@ TOXIC_LANDMARKS, CLEAN_LANDMARKS = 32, 8
 #: Bounds of the labelled sample: documents of each class, and tokens that reach the trainer.
 MAX_TOXIC, MAX_CLEAN, MAX_TOKENS = 4_000, 8_000, 6_000
 CLEAN_MARGIN = -1.0
+#: Log-likelihood gain from which a token counts as a sign of toxic documents.
+LOG_GAIN = 12.0
 _SPACED = re.compile(r"(?<!\S)\w(?:[ .*_-]\w){2,}(?!\S)")
 _EDGE = re.compile(r"^\W+|\W+$")
 
@@ -232,6 +234,17 @@ def token_table(texts: DataFrame) -> DataFrame:
     return pairs.groupBy("token").agg(F.sum("toxic").alias("n_toxic"), F.sum(1 - F.col("toxic")).alias("n_clean"))
 
 
+def one_of_copies(texts: DataFrame) -> DataFrame:
+    """One training text of each lowest three-word hash: words that copies of one toxic text share are
+    no sign of toxicity."""
+    def lowest(words):
+        at = F.sequence(F.lit(0), F.greatest(F.size(words) - 3, F.lit(0)))
+        return F.array_min(F.transform(at, lambda i: F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2))))
+
+    words = F.split(F.coalesce("text", F.lit("")), r"\s+")
+    return texts.withColumn("low", F.transform(F.array(words), lowest)[0]).dropDuplicates(["low", "toxic"]).drop("low")
+
+
 def _landmarks(candidates: list[str], wanted: int, similar: float = 0.55) -> list[str]:
     """Candidates in order, leaving out those close to one taken before."""
     taken: list[str] = []
@@ -249,7 +262,7 @@ def _train(toxic: list[str], clean: list[str], landmarks: list[str]) -> ToxicMod
     whiten = vectors / np.sqrt(np.maximum(values, 1e-3)) @ vectors.T
     words = [chunks_of(t)[0] for t in toxic + clean]
     y = np.array([1.0] * len(toxic) + [-1.0] * len(clean))
-    cost = np.where(y > 0, 3000.0 / max(len(toxic), 1), 3000.0 / max(len(clean), 1))
+    cost = np.where(y > 0, 3000.0 / max(len(toxic), 1), 5.0)
     w = fit_machine(kernel(words) @ whiten, y, cost)
     return ToxicModel(landmarks, whiten @ w[:-1], float(w[-1]))
 
@@ -282,10 +295,13 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, max_toxic: int = MAX_TOXIC,
     n1, n0 = totals.get(1, 0), totals.get(0, 0)
     if not n1 or not n0:
         return ToxicModel(["^none"], np.zeros(1), CLEAN_MARGIN, 0.0, 30.0 if n1 else -3.0)
-    table = materialize(token_table(texts), "tokens")
+    table = materialize(token_table(one_of_copies(texts)), "tokens")
     odds = ((F.col("n_toxic") + 0.5) / (n1 + 1)) / ((F.col("n_clean") + 0.5) / (n0 + 1))
-    weight = F.log(odds) * F.sqrt("n_toxic")
-    strong = table.filter((F.col("n_toxic") >= 3) & (odds >= 8)).orderBy(weight.desc(), "token").limit(600)
+    # Gain in log-likelihood over chance: a bound that random words of a large vocabulary don't reach.
+    n, share = F.col("n_toxic") + F.col("n_clean"), n1 / (n1 + n0)
+    gain = F.col("n_toxic") * F.log(F.col("n_toxic") / n / share) + F.when(
+        F.col("n_clean") > 0, F.col("n_clean") * F.log(F.col("n_clean") / n / (1 - share))).otherwise(0.0)
+    strong = table.filter((F.col("n_toxic") >= 3) & (odds >= 8)).filter(gain >= LOG_GAIN).orderBy(gain.desc(), "token").limit(600)
     toxic = [r["token"] for r in strong.select("token").collect()]
     if not toxic:
         return ToxicModel(["^none"], np.zeros(1), CLEAN_MARGIN, 0.0, float(np.log(n1 / n0)))
