@@ -61,7 +61,7 @@ def test_disguised_words_score_near_the_plain_one():
 
 
 def test_edge_cases(spark, docs):
-    rows = [(i, f"word{i} fine text") for i in range(40)] + [(100 + i, f"you awfulscum{i % 2} here") for i in range(40)]
+    rows = [(i, f"word{i} fine text") for i in range(40)] + [(100 + i, f"you{i} awfulscum here{i}") for i in range(40)]
     labels = [(i, 1, 0) for i in range(40)] + [(100 + i, 1, 1) for i in range(40)]
     lab = spark.createDataFrame(labels + [(None, 1, 1), (3, 1, None)], "doc_id long, quality int, toxic int")
     model = X.fit_toxicity(docs(rows), lab)
