@@ -239,7 +239,7 @@ def _exact(threshold: Fraction) -> Callable[[pa.Table], dict | None]:
         union = sizes[:, None] + sizes[None, :] - inter
         linked = threshold.denominator * inter >= threshold.numerator * union
         np.fill_diagonal(linked, False)
-        if side.any():  # two blocks: pairs inside a block are counted by that block's own group
+        if group.column("cross")[0].as_py():  # two blocks: pairs inside a block are counted by that block's own group
             linked &= side[:, None] != side[None, :]
         out = {"member": [names[i] for i in order], "docs": (linked @ copies).astype(np.int64), "texts": linked.sum(axis=1).astype(np.int64),
                "split": [bool(group.column("split")[0].as_py())] * len(names)}
@@ -295,7 +295,8 @@ def verified_links(docs: DataFrame, members: DataFrame, components: DataFrame, t
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))))
     low, high = F.least("own", "other"), F.greatest("own", "other")
     dealt = dealt.select(F.xxhash64("component", low, high).alias("pair"), "member", "shingles", "copies",
-                         (F.col("own") > F.col("other")).cast("int").alias("side"), (F.col("blocks") > 1).alias("split"))
+                         (F.col("own") > F.col("other")).cast("int").alias("side"), (low != high).alias("cross"),
+                         (F.col("blocks") > 1).alias("split"))
     found = materialize(_groups(dealt, "pair", "member binary, docs long, texts long, split boolean, label binary",
                                 _exact(Fraction(str(threshold)))), "exact")
     whole = found.filter("NOT split").select("member", "docs", "texts", "label")

@@ -65,6 +65,13 @@ def test_splits_and_blocks_lose_nothing(spark, docs, monkeypatch):
     assert result(J.near_duplicates(docs(rows))) == brute(rows)
 
 
+def test_links_count_once_where_other_blocks_are_empty(spark, docs, monkeypatch):
+    monkeypatch.setattr(J, "BLOCK_SHINGLES", 30)
+    texts = [" ".join(f"{g}w{i}" for i in range(50)) for g in range(40)]
+    rows = list(enumerate(x for t in texts for x in (t, t + " x")))
+    assert result(J.near_duplicates(docs(rows))) == brute(rows)
+
+
 def test_edge_cases(spark, docs):
     long = " ".join(map(str, range(40_000)))
     rows = [(1, None), (2, ""), (3, " \n"), (4, "a b"), (5, "a  b"), (6, "b a"), (7, long), (8, long + " x"), (None, long),
