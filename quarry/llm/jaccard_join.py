@@ -1,12 +1,13 @@
 """Similarity join on sets of word shingles by chosen paths, with exact verification.
 
-Texts with equal shingle sets are one member. Each of `RUNS` runs splits the members by a sampled
-shared shingle (the one with the lowest hash of that run). Buckets above `BUCKET` members split again
-on further sampled shingles, some on two, after its members like a leader are linked to that leader;
-small buckets are compared by brute force on sketches. A pair
-at the threshold shares a run's first shingle with probability `threshold`, so it is missed by all
-runs with probability (1 - threshold)^RUNS, about 4e-9 at 0.8. Buckets that `DEPTH` splits leave large
-hold members that agree throughout, and are taken as candidates whole.
+Texts with equal shingle sets are one member. Each run splits the members by a sampled shared shingle
+(the one with the lowest hash of that run). Buckets above `BUCKET` members split again on further
+sampled shingles, some on two, after its members like a leader are linked to that leader; small buckets
+are compared by brute force on sketches. Every run has sampled orders of its own for all its splits, so
+runs are independent. Runs repeat until a pair at the threshold is found with probability `RECALL` even
+if all its buckets stay large (`runs_needed`). Buckets that `DEPTH` splits leave large are taken as
+candidates whole. A member leaves a run early only if its partners are sure to be linked to the same
+leader.
 
 Candidates that hang together form a component, and inside it every pair's exact similarity is
 counted by blocks of bounded size, so links are neither sampled nor listed pair by pair. Linked members
@@ -22,6 +23,8 @@ an empty result; only the named columns are read.
 from __future__ import annotations
 
 import hashlib
+import itertools
+import math
 import re
 from collections.abc import Callable, Iterator
 from fractions import Fraction
@@ -35,28 +38,72 @@ from pyspark.sql import functions as F
 from quarry.llm.common import WORD, materialize, per_worker
 
 SIZE, THRESHOLD = 5, 0.8
-#: Runs, sketch length (one byte each), bucket size for brute force, and splits of a large bucket.
-RUNS, SKETCH, BUCKET, DEPTH = 12, 64, 256, 6
-#: Share of equal sketch bytes from which a pair is a candidate: four deviations under the threshold.
-NEAR = 0.6
-#: Share of bytes equal to a large bucket's leader (another in each run) from which a member, linked to
-#: the leader, needs no further split in that run.
-SETTLED = 0.7
+#: Probability to find a pair whose similarity is the threshold; pairs above it are found more often.
+RECALL = 0.999
+#: Sketch length (one byte each), bucket size for brute force, and splits of a large bucket.
+SKETCH, BUCKET, DEPTH = 64, 256, 6
+#: Sampled orders that the buckets of one run choose from at one split.
+WAYS = 4
+#: Share of bytes equal to a large bucket's leader (another in each run) from which a member needs no
+#: further split in that run: all that are near it are linked to the leader (see `candidate_edges`).
+SETTLED = 0.875
 #: Members, and shingles, of a block of the exact step.
 BLOCK_MEMBERS, BLOCK_SHINGLES = 2048, 1_000_000
 _MIX = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 
 
+def near_share(threshold: float) -> float:
+    """Share of equal sketch bytes from which a pair is a candidate: four deviations under the threshold."""
+    return threshold - 4 * math.sqrt(threshold * (1 - threshold) / SKETCH)
+
+
+def split_survival(threshold: float, splits: int) -> float:
+    """Probability that a pair at `threshold` shares a run's first shingle and is still together in some
+    bucket after `splits` splits: a branching process of the buckets that hold both, whose buckets choose
+    among the same `WAYS` orders at each split. Above 256 buckets are counted as lost."""
+    alive = np.zeros(257)
+    alive[:2] = 1 - threshold, threshold
+    for _ in range(splits):
+        new = np.zeros(257)
+        for shared in itertools.product((0, 1), repeat=WAYS):
+            chance = threshold ** sum(shared) * (1 - threshold) ** (WAYS - sum(shared))
+            kids = np.zeros(3)
+            for k in range(WAYS):
+                kids[shared[k]] += 0.75 / WAYS
+                kids[shared[k] + shared[(k + 1) % WAYS]] += 0.25 / WAYS
+            power = np.ones(1)
+            for n in alive[:int(np.flatnonzero(alive)[-1]) + 1]:
+                new[:len(power)] += chance * n * power
+                power = np.convolve(power, kids)[:257]
+        alive = new
+    return float(alive[1:].sum())
+
+
+def runs_needed(recall: float, threshold: float, splits: int) -> int:
+    """Runs that find a pair at `threshold` with probability `recall`, the sketch filter included."""
+    least = math.ceil(near_share(threshold) * SKETCH - 1e-9)
+    filtered = sum(math.comb(SKETCH, k) * threshold ** k * (1 - threshold) ** (SKETCH - k) for k in range(least))
+    if not 0 < recall < 1 - filtered:
+        raise ValueError(f"the sketch filter allows a recall below {1 - filtered}")
+    kept = min(split_survival(threshold, splits), 1 - 1e-12)
+    return max(1, math.ceil(math.log(1 - recall - filtered) / math.log(1 - kept)))
+
+
+NEAR, RUNS = near_share(THRESHOLD), runs_needed(RECALL, THRESHOLD, DEPTH)
+
+
 class Shingler:
-    """Sorted distinct 64-bit shingle hashes of a text; remembers at most `limit` word hashes."""
+    """Sorted distinct 64-bit shingle hashes of a text; remembers at most `limit` word hashes. `orders`
+    is the length of a sketch."""
 
-    def __init__(self, size: int, limit: int = 400_000):
+    def __init__(self, size: int, limit: int = 400_000, orders: int = RUNS + SKETCH):
         self.size, self.limit = size, limit
         self.words, self.known = re.compile(WORD).findall, {}
         rng = np.random.default_rng(11)
         self.spread = rng.integers(1, 1 << 63, size, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-        self.scale = rng.integers(1, 1 << 63, SKETCH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-        self.shift = rng.integers(0, 1 << 63, SKETCH, dtype=np.uint64)
+        self.scale = rng.integers(0, 1 << 31, orders, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+        self.shift = rng.integers(0, 1 << 32, orders, dtype=np.uint32)
+        self.room = np.empty((256, orders), np.uint32)
 
     def shingles(self, text: str | None) -> np.ndarray:
         words = self.words(text or "")
@@ -82,42 +129,50 @@ class Shingler:
 
     def sketch(self, shingles: np.ndarray) -> np.ndarray:
         """Lowest hash of each of the sampled orders (32 bits)."""
-        low = np.full(SKETCH, 0xFFFFFFFF, np.uint64)
-        for part in (shingles[i:i + 4096] for i in range(0, len(shingles), 4096)):
-            mixed = (part[:, None] * self.scale + self.shift) >> np.uint64(32)
+        low = np.full(len(self.scale), 0xFFFFFFFF, np.uint32)
+        words = (shingles ^ (shingles >> np.uint64(32))).astype(np.uint32)
+        for part in (words[i:i + 256] for i in range(0, len(words), 256)):
+            mixed = np.multiply(part[:, None], self.scale, out=self.room[:len(part)])
+            mixed += self.shift
             np.minimum(low, mixed.min(axis=0), out=low)
         return low
 
 
-def _shingler(size: int) -> Shingler:
-    return per_worker("shingles", str(size), lambda: Shingler(size))
+def _shingler(size: int, orders: int = RUNS + SKETCH) -> Shingler:
+    return per_worker(f"shingles{orders}", str(size), lambda: Shingler(size, orders=orders))
 
 
-def sketches(docs: DataFrame, size: int = SIZE, key: str = "doc_id", text: str = "text") -> DataFrame:
+def sketches(docs: DataFrame, size: int = SIZE, key: str = "doc_id", text: str = "text",
+             threshold: float = THRESHOLD, recall: float | None = None) -> DataFrame:
     """One row per row: id, th (text hash), member (128-bit name of the shingle set), n (shingles),
-    firsts (the runs' first shingles) and sketch (bytes)."""
+    firsts (the runs' first shingles), sketch (bytes to compare) and splits (bytes to split on, `WAYS`
+    for every run and split)."""
+    runs = runs_needed(RECALL if recall is None else recall, threshold, DEPTH)
+    start, orders = runs + SKETCH, runs + SKETCH + runs * DEPTH * WAYS
     source = docs.select(F.col(f"`{key}`").alias("id"), F.xxhash64(F.col(f"`{text}`")).alias("th"),
                          F.col(f"`{text}`").alias("text"))
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = _shingler(size)
+        shingler = _shingler(size, orders)
         for batch in batches:
-            names, sizes, firsts, bytes_ = [], [], [], []
+            names, sizes, firsts, bytes_, splits = [], [], [], [], []
             for value in batch.column(2):
                 found = shingler.shingles(value.as_py())
                 low = shingler.sketch(found)
                 names.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest())
                 sizes.append(len(found))
-                firsts.append(low[:RUNS].astype(np.int64))
-                bytes_.append((low & np.uint64(255)).astype(np.uint8).tobytes())
+                firsts.append(low[:runs].astype(np.int64))
+                bytes_.append(low[runs:start].astype(np.uint8).tobytes())
+                splits.append(low[start:].astype(np.uint8).tobytes())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(names, pa.binary()), pa.array(sizes, pa.int64()),
-                 pa.array(firsts, pa.list_(pa.int64())), pa.array(bytes_, pa.binary())],
-                ["id", "th", "member", "n", "firsts", "sketch"])
+                 pa.array(firsts, pa.list_(pa.int64())), pa.array(bytes_, pa.binary()), pa.array(splits, pa.binary())],
+                ["id", "th", "member", "n", "firsts", "sketch", "splits"])
 
     id_type = source.schema["id"].dataType.simpleString()
     return materialize(source.mapInArrow(
-        sketch, f"id {id_type}, th long, member binary, n long, firsts array<long>, sketch binary"), "sketches")
+        sketch, f"id {id_type}, th long, member binary, n long, firsts array<long>, sketch binary, splits binary"),
+        "sketches")
 
 
 def _groups(rows: DataFrame, key: str, schema: str, work: Callable[[pa.Table], dict | None]) -> DataFrame:
@@ -147,16 +202,18 @@ def _groups(rows: DataFrame, key: str, schema: str, work: Callable[[pa.Table], d
     return rows.repartition(key).sortWithinPartitions(key).mapInArrow(run, schema)
 
 
-def _near_edges(group: pa.Table) -> dict | None:
+def _near_edges(near: float) -> Callable[[pa.Table], dict | None]:
     """Spanning edges (member, smallest) of the sketch-similar pairs of one bucket."""
-    names = group.column("member").to_pylist()
-    sketch = np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint8).reshape(len(names), -1)
-    order = np.array(sorted(range(len(names)), key=names.__getitem__))
-    sketch = sketch[order]
-    same = np.stack([(sketch == row).sum(axis=1) for row in sketch]) >= NEAR * sketch.shape[1]
-    label = _components(same)
-    at = np.flatnonzero(label != np.arange(len(label)))
-    return {"a": [names[order[i]] for i in at], "b": [names[order[label[i]]] for i in at]} if len(at) else None
+    def work(group: pa.Table) -> dict | None:
+        names = group.column("member").to_pylist()
+        sketch = np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint8).reshape(len(names), -1)
+        order = np.array(sorted(range(len(names)), key=names.__getitem__))
+        sketch = sketch[order]
+        same = np.stack([(sketch == row).sum(axis=1) for row in sketch]) >= near * sketch.shape[1]
+        label = _components(same)
+        at = np.flatnonzero(label != np.arange(len(label)))
+        return {"a": [names[order[i]] for i in at], "b": [names[order[label[i]]] for i in at]} if len(at) else None
+    return work
 
 
 def _components(linked: np.ndarray) -> np.ndarray:
@@ -177,34 +234,40 @@ def _alike(a: Column, b: Column) -> Column:
     return F.size(F.filter(places, lambda i: F.substring(a, i, F.lit(1)) == F.substring(b, i, F.lit(1))))
 
 
-def candidate_edges(members: DataFrame) -> DataFrame:
-    """(a, b): edges that connect the candidates, from all runs' buckets. Linear in the members."""
-    rows = members.select("member", "sketch", F.posexplode("firsts").alias("run", "v")).select(
-        F.xxhash64("run", "v").alias("path"), "member", "sketch")
+def candidate_edges(members: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """(a, b): edges that connect the candidates, from all runs' buckets. Linear in the members.
+
+    Differing bytes obey the triangle inequality: of a member with a share of `SETTLED` bytes equal to
+    the leader's, all that are near it have `SETTLED + near - 1` or more. Those are linked to the leader,
+    so the member may leave the run without the loss of a partner."""
+    near = near_share(threshold)
+    rows = members.select("member", "sketch", "splits", F.posexplode("firsts").alias("run", "v")).select(
+        F.xxhash64("run", "v").alias("path"), "member", "sketch",
+        F.expr(f"substring(splits, run * {DEPTH * WAYS} + 1, {DEPTH * WAYS})").alias("splits"))
     found = None
     for depth in range(DEPTH + 1):
-        leader = F.min(F.struct(F.xxhash64("path", "member").alias("h"), "member", "sketch")).alias("leader")
+        leader = F.min(F.struct(F.xxhash64("path", "member").alias("h"), "member")).alias("leader")
         sizes = materialize(rows.groupBy("path").agg(F.count("*").alias("c"), leader).filter("c > 1"), "buckets")
         rows = materialize(rows.join(sizes, "path").select(
-            "path", "member", "sketch", "c", F.col("leader.member").alias("b"),
-            F.when(F.col("c") > BUCKET, _alike(F.col("sketch"), F.col("leader.sketch"))).alias("alike")), "paths")
+            "path", "member", "sketch", "splits", "c", F.col("leader.member").alias("b")), "paths")
         small = _groups(rows.filter(F.col("c") <= BUCKET).select("path", "member", "sketch"), "path",
-                        "a binary, b binary", _near_edges)
-        # Members like the bucket's leader are linked to it; the most alike are settled in this run.
+                        "a binary, b binary", _near_edges(near))
         large = rows.filter(F.col("c") > BUCKET)
-        near = F.lit(True) if depth == DEPTH else F.col("alike") >= NEAR * SKETCH
-        parts = [small, large.filter((F.col("member") != F.col("b")) & near).select(F.col("member").alias("a"), "b")]
+        heads = large.filter(F.col("member") == F.col("b")).select("path", F.col("sketch").alias("head"))
+        large = materialize(large.join(heads, "path").withColumn("alike", _alike(F.col("sketch"), F.col("head"))).drop("head"), "large")
+        linked = F.lit(True) if depth == DEPTH else F.col("alike") >= (SETTLED + near - 1) * SKETCH
+        parts = [small, large.filter((F.col("member") != F.col("b")) & linked).select(F.col("member").alias("a"), "b")]
         large = large.filter(F.col("alike") < SETTLED * SKETCH)
         for part in parts:
             edges = materialize(part.distinct(), "edges")
             found = edges if found is None else found.unionByName(edges)
-        # One further sampled shingle, two for every fourth path: 1.25 = 1 / 0.8 on average.
-        places = F.when(F.pmod(F.xxhash64("path", F.lit(7)), F.lit(4)) == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
-        nexts = large.select("path", "member", "sketch", F.explode(places).alias("j"))
-        place = (F.pmod(F.xxhash64("path", "j"), F.lit(SKETCH - RUNS)) + RUNS + 1).cast("int")
-        rows = nexts.select(F.xxhash64("path", "j", F.substring("sketch", place, F.lit(1))).alias("path"), "member", "sketch")
         if depth == DEPTH or large.isEmpty():
             break
+        # One further sampled shingle, two for every fourth path: 1.25 = 1 / 0.8 on average.
+        places = F.when(F.pmod(F.xxhash64("path", F.lit(7)), F.lit(4)) == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+        nexts = large.select("path", "member", "sketch", "splits", F.explode(places).alias("j"))
+        place = (F.pmod(F.xxhash64("path") + F.col("j"), F.lit(WAYS)) + depth * WAYS + 1).cast("int")
+        rows = nexts.select(F.xxhash64("path", "j", F.substring("splits", place, F.lit(1))).alias("path"), "member", "sketch", "splits")
     return found.distinct()
 
 
@@ -311,16 +374,17 @@ def verified_links(docs: DataFrame, members: DataFrame, components: DataFrame, t
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, size: int = SIZE, key: str = "doc_id",
-                    text: str = "text") -> DataFrame:
+                    text: str = "text", recall: float | None = None) -> DataFrame:
     """One row per row: id, th (text hash), class_id and class_th (those of the class's document with
     the lowest id), n_links (other documents with a similarity of `threshold` or more, copies
     included) and n_link_texts (different texts)."""
-    rows = sketches(docs, size, key, text)
+    rows = sketches(docs, size, key, text, threshold, recall)
     members = rows.filter("n > 0").groupBy("member").agg(
         F.min(F.struct(F.col("id").isNull().alias("none"), "id", "th")).alias("rep"), F.first("n").alias("n"),
-        F.first("firsts").alias("firsts"), F.first("sketch").alias("sketch"), F.count("*").alias("copies"))
+        F.first("firsts").alias("firsts"), F.first("sketch").alias("sketch"), F.first("splits").alias("splits"),
+        F.count("*").alias("copies"))
     members = materialize(members, "members")
-    edges = materialize(candidate_edges(members), "candidates")
+    edges = materialize(candidate_edges(members, threshold), "candidates")
     exact = materialize(verified_links(docs, members, connect(edges), threshold, size, key, text), "exact")
     # By member: its class and links; members without candidates are classes of their own.
     linked = members.select("member", "rep", "copies").join(exact, "member", "left").select(

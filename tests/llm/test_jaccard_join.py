@@ -6,6 +6,9 @@ import pytest
 from quarry.llm import jaccard_join as J
 
 
+SKETCHES = ["sketch", "splits"]
+
+
 def shingles(text):
     w = re.findall(J.WORD, text or "")
     return frozenset([tuple(w)] if 0 < len(w) < 5 else [tuple(w[i:i + 5]) for i in range(len(w) - 4)])
@@ -107,3 +110,64 @@ def test_sketch_misses_are_rare(similarity):
         x, y = shingler.sketch(a), shingler.sketch(b)
         near += (x[:J.RUNS] == y[:J.RUNS]).any() and (x == y).mean() >= J.NEAR
     assert near >= 99
+
+
+def hot_template(rng, groups=500):
+    """Texts around one template, far from each other, each with one partner close to the threshold."""
+    word = lambda: "".join(rng.choices("abcdefgh", k=6))
+    template, rows = [word() for _ in range(150)], []
+    for _ in range(groups):
+        own = list(template)
+        for i in rng.sample(range(150), 14):
+            own[i] = word()
+        rows.append(" ".join(own))
+        other = list(own)
+        for i in rng.sample(range(150), 3):
+            other[i] = word()
+        rows.append(" ".join(other))
+    rng.shuffle(rows)
+    return list(enumerate(rows))
+
+
+def test_hot_template_recall(spark, docs, monkeypatch):
+    monkeypatch.setattr(J, "BUCKET", 6)
+    rows = hot_template(random.Random(3))
+    edges = J.candidate_edges(J.sketches(docs(rows)).select("id", "member", "firsts", *SKETCHES)).collect()
+    sets = [shingles(t) for _, t in rows]
+    names = {r.id: bytes(r.member) for r in J.sketches(docs(rows)).select("id", "member").collect()}
+    label = {x: x for x in names.values()}
+
+    def root(x):
+        while label[x] != x:
+            x = label[x]
+        return x
+
+    for e in edges:
+        label[root(bytes(e.a))] = root(bytes(e.b))
+    near = [(i, j) for i in range(len(rows)) for j in range(i) if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])]
+    # A candidate component is exact later on: a pair is found if it lies in one.
+    missed = sum(root(names[i]) != root(names[j]) for i, j in near)
+    assert len(near) > 300 and missed <= (1 - J.RECALL) * len(near) + 1
+
+
+def test_runs_meet_the_recall_with_all_splits():
+    rng = random.Random(5)
+    common, found = 160, 0
+    shingler = J.Shingler(5, orders=J.RUNS + J.SKETCH + J.RUNS * J.DEPTH * J.WAYS)
+    for _ in range(2000):
+        a, b = (J.np.unique(J.np.array(c, J.np.uint64)) for c in (lambda s: (s + [rng.getrandbits(64) for _ in range(20)],
+                s + [rng.getrandbits(64) for _ in range(20)]))([rng.getrandbits(64) for _ in range(common)]))
+        same = shingler.sketch(a) == shingler.sketch(b)
+        splits = same[J.RUNS + J.SKETCH:].reshape(J.RUNS, J.DEPTH, J.WAYS)
+        for run in range(J.RUNS):
+            nodes = int(same[run])
+            for depth in range(J.DEPTH):
+                picks = [(rng.randrange(J.WAYS), rng.random() < 0.25) for _ in range(nodes)]
+                nodes = sum(int(splits[run, depth, k]) + (two and int(splits[run, depth, (k + 1) % J.WAYS])) for k, two in picks)
+            if nodes:
+                found += 1
+                break
+    assert found >= 2000 * (J.RECALL - 0.0015)
+    assert J.runs_needed(0.99, 0.8, J.DEPTH) < J.runs_needed(0.999, 0.8, J.DEPTH)
+    with pytest.raises(ValueError):
+        J.runs_needed(1.0, 0.8, J.DEPTH)
