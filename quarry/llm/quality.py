@@ -20,10 +20,9 @@ from pyspark.sql import functions as F
 from quarry.llm.common import WORD
 
 BUCKETS = 16_384
-#: Trusted documents that the target multinomial is counted from, at most; the lowest id hashes.
-MAX_TRUSTED = 16_000
 SMOOTHING = 1.0
-THRESHOLD = -0.5
+#: From labels at sf0.1, counted on one half: of the other, no good document and 139 of 148 bad ones are below.
+THRESHOLD = -0.1
 SYMBOLS = "#*$%&|<>"
 SPACES = "\x20\x09\x0a\x0b\x0c\x0d"
 
@@ -93,18 +92,17 @@ def _grams(words: Column, buckets: int) -> Column:
     return F.concat(one, two)
 
 
-def trusted_ids(labels: DataFrame, limit: int = MAX_TRUSTED) -> DataFrame:
-    """At most `limit` ids of documents labelled good, by the order of their hashes."""
-    good = labels.filter((F.col("quality") == 1) & F.col("doc_id").isNotNull()).select("doc_id").distinct()
-    return good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """The ids of all documents labelled good."""
+    return labels.filter((F.col("quality") == 1) & F.col("doc_id").isNotNull()).select("doc_id").distinct()
 
 
 def fit_ratio(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, smoothing: float = SMOOTHING,
               key: str = "doc_id", text: str = "text") -> list[float]:
-    """log p_trusted - log p_corpus of every bucket. The corpus counts cover all rows; tasks send
-    one partial count per bucket, and the driver gets `buckets` rows."""
+    """log p_trusted - log p_corpus of every bucket. Both counts cover all rows, and the trusted
+    ones grow with the corpus, so the join is always shuffled; tasks send one partial count per bucket, and the driver gets `buckets` rows."""
     marked = docs.select(F.col(f"`{key}`").alias("doc_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text")).join(
-        F.broadcast(trusted.select("doc_id", F.lit(1).alias("trusted"))), "doc_id", "left")
+        trusted.select("doc_id", F.lit(1).alias("trusted")).hint("merge"), "doc_id", "left")
     hashed = marked.select(F.coalesce("trusted", F.lit(0)).alias("trusted"), word_hashes(F.col("text")).alias("words"))
     grams = hashed.select("trusted", F.explode(_grams(F.col("words"), buckets)).alias("bucket"))
     counts = grams.groupBy("bucket").agg(F.count("*").alias("corpus"), F.sum("trusted").alias("trusted")).collect()
@@ -116,9 +114,9 @@ def fit_ratio(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, smoot
 
 
 def quality(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, threshold: float = THRESHOLD,
-            max_trusted: int = MAX_TRUSTED, smoothing: float = SMOOTHING, whole: bool = False) -> DataFrame:
+            smoothing: float = SMOOTHING, whole: bool = False) -> DataFrame:
     """doc_id, the base counts, base_failed, score and kept. Two scans, one small aggregation."""
-    ratio = fit_ratio(docs, trusted_ids(labels, max_trusted), buckets, smoothing)
+    ratio = fit_ratio(docs, trusted_ids(labels), buckets, smoothing)
     # A text that the optimiser folds into one literal array, looked up by position.
     table = F.split(F.lit(",".join(map(repr, ratio))), ",").cast("array<double>")
     counts = base_counts(docs, whole=whole)

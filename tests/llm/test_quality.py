@@ -94,3 +94,8 @@ def test_no_python_in_the_plan(spark, docs):
     labels = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
     plan = Q.quality(docs(["a b c"]), labels, buckets=16)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_every_trusted_document_counts(spark):
+    labels = spark.range(20_000).selectExpr("id AS doc_id", "1 AS quality", "0 AS toxic")
+    assert Q.trusted_ids(labels).count() == 20_000
