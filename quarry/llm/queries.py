@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import (decontam, jaccard_join, line_dedup, lm_score, packing, quality, token_count, toxicity,
+from quarry.llm import (byte_bpe, decontam, jaccard_join, line_dedup, lm_score, packing, quality, token_count, toxicity,
                         url_filter, warc)
 from quarry.llm.common import scratch_path, table
 
@@ -80,6 +80,13 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.score_documents(docs, lm_score.fit_network(docs))
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = byte_bpe.read_ranks(tokenizer_path("byte_bpe_50k.tiktoken"))
+    coded = byte_bpe.decode(byte_bpe.encode(table(spark, sf_dir, "documents"), ranks), ranks)
+    return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op2_quality_rules": op2_quality_rules,
@@ -91,6 +98,7 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_token_counts": op9_token_counts,
     "op10_lm_scoring": op10_lm_scoring,
+    "op11_byte_bpe": op11_byte_bpe,
 }
 
 ORACLE = {
