@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import (byte_bpe, decontam, jaccard_join, line_dedup, lm_score, packing, quality, token_count, toxicity,
-                        url_filter, warc)
-from quarry.llm.common import scratch_path, table
+from quarry.llm import (byte_bpe, decontam, filter_audit, jaccard_join, line_dedup, lm_score, packing,
+                        periodic, quality, token_count, toxicity, url_filter, warc)
+from quarry.llm.common import WORD, scratch_path, table
 
 URL_RULES = (
     url_filter.Rule("allow", "org", "/"),
@@ -87,6 +87,38 @@ def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def with_periodic_tails(docs: DataFrame) -> DataFrame:
+    """`docs` with the tail of every tenth text (by hash of its id) made periodic: word i >= a becomes word
+    a + (i - a) % p, words joined by one blank."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(h / 10)
+    chosen = docs.withColumn("__words", F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(WORD), F.lit(0))))
+    n = F.size("__words")
+    a = g % n
+    p = 1 + F.floor((n - a) / (3 + g % 8))
+    tail = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get(
+        "__words", F.when(i < a, i).otherwise(a + (i - a) % p).cast("int")))
+    return chosen.withColumn("text", F.when(n > 0, F.array_join(tail, " ")).otherwise(F.col("text"))).drop("__words")
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = with_periodic_tails(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = periodic.find_runs(docs)
+    best = F.array_max(F.transform("runs", lambda r: F.struct(
+        r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listed = F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.start")).alias("start"),
+        F.col("best.length").alias("length"), (-F.col("best.period")).alias("period"),
+        F.floor(1000 * F.col("best.length") / -F.col("best.period")).alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.filter_interactions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op2_quality_rules": op2_quality_rules,
@@ -99,6 +131,8 @@ QUERIES = {
     "op9_token_counts": op9_token_counts,
     "op10_lm_scoring": op10_lm_scoring,
     "op11_byte_bpe": op11_byte_bpe,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 ORACLE = {
@@ -156,5 +190,48 @@ SELECT page_id, n AS payload_bytes, sha1(payload) AS payload_digest,
        CASE WHEN n >= 1000 AND page_id < top THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN n >= 1000 AND page_id < top THEN top END AS refers_to
 FROM marked
+""",
+    "op13_filter_audit": """
+WITH t AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+marks AS (
+  SELECT doc_id, coalesce(bool_or(quality = 1), false) AS good, coalesce(bool_or(toxic = 1), false) AS toxic
+  FROM labels GROUP BY doc_id),
+failed AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+         {'A': len(words) < 200, 'B': 100 * list_unique(words) < 50 * len(words),
+          'C': 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text),
+          'D': regexp_matches(text, '[#$%&*|]'),
+          'E': coalesce(t.doc_id > min(t.doc_id) OVER (PARTITION BY text), false)} AS f
+  FROM t LEFT JOIN marks m ON t.doc_id = m.doc_id),
+cells AS (
+  SELECT part, f, good, toxic, count(*) AS n,
+         CASE WHEN f.A THEN 'A' ELSE '' END || CASE WHEN f.B THEN 'B' ELSE '' END || CASE WHEN f.C THEN 'C' ELSE '' END
+         || CASE WHEN f.D THEN 'D' ELSE '' END || CASE WHEN f.E THEN 'E' ELSE '' END AS letters
+  FROM failed GROUP BY ALL),
+l AS (SELECT * FROM (VALUES ('A'), ('B'), ('C'), ('D'), ('E')) v(x)),
+orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM l a, l b, l c, l d, l e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+steps AS (
+  SELECT filter_order, step, substr(filter_order, step, 1) AS letter,
+         substr(filter_order, 1, step - 1) AS earlier
+  FROM orders, (SELECT unnest([1, 2, 3, 4, 5]) AS step)),
+counts AS (
+  SELECT part, filter_order, step, letter,
+    sum(n) FILTER (translate(letters, earlier, '') = letters AND NOT contains(letters, letter)) AS kept,
+    sum(n) FILTER (translate(letters, earlier, '') = letters AND contains(letters, letter)) AS removed,
+    sum(n) FILTER (translate(letters, earlier, '') <> letters AND contains(letters, letter)) AS redundant,
+    sum(n) FILTER (letters = letter) AS unique_fails,
+    sum(n) FILTER (translate(letters, earlier, '') = letters AND contains(letters, letter) AND good) AS good_lost,
+    sum(n) FILTER (translate(letters, earlier, '') = letters AND contains(letters, letter) AND toxic) AS toxic_lost
+  FROM cells, steps GROUP BY ALL)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(coalesce(kept, 0) AS BIGINT) AS kept,
+       CAST(coalesce(removed, 0) AS BIGINT) AS removed, CAST(coalesce(redundant, 0) AS BIGINT) AS redundant,
+       CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails, CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost,
+       CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost,
+       CAST(coalesce(sum(removed) OVER (PARTITION BY part, letter), 0) AS BIGINT) AS shapley
+FROM counts
 """,
 }

@@ -32,6 +32,23 @@ def text_blocks(texts: pa.Array, block_bytes: int = BLOCK_BYTES) -> Iterator[tup
         row = end
 
 
+def word_spans(gap: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first byte, size, text) of every word: a maximal run of bytes of one text that are no gaps.
+
+    The byte before is the state: a word starts where a gap or a text's edge turns into a word byte.
+    """
+    inside = ~gap
+    fresh = np.ones(len(gap), bool)  # the byte before is a gap or of another text
+    fresh[1:] = gap[:-1]
+    fresh[edges[:-1][edges[:-1] < len(gap)]] = True
+    done = np.ones(len(gap), bool)
+    done[:-1] = gap[1:]
+    done[edges[1:][edges[1:] > 0] - 1] = True
+    starts = np.flatnonzero(inside & fresh)
+    sizes = np.flatnonzero(inside & done) + 1 - starts
+    return starts, sizes, np.searchsorted(edges, starts, "right") - 1
+
+
 def _view(data: np.ndarray) -> np.ndarray:
     """Eight bytes from every place of `data`, which ends in eight bytes of padding."""
     return np.ndarray((len(data) - 7,), "<u8", buffer=data, strides=(1,))
