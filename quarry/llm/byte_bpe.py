@@ -37,7 +37,8 @@ from quarry.llm import spans
 #: Letters of the pattern's contractions: 's 't 'm 'd, and 're 've 'll (fixed values).
 SHORT_ENDINGS = ("s", "t", "m", "d")
 LONG_ENDINGS = ("re", "ve", "ll")
-CHUNK_BYTES = 32 << 20
+CHUNK_BYTES = 24 << 20
+COMPRESSION_LEVEL = 5
 #: Characters split at a time inside a task.
 BLOCK_CHARS = 1 << 20
 #: Bytes up to which a pre-token's pairs are searched one by one.
@@ -175,7 +176,8 @@ def _merge_long(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 def _packed(rows: list[tuple], schema: pa.Schema) -> bytes:
     sink = io.BytesIO()
-    with pa.ipc.new_stream(sink, schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+    with pa.ipc.new_stream(sink, schema, options=pa.ipc.IpcWriteOptions(
+            compression=pa.Codec("zstd", compression_level=COMPRESSION_LEVEL))) as writer:
         writer.write_batch(pa.RecordBatch.from_arrays(
             [pa.array(column, field.type) for column, field in zip(zip(*rows), schema)], schema=schema))
     return sink.getvalue()
@@ -185,14 +187,41 @@ def _unpacked(blob: bytes) -> pa.Table:
     return pa.ipc.open_stream(blob).read_all()
 
 
+class TokenBytes:
+    """The token-byte table: bytes of all tokens in a row, with the place and size of each."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.sizes = np.zeros(max(ranks.values(), default=-1) + 1, np.int64)
+        for token, rank in ranks.items():
+            self.sizes[rank] = len(token)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.values = np.zeros(int(self.sizes.sum()), np.uint8)
+        for token, rank in ranks.items():
+            self.values[self.starts[rank]:self.starts[rank] + len(token)] = np.frombuffer(token, np.uint8)
+
+    def join(self, ids: np.ndarray, ends: np.ndarray) -> pa.Array:
+        """Bytes of the ids up to each end, as a binary column; an id outside the table raises ValueError."""
+        if len(ids) and ids.max() >= len(self.sizes):
+            raise ValueError(f"id {ids.max()} is outside the vocabulary")
+        after = np.zeros(len(ids) + 1, np.int64)
+        np.cumsum(self.sizes[ids], out=after[1:])
+        return spans.binary_array(spans.take_spans(self.values, self.starts[ids], self.sizes[ids]), after[ends])
+
+
 def encode(df: DataFrame, ranks: dict[bytes, int], key: str = "doc_id", text: str = "text",
-           chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """`key`, n_tokens (long) and ids (binary: little-endian unsigned 32-bit) of every row's whole text."""
+           chunk_bytes: int = CHUNK_BYTES, decoded: bool = False) -> DataFrame:
+    """`key`, n_tokens (long) and ids (binary: little-endian unsigned 32-bit) of every row's whole text;
+    with `decoded` also the bytes of those ids, looked up where the ids are put together."""
     source = df.select(F.col(f"`{key}`").alias("key"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     key_type = source.schema["key"].dataType.simpleString()
     total = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_chunks = total // chunk_bytes + 1
-    shared = df.sparkSession.sparkContext.broadcast(ranks)  # the vocabulary file, which does not grow with data
+    # The vocabulary file, which does not grow with the data.
+    shared = df.sparkSession.sparkContext.broadcast((ranks, TokenBytes(ranks)))
+    id_type = "<u2" if max(ranks.values(), default=0) < 1 << 16 else "<u4"  # on the way back to the chunks
+
+    names = ["key", "n_tokens", "ids", "decoded"][:3 + decoded]
+    schema = f"key {key_type}, n_tokens long, ids binary" + ", decoded binary" * decoded
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -220,40 +249,39 @@ def encode(df: DataFrame, ranks: dict[bytes, int], key: str = "doc_id", text: st
                 [pa.array([chunk[0].as_py()] * len(part), pa.int32()), pa.array(part, pa.binary())], ["chunk", "word"])
 
     def encode_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, ids = None, b""
+        (ranks, _), last, ids = shared.value, None, b""
         for batch in batches:  # sorted by word: a word's rows follow each other, across batches too
             out = []
             for word in batch.column(1).to_pylist():
                 if word != last:
-                    last, ids = word, np.array(merge_bytes(word, shared.value), "<u4").tobytes()
+                    last, ids = word, np.array(merge_bytes(word, ranks), id_type).tobytes()
                 out.append(ids)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.binary())],
                                              ["chunk", "word", "ids"])
 
     def reassemble(chunk: tuple, packed: pa.Table, words: pa.Table) -> pa.Table:
-        ids_of = dict(zip(words.column("word").to_pylist(), words.column("ids").to_pylist()))
-        ids_of[END_BYTES] = b""
-        keys, ids, key_type = [], [], packed.column("packed").type
+        ids_of = {END_BYTES: b""}
+        for batch in words.to_batches():
+            ids_of.update(zip(batch.column("word").to_pylist(), batch.column("ids").to_pylist()))
+        out = []
         for blob in packed.column("packed"):
             rows = _unpacked(blob.as_py())
-            key_type = rows.schema.field("key").type
-            row_keys, copies = rows.column("key").to_pylist(), rows.column("copies").to_pylist()
             for row, block in blocks_of(rows.column("text").to_pylist()):
                 words_here, number, stops = distinct_words(block)
                 coded = [ids_of[word] for word in words_here]
-                flat = np.frombuffer(b"".join(coded), "<u4")
-                n_ids = np.array([len(c) // 4 for c in coded])
-                size = n_ids[number]
-                after = np.cumsum(size)
-                place = np.repeat((np.cumsum(n_ids) - n_ids)[number] - (after - size), size)
-                stream = flat[place + np.arange(len(place))]
-                begin = 0
-                for end in after[stops].tolist():
-                    keys += [row_keys[row]] * copies[row]
-                    ids += [stream[begin:end].tobytes()] * copies[row]
-                    row, begin = row + 1, end
-        return pa.table([pa.array(keys, key_type), pa.array([len(x) // 4 for x in ids], pa.int64()),
-                         pa.array(ids, pa.large_binary()).cast(pa.binary())], ["key", "n_tokens", "ids"])
+                n_ids = np.array([len(ids) for ids in coded]) // np.dtype(id_type).itemsize
+                ids = spans.take_spans(np.frombuffer(b"".join(coded), id_type), (np.cumsum(n_ids) - n_ids)[number],
+                                       n_ids[number]).astype("<u4")
+                ends = np.cumsum(n_ids[number])[stops]
+                here = rows.slice(row, len(ends))
+                columns = [here.column("key").combine_chunks(), pa.array(np.diff(ends, prepend=0), pa.int64()),
+                           spans.binary_array(ids, ends)]
+                if decoded:
+                    columns.append(shared.value[1].join(ids, ends))
+                copies = here.column("copies").to_numpy()
+                out.append(pa.RecordBatch.from_arrays(columns, names).take(
+                    pa.array(np.repeat(np.arange(len(ends)), copies))))
+        return pa.Table.from_batches(out, out[0].schema)
 
     chunk = F.pmod(F.xxhash64("key", "text"), F.lit(n_chunks)).cast("int").alias("chunk")
     chunks = (source.select(chunk, "key", "text").mapInArrow(pack, "chunk int, packed binary")
@@ -261,8 +289,7 @@ def encode(df: DataFrame, ranks: dict[bytes, int], key: str = "doc_id", text: st
     words = (chunks.groupBy("chunk").applyInArrow(explode_words, "chunk int, word binary")
              .repartition("word").sortWithinPartitions("word")
              .mapInArrow(encode_words, "chunk int, word binary, ids binary"))
-    encoded = chunks.groupBy("chunk").cogroup(words.groupBy("chunk")).applyInArrow(
-        reassemble, f"key {key_type}, n_tokens long, ids binary")
+    encoded = chunks.groupBy("chunk").cogroup(words.groupBy("chunk")).applyInArrow(reassemble, schema)
     return encoded.withColumnRenamed("key", key)
 
 
@@ -271,28 +298,22 @@ def decode(df: DataFrame, ranks: dict[bytes, int], ids: str = "ids", out: str =
 
     The token-byte table is the vocabulary turned round; an id outside it raises ValueError.
     """
-    table = [b""] * (max(ranks.values(), default=-1) + 1)
-    for token, rank in ranks.items():
-        table[rank] = token
-    shared = df.sparkSession.sparkContext.broadcast(table)
+    shared = df.sparkSession.sparkContext.broadcast(TokenBytes(ranks))
+    kept = [i for i, name in enumerate(df.columns) if name != out]
+    names = [df.columns[i] for i in kept] + [out]
     at = df.columns.index(ids)
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name != out]
                        + [f"`{out}` binary"])
-    kept = [i for i, name in enumerate(df.columns) if name != out]
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = shared.value
         for batch in batches:
-            found = []
-            for value in batch.column(at):
-                if not value.is_valid:
-                    found.append(None)
-                    continue
-                numbers = np.frombuffer(value.as_buffer(), "<u4")
-                if len(numbers) and (numbers.max() >= len(tokens)):
-                    raise ValueError(f"id {numbers.max()} is outside the vocabulary")
-                found.append(b"".join(map(tokens.__getitem__, numbers.tolist())))
-            yield pa.RecordBatch.from_arrays([batch.column(i) for i in kept] + [pa.array(found, pa.binary())],
-                                             [batch.schema.names[i] for i in kept] + [out])
+            column = batch.column(at).cast(pa.large_binary())
+            numbers = [np.frombuffer(value.as_buffer(), "<u4") if value.is_valid else None for value in column]
+            given = [n for n in numbers if n is not None]
+            found = shared.value.join(np.concatenate(given or [np.empty(0, "<u4")]),
+                                      np.cumsum([len(n) for n in given], dtype=np.int64))
+            place = iter(range(len(given)))
+            rows = pa.array([None if n is None else next(place) for n in numbers], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(i) for i in kept] + [found.take(rows)], names)
 
     return df.mapInArrow(look_up, schema)

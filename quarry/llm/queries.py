@@ -82,7 +82,7 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = byte_bpe.read_ranks(tokenizer_path("byte_bpe_50k.tiktoken"))
-    coded = byte_bpe.decode(byte_bpe.encode(table(spark, sf_dir, "documents"), ranks), ranks)
+    coded = byte_bpe.encode(table(spark, sf_dir, "documents"), ranks, decoded=True)
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 

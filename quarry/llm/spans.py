@@ -58,6 +58,20 @@ def pad(data: np.ndarray) -> np.ndarray:
     return np.concatenate([data, np.zeros(8, np.uint8)])
 
 
+def take_spans(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """values[start:start + size] of every span, one after the other."""
+    after = np.cumsum(sizes)
+    return values[np.repeat(starts - (after - sizes), sizes) + np.arange(after[-1] if len(after) else 0)]
+
+
+def binary_array(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Values of `values`, each up to its end (in items), as an Arrow binary column."""
+    offsets = np.zeros(len(ends) + 1, np.int64)
+    offsets[1:] = ends * values.itemsize
+    found = pa.Array.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(values)])
+    return found.cast(pa.binary())
+
+
 def hash_spans(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """64-bit hash of every span of padded `data`, eight bytes at a time."""
     view = _view(data)

@@ -63,7 +63,9 @@ def test_texts_in_several_chunks(spark, docs, ranks, library):
     rows = list(enumerate(some)) + [(3, some[3]), (None, "no id"), (None, "no id"), (3, "other text of one id")]
     df = docs(rows)
     df = df.withColumn("ids", df.lang).withColumn("chunk", df.lang).withColumn("copies", df.lang)
-    coded = byte_bpe.decode(byte_bpe.encode(df, ranks, chunk_bytes=700), ranks)
+    coded = byte_bpe.encode(df, ranks, chunk_bytes=700, decoded=True)
+    again = byte_bpe.decode(coded.withColumnRenamed("decoded", "before"), ranks)
+    assert again.filter("decoded <> before").count() == 0
     got = sorted(((r.doc_id, r.n_tokens, bytes(r.ids), bytes(r.decoded)) for r in coded.collect()), key=str)
     want = []
     for key, text in rows:
@@ -82,6 +84,8 @@ def test_empty_table_and_foreign_ids(spark, docs, ranks):
     coded = byte_bpe.encode(docs(["x"]).limit(0), ranks)
     assert coded.count() == 0 and coded.columns == ["doc_id", "n_tokens", "ids"]
     bad = spark.createDataFrame([(1, bytearray(np.array([60000], "<u4").tobytes()))], "k long, ids binary")
+    none = spark.createDataFrame([(1, None), (2, bytearray())], "k long, ids binary")
+    assert [r.decoded for r in byte_bpe.decode(none, ranks).orderBy("k").collect()] == [None, b""]
     with pytest.raises(Exception, match="outside the vocabulary"):
         byte_bpe.decode(bad, ranks).collect()
 
