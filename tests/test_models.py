@@ -9,7 +9,7 @@ from quarry.operators.scoring import ScoringPipeline
 from quarry.plans.fixtures import mining_orders
 from quarry.sources.bundle import load_bundle, save_bundle
 
-from conftest import SF_SMALL
+from small_tables import SF_SMALL
 
 
 def _frame(spark):

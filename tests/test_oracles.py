@@ -8,7 +8,7 @@ import pytest
 import __spark_entry__ as E
 from quarry.sources.tables import TABLES
 
-from conftest import SF_SMALL
+from small_tables import SF_SMALL
 
 ORACLE = E.oracle_sql()
 

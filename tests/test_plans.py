@@ -4,7 +4,7 @@ import pytest
 
 import __spark_entry__ as E
 
-from conftest import SF_SMALL
+from small_tables import SF_SMALL
 
 
 @pytest.mark.parametrize("name", sorted(E.oracle_sql()))

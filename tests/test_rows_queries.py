@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 
-from conftest import SF_SMALL
+from small_tables import SF_SMALL
 
 # The corpus operators have tests of their own.
 ROWS_ONLY = sorted(n for n in set(E.queries()) - set(E.oracle_sql()) if not re.match(r"op\d+_|pipeline$", n))

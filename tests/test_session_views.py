@@ -4,7 +4,7 @@ from quarry.plans.fixtures import mining_orders
 from quarry.plans.views import _PATHS, materialized
 from quarry.session import right_size
 
-from conftest import SF_SMALL
+from small_tables import SF_SMALL
 
 
 def test_view_written_once_and_equal_to_plan(spark):
