@@ -7,7 +7,7 @@ rank file (lowest rank first, leftmost of equal ranks).
    shuffled once; both later steps read that one exchange.
 2. Explode: every chunk gives its distinct pre-tokens, (chunk, word). They are shuffled by word and sorted,
    so that all chunks' rows of a word meet, and each distinct word is encoded once in the whole job.
-3. Join back: (chunk, word, ids) return to their chunk, where the documents' pre-tokens, in their positions,
+3. Join back: words and ids return to their chunk (a task sends those of one chunk together), where the documents' pre-tokens, in their positions,
    are replaced by ids.
 
 A word is at most one row a chunk, however often it occurs, so no key grows beyond the number of chunks.
@@ -43,6 +43,8 @@ COMPRESSION_LEVEL = 5
 BLOCK_CHARS = 1 << 20
 #: Bytes up to which a pre-token's pairs are searched one by one.
 LONG_PIECE = 64
+#: Encoded words that a task gathers by chunk before it sends them on.
+HELD_WORDS = 200_000
 #: Ends a text inside a block: a lone surrogate, which no valid text holds.
 END = "\ud800"
 END_BYTES = END.encode("utf-8", "surrogatepass")
@@ -183,6 +185,15 @@ def _packed(rows: list[tuple], schema: pa.Schema) -> bytes:
     return sink.getvalue()
 
 
+def _joined(dealt: dict[int, list[tuple[bytes, bytes]]]) -> pa.RecordBatch:
+    """One row a chunk: the sizes of its words and of their ids, and both joined."""
+    columns = [[np.array([(len(w), len(i)) for w, i in pairs], "<u4").tobytes() for pairs in dealt.values()],
+               [b"".join(w for w, _ in pairs) for pairs in dealt.values()],
+               [b"".join(i for _, i in pairs) for pairs in dealt.values()]]
+    return pa.RecordBatch.from_arrays([pa.array(list(dealt), pa.int32())] + [pa.array(c, pa.binary()) for c in columns],
+                                      ["chunk", "sizes", "words", "ids"])
+
+
 def _unpacked(blob: bytes) -> pa.Table:
     return pa.ipc.open_stream(blob).read_all()
 
@@ -250,19 +261,27 @@ def encode(df: DataFrame, ranks: dict[bytes, int], key: str = "doc_id", text: st
 
     def encode_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         (ranks, _), last, ids = shared.value, None, b""
+        dealt, held = defaultdict(list), 0
         for batch in batches:  # sorted by word: a word's rows follow each other, across batches too
-            out = []
-            for word in batch.column(1).to_pylist():
+            for chunk, word in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if word != last:
                     last, ids = word, np.array(merge_bytes(word, ranks), id_type).tobytes()
-                out.append(ids)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.binary())],
-                                             ["chunk", "word", "ids"])
+                dealt[chunk].append((word, ids))
+            held += batch.num_rows
+            if held >= HELD_WORDS:
+                yield _joined(dealt)
+                dealt, held = defaultdict(list), 0
+        if dealt:
+            yield _joined(dealt)
 
     def reassemble(chunk: tuple, packed: pa.Table, words: pa.Table) -> pa.Table:
         ids_of = {END_BYTES: b""}
-        for batch in words.to_batches():
-            ids_of.update(zip(batch.column("word").to_pylist(), batch.column("ids").to_pylist()))
+        for row in words.select(["sizes", "words", "ids"]).to_pylist():
+            ends = np.cumsum(np.frombuffer(row["sizes"], "<u4").reshape(-1, 2), axis=0, dtype=np.int64)
+            begin = [0, 0]
+            for end in ends.tolist():
+                ids_of[row["words"][begin[0]:end[0]]] = row["ids"][begin[1]:end[1]]
+                begin = end
         out = []
         for blob in packed.column("packed"):
             rows = _unpacked(blob.as_py())
@@ -288,7 +307,7 @@ def encode(df: DataFrame, ranks: dict[bytes, int], key: str = "doc_id", text: st
               .repartition(n_chunks, "chunk"))
     words = (chunks.groupBy("chunk").applyInArrow(explode_words, "chunk int, word binary")
              .repartition("word").sortWithinPartitions("word")
-             .mapInArrow(encode_words, "chunk int, word binary, ids binary"))
+             .mapInArrow(encode_words, "chunk int, sizes binary, words binary, ids binary"))
     encoded = chunks.groupBy("chunk").cogroup(words.groupBy("chunk")).applyInArrow(reassemble, schema)
     return encoded.withColumnRenamed("key", key)
 

@@ -6,9 +6,10 @@ file whenever the compressed size passes the limit. Files get temporary names; t
 successful tasks return form the manifest, by which files are renamed and readers find them. Files of
 failed or speculative attempts are in no manifest and never become visible.
 
-Cases: a null payload is empty; a null url leaves the target out; records without id are responses
-and come first; of rows that share the largest id and an equal payload all are responses; an empty
-table writes an empty manifest; only the named columns are read.
+Cases: a null payload is empty; a null url leaves the target out; records without id are responses, dealt to
+the shards by a hash of the row, and come first there; rows that share an id are records of their own, each
+a revisit only if its own payload is found under a larger id; of rows that share the largest id and an equal
+payload all are responses; an empty table writes an empty manifest; only the named columns are read.
 """
 
 from __future__ import annotations
@@ -36,7 +37,7 @@ HEADER_BYTES = 400
 
 
 def find_copies(df: DataFrame, key: str, payload: str, min_bytes: int, salts: int = 32) -> DataFrame:
-    """(`key`, refers_to) of every record whose payload of at least `min_bytes` bytes has the largest
+    """(`key`, digest, refers_to) of every record whose payload of at least `min_bytes` bytes has the largest
     `key` elsewhere. Works on digests; hot digests are dealt over `salts` parts in both steps."""
     data = F.coalesce(F.encode(F.col(f"`{payload}`"), "UTF-8"), F.lit(b""))
     records = (df.select(F.col(f"`{key}`").alias("key"), F.sha1(data).alias("digest"), F.octet_length(data).alias("size"))
@@ -46,7 +47,7 @@ def find_copies(df: DataFrame, key: str, payload: str, min_bytes: int, salts: in
               .filter("n > 1").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))))
     groups = materialize(groups.select("digest", "size", "salt", "refers_to"), "copies")
     return (records.join(groups, ["digest", "size", "salt"]).filter(F.col("key") < F.col("refers_to"))
-            .select(F.col("key").alias(key), "refers_to").distinct())
+            .select(F.col("key").alias(key), "digest", "refers_to").distinct())
 
 
 def _filesystem(path: str):
@@ -59,9 +60,8 @@ def _uri(key, digest: bytes) -> str:
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_OID, f'{key}/{digest.hex()}')}>"
 
 
-def _record(key, url: str | None, payload: bytes, refers_to, date: str) -> bytes:
-    """One gzip member. Digests, lengths and ids are made from the payload, never taken over."""
-    digest = hashlib.sha1(payload).digest()
+def _record(key, url: str | None, payload: bytes, digest: bytes, refers_to, date: str) -> bytes:
+    """One gzip member. Digests (SHA-1), lengths and ids are made from the payload, never taken over."""
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload)
     revisit = refers_to is not None
     block = http if revisit else http + payload
@@ -128,28 +128,34 @@ def write_warc(df: DataFrame, out_path: str, key: str = "page_id", url: str = "u
         return pd.Series(np.maximum(found, 0))
 
     copies = find_copies(rows, "key", "html", min_revisit_bytes)
+    spread = F.pmod(F.xxhash64("url", "html"), F.lit(shards))
     # A copy's row travels to its record's task and is sorted just before it: payloads move once.
-    both = rows.select("key", "url", "html", F.lit(None).cast("long").alias("refers_to"), F.lit(1).alias("kind")).union(
-        copies.select("key", F.lit(None).cast("string"), F.lit(None).cast("string"), "refers_to", F.lit(0)))
-    dealt = (both.withColumn("shard", shard_of("key")).repartition(shards, "shard")
+    both = rows.select("key", "url", "html", F.lit(None).cast("string").alias("digest"),
+                       F.lit(None).cast("long").alias("refers_to"), F.lit(1).alias("kind")).union(
+        copies.select("key", F.lit(None).cast("string"), F.lit(None).cast("string"), "digest", "refers_to", F.lit(0)))
+    dealt = (both.withColumn("shard", F.when(F.col("key").isNull(), spread).otherwise(shard_of("key")))
+             .repartitionById(shards, F.col("shard").cast("int"))
              .sortWithinPartitions("shard", "key", "kind", "url", F.xxhash64("html")))
 
     def write(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         fs, folder = _filesystem(out_path)
         fs.create_dir(folder, recursive=True)
-        roller, copy_of, done = None, (None, None), []
+        roller, copies_of, copies_key, done = None, {}, None, []
         for frame in frames:
             for row in frame.astype(object).where(frame.notna(), None).itertuples(index=False):
+                if row.key != copies_key:
+                    copies_of, copies_key = {}, row.key
                 if row.kind == 0:
-                    copy_of = (row.key, row.refers_to)
+                    copies_of[row.digest] = int(row.refers_to)
                     continue
                 if roller and (roller.row["shard"] != row.shard or roller.row["bytes"] >= roll_bytes):
                     done.append(roller.close())
                     roller = _Roller(fs, folder, row.shard, roller.row["seq"] + 1 if done[-1]["shard"] == row.shard else 0)
                 roller = roller or _Roller(fs, folder, row.shard, 0)
-                refers = int(copy_of[1]) if row.key is not None and copy_of[0] == row.key else None
                 body = (row.html or "").encode("utf-8", "surrogatepass")
-                roller.add(_record(None if row.key is None else int(row.key), row.url, body, refers, date))
+                digest = hashlib.sha1(body)
+                roller.add(_record(None if row.key is None else int(row.key), row.url, body, digest.digest(),
+                                   copies_of.get(digest.hexdigest()), date))
         if roller:
             done.append(roller.close())
         if done:
@@ -230,6 +236,14 @@ def read_warc(spark: SparkSession, out_path: str, with_payload: bool = True) ->
     return files.repartition(n, "file").mapInPandas(read, RECORD_SCHEMA)
 
 
+def dangling_revisits(records: DataFrame) -> DataFrame:
+    """(refers_to, payload_digest) of revisits of `read_warc` whose response with that id and digest is in no
+    file; none in a whole archive. Copies of one payload are one row before the join."""
+    wanted = records.filter("record_type = 'revisit'").select("refers_to", "payload_digest").distinct()
+    there = records.filter("record_type = 'response'").select(F.col("record_id").alias("refers_to"), "payload_digest")
+    return wanted.join(there, ["refers_to", "payload_digest"], "left_anti")
+
+
 def _frame(rows: list[tuple]) -> pd.DataFrame:
     names = [x.split()[0] for x in RECORD_SCHEMA.split(", ")]
     return pd.DataFrame(rows, columns=names).astype({"record_id": "Int64", "refers_to": "Int64"})

@@ -69,3 +69,28 @@ def test_empty_table(spark):
     path = scratch_path(spark, "t")
     assert warc.write_warc(df.limit(0), path).count() == 0
     assert warc.read_warc(spark, path).count() == 0
+
+
+def test_rows_that_share_an_id_keep_their_own_payloads(spark):
+    a, b, c = "a" * 1500, "b" * 1500, "c" * 1500
+    rows = [(5, "u1", a), (5, "u2", b), (5, "u3", c), (9, "u4", a), (12, "u5", c), (None, "u6", b), (None, "u7", a)]
+    df = spark.createDataFrame([(*r, None, None) for r in rows], SCHEMA)
+    path = scratch_path(spark, "t")
+    warc.write_warc(df, path, shards=3)
+    records = warc.read_warc(spark, path)
+    got = sorted(((r.record_id, r.url, r.record_type, r.refers_to, r.payload_digest) for r in records.collect()), key=str)
+    refers = {("u1"): 9, ("u3"): 12}
+    want = sorted(((i, u, "revisit" if u in refers else "response", refers.get(u), hashlib.sha1(t.encode()).hexdigest())
+                   for i, u, t in rows), key=str)
+    assert got == want
+    payload = {(r.record_id, r.payload_digest): bytes(r.payload).decode() for r in records.collect() if r.payload}
+    assert [payload[r[3] if r[3] else r[0], r[4]] for r in got] == [
+        dict((u, t) for _, u, t in rows)[r[1]] for r in got]
+    assert warc.dangling_revisits(records).count() == 0
+    assert warc.dangling_revisits(records.filter("record_id <> 12")).count() == 1
+
+
+def test_rows_without_id_are_dealt_over_all_shards(spark):
+    df = spark.range(600).selectExpr("CAST(NULL AS long) AS page_id", "'u' AS url", "repeat(cast(id AS string), 50) AS html")
+    rows = warc.write_warc(df, scratch_path(spark, "t"), shards=4).collect()
+    assert len(rows) == 4 and max(r.records for r in rows) < 220
