@@ -19,6 +19,10 @@ from quarry.operators.evaluate import (  # noqa: F401
 from quarry.operators.explore import (  # noqa: F401
     arg_extremes, class_shares, contingency, crosstable, exact_quantiles, freq_desc, histogram, level_counts,
     missing_fraction, missing_map, moments, numeric_summary, quantile_table, top_n, trimmed_mean_mad)
+from quarry.operators.bagging import (  # noqa: F401
+    Forest, gini_importance, oob_error, oob_permutation_importance, out_of_bag, valid_error)
+from quarry.operators.bagging import fit as fit_bagged_forest  # noqa: F401
+from quarry.operators.bagging import tune_mtry as tune_bagged_mtry  # noqa: F401
 from quarry.operators.forest import (  # noqa: F401
     balanced_ensemble, ensemble_probability, error_by_trees, fit_forest, importance_rows, permutation_importance,
     tune_mtry)
@@ -37,6 +41,8 @@ from quarry.operators.select import (  # noqa: F401
 from quarry.operators.transforms import (  # noqa: F401
     add_dummies, add_missing_flags, all_pairs, best_lambda, dummy_levels, log1p_columns, missing_flag_columns,
     power_profile, products, recode, refined_lambda, relevel, reverse_levels, standardize)
+from quarry.operators.tree import (  # noqa: F401
+    cart_leaf_counts, cart_rules, grow_cart)
 from quarry.operators.tree import (  # noqa: F401
     at_cp, choose, cross_validated_path, evaluate_path, grow, leaf_counts, pruning_path, rules)
 from quarry.sources.bundle import load_bundle, save_bundle  # noqa: F401

@@ -163,10 +163,10 @@ class Level:
         better = np.flatnonzero(gain > self.gain[node] + 1e-12)
         at = node[better]
         self.gain[at], self.input[at], self.cut[at] = gain[better], i, cut[better]
-        for j, n in zip(better.tolist(), at.tolist()):
-            if sides is not None:
-                self.sides[n] = sides[j]
-            else:
+        if sides is not None:
+            self.sides.update(zip(at.tolist(), sides[better]))
+        elif self.sides:
+            for n in at.tolist():
                 self.sides.pop(n, None)
 
     def left_table(self, nodes: np.ndarray) -> np.ndarray:
@@ -224,26 +224,29 @@ def grow_arrays(bins: np.ndarray, y: np.ndarray, count: np.ndarray, tree: int, p
     c0 = count.astype(np.int64) - c1
     parts = {name: [] for name in ("input", "cut", "child", "n0", "n1", "gain")}
     sides: list[np.ndarray] = []
-    rows, at = np.arange(len(y)), np.zeros(len(y), np.int64)
+    at = np.zeros(len(y), np.int64)                       # node of every row within its level, -1: in a leaf
+    by_bin = [np.argsort(bins[:, i], kind="stable") for i in range(bins.shape[1])]
+    rows = np.arange(len(y))
     hashes, made, depth = root_hash(tree, path, rules.seed), 1, len(path)
     while len(hashes):
         size = len(hashes)
-        t0 = np.bincount(at, c0[rows], size).astype(np.int64)
-        t1 = np.bincount(at, c1[rows], size).astype(np.int64)
+        t0 = np.bincount(at[rows], c0[rows], size).astype(np.int64)
+        t1 = np.bincount(at[rows], c1[rows], size).astype(np.int64)
         level = Level(t0, t1, depth, hashes, mtry, bins.shape[1], rules)
+        small = np.uint16 if size < 1 << 16 else np.int64  # short numbers are sorted by radix
         for i in range(bins.shape[1]):
-            use = np.flatnonzero((level.open & level.tried[:, i])[at])
-            if len(use):
-                cell = at[use] << 8 | bins[rows[use], i]
-                order = np.argsort(cell, kind="stable")
-                cell, who = cell[order], rows[use][order]
+            use = np.append(level.open & level.tried[:, i], False)
+            who = by_bin[i][use[at[by_bin[i]]]]
+            if len(who):
+                who = who[np.argsort(at[who].astype(small), kind="stable")]
+                cell = at[who] << 8 | bins[who, i]
                 first = np.flatnonzero(np.append(True, cell[1:] != cell[:-1]))
                 level.add(i, (cell[first] >> 8, cell[first] & 255, np.add.reduceat(c0[who], first),
                               np.add.reduceat(c1[who], first)), i >= nominal_from)
         split = np.flatnonzero(level.input >= 0)
         child = np.full(size, -1, np.int32)
         child[split] = made + 2 * np.arange(len(split))
-        cut = level.cut
+        cut, old_sides = level.cut, len(sides)
         for n in split.tolist():
             if n in level.sides:
                 cut[n] = len(sides)
@@ -251,17 +254,20 @@ def grow_arrays(bins: np.ndarray, y: np.ndarray, count: np.ndarray, tree: int, p
         for name, values in (("input", level.input), ("child", child), ("n0", t0), ("n1", t1), ("gain", level.gain)):
             parts[name].append(values)
         if len(split):
-            stays = level.input[at] >= 0
-            rows, at = rows[stays], at[stays]
-            chosen = level.input[at]
+            ends = level.input[at[rows]] < 0
+            at[rows[ends]] = -1
+            rows = rows[~ends]
+            by_bin = [order[at[order] >= 0] for order in by_bin]
+            node = at[rows]
+            chosen = level.input[node]
             value = bins[rows, chosen]
-            left = value <= cut[at]
+            left = value <= cut[node]
             if level.sides:
                 by_set = np.flatnonzero(chosen >= nominal_from)
-                left[by_set] = np.array(sides)[cut[at[by_set]], value[by_set]]
+                left[by_set] = np.array(sides[old_sides:])[cut[node[by_set]] - old_sides, value[by_set]]
             rank = np.zeros(size, np.int64)
             rank[split] = np.arange(len(split))
-            at = 2 * rank[at] + ~left
+            at[rows] = 2 * rank[node] + ~left
             both = hashes[split] * np.uint64(2)
             hashes = mix(np.stack([both + np.uint64(1), both + np.uint64(2)], axis=1).ravel())
         else:

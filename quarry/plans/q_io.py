@@ -102,14 +102,13 @@ def stream_scored_orders(spark, sf_dir):
 def stream_score_forest(spark, sf_dir):
     """A fitted forest scoring bundle (saved, reloaded) applied to the orders stream: the
     preparation, assembly and model are one stateless streaming projection."""
-    from quarry.operators import forest
     from quarry.operators.scoring import ScoringPipeline
-    from quarry.plans.q_models import SEED, TARGET, _bundle_path, _frame
+    from quarry.plans.q_models import _bundle_path, _forest, _frame
     from quarry.sources.bundle import load_bundle, save_bundle
-    prep, train, _, _ = _frame(spark, sf_dir)
-    rf = forest.fit_forest(train, TARGET, n_trees=20, mtry=3, seed=SEED)
+    prep, _, _, _ = _frame(spark, sf_dir)
     path = _bundle_path(spark, "stream-forest")
-    save_bundle(spark, ScoringPipeline(prep, prep.feature_columns(), "spark", cutoff=0.5, strict=True, model=rf), path)
+    save_bundle(spark, ScoringPipeline(prep, prep.feature_columns(), "forest", cutoff=0.5, strict=True,
+                                       model=_forest(spark, sf_dir)), path)
     pipe = load_bundle(spark, path)
 
     def score(stream_orders):

@@ -3,17 +3,18 @@ networks (N1-N4), scoring pipelines with save/load (X1-X6, S4, S5)."""
 
 from __future__ import annotations
 
-import math
+import functools
 
 from pyspark import StorageLevel
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quarry.functions import columns as fc
-from quarry.operators import evaluate, forest, logistic, mlp, sampling, tree
+from quarry.operators import bagging, evaluate, logistic, mlp, sampling, tree
 from quarry.operators.prep import FittedPrep
 from quarry.operators.scoring import ScoringPipeline
+from quarry.operators.transforms import FLAG_SUFFIX
 from quarry.plans.common import mo, with_mo
 from quarry.plans.fixtures import mining_docs, split_sql
 from quarry.session import cut_lineage, ensure_checkpoint_dir
@@ -128,15 +129,22 @@ def logit_validate(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- trees
+def _tree_inputs(prep) -> tuple[list[str], list[str]]:
+    """Inputs of tree models: numbers, missing flags, and nominal inputs as they are (no indicators)."""
+    return [*prep.numeric, *(c + FLAG_SUFFIX for c in prep.flags)], list(prep.nominal)
+
+
 def _grown(spark, sf_dir, weighted=False):
+    """Tree grown to cp 0 (node size 20 and 7, depth 30), with its path evaluated on the validation rows."""
     prep, train, valid, _ = _frame(spark, sf_dir)
-    wcol = None
-    if weighted:
-        train = sampling.inverse_prior_weights(train, TARGET)
-        wcol = "weight"
-    model, nodes = tree.grow(train, TARGET, weight_col=wcol)
+    weights = (1.0, 1.0)
+    if weighted:  # inverse priors, as the loss matrix has them
+        rows = sampling.inverse_prior_weights(train, TARGET).groupBy(TARGET).agg(F.first("weight").alias("w")).collect()
+        weights = tuple(float({r[TARGET]: r["w"] for r in rows}.get(c, 1.0)) for c in (0, 1))
+    numeric, nominal = _tree_inputs(prep)
+    model, nodes = tree.grow_cart(train, TARGET, "id", numeric, nominal, class_weights=weights, seed=SEED)
     path = tree.pruning_path(nodes)
-    counts = tree.leaf_counts(model, valid, TARGET)
+    counts = tree.cart_leaf_counts(model, valid, TARGET)
     return prep, model, nodes, path, tree.evaluate_path(nodes, path, counts)
 
 
@@ -151,18 +159,21 @@ def _path_rows(evals, chosen):
 
 def tree_fit(spark, sf_dir):
     """Tree at the default complexity 0.01: its rule table."""
-    prep, _, nodes, path, _ = _grown(spark, sf_dir)
+    _, model, nodes, path, _ = _grown(spark, sf_dir)
     sub = tree.at_cp(path, 0.01)
-    return _rows(spark, tree.rules(nodes, sub, prep.feature_columns()),
+    return _rows(spark, tree.cart_rules(model, nodes, sub),
                  "node int, rule string, n double, p_event double, pred_class int")
 
 
 def tree_cptable(spark, sf_dir):
     """Complexity table of the grown tree with 10-fold cross-validated error."""
-    _, train, _, _ = _frame(spark, sf_dir)
-    model, nodes = tree.grow(train, TARGET)
+    prep, train, _, _ = _frame(spark, sf_dir)
+    numeric, nominal = _tree_inputs(prep)
+    grow = functools.partial(tree.grow_cart, key="id", numeric=numeric, nominal=nominal)
+    model, nodes = grow(train, TARGET)
     path = tree.pruning_path(nodes)
-    rows = tree.cross_validated_path(train, TARGET, path, nodes, key="id", folds=10, seed=SEED)
+    rows = tree.cross_validated_path(train, TARGET, path, nodes, key="id", folds=10, seed=SEED, grow_fn=grow,
+                                     count_fn=tree.cart_leaf_counts)
     return _rows(spark, [(r["cp"], r["nsplit"], r["rel_error"], r["xerror"], r["xstd"]) for r in rows],
                  "cp double, nsplit int, rel_error double, xerror double, xstd double")
 
@@ -184,112 +195,129 @@ def tree_cost(spark, sf_dir):
 
 
 def tree_rules(spark, sf_dir):
-    prep, _, nodes, path, evals = _grown(spark, sf_dir)
+    _, model, nodes, path, evals = _grown(spark, sf_dir)
     best = tree.choose(evals, "valid_misclass")
-    return _rows(spark, tree.rules(nodes, path[best["index"]], prep.feature_columns()),
+    return _rows(spark, tree.cart_rules(model, nodes, path[best["index"]]),
                  "node int, rule string, n double, p_event double, pred_class int")
 
 
 def tree_importance(spark, sf_dir):
-    prep, model, _, _, _ = _grown(spark, sf_dir)
-    return _rows(spark, forest.importance_rows(model, prep.feature_columns()), "feature string, importance double")
+    _, model, _, _, _ = _grown(spark, sf_dir)
+    return _rows(spark, model.importance(), "feature string, importance double")
 
 
 def tree_ordinal(spark, sf_dir):
     """One input, as a nominal (categorical split) and as an ordinal rank (threshold split)."""
     split = sampling.stratified_split(mo(spark, sf_dir), TARGET, "id", (0.5,), ("train", "valid"), SEED)
-    d = StringIndexer(inputCol="status", outputCol="status_idx", stringOrderType="alphabetAsc").fit(split).transform(split)
-    d = d.withColumn("status_rank", fc.ordinal_rank("status", ["F", "P", "O"]).cast("double"))
+    d = split.withColumn("status_rank", fc.ordinal_rank("status", ["F", "P", "O"]).cast("double"))
     d = d.persist(StorageLevel.MEMORY_AND_DISK)
+    tr, va = d.filter(F.col("split") == "train"), d.filter(F.col("split") == "valid")
     out = []
-    for variant, col in (("nominal", "status_idx"), ("ordinal", "status_rank")):
-        v = VectorAssembler(inputCols=[col], outputCol="features").transform(d)
-        tr, va = v.filter(F.col("split") == "train"), v.filter(F.col("split") == "valid")
-        model, nodes = tree.grow(tr, TARGET, max_depth=4)
+    for variant, numeric, nominal in (("nominal", [], ["status"]), ("ordinal", ["status_rank"], [])):
+        model, nodes = tree.grow_cart(tr, TARGET, "id", numeric, nominal, seed=SEED)
         path = tree.pruning_path(nodes)
-        evals = tree.evaluate_path(nodes, path, tree.leaf_counts(model, va, TARGET))
-        best = tree.choose(evals)
+        best = tree.choose(tree.evaluate_path(nodes, path, tree.cart_leaf_counts(model, va, TARGET)))
         out.append((variant, len(nodes), best["n_leaves"], best["valid_misclass"]))
     return _rows(spark, out, "variant string, n_nodes int, n_leaves int, valid_misclass double")
 
 
 def surrogate_tree(spark, sf_dir):
     """Explain a forest by a tree fitted to the forest's own predictions; fidelity per subtree."""
-    prep, train, _, allp = _frame(spark, sf_dir)
-    rf = forest.fit_forest(train, TARGET, n_trees=30, mtry=3, seed=SEED)
-    pred = rf.transform(allp).select("id", "features", F.col("prediction").cast("int").alias("rf_pred"))
+    prep, _, _, allp = _frame(spark, sf_dir)
+    numeric, nominal = _tree_inputs(prep)
+    rf = _forest(spark, sf_dir)
+    pred = rf.transform(allp.select("id", *numeric, *nominal)).withColumn(
+        "rf_pred", (F.col("pred_prob") > 0.5).cast("int"))
+    pred = cut_lineage(pred)
     resplit = sampling.stratified_split(pred, "rf_pred", "id", (0.5,), ("train", "valid"), SEED + 1)
     resplit = resplit.persist(StorageLevel.MEMORY_AND_DISK)
     tr, va = resplit.filter(F.col("split") == "train"), resplit.filter(F.col("split") == "valid")
-    model, nodes = tree.grow(tr, "rf_pred")
+    model, nodes = tree.grow_cart(tr, "rf_pred", "id", numeric, nominal, seed=SEED)
     path = tree.pruning_path(nodes)
-    evals = tree.evaluate_path(nodes, path, tree.leaf_counts(model, va, "rf_pred"))
+    evals = tree.evaluate_path(nodes, path, tree.cart_leaf_counts(model, va, "rf_pred"))
     rows = [(e["index"], e["cp"], e["n_leaves"], 1.0 - e["valid_misclass"]) for e in evals]
     return _rows(spark, rows, "idx int, cp double, n_leaves int, fidelity double")
 
 
 # ---------------------------------------------------------------- forests
+_FORESTS: dict = {}    # paths and sizes of fitted forests; the trees are in the shared folder
+
+
+def _forest(spark, sf_dir, n_trees=500):
+    """Forest of unpruned trees on bootstrap samples of all training rows, fitted once per session and table."""
+    key = (spark.sparkContext.applicationId, sf_dir, n_trees)
+    if key not in _FORESTS:
+        prep, train, _, _ = _frame(spark, sf_dir)
+        numeric, nominal = _tree_inputs(prep)
+        _FORESTS[key] = bagging.fit(train, TARGET, "id", numeric, nominal, n_trees, mtry=3, seed=SEED)
+    return _FORESTS[key]
+
+
+def _minority(train, target) -> tuple[float, float]:
+    """Per-tree sample sizes: the size of the smaller class, of either class."""
+    n = train.groupBy(target).count().agg(F.min("count")).first()[0] or 0
+    return float(n), float(n)
+
+
 def forest_fit(spark, sf_dir):
-    _, train, valid, _ = _frame(spark, sf_dir)
-    rf = forest.fit_forest(train, TARGET, n_trees=50, mtry=3, seed=SEED)
-    scored = rf.transform(valid).select(F.col(TARGET).alias("actual"),
-                                        F.col("prediction").cast("int").alias("pred_class"))
+    _, _, valid, _ = _frame(spark, sf_dir)
+    rf = _forest(spark, sf_dir)
+    scored = rf.transform(valid.select(F.col(TARGET).alias("actual"), *rf.inputs.names)).select(
+        "actual", (F.col("pred_prob") > 0.5).cast("int").alias("pred_class"))
     return evaluate.with_rates(evaluate.confusion_counts(scored), D)
 
 
 def forest_by_ntrees(spark, sf_dir):
+    """Out-of-bag and validation error of the first k of 1,000 trees (R2)."""
     _, train, valid, _ = _frame(spark, sf_dir)
-    rf = forest.fit_forest(train, TARGET, n_trees=50, mtry=3, seed=SEED)
-    return forest.error_by_trees(rf, valid, TARGET, [1, 5, 10, 20, 30, 40, 50])
+    rf, ks = _forest(spark, sf_dir, 1000), [1, 5, 10, 20, 50, 100, 200, 500, 1000]
+    oob = bagging.oob_error(rf, train, TARGET, "id", ks).drop("rows")
+    valid_err = bagging.valid_error(rf, valid.select(TARGET, *rf.inputs.names), TARGET, ks).drop("rows")
+    return oob.join(valid_err, "n_trees")
 
 
 def forest_mtry(spark, sf_dir):
+    """Validation F1 of 201 trees on class-balanced samples for 2 to 5 inputs tried a split."""
     prep, train, valid, _ = _frame(spark, sf_dir)
-    p = len(prep.feature_columns())
-    grid = sorted({1, 2, 3, max(1, int(math.sqrt(p))), p // 2, p})
-    (best_m, best_f1, _), results = forest.tune_mtry(train, valid, TARGET, [g for g in grid if g >= 1], n_trees=30,
-                                                      seed=SEED)
-    return _rows(spark, [(m, f, m == best_m) for m, f in results], "mtry int, valid_f1 double, chosen boolean")
+    numeric, nominal = _tree_inputs(prep)
+    rows = bagging.tune_mtry(train, valid, TARGET, "id", numeric, nominal, range(2, 6), 201, seed=SEED,
+                             sample_sizes=_minority(train, TARGET))
+    best = min(rows, key=lambda r: (-r[1], r[0]))[0]
+    return _rows(spark, [(m, f, m == best) for m, f in rows], "mtry int, valid_f1 double, chosen boolean")
 
 
 def forest_importance(spark, sf_dir):
-    prep, train, _, _ = _frame(spark, sf_dir)
-    rf = forest.fit_forest(train, TARGET, n_trees=50, mtry=3, seed=SEED)
-    return _rows(spark, forest.importance_rows(rf, prep.feature_columns()), "feature string, importance double")
+    rf = _forest(spark, sf_dir)
+    return bagging.gini_importance(rf, spark).orderBy(F.desc("importance"), "feature")
 
 
 def forest_permutation_importance(spark, sf_dir):
-    """Accuracy drop on validation rows when each input column is permuted."""
-    prep, train, valid, _ = _frame(spark, sf_dir)
-    rf = forest.fit_forest(train, TARGET, n_trees=30, mtry=3, seed=SEED)
-    rows = forest.permutation_importance(rf, valid.select("id", TARGET, *prep.feature_columns(), "features"),
-                                         TARGET, prep.feature_columns(), "id", seed=SEED)
-    return _rows(spark, rows, "feature string, accuracy_drop double")
+    """Mean loss of out-of-bag accuracy when an input's values are exchanged between rows."""
+    _, train, _, _ = _frame(spark, sf_dir)
+    rf = _forest(spark, sf_dir)
+    return bagging.oob_permutation_importance(rf, train, TARGET, "id", seed=SEED).orderBy(
+        F.desc("accuracy_drop"), "feature")
 
 
 def forest_balanced(spark, sf_dir):
-    """Imbalanced target (toxic documents): class-balanced forest by inverse-prior weights (M5)."""
+    """Imbalanced target (toxic documents): 500 trees on plain samples, with inverse-prior weights, and on
+    samples of the minority's size from either class (M5)."""
     docs = mining_docs(spark, sf_dir)
     split = sampling.stratified_split(docs, "toxic", "id", (0.5,), ("train", "valid"), SEED)
     prep = FittedPrep.fit(split, ["n_chars"], ["lang", "source"], where=F.col("split") == "train")
-    d = VectorAssembler(inputCols=prep.feature_columns(), outputCol="features").transform(prep.transform(split))
-    d = sampling.inverse_prior_weights(d, "toxic").persist(StorageLevel.MEMORY_AND_DISK)
+    d = prep.transform(split).persist(StorageLevel.MEMORY_AND_DISK)
     tr, va = d.filter(F.col("split") == "train"), d.filter(F.col("split") == "valid")
+    have = {r["toxic"]: r["count"] for r in tr.groupBy("toxic").count().collect()}
+    total = sum(have.values())
+    priors = tuple(total / have[c] if have.get(c) else 1.0 for c in (0, 1))
     out = []
-
-    def record(variant, scored):
+    for variant, extra in (("plain", {}), ("weighted", {"class_weights": priors}),
+                           ("balanced_samples", {"sample_sizes": _minority(tr, "toxic")})):
+        rf = bagging.fit(tr, "toxic", "id", ["n_chars"], ["lang", "source"], 500, seed=SEED, **extra)
+        scored = rf.transform(va.select(F.col("toxic").alias("actual"), *rf.inputs.names)).select(
+            "actual", fc.cutoff_class("pred_prob", 0.5, strict=True).alias("pred_class"))
         row = evaluate.with_rates(evaluate.confusion_counts(scored), D).first()
         out.append((variant, row["tp"], row["fp"], row["fn"], row["tn"], row["f1"]))
-
-    for variant, w in (("plain", None), ("weighted", "weight")):
-        rf = forest.fit_forest(tr, "toxic", n_trees=50, mtry="sqrt", weight_col=w, seed=SEED)
-        record(variant, rf.transform(va).select(F.col("toxic").alias("actual"),
-                                                F.col("prediction").cast("int").alias("pred_class")))
-    # Every tree on a class-balanced sample: forests on seeded down-samples, probabilities averaged.
-    models = forest.balanced_ensemble(tr, "toxic", "id", n_models=5, trees_per_model=10, mtry="sqrt", seed=SEED)
-    ens = forest.ensemble_probability(models, va)
-    record("balanced_samples", ens.select(F.col("toxic").alias("actual"),
-                                          fc.cutoff_class("pred_prob", 0.5, strict=True).alias("pred_class")))
     return _rows(spark, out, "variant string, tp long, fp long, fn long, tn long, f1 double")
 
 
@@ -339,9 +367,8 @@ def score_logit(spark, sf_dir):
 
 
 def score_forest(spark, sf_dir):
-    prep, train, _, _ = _frame(spark, sf_dir)
-    rf = forest.fit_forest(train, TARGET, n_trees=50, mtry=3, seed=SEED)
-    pipe = ScoringPipeline(prep, prep.feature_columns(), "spark", cutoff=0.5, strict=True, model=rf)
+    prep, _, _, _ = _frame(spark, sf_dir)
+    pipe = ScoringPipeline(prep, prep.feature_columns(), "forest", cutoff=0.5, strict=True, model=_forest(spark, sf_dir))
     return _score_roundtrip(spark, sf_dir, pipe, "forest")
 
 
@@ -402,10 +429,10 @@ def score_forest_clean(spark, sf_dir):
     num = ["totalprice", "status_rank", "multi_lines", "bal_pos", "size_score"]
     prep = FittedPrep.fit(d, num, ["segment_grp"], where=F.col("split") == "train",
                           flag_candidates=["multi_lines", "bal_pos"])
-    x = VectorAssembler(inputCols=prep.feature_columns(), outputCol="features").transform(
-        prep.transform(d.filter(F.col("split") == "train")))
-    rf = forest.fit_forest(x, TARGET, n_trees=50, mtry=3, seed=SEED)
-    pipe = ScoringPipeline(prep, prep.feature_columns(), "spark", cutoff=0.5, strict=True, model=rf)
+    train = prep.transform(d.filter(F.col("split") == "train"))
+    numeric, nominal = _tree_inputs(prep)
+    rf = bagging.fit(train, TARGET, "id", numeric, nominal, 500, mtry=3, sample_sizes=_minority(train, TARGET), seed=SEED)
+    pipe = ScoringPipeline(prep, prep.feature_columns(), "forest", cutoff=0.5, strict=True, model=rf)
     path = _bundle_path(spark, "forest-clean")
     save_bundle(spark, pipe, path)
     scored = load_bundle(spark, path).transform(_clean(mo(spark, sf_dir)))

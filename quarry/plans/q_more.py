@@ -128,14 +128,11 @@ def anova_pvalues(spark, sf_dir):
 
 def tree_predict(spark, sf_dir):
     """Class and P(event) of validation rows from the pruned tree chosen on validation."""
-    from quarry.plans.q_models import _frame, TARGET
-    prep, train, valid, _ = _frame(spark, sf_dir)
-    model, nodes = tree.grow(train, TARGET)
-    path = tree.pruning_path(nodes)
-    evals = tree.evaluate_path(nodes, path, tree.leaf_counts(model, valid, TARGET))
+    from quarry.plans.q_models import TARGET, _frame, _grown
+    _, model, nodes, path, evals = _grown(spark, sf_dir)
+    _, _, valid, _ = _frame(spark, sf_dir)
     best = path[tree.choose(evals)["index"]]
-    scores = tree.pruned_scores(nodes, best)
-    scored = model.transform(valid).withColumn("pred_prob", tree.prob_column(scores))
+    scored = model.with_probability(valid.select("id", TARGET, *model.inputs.names), nodes, best)
     return scored.select("id", TARGET, "pred_prob",
                          (F.col("pred_prob") > 0.5).cast("int").alias("pred_class"))
 

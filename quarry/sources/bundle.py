@@ -7,6 +7,7 @@ import json
 
 from pyspark.sql import SparkSession
 
+from quarry.operators.bagging import Forest
 from quarry.operators.prep import FittedPrep
 from quarry.operators.scoring import ScoringPipeline
 
@@ -14,7 +15,9 @@ from quarry.operators.scoring import ScoringPipeline
 def save_bundle(spark: SparkSession, pipe: ScoringPipeline, path: str) -> None:
     spark.createDataFrame([(pipe.params_json(),)], "params string").coalesce(1).write.mode(
         "overwrite").text(f"{path}/params")
-    if pipe.model is not None:
+    if pipe.kind == "forest":
+        pipe.model.save(spark, f"{path}/model")
+    elif pipe.model is not None:
         pipe.model.write().overwrite().save(f"{path}/model")
 
 
@@ -22,7 +25,9 @@ def load_bundle(spark: SparkSession, path: str) -> ScoringPipeline:
     text = spark.read.text(f"{path}/params").first()[0]
     p = json.loads(text)
     model = None
-    if p["model_class"]:
+    if p["kind"] == "forest":
+        model = Forest.load(spark, f"{path}/model")
+    elif p["model_class"]:
         import pyspark.ml.classification as cls
         import pyspark.ml.regression as reg
         klass = getattr(cls, p["model_class"], None) or getattr(reg, p["model_class"])
