@@ -148,7 +148,7 @@ def add_dummies(df: DataFrame, levels: dict[str, list], full_rank: bool = True)
 
 def products(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     """Interaction (a*b) and square (a*a) terms named `a_x_b`."""
-    return df.select("*", *[(F.col(a) * F.col(b)).alias(f"{a}_x_{b}") for a, b in pairs])
+    return df.select("*", *[(named(a) * named(b)).alias(f"{a}_x_{b}") for a, b in pairs])
 
 
 def all_pairs(cols: Sequence[str]) -> list[tuple[str, str]]:

@@ -14,7 +14,7 @@ from quarry.functions import columns as fc
 from quarry.operators import bagging, evaluate, logistic, mlp, sampling, tree
 from quarry.operators.prep import FittedPrep
 from quarry.operators.scoring import ScoringPipeline
-from quarry.operators.transforms import FLAG_SUFFIX
+from quarry.operators.transforms import FLAG_SUFFIX, products
 from quarry.plans.common import mo, with_mo
 from quarry.plans.fixtures import mining_docs, split_sql
 from quarry.session import cut_lineage, ensure_checkpoint_dir
@@ -85,7 +85,7 @@ _STEP_SCHEMA = "step int, action string, term string, criterion double"
 
 def _step(spark, sf_dir, direction, k=None):
     prep, train, _, _ = _frame(spark, sf_dir)
-    _, steps = logistic.stepwise(train, TARGET, prep.terms(), direction, k)
+    _, steps = logistic.stepwise(train, TARGET, prep.terms(), direction, k, final=False)
     return _rows(spark, steps, _STEP_SCHEMA)
 
 
@@ -102,16 +102,16 @@ def logit_step_both(spark, sf_dir):
 
 
 def logit_poly(spark, sf_dir):
-    """Main effects + interaction and square terms, then stepwise (BIC) from the selected main effects."""
+    """All pairs of the backward-selected terms (nominal ones included), then backward again (BIC); a main
+    term goes only after the interactions that hold it."""
     prep, train, _, _ = _frame(spark, sf_dir)
-    extra = {"totalprice_x_bal": ("totalprice", "bal"), "totalprice_x_totalprice": ("totalprice", "totalprice"),
-             "bal_x_bal": ("bal", "bal")}
-    t = train
-    for name, (a, b) in extra.items():
-        t = t.withColumn(name, F.col(a) * F.col(b))
-    terms = {**prep.terms(), **{n: [n] for n in extra}}
-    first, _ = logistic.stepwise(t, TARGET, prep.terms(), "both")
-    _, steps = logistic.stepwise(t, TARGET, terms, "both", start=first.terms)
+    chosen, _ = logistic.stepwise(train, TARGET, prep.terms(), "backward", final=False)
+    main = {t: prep.terms()[t] for t in chosen}
+    pairs, parts = logistic.interaction_terms(main)
+    columns = [pair for term in pairs.values() for pair in term]
+    wide = products(train.select(TARGET, *[c for t in main.values() for c in t]), columns)
+    terms = main | {t: [f"{a}_x_{b}" for a, b in term] for t, term in pairs.items()}
+    _, steps = logistic.stepwise(wide, TARGET, terms, "backward", parts=parts, final=False)
     return _rows(spark, steps, _STEP_SCHEMA)
 
 
