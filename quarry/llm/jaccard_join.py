@@ -408,10 +408,13 @@ def keep_one_per_class(docs: DataFrame, threshold: float = THRESHOLD, size: int
     in id and text one stays."""
     found = near_duplicates(docs, threshold, size, key, text)
     first = found.filter(F.col("id").eqNullSafe(F.col("class_id")) & (F.col("th") == F.col("class_th"))).select(
-        F.col("id").alias("__id"), F.col("th").alias("__th")).distinct()
+        "id", "th").distinct()
     first = materialize(first, "first")
-    rows = docs.withColumn("__hash", F.xxhash64(F.col(f"`{text}`")))
-    kept = rows.join(first.hint("merge"), rows[f"`{key}`"].eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__th")))
-    order = Window.partitionBy("__id", "__th").orderBy(F.lit(0))
-    return kept.withColumn("__no", F.row_number().over(order)).filter("__no = 1").select(
-        *[F.col(f"`{c}`") for c in docs.columns])
+    # All columns but the text travel in one struct, so no name of theirs can clash.
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text]).alias("row"),
+                       F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"),
+                       F.xxhash64(F.col(f"`{text}`")).alias("hash"))
+    kept = rows.join(first.hint("merge"), F.col("key").eqNullSafe(F.col("id")) & (F.col("hash") == F.col("th")))
+    order = Window.partitionBy("id", "th").orderBy(F.lit(0))
+    return kept.withColumn("no", F.row_number().over(order)).filter("no = 1").select(
+        *[F.col("text").alias(c) if c == text else F.col(f"row.`{c}`") for c in docs.columns])

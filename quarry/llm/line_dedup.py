@@ -134,39 +134,54 @@ def suffix_array(docs: DataFrame, depth: int, key: str = "doc_id", text: str = "
     return ranks.select("pos", "rank")
 
 
-def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """`docs` with the later copies of repeated runs deleted from `text`, plus __removed: the number
-    of lines deleted (0 for untouched rows), and __left: whether any line with a word is left."""
+def _dedup(docs: DataFrame, min_words: int, key: str, text: str) -> DataFrame:
+    """`row` (all columns but the text), `text` without the later copies, `removed` (lines deleted) and `left`
+    (whether any line with a word is left). Columns travel in one struct, so no name of theirs can clash."""
     sequences = line_sequences(docs, key, text)
     copies = later_copies(sequences, min_words).select(F.explode(F.sequence("pos", F.col("pos") + F.col("m") - 1)).alias("pos"))
     lines = sequences.select("id", "th", "start", F.posexplode("lines").alias("i", "x")).select(
         (F.col("start") + F.col("i")).alias("pos"), "id", "th", "x.no")
-    gone = lines.join(copies.distinct(), "pos").groupBy("id", "th").agg(F.sort_array(F.collect_list("no")).alias("__gone"))
-    gone = materialize(gone, "gone").select(F.col("id").alias("__id"), F.col("th").alias("__th"), "__gone")
-    rows = docs.withColumn("__hash", _text_hash(F.col(f"`{text}`")))
+    gone = lines.join(copies.distinct(), "pos").groupBy("id", "th").agg(F.sort_array(F.collect_list("no")).alias("gone"))
+    gone = materialize(gone, "gone")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text]).alias("row"),
+                       F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"),
+                       _text_hash(F.col(f"`{text}`")).alias("hash"))
     # Always a shuffled join: the deletions grow with the corpus, so no size of it is broadcast.
-    joined = rows.join(gone.hint("merge"), rows[f"`{key}`"].eqNullSafe(gone["__id"]) & (F.col("__hash") == F.col("__th")), "left")
+    joined = rows.join(gone.hint("merge"), F.col("key").eqNullSafe(F.col("id")) & (F.col("hash") == F.col("th")), "left")
 
     def keep(t: Column) -> Column:
         # Deleted numbers are sorted, so one walk compares both lists.
         lines = F.split(t, "\n", -1)
-        left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__gone"))
+        left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("gone"))
         return F.transform(F.array(lines), lambda x: F.array_join(F.transform(left, lambda i: F.get(x, i)), "\n"))[0]
 
-    column = F.col(f"`{text}`")
-    out = joined.withColumn("__removed", F.coalesce(F.size("__gone"), F.lit(0))).withColumn(
-        text, F.when(F.col("__gone").isNull(), column).otherwise(keep(column)))
-    return out.withColumn("__left", F.translate(F.coalesce(column, F.lit("")), SPACES, "") != "").drop(
-        "__hash", "__id", "__th", "__gone")
+    text_left = F.when(F.col("gone").isNull(), F.col("text")).otherwise(keep(F.col("text")))
+    out = joined.select("row", text_left.alias("text"), F.coalesce(F.size("gone"), F.lit(0)).alias("removed"))
+    return out.withColumn("left", F.translate(F.coalesce(F.col("text"), F.lit("")), SPACES, "") != "")
+
+
+def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """`docs` with the later copies of repeated runs deleted from `text`, plus __removed: the number
+    of lines deleted (0 for untouched rows), and __left: whether any line with a word is left. Columns of `docs`
+    with these two names are replaced; no other name has a meaning."""
+    names = [c for c in docs.columns if c not in ("__removed", "__left")]
+    return _dedup(docs, min_words, key, text).select(
+        *[F.col("text").alias(c) if c == text else F.col(f"row.`{c}`") for c in names],
+        F.col("removed").alias("__removed"), F.col("left").alias("__left"))
 
 
 def drop_repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, key: str = "doc_id", text: str = "text",
                         length: str = "n_chars") -> DataFrame:
     """`docs` with the same columns, without the later copies of repeated runs. Documents that lose
     all their lines go: all they held stands elsewhere. `length`, if there, is kept up to date."""
-    out = dedup_lines(docs, min_words, key, text)
-    if length in docs.columns:
+    def column(name: str) -> Column:
+        if name == text:
+            return F.col("text").alias(name)
+        own = F.col(f"row.`{name}`")
+        if name != length:
+            return own
         kind = docs.schema[length].dataType
-        out = out.withColumn(length, F.when(F.col("__removed") > 0, F.length(F.col(f"`{text}`")).cast(kind)).otherwise(
-            F.col(f"`{length}`")))
-    return out.filter((F.col("__removed") == 0) | F.col("__left")).select(*[F.col(f"`{c}`") for c in docs.columns])
+        return F.when(F.col("removed") > 0, F.length("text").cast(kind)).otherwise(own).alias(name)
+
+    out = _dedup(docs, min_words, key, text)
+    return out.filter((F.col("removed") == 0) | F.col("left")).select(*map(column, docs.columns))

@@ -5,7 +5,7 @@ counted: one from trusted documents, one from the whole corpus. A document's sco
 its n-grams of log p_trusted - log p_corpus; documents below a fixed threshold go.
 
 Cases: null, empty and blank texts have no words, fail the base rules and score 0; without trusted
-documents both multinomials are uniform in effect and every score is computed the same way; repeated
+documents there is nothing to compare with: every score is 0 and the base rules decide alone; repeated
 rows are counted and judged one by one; null ids are judged, but can't be trusted; an empty table
 gives an empty result; only the named columns are read. Words are compared by 64-bit hashes.
 """
@@ -109,13 +109,16 @@ def fit_ratio(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, smoot
     corpus, good = [0] * buckets, [0] * buckets
     for row in counts:
         corpus[row["bucket"]], good[row["bucket"]] = row["corpus"], row["trusted"]
+    if not sum(good):
+        return [0.0] * buckets
     shift = math.log(sum(corpus) + smoothing * buckets) - math.log(sum(good) + smoothing * buckets)
     return [math.log(g + smoothing) - math.log(c + smoothing) + shift for g, c in zip(good, corpus, strict=True)]
 
 
 def quality(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, threshold: float = THRESHOLD,
             smoothing: float = SMOOTHING, whole: bool = False) -> DataFrame:
-    """doc_id, the base counts, base_failed, score and kept. Two scans, one small aggregation."""
+    """doc_id, the base counts, base_failed, score and kept. The texts are read for the
+    trusted counts (a shuffled join by id), and once more to be judged."""
     ratio = fit_ratio(docs, trusted_ids(labels), buckets, smoothing)
     # A text that the optimiser folds into one literal array, looked up by position.
     table = F.split(F.lit(",".join(map(repr, ratio))), ",").cast("array<double>")

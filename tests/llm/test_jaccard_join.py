@@ -171,3 +171,14 @@ def test_runs_meet_the_recall_with_all_splits():
     assert J.runs_needed(0.99, 0.8, J.DEPTH) < J.runs_needed(0.999, 0.8, J.DEPTH)
     with pytest.raises(ValueError):
         J.runs_needed(1.0, 0.8, J.DEPTH)
+
+
+def test_columns_of_any_name_come_through_the_stage(spark):
+    names = ["__hash", "__id", "__th", "__no", "row", "key", "hash", "id", "th", "no"]
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = [(i, t, *[f"{n}{i}" for n in names]) for i, t in enumerate([text, text + " w40", "other words", None])]
+    df = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"`{n}` string" for n in names))
+    out = J.keep_one_per_class(df)
+    assert out.columns == df.columns
+    got = {r.doc_id: r for r in out.collect()}
+    assert set(got) == {0, 2, 3} and all(got[i][n] == f"{n}{i}" for i in got for n in names)

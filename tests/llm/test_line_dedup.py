@@ -84,3 +84,18 @@ def test_edge_cases(spark, docs):
 def test_no_python_in_the_plan(spark, docs):
     plan = L.dedup_lines(docs(["a\nb", "a\nb"]), 2)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_columns_of_any_name_come_through(spark):
+    run = "\n".join(f"line {i} " + "word " * 20 for i in range(4))
+    names = ["__hash", "__id", "__th", "__gone", "__removed", "__left", "row", "key", "hash", "id", "th", "gone", "removed", "left"]
+    rows = [(i, f"{t}", 7, *[f"{n}{i}" for n in names]) for i, t in enumerate([run, f"own {run}", f"mine\n{run}", None])]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n_chars long, " + ", ".join(f"`{n}` string" for n in names))
+    out = L.drop_repeated_lines(df)
+    assert out.columns == df.columns
+    got = {r.doc_id: r for r in out.collect()}
+    assert got[2].text == "mine" and got[2].n_chars == 4 and got[0].n_chars == 7
+    assert all(got[i][n] == f"{n}{i}" for i in got for n in names)
+    found = L.dedup_lines(df)
+    assert found.columns == [c for c in df.columns if c not in ("__removed", "__left")] + ["__removed", "__left"]
+    assert {r.doc_id: r["__removed"] for r in found.collect()}[2] == 4

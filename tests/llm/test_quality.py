@@ -99,3 +99,11 @@ def test_no_python_in_the_plan(spark, docs):
 def test_every_trusted_document_counts(spark):
     labels = spark.range(20_000).selectExpr("id AS doc_id", "1 AS quality", "0 AS toxic")
     assert Q.trusted_ids(labels).count() == 20_000
+
+
+def test_without_trusted_documents_the_base_rules_decide(spark, docs):
+    good = " ".join(f"word{i}" for i in range(40))
+    df = docs([(1, good), (2, good + " and more"), (3, "too short"), (4, None), (5, "same words here again " * 30)])
+    none = spark.createDataFrame([(1, 0, 0), (None, 1, 0)], "doc_id long, quality int, toxic int")
+    got = {r.doc_id: (r.score, r.kept) for r in Q.quality(df, none).collect()}
+    assert got == {1: (0.0, True), 2: (0.0, True), 3: (0.0, False), 4: (0.0, False), 5: (0.0, False)}
