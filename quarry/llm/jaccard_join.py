@@ -3,7 +3,8 @@
 Texts with equal shingle sets are one member. Each run splits the members by a sampled shared shingle
 (the one with the lowest hash of that run). Buckets above `BUCKET` members split again on further
 sampled shingles, some on two, after its members like a leader are linked to that leader; small buckets
-are compared by brute force on sketches. Every run has sampled orders of its own for all its splits, so
+are compared by brute force on sketches. A large bucket whose members already hang together is not
+split: the exact step compares all of them anyway. Only members of the others get orders to split on. Every run has sampled orders of its own for all its splits, so
 runs are independent. Runs repeat until a pair at the threshold is found with probability `RECALL` even
 if all its buckets stay large (`runs_needed`). Buckets that `DEPTH` splits leave large are taken as
 candidates whole. A member leaves a run early only if its partners are sure to be linked to the same
@@ -25,7 +26,6 @@ from __future__ import annotations
 import hashlib
 import itertools
 import math
-import re
 from collections.abc import Callable, Iterator
 from fractions import Fraction
 
@@ -35,7 +35,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.common import WORD, materialize, per_worker
+from quarry.llm.common import materialize, per_worker
+from quarry.llm.spans import hash_spans, pad, text_blocks, word_spans
 
 SIZE, THRESHOLD = 5, 0.8
 #: Probability to find a pair whose similarity is the threshold; pairs above it are found more often.
@@ -49,7 +50,10 @@ WAYS = 4
 SETTLED = 0.875
 #: Members, and shingles, of a block of the exact step.
 BLOCK_MEMBERS, BLOCK_SHINGLES = 2048, 1_000_000
-_MIX = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
+#: Rows of a square matrix of the exact step that are worked on at a time.
+CHUNK = 512
+_MIX = np.uint64(0xBF58476D1CE4E5B9)
+_GAP = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 
 
 def near_share(threshold: float) -> float:
@@ -93,39 +97,34 @@ NEAR, RUNS = near_share(THRESHOLD), runs_needed(RECALL, THRESHOLD, DEPTH)
 
 
 class Shingler:
-    """Sorted distinct 64-bit shingle hashes of a text; remembers at most `limit` word hashes. `orders`
-    is the length of a sketch."""
+    """Sorted distinct 64-bit shingle hashes of texts, and their sketches of `orders` sampled orders."""
 
-    def __init__(self, size: int, limit: int = 400_000, orders: int = RUNS + SKETCH):
-        self.size, self.limit = size, limit
-        self.words, self.known = re.compile(WORD).findall, {}
+    def __init__(self, size: int, orders: int = RUNS + SKETCH):
+        self.size = size
         rng = np.random.default_rng(11)
         self.spread = rng.integers(1, 1 << 63, size, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         self.scale = rng.integers(0, 1 << 31, orders, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
         self.shift = rng.integers(0, 1 << 32, orders, dtype=np.uint32)
         self.room = np.empty((256, orders), np.uint32)
 
-    def shingles(self, text: str | None) -> np.ndarray:
-        words = self.words(text or "")
-        if not words:
-            return np.empty(0, np.uint64)
-        missing = set(words).difference(self.known)
-        if len(self.known) + len(missing) > self.limit:
-            self.known.clear()
-            missing = set(words)
-        for w in missing:
-            self.known[w] = xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass"))
-        ids = np.fromiter(map(self.known.__getitem__, words), np.uint64, len(words))
-        if len(ids) < self.size:
-            return np.array([xxhash.xxh64_intdigest(ids.tobytes(), 1)], np.uint64)
-        n = len(ids) - self.size + 1
-        out = np.zeros(n, np.uint64)
-        for k in range(self.size):
-            out += ids[k:k + n] * self.spread[k]
-            out ^= out >> np.uint64(29)
-        out *= np.uint64(_MIX[1])
-        out ^= out >> np.uint64(32)
-        return np.unique(out)
+    def sets(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """The shingles of every text, from one pass over the bytes of a block of texts."""
+        for _, data, edges in text_blocks(texts):
+            starts, sizes, owner = word_spans(_GAP[data], edges)
+            ids = hash_spans(pad(data), starts, sizes)
+            first = np.searchsorted(owner, np.arange(len(edges)))
+            n = max(len(ids) - self.size + 1, 0)
+            found = np.zeros(n, np.uint64)
+            for k in range(self.size):
+                found += ids[k:k + n] * self.spread[k]
+                found ^= found >> np.uint64(29)
+            found *= _MIX
+            found ^= found >> np.uint64(32)
+            for a, b in itertools.pairwise(first.tolist()):
+                if b - a >= self.size:
+                    yield np.unique(found[a:b - self.size + 1])
+                else:
+                    yield np.array([xxhash.xxh64_intdigest(ids[a:b].tobytes(), 1)] * (b > a), np.uint64)
 
     def sketch(self, shingles: np.ndarray) -> np.ndarray:
         """Lowest hash of each of the sampled orders (32 bits)."""
@@ -139,40 +138,65 @@ class Shingler:
 
 
 def _shingler(size: int, orders: int = RUNS + SKETCH) -> Shingler:
-    return per_worker(f"shingles{orders}", str(size), lambda: Shingler(size, orders=orders))
+    return per_worker("shingles", f"{size} {orders}", lambda: Shingler(size, orders))
 
 
 def sketches(docs: DataFrame, size: int = SIZE, key: str = "doc_id", text: str = "text",
-             threshold: float = THRESHOLD, recall: float | None = None) -> DataFrame:
+             threshold: float = THRESHOLD, recall: float | None = None, splits: bool = True) -> DataFrame:
     """One row per row: id, th (text hash), member (128-bit name of the shingle set), n (shingles),
-    firsts (the runs' first shingles), sketch (bytes to compare) and splits (bytes to split on, `WAYS`
-    for every run and split)."""
+    firsts (the runs' first shingles), sketch (bytes to compare) and, if wanted, splits (bytes to split
+    on, `WAYS` for every run and split)."""
     runs = runs_needed(RECALL if recall is None else recall, threshold, DEPTH)
-    start, orders = runs + SKETCH, runs + SKETCH + runs * DEPTH * WAYS
+    start = runs + SKETCH
+    orders = start + splits * runs * DEPTH * WAYS
     source = docs.select(F.col(f"`{key}`").alias("id"), F.xxhash64(F.col(f"`{text}`")).alias("th"),
                          F.col(f"`{text}`").alias("text"))
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = _shingler(size, orders)
         for batch in batches:
-            names, sizes, firsts, bytes_, splits = [], [], [], [], []
-            for value in batch.column(2):
-                found = shingler.shingles(value.as_py())
-                low = shingler.sketch(found)
+            names, sizes, lows = [], [], np.empty((len(batch), orders), np.uint32)
+            for low, found in zip(lows, shingler.sets(batch.column(2))):
+                low[:] = shingler.sketch(found)
                 names.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest())
                 sizes.append(len(found))
-                firsts.append(low[:runs].astype(np.int64))
-                bytes_.append(low[runs:start].astype(np.uint8).tobytes())
-                splits.append(low[start:].astype(np.uint8).tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(names, pa.binary()), pa.array(sizes, pa.int64()),
-                 pa.array(firsts, pa.list_(pa.int64())), pa.array(bytes_, pa.binary()), pa.array(splits, pa.binary())],
-                ["id", "th", "member", "n", "firsts", "sketch", "splits"])
+            firsts = pa.ListArray.from_arrays(pa.array(np.arange(len(batch) + 1, dtype=np.int32) * runs),
+                                              pa.array(lows[:, :runs].astype(np.int64).ravel()))
+            out = {"id": batch.column(0), "th": batch.column(1), "member": pa.array(names, pa.binary()),
+                   "n": pa.array(sizes, pa.int64()), "firsts": firsts,
+                   "sketch": pa.array([x.tobytes() for x in lows[:, runs:start].astype(np.uint8)], pa.binary())}
+            if splits:
+                out["splits"] = pa.array([x.tobytes() for x in lows[:, start:].astype(np.uint8)], pa.binary())
+            yield pa.RecordBatch.from_pydict(out)
 
     id_type = source.schema["id"].dataType.simpleString()
     return materialize(source.mapInArrow(
-        sketch, f"id {id_type}, th long, member binary, n long, firsts array<long>, sketch binary, splits binary"),
-        "sketches")
+        sketch, f"id {id_type}, th long, member binary, n long, firsts array<long>, sketch binary"
+        + ", splits binary" * splits), "sketches")
+
+
+def _texts_of(docs: DataFrame, members: DataFrame, key: str, text: str) -> DataFrame:
+    """The representative's text (first column) and all columns of `members`. A row equal to the
+    representative in id and text may stand there more than once.
+
+    Always a shuffled join: the members grow with the corpus."""
+    rows = docs.select(F.col(f"`{key}`").alias("id"), F.xxhash64(F.col(f"`{text}`")).alias("th"), F.col(f"`{text}`").alias("text"))
+    return rows.join(members.hint("merge"), rows["id"].eqNullSafe(F.col("rep.id")) & (rows["th"] == F.col("rep.th"))).select(
+        "text", *members.columns)
+
+
+def split_bytes(docs: DataFrame, members: DataFrame, size: int, key: str, text: str, runs: int) -> DataFrame:
+    """(member, splits) of `members` (member, rep), as in `sketches`."""
+    start, orders = runs + SKETCH, runs + SKETCH + runs * DEPTH * WAYS
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler = _shingler(size, orders)
+        for batch in batches:
+            found = [shingler.sketch(x)[start:].astype(np.uint8).tobytes() for x in shingler.sets(batch.column(0))]
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(found, pa.binary())], ["member", "splits"])
+
+    texts = _texts_of(docs, members, key, text).select("text", "member")
+    return materialize(texts.mapInArrow(split, "member binary, splits binary"), "splits").dropDuplicates(["member"])
 
 
 def _groups(rows: DataFrame, key: str, schema: str, work: Callable[[pa.Table], dict | None]) -> DataFrame:
@@ -218,10 +242,11 @@ def _near_edges(near: float) -> Callable[[pa.Table], dict | None]:
 
 def _components(linked: np.ndarray) -> np.ndarray:
     """Lowest index of each index's component under a symmetric boolean matrix."""
-    label = np.arange(len(linked))
+    label = np.arange(len(linked), dtype=np.int32)
     np.fill_diagonal(linked, True)
     while True:
-        new = np.where(linked, label[None, :], len(label)).min(axis=1)
+        new = np.concatenate([np.where(linked[i:i + CHUNK], label[None, :], np.int32(len(label))).min(axis=1)
+                              for i in range(0, len(label), CHUNK)])
         new = new[new]
         if (new == label).all():
             return label
@@ -234,22 +259,26 @@ def _alike(a: Column, b: Column) -> Column:
     return F.size(F.filter(places, lambda i: F.substring(a, i, F.lit(1)) == F.substring(b, i, F.lit(1))))
 
 
-def candidate_edges(members: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def candidate_edges(members: DataFrame, threshold: float = THRESHOLD,
+                    splits: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """(a, b): edges that connect the candidates, from all runs' buckets. Linear in the members.
 
+    `splits` gives (member, splits) for a table of the members (member) that split on; without it
+    `members` has the column.
+
     Differing bytes obey the triangle inequality: of a member with a share of `SETTLED` bytes equal to
     the leader's, all that are near it have `SETTLED + near - 1` or more. Those are linked to the leader,
-    so the member may leave the run without the loss of a partner."""
+    so the member may leave the run without the loss of a partner. A bucket inside one component of the
+    links of the unsplit buckets has no pair to add to it, so it is not looked at any more."""
     near = near_share(threshold)
-    rows = members.select("member", "sketch", "splits", F.posexplode("firsts").alias("run", "v")).select(
-        F.xxhash64("run", "v").alias("path"), "member", "sketch",
-        F.expr(f"substring(splits, run * {DEPTH * WAYS} + 1, {DEPTH * WAYS})").alias("splits"))
-    found = None
+    rows = members.select("member", "sketch", F.posexplode("firsts").alias("run", "v")).select(
+        F.xxhash64("run", "v").alias("path"), "member", "sketch", "run", F.col("member").alias("label"))
+    found, carried = None, ["path", "member", "sketch", "run", "label"]
     for depth in range(DEPTH + 1):
         leader = F.min(F.struct(F.xxhash64("path", "member").alias("h"), "member")).alias("leader")
-        sizes = materialize(rows.groupBy("path").agg(F.count("*").alias("c"), leader).filter("c > 1"), "buckets")
-        rows = materialize(rows.join(sizes, "path").select(
-            "path", "member", "sketch", "splits", "c", F.col("leader.member").alias("b")), "paths")
+        sizes = rows.groupBy("path").agg(F.count("*").alias("c"), leader, F.min("label").alias("low"), F.max("label").alias("high"))
+        sizes = materialize(sizes.filter("low < high").drop("low", "high"), "buckets")
+        rows = materialize(rows.join(sizes, "path").select(*carried, "c", F.col("leader.member").alias("b")), "paths")
         small = _groups(rows.filter(F.col("c") <= BUCKET).select("path", "member", "sketch"), "path",
                         "a binary, b binary", _near_edges(near))
         large = rows.filter(F.col("c") > BUCKET)
@@ -263,11 +292,25 @@ def candidate_edges(members: DataFrame, threshold: float = THRESHOLD) -> DataFra
             found = edges if found is None else found.unionByName(edges)
         if depth == DEPTH or large.isEmpty():
             break
+        if depth == 0:
+            # From here on one edge to its component's label stands for the links of a member.
+            labels = connect(found.distinct())
+            found = labels.filter("member <> label").select(F.col("member").alias("a"), F.col("label").alias("b"))
+            large = large.drop("label").join(labels, "member", "left").withColumn("label", F.coalesce("label", "member"))
+            several = large.groupBy("path").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
+            large = materialize(large.join(several.select("path"), "path", "left_semi"), "apart")
+            if large.isEmpty():
+                break
+            need = large.select("member").distinct()
+            own = members.select("member", "splits").join(need, "member", "left_semi") if splits is None else splits(need)
+            part = F.expr(f"substring(splits, run * {DEPTH * WAYS} + 1, {DEPTH * WAYS})").alias("splits")
+            large = large.join(own, "member").select(*carried, part)
+            carried = [*carried, "splits"]
         # One further sampled shingle, two for every fourth path: 1.25 = 1 / 0.8 on average.
         places = F.when(F.pmod(F.xxhash64("path", F.lit(7)), F.lit(4)) == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-        nexts = large.select("path", "member", "sketch", "splits", F.explode(places).alias("j"))
+        nexts = large.select(*carried, F.explode(places).alias("j"))
         place = (F.pmod(F.xxhash64("path") + F.col("j"), F.lit(WAYS)) + depth * WAYS + 1).cast("int")
-        rows = nexts.select(F.xxhash64("path", "j", F.substring("splits", place, F.lit(1))).alias("path"), "member", "sketch", "splits")
+        rows = nexts.select(F.xxhash64("path", "j", F.substring("splits", place, F.lit(1))).alias("path"), *carried[1:])
     return found.distinct()
 
 
@@ -299,12 +342,16 @@ def _exact(threshold: Fraction) -> Callable[[pa.Table], dict | None]:
         copies = np.array(group.column("copies").to_pylist(), np.float64)[order]
         sizes = np.array([len(x) for x in sets])
         inter = _intersections(sets, sizes)
-        union = sizes[:, None] + sizes[None, :] - inter
-        linked = threshold.denominator * inter >= threshold.numerator * union
-        np.fill_diagonal(linked, False)
-        if group.column("cross")[0].as_py():  # two blocks: pairs inside a block are counted by that block's own group
-            linked &= side[:, None] != side[None, :]
-        out = {"member": [names[i] for i in order], "docs": (linked @ copies).astype(np.int64), "texts": linked.sum(axis=1).astype(np.int64),
+        linked, docs, texts = np.empty(inter.shape, bool), np.empty(len(names), np.int64), np.empty(len(names), np.int64)
+        for i in range(0, len(names), CHUNK):
+            shared, rows = inter[i:i + CHUNK].astype(np.int64), linked[i:i + CHUNK]
+            union = sizes[i:i + CHUNK, None] + sizes[None, :] - shared
+            np.greater_equal(threshold.denominator * shared, threshold.numerator * union, out=rows)
+            rows[np.arange(len(rows)), np.arange(i, i + len(rows))] = False
+            if group.column("cross")[0].as_py():  # two blocks: pairs inside a block are counted by that block's own group
+                rows &= side[i:i + CHUNK, None] != side[None, :]
+            docs[i:i + CHUNK], texts[i:i + CHUNK] = rows @ copies, rows.sum(axis=1)
+        out = {"member": [names[i] for i in order], "docs": docs, "texts": texts,
                "split": [bool(group.column("split")[0].as_py())] * len(names)}
         label = _components(linked)
         return out | {"label": [names[order[i]] for i in label]}
@@ -321,13 +368,13 @@ def _intersections(sets: list[np.ndarray], sizes: np.ndarray, columns: int = 204
     owner, column = owner[shared], name[place[shared]]
     order = np.argsort(column, kind="stable")
     owner, column = owner[order], column[order]
-    inter = np.zeros((len(sets), len(sets)), np.float32)
+    inter = np.zeros((len(sets), len(sets)), np.int32)
     for start in range(0, int(column[-1]) + 1 if len(column) else 0, columns):
         a, b = np.searchsorted(column, [start, start + columns])
         part = np.zeros((len(sets), columns), np.float32)
         part[owner[a:b], column[a:b] - start] = 1.0
-        inter += part @ part.T
-    return inter.astype(np.int64)
+        np.add(inter, part @ part.T, out=inter, casting="unsafe")
+    return inter
 
 
 def verified_links(docs: DataFrame, members: DataFrame, components: DataFrame, threshold: float, size: int,
@@ -339,20 +386,16 @@ def verified_links(docs: DataFrame, members: DataFrame, components: DataFrame, t
     sizes = materialize(named.groupBy("component").agg(F.greatest(
         F.ceil(F.count("*") / BLOCK_MEMBERS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks")), "sizes")
     named = materialize(named.join(sizes, "component"), "members")
-    rows = docs.select(F.col(f"`{key}`").alias("id"), F.xxhash64(F.col(f"`{text}`")).alias("th"), F.col(f"`{text}`").alias("text"))
-    # Always a shuffled join: the members with candidates grow with the corpus.
-    texts = rows.join(named.hint("merge"), rows["id"].eqNullSafe(F.col("rep.id")) & (rows["th"] == F.col("rep.th"))).select(
-        "text", "member", "component", "blocks", "copies")
+    texts = _texts_of(docs, named.select("member", "rep", "component", "blocks", "copies"), key, text).drop("rep")
 
     def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = _shingler(size)
         for batch in batches:
-            sets = [shingler.shingles(x.as_py()).tobytes() for x in batch.column(0)]
+            sets = [x.tobytes() for x in shingler.sets(batch.column(0))]
             yield pa.RecordBatch.from_arrays([pa.array(sets, pa.binary()), *batch.columns[1:]],
                                              ["shingles", "member", "component", "blocks", "copies"])
 
     sets = texts.mapInArrow(shingle, "shingles binary, member binary, component binary, blocks int, copies long")
-    # A row equal to the representative in id and text may stand there more than once.
     own = F.pmod(F.xxhash64("member"), F.col("blocks")).cast("int")
     dealt = (materialize(sets, "sets").dropDuplicates(["member"]).withColumn("own", own)
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))))
@@ -378,13 +421,17 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, size: int = S
     """One row per row: id, th (text hash), class_id and class_th (those of the class's document with
     the lowest id), n_links (other documents with a similarity of `threshold` or more, copies
     included) and n_link_texts (different texts)."""
-    rows = sketches(docs, size, key, text, threshold, recall)
+    rows = sketches(docs, size, key, text, threshold, recall, splits=False)
     members = rows.filter("n > 0").groupBy("member").agg(
         F.min(F.struct(F.col("id").isNull().alias("none"), "id", "th")).alias("rep"), F.first("n").alias("n"),
-        F.first("firsts").alias("firsts"), F.first("sketch").alias("sketch"), F.first("splits").alias("splits"),
-        F.count("*").alias("copies"))
+        F.first("firsts").alias("firsts"), F.first("sketch").alias("sketch"), F.count("*").alias("copies"))
     members = materialize(members, "members")
-    edges = materialize(candidate_edges(members, threshold), "candidates")
+    runs = runs_needed(RECALL if recall is None else recall, threshold, DEPTH)
+
+    def splits(need: DataFrame) -> DataFrame:
+        return split_bytes(docs, members.select("member", "rep").join(need, "member", "left_semi"), size, key, text, runs)
+
+    edges = materialize(candidate_edges(members, threshold, splits), "candidates")
     exact = materialize(verified_links(docs, members, connect(edges), threshold, size, key, text), "exact")
     # By member: its class and links; members without candidates are classes of their own.
     linked = members.select("member", "rep", "copies").join(exact, "member", "left").select(

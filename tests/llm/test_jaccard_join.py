@@ -4,13 +4,14 @@ import re
 import pytest
 
 from quarry.llm import jaccard_join as J
+from quarry.llm.common import WORD
 
 
 SKETCHES = ["sketch", "splits"]
 
 
 def shingles(text):
-    w = re.findall(J.WORD, text or "")
+    w = re.findall(WORD, text or "")
     return frozenset([tuple(w)] if 0 < len(w) < 5 else [tuple(w[i:i + 5]) for i in range(len(w) - 4)])
 
 
