@@ -3,8 +3,7 @@
 Texts with equal shingle sets are one member. Each run splits the members by a sampled shared shingle
 (the one with the lowest hash of that run). Buckets above `BUCKET` members split again on further
 sampled shingles, some on two, after its members like a leader are linked to that leader; small buckets
-are compared by brute force on sketches. A large bucket whose members already hang together is not
-split: the exact step compares all of them anyway. Only members of the others get orders to split on. Every run has sampled orders of its own for all its splits, so
+are compared by brute force on sketches. Only members that split on get orders to split on. Every run has sampled orders of its own for all its splits, so
 runs are independent. Runs repeat until a pair at the threshold is found with probability `RECALL` even
 if all its buckets stay large (`runs_needed`). Buckets that `DEPTH` splits leave large are taken as
 candidates whole. A member leaves a run early only if its partners are sure to be linked to the same
@@ -42,7 +41,7 @@ SIZE, THRESHOLD = 5, 0.8
 #: Probability to find a pair whose similarity is the threshold; pairs above it are found more often.
 RECALL = 0.999
 #: Sketch length (one byte each), bucket size for brute force, and splits of a large bucket.
-SKETCH, BUCKET, DEPTH = 64, 256, 6
+SKETCH, BUCKET, DEPTH = 64, 1024, 6
 #: Sampled orders that the buckets of one run choose from at one split.
 WAYS = 4
 #: Share of bytes equal to a large bucket's leader (another in each run) from which a member needs no
@@ -232,14 +231,23 @@ def _near_edges(near: float) -> Callable[[pa.Table], dict | None]:
         names = group.column("member").to_pylist()
         sketch = np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint8).reshape(len(names), -1)
         order = np.array(sorted(range(len(names)), key=names.__getitem__))
-        sketch = sketch[order]
-        same = np.stack([(sketch == row).sum(axis=1) for row in sketch]) >= near * sketch.shape[1]
-        label = _components(same)
+        label = _components(_equal_bytes(sketch[order]) >= near * sketch.shape[1])
         at = np.flatnonzero(label != np.arange(len(label)))
         return {"a": [names[order[i]] for i in at], "b": [names[order[label[i]]] for i in at]} if len(at) else None
     return work
 
 
+def _equal_bytes(sketch: np.ndarray) -> np.ndarray:
+    """Number of places (up to 255) at which each two rows are equal."""
+    if len(sketch) <= 32:
+        return (sketch[:, None] == sketch[None, :]).sum(axis=2, dtype=np.uint8)
+    found = np.zeros((len(sketch), len(sketch)), np.uint8)
+    same = np.empty(found.shape, bool)
+    for place in np.ascontiguousarray(sketch.T):
+        found += np.equal(place[:, None], place[None, :], out=same).view(np.uint8)
+    return found
+
+
 def _components(linked: np.ndarray) -> np.ndarray:
     """Lowest index of each index's component under a symmetric boolean matrix."""
     label = np.arange(len(linked), dtype=np.int32)
@@ -268,39 +276,29 @@ def candidate_edges(members: DataFrame, threshold: float = THRESHOLD,
 
     Differing bytes obey the triangle inequality: of a member with a share of `SETTLED` bytes equal to
     the leader's, all that are near it have `SETTLED + near - 1` or more. Those are linked to the leader,
-    so the member may leave the run without the loss of a partner. A bucket inside one component of the
-    links of the unsplit buckets has no pair to add to it, so it is not looked at any more."""
+    so the member may leave the run without the loss of a partner."""
     near = near_share(threshold)
     rows = members.select("member", "sketch", F.posexplode("firsts").alias("run", "v")).select(
-        F.xxhash64("run", "v").alias("path"), "member", "sketch", "run", F.col("member").alias("label"))
-    found, carried = None, ["path", "member", "sketch", "run", "label"]
+        F.xxhash64("run", "v").alias("path"), "member", "sketch", "run")
+    found, carried = None, ["path", "member", "sketch", "run"]
     for depth in range(DEPTH + 1):
-        leader = F.min(F.struct(F.xxhash64("path", "member").alias("h"), "member")).alias("leader")
-        sizes = rows.groupBy("path").agg(F.count("*").alias("c"), leader, F.min("label").alias("low"), F.max("label").alias("high"))
-        sizes = materialize(sizes.filter("low < high").drop("low", "high"), "buckets")
-        rows = materialize(rows.join(sizes, "path").select(*carried, "c", F.col("leader.member").alias("b")), "paths")
+        leader = F.min(F.struct(F.xxhash64("path", "member").alias("h"), "member", "sketch")).alias("leader")
+        sizes = materialize(rows.groupBy("path").agg(F.count("*").alias("c"), leader).filter("c > 1").select(
+            "path", "c", F.when(F.col("c") > BUCKET, F.col("leader")).alias("leader")), "buckets")
+        rows = materialize(rows.join(sizes, "path").select(
+            *carried, "c", F.col("leader.member").alias("b"),
+            F.when(F.col("c") > BUCKET, _alike(F.col("sketch"), F.col("leader.sketch"))).alias("alike")), "paths")
         small = _groups(rows.filter(F.col("c") <= BUCKET).select("path", "member", "sketch"), "path",
                         "a binary, b binary", _near_edges(near))
         large = rows.filter(F.col("c") > BUCKET)
-        heads = large.filter(F.col("member") == F.col("b")).select("path", F.col("sketch").alias("head"))
-        large = materialize(large.join(heads, "path").withColumn("alike", _alike(F.col("sketch"), F.col("head"))).drop("head"), "large")
         linked = F.lit(True) if depth == DEPTH else F.col("alike") >= (SETTLED + near - 1) * SKETCH
-        parts = [small, large.filter((F.col("member") != F.col("b")) & linked).select(F.col("member").alias("a"), "b")]
+        led = large.filter((F.col("member") != F.col("b")) & linked).select(F.col("member").alias("a"), "b")
+        edges = materialize(small.unionByName(led).distinct(), "edges")
+        found = edges if found is None else found.unionByName(edges)
         large = large.filter(F.col("alike") < SETTLED * SKETCH)
-        for part in parts:
-            edges = materialize(part.distinct(), "edges")
-            found = edges if found is None else found.unionByName(edges)
         if depth == DEPTH or large.isEmpty():
             break
         if depth == 0:
-            # From here on one edge to its component's label stands for the links of a member.
-            labels = connect(found.distinct())
-            found = labels.filter("member <> label").select(F.col("member").alias("a"), F.col("label").alias("b"))
-            large = large.drop("label").join(labels, "member", "left").withColumn("label", F.coalesce("label", "member"))
-            several = large.groupBy("path").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
-            large = materialize(large.join(several.select("path"), "path", "left_semi"), "apart")
-            if large.isEmpty():
-                break
             need = large.select("member").distinct()
             own = members.select("member", "splits").join(need, "member", "left_semi") if splits is None else splits(need)
             part = F.expr(f"substring(splits, run * {DEPTH * WAYS} + 1, {DEPTH * WAYS})").alias("splits")
@@ -321,8 +319,7 @@ def connect(edges: DataFrame) -> DataFrame:
     labels = materialize(both.groupBy(F.col("a").alias("member")).agg(F.min("b").alias("l")).select(
         "member", F.least("member", "l").alias("label")), "labels")
     while True:
-        heard = materialize(both.join(labels.withColumnRenamed("member", "b"), "b").groupBy("a").agg(
-            F.min("label").alias("m")), "heard")
+        heard = both.join(labels.withColumnRenamed("member", "b"), "b").groupBy("a").agg(F.min("label").alias("m"))
         lower = materialize(labels.join(heard, F.col("a") == F.col("member")).select(
             "member", F.least("label", "m").alias("label"), F.col("label").alias("old")), "lower")
         jump = lower.select(F.col("member").alias("label"), F.col("label").alias("far"))
