@@ -313,20 +313,32 @@ def candidate_edges(members: DataFrame, threshold: float = THRESHOLD,
 
 
 def connect(edges: DataFrame) -> DataFrame:
-    """(member, label): the smallest member of each connected component, by min-label exchange and
-    label jumping. Every round is a table in the shared folder; nothing is collected but a count."""
-    both = materialize(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "links")
-    labels = materialize(both.groupBy(F.col("a").alias("member")).agg(F.min("b").alias("l")).select(
-        "member", F.least("member", "l").alias("label")), "labels")
+    """(member, label): the smallest member of each connected component.
+
+    In every round each member takes the smallest member at most two links away, then that one's choice
+    twice over, and links are contracted to the members still chosen. The smallest member of a component
+    always stays. Names are hashes, so falling chains are short, stars vanish in one round, and the links
+    of all rounds together are a small multiple of the first. Nothing is collected but a count."""
+    links = materialize(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a < b").distinct(), "links")
+    labels = None
     while True:
-        heard = both.join(labels.withColumnRenamed("member", "b"), "b").groupBy("a").agg(F.min("label").alias("m"))
-        lower = materialize(labels.join(heard, F.col("a") == F.col("member")).select(
-            "member", F.least("label", "m").alias("label"), F.col("label").alias("old")), "lower")
-        jump = lower.select(F.col("member").alias("label"), F.col("label").alias("far"))
-        new = materialize(lower.join(jump, "label").select("member", F.col("far").alias("label"), "old"), "labels")
-        changed = new.filter(F.col("label") != F.col("old")).count()
-        labels = new.select("member", "label")
-        if not changed:
+        both = links.select("a", "b").union(links.select("b", "a"))
+        best = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("b"), F.least("a", "m").alias("m"))
+        up = both.join(best, "b").groupBy(F.col("a").alias("member")).agg(F.min("m").alias("label"))
+        for _ in range(2):
+            up = materialize(up, "up")
+            up = up.join(up.select(F.col("member").alias("label"), F.col("label").alias("far")), "label").select(
+                "member", F.col("far").alias("label"))
+        up = materialize(up, "up")
+        if labels is None:
+            labels = up
+        else:
+            far = up.select(F.col("member").alias("label"), F.col("label").alias("far"))
+            labels = materialize(labels.join(far, "label", "left").select("member", F.coalesce("far", "label").alias("label")), "labels")
+        ends = links.join(up.select(F.col("member").alias("a"), F.col("label").alias("x")), "a").join(
+            up.select(F.col("member").alias("b"), F.col("label").alias("y")), "b")
+        links = materialize(ends.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).filter("a < b").distinct(), "links")
+        if links.isEmpty():
             return labels
 
 
