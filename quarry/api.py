@@ -31,6 +31,7 @@ from quarry.operators.importance import (  # noqa: F401
 from quarry.operators.impute import apply_fill, fit_means, fit_medians, fit_modes  # noqa: F401
 from quarry.operators.logistic import coefficient_table, fit_logit, null_logit, stepwise  # noqa: F401
 from quarry.operators.mlp import fit_early_stopping  # noqa: F401
+from quarry.operators.network import Network, fit_network  # noqa: F401
 from quarry.operators.prep import FittedPrep  # noqa: F401
 from quarry.operators.ranking import with_running_totals  # noqa: F401
 from quarry.operators.sampling import downsample, inverse_prior_weights, stratified_split  # noqa: F401

@@ -35,12 +35,12 @@ def _prefixed(prep: FittedPrep) -> FittedPrep:
 class ScoringPipeline:
     prep: FittedPrep
     features: list[str]                 # feature columns (names as produced by `prep`)
-    kind: str                           # "logit", "forest" (bagged trees) or "spark" (a saved Spark ML model)
+    kind: str                           # "logit", "forest" (bagged trees), "network" or "spark" (a saved Spark ML model)
     cutoff: float = 0.5
     strict: bool = False                # class = prob > cutoff (strict) or >= cutoff
     intercept: float = 0.0
     coefs: dict[str, float] = field(default_factory=dict)
-    model: object = None                # bagging.Forest or fitted Spark ML model
+    model: object = None                # bagging.Forest, network.Network or fitted Spark ML model
     scale: dict[str, list[float]] = field(default_factory=dict)   # feature -> [mean, sd] before the model
 
     def transform(self, df: DataFrame) -> DataFrame:
@@ -58,6 +58,9 @@ class ScoringPipeline:
         elif self.kind == "forest":
             inputs = [named(PREFIX + c) for c in self.model.inputs.names]
             work = self.model.transform(work.select(*map(named, raw), *inputs), "pred_prob", PREFIX)
+        elif self.kind == "network":
+            inputs = [named(PREFIX + c) for c in self.model.inputs]
+            work = self.model.transform(work.select(*map(named, raw), *inputs), "pred_prob", PREFIX)
         else:
             vec = PREFIX + "vec"
             work = VectorAssembler(inputCols=feats, outputCol=vec, handleInvalid="keep").transform(work)

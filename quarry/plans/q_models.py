@@ -4,6 +4,7 @@ networks (N1-N4), scoring pipelines with save/load (X1-X6, S4, S5)."""
 from __future__ import annotations
 
 import functools
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
 from pyspark.ml.feature import VectorAssembler
@@ -11,7 +12,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quarry.functions import columns as fc
-from quarry.operators import bagging, evaluate, logistic, mlp, sampling, tree
+from quarry.operators import bagging, evaluate, logistic, network, sampling, tree
 from quarry.operators.prep import FittedPrep
 from quarry.operators.scoring import ScoringPipeline
 from quarry.operators.transforms import FLAG_SUFFIX, products
@@ -322,21 +323,42 @@ def forest_balanced(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- networks
-def _scaled_frame(spark, sf_dir):
-    prep, train, valid, allp = _frame(spark, sf_dir)
-    from pyspark.ml.feature import StandardScaler
-    sc = StandardScaler(inputCol="features", outputCol="zfeatures", withMean=True, withStd=True).fit(train)
-    return prep, sc, sc.transform(train), sc.transform(valid)
+FORCED_TERM = "status"
+UNITS = {"4": [4], "4-4": [4, 4], "6-6": [6, 6]}
+
+
+def _network_inputs(prep, train):
+    """Input columns of the backward-selected terms and of the forced one."""
+    chosen, _ = logistic.stepwise(train, TARGET, prep.terms(), "backward", final=False)
+    return [c for t, cols in prep.terms().items() if t in chosen or t == FORCED_TERM for c in cols]
 
 
 def mlp_fit_best(spark, sf_dir):
-    prep, _, tr, va = _scaled_frame(spark, sf_dir)
-    n_in = len(prep.feature_columns())
-    _, history, best_round = mlp.fit_early_stopping(tr, va, TARGET, [6, 6], n_in, iters_per_round=5,
-                                                    patience=5, seed=SEED, features="zfeatures",
-                                                    checkpoint_path=_bundle_path(spark, "mlp-best"))
-    return _rows(spark, [(r, loss, acc, r == best_round) for r, loss, acc in history],
-                 "round int, val_loss double, val_accuracy double, best boolean")
+    """6-6 tanh units, at most 40 epochs, patience of 5 on the validation accuracy, best epoch saved and
+    reloaded."""
+    prep, train, valid, _ = _frame(spark, sf_dir)
+    _, history, best = network.fit_network(
+        train, valid, TARGET, "id", _network_inputs(prep, train), [6, 6], monitor="accuracy", seed=SEED,
+        checkpoint_path=_bundle_path(spark, "network-best"))
+    return _rows(spark, [(e, loss, acc, e == best) for e, loss, acc in history],
+                 "epoch int, val_loss double, val_accuracy double, best boolean")
+
+
+def mlp_by_units(spark, sf_dir):
+    """Networks of several shapes on all inputs, early stopping on the validation loss: epochs taken, the
+    best one, and its loss and accuracy on training and validation rows."""
+    prep, train, valid, _ = _frame(spark, sf_dir)
+
+    def one(name):
+        net, history, best = network.fit_network(train, valid, TARGET, "id", prep.feature_columns(), UNITS[name], seed=SEED)
+        return (name, len(net.flat), len(history), best, *network.evaluate(net, train, TARGET),
+                *network.evaluate(net, valid, TARGET))
+
+    # Steps of one network wait for each other, networks do not.
+    with ThreadPoolExecutor(max_workers=len(UNITS)) as pool:
+        out = list(pool.map(one, UNITS))
+    return _rows(spark, out, "units string, weights int, epochs int, best_epoch int, train_loss double, "
+                             "train_accuracy double, val_loss double, val_accuracy double")
 
 
 # ---------------------------------------------------------------- scoring pipelines
@@ -373,16 +395,12 @@ def score_forest(spark, sf_dir):
 
 
 def score_mlp(spark, sf_dir):
-    """Network on standardized inputs; the train means/sds travel in the bundle."""
+    """Network of 4 tanh units, 40 epochs, best validation loss kept; cutoff closest to the top left."""
     prep, train, valid, _ = _frame(spark, sf_dir)
-    from pyspark.ml.feature import StandardScaler
-    n_in = len(prep.feature_columns())
-    sc = StandardScaler(inputCol="features", outputCol="zfeatures", withMean=True, withStd=True).fit(train)
-    best, _, _ = mlp.fit_early_stopping(sc.transform(train), sc.transform(valid), TARGET, [4], n_in,
-                                        iters_per_round=5, patience=5, seed=SEED, features="zfeatures")
-    scale = {c: [float(m), float(s)] for c, m, s in zip(prep.feature_columns(), sc.mean.toArray(), sc.std.toArray())}
-    pipe = ScoringPipeline(prep, prep.feature_columns(), "spark", cutoff=0.5, strict=False,
-                           model=best.copy(), scale=scale)
+    net, _, _ = network.fit_network(train, valid, TARGET, "id", prep.feature_columns(), [4], patience=None, seed=SEED)
+    scored = net.transform(valid.select(F.col(TARGET).alias("actual"), *prep.feature_columns()), "prob")
+    cut = evaluate.best_cutoff_midpoint(scored.select("actual", F.round("prob", D).alias("prob")))
+    pipe = ScoringPipeline(prep, prep.feature_columns(), "network", cutoff=cut, strict=False, model=net)
     return _score_roundtrip(spark, sf_dir, pipe, "mlp")
 
 
@@ -472,6 +490,7 @@ QUERIES = {
     "forest_permutation_importance": forest_permutation_importance,
     "forest_balanced": forest_balanced,
     "mlp_fit_best": mlp_fit_best,
+    "mlp_by_units": mlp_by_units,
     "score_logit": score_logit,
     "score_forest": score_forest,
     "score_mlp": score_mlp,

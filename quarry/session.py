@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,6 +57,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def scratch_table(df: DataFrame, label: str, by: Sequence[str] = ()) -> DataFrame:
+    """Write `df` as Parquet to the shared checkpoint folder, split by the columns `by`, and read it back;
+    the folder goes when the application ends."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    df.write.partitionBy(*by).parquet(path) if by else df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 ROWS_PER_PARTITION = 1_000_000
 
 

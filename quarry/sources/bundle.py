@@ -8,6 +8,7 @@ import json
 from pyspark.sql import SparkSession
 
 from quarry.operators.bagging import Forest
+from quarry.operators.network import Network
 from quarry.operators.prep import FittedPrep
 from quarry.operators.scoring import ScoringPipeline
 
@@ -15,7 +16,7 @@ from quarry.operators.scoring import ScoringPipeline
 def save_bundle(spark: SparkSession, pipe: ScoringPipeline, path: str) -> None:
     spark.createDataFrame([(pipe.params_json(),)], "params string").coalesce(1).write.mode(
         "overwrite").text(f"{path}/params")
-    if pipe.kind == "forest":
+    if pipe.kind in ("forest", "network"):
         pipe.model.save(spark, f"{path}/model")
     elif pipe.model is not None:
         pipe.model.write().overwrite().save(f"{path}/model")
@@ -27,6 +28,8 @@ def load_bundle(spark: SparkSession, path: str) -> ScoringPipeline:
     model = None
     if p["kind"] == "forest":
         model = Forest.load(spark, f"{path}/model")
+    elif p["kind"] == "network":
+        model = Network.load(spark, f"{path}/model")
     elif p["model_class"]:
         import pyspark.ml.classification as cls
         import pyspark.ml.regression as reg

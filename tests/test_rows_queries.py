@@ -16,7 +16,7 @@ from small_tables import SF_SMALL
 # The corpus operators have tests of their own.
 ROWS_ONLY = sorted(n for n in set(E.queries()) - set(E.oracle_sql()) if not re.match(r"op\d+_|pipeline$", n))
 SLOW = {"logit_step_forward", "logit_step_backward", "logit_step_both", "logit_poly", "logit_validate",
-        "mlp_fit_best", "score_mlp", "score_logit", "score_report", "kmeans_elbow", "kmeans_multistart", "tree_cptable",
+        "mlp_fit_best", "mlp_by_units", "score_mlp", "score_logit", "score_report", "kmeans_elbow", "kmeans_multistart", "tree_cptable",
         "forest_mtry", "forest_permutation_importance", "score_balanced_logit", "score_forest_clean",
         "surrogate_tree"}
 
