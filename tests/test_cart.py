@@ -128,3 +128,26 @@ def test_bins_of_missing_and_unknown_values(spark, table):
     many = spark.range(300).selectExpr("cast(id as string) c")
     with pytest.raises(ValueError, match="levels"):
         cart.Inputs.fit(many, [], ["c"])
+
+
+def test_bagged_rows_are_never_written(spark, table, monkeypatch):
+    inputs = cart.Inputs.fit(table, ["a", "b"], ["c"])
+    rows = cart.encode_rows(table.repartition(3), inputs, "y", "id")
+    written, keep = [], cart.cut_lineage
+    monkeypatch.setattr(cart, "cut_lineage", lambda df: written.append(keep(df)) or written[-1])
+    path = cart.grow_trees(rows, inputs, 6, 2, (1.0, 1.0), cart.Rules(seed=3), local_rows=200)
+    assert written and all("bins" not in df.columns and "rows" not in df.columns for df in written)
+    assert sum(df.count() for df in written) < 6 * 2 * 900 / 200 * 3  # one row a large node or child
+
+
+def test_packed_trees_are_small_and_come_back_whole():
+    rng = np.random.default_rng(5)
+    bins, y = rng.integers(0, 200, (20_000, 4)).astype(np.uint8), rng.integers(0, 2, 20_000).astype(np.uint8)
+    bins[:, 3] %= 7
+    grown = cart.grow_arrays(bins, y, np.ones(20_000, np.uint8), 0, "", 2, 3, cart.Rules(weights=(1.0, 2.5)))
+    packed = cart.pack(grown, 3, (1.0, 2.5))
+    assert len(packed) < 4 * len(grown.input)
+    back = cart.unpack(packed)
+    for name in ("input", "child", "n0", "n1", "gain"):
+        assert np.array_equal(getattr(grown, name), getattr(back, name))
+    assert np.array_equal(grown.leaves(bins, 3), back.leaves(bins, 3))
