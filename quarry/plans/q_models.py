@@ -7,7 +7,6 @@ import functools
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -18,7 +17,7 @@ from quarry.operators.scoring import ScoringPipeline
 from quarry.operators.transforms import FLAG_SUFFIX, products
 from quarry.plans.common import mo, with_mo
 from quarry.plans.fixtures import mining_docs, split_sql
-from quarry.session import cut_lineage, ensure_checkpoint_dir
+from quarry.session import cut_lineage, ensure_checkpoint_dir, scratch_table
 from quarry.sources.bundle import load_bundle, save_bundle
 
 D = 6
@@ -32,18 +31,16 @@ _FRAMES: dict = {}
 
 
 def _frame(spark, sf_dir):
-    """(prep, train, valid, all) prepared once per session and table folder, kept cached."""
+    """(prep, train, valid, all) prepared once per session and table folder, with the columns that models read."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _FRAMES:
-        split = sampling.stratified_split(mo(spark, sf_dir), TARGET, "id", (0.5,), ("train", "valid"), SEED)
-        split = split.persist(StorageLevel.MEMORY_AND_DISK)
+        rows = mo(spark, sf_dir).select("id", TARGET, *NUMERIC, *NOMINAL)
+        split = scratch_table(sampling.stratified_split(rows, TARGET, "id", (0.5,), ("train", "valid"), SEED), "split")
         train_rows = F.col("split") == "train"
         prep = FittedPrep.fit(split, NUMERIC, NOMINAL, where=train_rows, flag_candidates=FLAG_CANDIDATES)
-        allp = VectorAssembler(inputCols=prep.feature_columns(), outputCol="features").transform(
-            prep.transform(split))
-        # Dozens of search jobs read this frame: write it to the shared checkpoint folder (lineage
-        # cut, survives executor loss) and keep it cached.
-        allp = cut_lineage(allp).persist(StorageLevel.MEMORY_AND_DISK)
+        # Dozens of search jobs read this frame, each a few of its columns. Imputed inputs, flags and indicators
+        # are a narrow projection of the written split, so they are not written a second time.
+        allp = prep.transform(split)
         _FRAMES[key] = (prep, allp.filter(train_rows), allp.filter(~train_rows), allp)
     return _FRAMES[key]
 
