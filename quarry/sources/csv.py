@@ -21,6 +21,9 @@ DEFAULT_TOKENS = ("NA",)
 # only the listed tokens become NULL; blanks then become NULL only in columns typed numeric.
 _QUOTING = {"quote": '"', "escape": '"'}  # a quote inside a quoted cell is written twice
 _NO_NULL = "\u0001<none>\u0001"
+# What every text that casts to double begins with. A failed cast throws inside Spark, which costs many times a
+# parsed number, so text cells are told apart before it.
+_NUMBER_START = r"(?i)^[\x00-\x20]*[-+]?(\.?[0-9]|inf|nan)"
 
 
 def read_csv_text(spark: SparkSession, path: str, tokens: Sequence[str] = NULL_TOKENS) -> DataFrame:
@@ -35,9 +38,9 @@ def infer_types(df: DataFrame) -> dict[str, str]:
     aggs = []
     for c in df.columns:
         v = F.when(F.trim(F.col(f"`{c}`")) != "", F.col(f"`{c}`"))   # blanks count as missing here
-        aggs += [F.count_if(v.isNotNull() & v.try_cast("double").isNull()).alias(f"d|{c}"),
-                 F.count_if(v.isNotNull() & (v.try_cast("bigint").isNull()
-                                             | ~v.rlike(r"^\s*[-+]?\d+\s*$"))).alias(f"l|{c}")]
+        aggs += [F.count_if(v.isNotNull() & (~v.rlike(_NUMBER_START) | v.try_cast("double").isNull())).alias(f"d|{c}"),
+                 F.count_if(v.isNotNull() & (~v.rlike(r"^\s*[-+]?\d+\s*$")
+                                             | v.try_cast("bigint").isNull())).alias(f"l|{c}")]
     row = df.agg(*aggs).first()
     out = {}
     for c in df.columns:
