@@ -61,9 +61,17 @@ def fit_logit(train: DataFrame, target: str, terms: dict[str, list[str]], use: S
                                       maxIter=max_iter)
     if weight_col:
         glm = glm.setWeightCol(weight_col)
-    m = glm.fit(data)
-    s = m.summary
-    k = len(cols)
+    # Every iteration, and every statistic, is a pass over these rows.
+    columns = [target, "__x", *([weight_col] if weight_col else [])]
+    data = data.select(*map(named, columns)).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _fitted(glm.fit(data), use, cols, light)
+    finally:
+        data.unpersist()
+
+
+def _fitted(m, use: Sequence[str], cols: list[str], light: bool) -> LogitFit:
+    s, k = m.summary, len(cols)
     aic = float(s.aic)
     if light:
         return LogitFit(list(use), cols, float(m.intercept), [float(x) for x in m.coefficients],
