@@ -9,7 +9,9 @@ counts of a node meet. Rows stay where they are: bootstrap counts and nodes are
 the row's hash and a broadcast of the large nodes (one per `local_rows` bootstrap rows). A node with fewer
 rows gets them as compressed parts in one shuffle and is finished by one task, which grows the whole subtree
 level by level in numpy. Both use the same split search on the same counts, so `local_rows` changes where
-work is done, not the trees. Trees are kept as compressed pieces of about two bytes a node.
+work is done, not the trees. Trees are grown in batches of about `BATCH_ROWS` bagged rows, whose shuffle files go
+before the next batch, so the disk in use follows neither rows nor trees. Trees are kept as compressed
+pieces of about two bytes a node.
 
 Splits lower the weighted Gini impurity most (ties: first input, lowest cut). Nominal inputs are split
 into two sets of levels: for two classes the best of all subsets is among the cuts of the levels
@@ -30,13 +32,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.columns import named
-from quarry.session import cut_lineage, ensure_checkpoint_dir, right_size
+from quarry.session import cut_lineage, ensure_checkpoint_dir, right_size, shuffles_dropped
 
 MAX_CUTS = 254
 MAX_LEVELS = 255
 UNKNOWN = 255
 LOCAL_ROWS = 1 << 16
 BLOCK_ROWS = 1 << 20                       # rows that a task bags at a time
+BATCH_ROWS = 1 << 26                       # bagged rows of the trees grown together, about 0.3 GB shuffled
 _C1, _C2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -511,22 +514,40 @@ def grow_trees(encoded: DataFrame, inputs: Inputs, n_trees: int = 1, mtry: int |
     tries = list(mtry) if isinstance(mtry, Sequence) else [mtry] * n_trees
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/trees-{uuid.uuid4().hex}"
     spark.createDataFrame([], PIECE).write.parquet(path)
-    n_rows, cores = encoded.count(), spark.sparkContext.defaultParallelism
+    with shuffles_dropped(spark):
+        n_rows, cores = encoded.count(), spark.sparkContext.defaultParallelism
     rows = right_size(encoded, n_rows, BLOCK_ROWS)
     if n_rows > local_rows and rows.rdd.getNumPartitions() < cores:
         rows = encoded.repartition(cores)
     rows = rows.filter("y IS NOT NULL")
-    tops = {t: Top.root(t, OPEN if n_rows > local_rows else LOCAL, seed) for t in range(n_trees)}
-    while any((top.state == OPEN).any() for top in tops.values()):
-        splits = _split_large(rows, tops, path, p, nominal_from, tries, rates, rules, local_rows)
-        tops = {t: top.grown(t, splits.get(t, []), local_rows, seed) for t, top in tops.items()}
     # As many tasks as there are trees, up to a few a core: AQE must not merge these by their few bytes.
     tasks = min(max(n_trees, 8), max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * cores))
-    shared = spark.sparkContext.broadcast(tops)
+    with shuffles_dropped(spark):
+        for batch in tree_batches(n_trees, n_rows, rates):
+            tops = {t: Top.root(t, OPEN if n_rows > local_rows else LOCAL, seed) for t in batch}
+            while any((top.state == OPEN).any() for top in tops.values()):
+                splits = _split_large(rows, tops, path, p, nominal_from, tries, rates, rules, local_rows)
+                tops = {t: top.grown(t, splits.get(t, []), local_rows, seed) for t, top in tops.items()}
+            _finish_small(rows, tops, path, p, nominal_from, tries, rates, rules, tasks)
+    return path
+
+
+def tree_batches(n_trees: int, n_rows: int, rates: tuple[float, float] | None) -> list[range]:
+    """Trees to grow together: at most `BATCH_ROWS` bagged rows, or one tree; batches of about equal size."""
+    bagged = n_rows * min(max(rates), 1.0) if rates else n_rows
+    most = max(1, int(BATCH_ROWS / max(bagged, 1)))
+    size = max(1, -(-n_trees // -(-n_trees // most)))
+    return [range(first, min(first + size, n_trees)) for first in range(0, n_trees, size)]
+
+
+def _finish_small(rows: DataFrame, tops: dict[int, Top], path: str, p: int, nominal_from: int, tries: list,
+                  rates: tuple[float, float] | None, rules: Rules, tasks: int) -> None:
+    """Deal the rows of all small nodes to their tasks, grow their subtrees and write the pieces."""
+    shared = rows.sparkSession.sparkContext.broadcast(tops)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, size = [], 0
-        for tree, top, y, count, bins, at in _bagged(batches, p, shared.value, rates, seed, LOCAL):
+        for tree, top, y, count, bins, at in _bagged(batches, p, shared.value, rates, rules.seed, LOCAL):
             order = np.argsort(at.astype(np.uint16) if len(top.path) < 1 << 16 else at, kind="stable")
             first = np.flatnonzero(np.append(True, np.diff(at[order])))
             columns = np.concatenate([np.stack([y, count]), bins.T]).astype(np.uint8)[:, order]
@@ -549,7 +570,6 @@ def grow_trees(encoded: DataFrame, inputs: Inputs, n_trees: int = 1, mtry: int |
 
     (rows.mapInArrow(deal, PART).repartition(tasks, "tree", "node").groupBy("tree", "node")
      .applyInArrow(finish, PIECE).write.mode("append").parquet(path))
-    return path
 
 
 def _parts(rows: list[tuple]) -> pa.RecordBatch:
