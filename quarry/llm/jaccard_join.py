@@ -3,7 +3,8 @@
 Texts with equal shingle sets are one member. Each run splits the members by a sampled shared shingle
 (the one with the lowest hash of that run). Buckets above `BUCKET` members split again on further
 sampled shingles, some on two, after its members like a leader are linked to that leader; small buckets
-are compared by brute force on sketches. Only members that split on get orders to split on. Every run has sampled orders of its own for all its splits, so
+are compared by brute force on sketches, and so are up to `BUCKET` strangers to the leader of a large one with
+all its members; then it splits no further. Only members that split on get orders to split on. Every run has sampled orders of its own for all its splits, so
 runs are independent. Runs repeat until a pair at the threshold is found with probability `RECALL` even
 if all its buckets stay large (`runs_needed`). Buckets that `DEPTH` splits leave large are taken as
 candidates whole. A member leaves a run early only if its partners are sure to be linked to the same
@@ -267,6 +268,23 @@ def _alike(a: Column, b: Column) -> Column:
     return F.size(F.filter(places, lambda i: F.substring(a, i, F.lit(1)) == F.substring(b, i, F.lit(1))))
 
 
+def _bounded_strangers(large: DataFrame, linked: Column) -> tuple[DataFrame, DataFrame]:
+    """(rows that split on, blocks to compare by brute force) of the unsettled rows of large buckets.
+
+    The linked members of a bucket hang together by its leader, so only pairs with a stranger, one not
+    linked to it, are left to find. A bucket without strangers is done. Up to `BUCKET` strangers are
+    compared with every other member in blocks of about `BUCKET` members, each block with all the strangers."""
+    counts = materialize(large.groupBy("path").agg(F.count(F.when(~linked, 1)).alias("strangers"),
+                                                   F.count(F.when(linked, 1)).alias("others")), "strangers")
+    large = large.join(counts, "path")
+    few = large.filter((F.col("strangers") > 0) & (F.col("strangers") <= BUCKET)).withColumn(
+        "blocks", F.greatest(F.lit(1), F.ceil(F.col("others") / BUCKET)).cast("int"))
+    dealt = few.filter(linked).withColumn("block", F.pmod(F.xxhash64("member", "path"), F.col("blocks")).cast("int"))
+    copied = few.filter(~linked).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    blocks = dealt.unionByName(copied).select(F.xxhash64("path", F.lit("block"), "block").alias("path"), "member", "sketch")
+    return large.filter(F.col("strangers") > BUCKET), blocks
+
+
 def candidate_edges(members: DataFrame, threshold: float = THRESHOLD,
                     splits: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """(a, b): edges that connect the candidates, from all runs' buckets. Linear in the members.
@@ -288,14 +306,16 @@ def candidate_edges(members: DataFrame, threshold: float = THRESHOLD,
         rows = materialize(rows.join(sizes, "path").select(
             *carried, "c", F.col("leader.member").alias("b"),
             F.when(F.col("c") > BUCKET, _alike(F.col("sketch"), F.col("leader.sketch"))).alias("alike")), "paths")
-        small = _groups(rows.filter(F.col("c") <= BUCKET).select("path", "member", "sketch"), "path",
-                        "a binary, b binary", _near_edges(near))
+        small = rows.filter(F.col("c") <= BUCKET).select("path", "member", "sketch")
         large = rows.filter(F.col("c") > BUCKET)
         linked = F.lit(True) if depth == DEPTH else F.col("alike") >= (SETTLED + near - 1) * SKETCH
         led = large.filter((F.col("member") != F.col("b")) & linked).select(F.col("member").alias("a"), "b")
-        edges = materialize(small.unionByName(led).distinct(), "edges")
-        found = edges if found is None else found.unionByName(edges)
         large = large.filter(F.col("alike") < SETTLED * SKETCH)
+        if depth < DEPTH:
+            large, blocks = _bounded_strangers(large, linked)
+            small = small.unionByName(blocks)
+        edges = materialize(_groups(small, "path", "a binary, b binary", _near_edges(near)).unionByName(led).distinct(), "edges")
+        found = edges if found is None else found.unionByName(edges)
         if depth == DEPTH or large.isEmpty():
             break
         if depth == 0:

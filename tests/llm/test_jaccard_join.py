@@ -151,6 +151,35 @@ def test_hot_template_recall(spark, docs, monkeypatch):
     assert len(near) > 300 and missed <= (1 - J.RECALL) * len(near) + 1
 
 
+@pytest.mark.parametrize("strangers", [0, 2])
+def test_near_copies_of_one_leader_do_not_split_on(spark, docs, monkeypatch, strangers):
+    """A large bucket whose members are linked to its leader, but for a few strangers, is done."""
+    monkeypatch.setattr(J, "BUCKET", 8)
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choices("abcdefgh", k=6))
+    template, texts = [word() for _ in range(150)], []
+    for _ in range(60):
+        own = list(template)
+        own[rng.randrange(150)] = own[rng.randrange(150)] = word()
+        texts.append(" ".join(own))
+    for _ in range(strangers):  # a third of the template, and another of their kind
+        own = template[:60] + [word() for _ in range(90)]
+        texts += [" ".join(own), " ".join(own[:-1])]
+    members = J.sketches(docs(texts)).select("id", "member", "firsts", *SKETCHES)
+    asked = []
+
+    def splits(need):
+        asked.append(need.count())
+        return members.select("member", "splits").join(need, "member", "left_semi")
+
+    edges = J.candidate_edges(members.drop("splits"), splits=splits)
+    label = {r.member: r.label for r in J.connect(edges).collect()}
+    classes = {r.id: label[r.member] for r in members.select("id", "member").collect()}
+    assert not asked
+    assert len({classes[i] for i in range(60)}) == 1
+    assert all(classes[60 + 2 * k] == classes[61 + 2 * k] for k in range(strangers))
+
+
 def test_runs_meet_the_recall_with_all_splits():
     rng = random.Random(5)
     common, found = 160, 0
