@@ -1,9 +1,14 @@
 """Hand-made frames for edge cases: ties, one class, all-NULL column, unseen level, empty part,
 duplicate basket items, null tokens, currency text."""
 
+import collections
+import itertools
+import math
 import os
+import random
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from quarry.functions import columns as fc
@@ -105,3 +110,26 @@ def test_cutoff_strict_and_inclusive(spark):
     rows = df.select(fc.cutoff_class("p", 0.5, strict=True).alias("s"),
                      fc.cutoff_class("p", 0.5, strict=False).alias("i")).collect()
     assert [(r["s"], r["i"]) for r in rows] == [(0, 1), (0, 0), (1, 1)]
+
+
+@pytest.mark.parametrize("support, confidence", [(0.02, 0.1), (0.3, 0.5), (0.9, 0.1)])
+def test_rules_equal_counts_of_all_subsets(spark, support, confidence):
+    rng = random.Random(3)
+    baskets = [sorted(rng.sample("abcdefg", rng.randint(1, 4))) + ["x", "y"] * (rng.random() < 0.4) for _ in range(300)]
+    df = spark.createDataFrame([(i, b) for i, b in enumerate(baskets)], "basket int, items array<string>")
+    freq, n = collections.Counter(), len(baskets)
+    for b in baskets:
+        freq.update(s for k in range(1, len(b) + 1) for s in itertools.combinations(sorted(b), k))
+    freq = {s: c for s, c in freq.items() if c >= math.ceil(support * n)}
+    want = {}
+    for s, c in freq.items():
+        for item in s if len(s) > 1 else ():
+            rest = tuple(x for x in s if x != item)
+            if c / freq[rest] >= confidence:
+                want[rest, item] = (c / n, c / freq[rest], c / freq[rest] / (freq[item,] / n))
+    got = {(tuple(r.antecedent), *r.consequent): (r.support, r.confidence, r.lift)
+           for r in basket.association_rules(df, support, confidence).collect()}
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in want)
+    weighted = df.groupBy("items").count().withColumnRenamed("count", "n")
+    assert {tuple(r["items"]): r.freq for r in basket.frequent_item_sets(weighted, math.ceil(support * n)).collect()} == freq
+    assert basket.association_rules(df.limit(0), support, confidence, include_empty_lhs=True).count() == 0
