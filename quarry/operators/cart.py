@@ -37,7 +37,8 @@ from quarry.session import cut_lineage, ensure_checkpoint_dir, right_size, shuff
 MAX_CUTS = 254
 MAX_LEVELS = 255
 UNKNOWN = 255
-LOCAL_ROWS = 1 << 16
+LOCAL_ROWS = 1 << 19
+WALKED_ROWS = 1 << 16                      # rows that go down a tree together
 BLOCK_ROWS = 1 << 20                       # rows that a task bags at a time
 BATCH_ROWS = 1 << 26                       # bagged rows of the trees grown together, about 0.3 GB shuffled
 _C1, _C2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -109,7 +110,15 @@ class Rules:
 # ---------------------------------------------------------------- split search
 def _impurity(n: np.ndarray, k: np.ndarray) -> np.ndarray:
     """Gini impurity times weight: 2 k (n - k) / n."""
-    return np.divide(2.0 * k * (n - k), n, out=np.zeros_like(n), where=n > 0)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        out = 2.0 * k * (n - k) / n
+    out[n <= 0] = 0.0
+    return out
+
+
+def _starts(values: np.ndarray) -> np.ndarray:
+    """Where the runs of equal values begin."""
+    return np.append(0, 1 + np.flatnonzero(values[1:] != values[:-1]))
 
 
 def input_splits(node: np.ndarray, bins: np.ndarray, c0: np.ndarray, c1: np.ndarray, nominal: bool,
@@ -123,22 +132,24 @@ def input_splits(node: np.ndarray, bins: np.ndarray, c0: np.ndarray, c1: np.ndar
         share = c1 * w1 / (c0 * w0 + c1 * w1)
         order = np.lexsort((bins, share, node))
         node, bins, c0, c1 = node[order], bins[order], c0[order], c1[order]
-    first = np.flatnonzero(np.append(True, node[1:] != node[:-1]))
+    first = _starts(node)
     last = np.append(first[1:], len(node)) - 1
     rank = np.repeat(np.arange(len(first)), last - first + 1)
     s0, s1 = np.cumsum(c0), np.cumsum(c1)
     l0, l1 = s0 - (s0[first] - c0[first])[rank], s1 - (s1[first] - c1[first])[rank]
-    t0, t1 = l0[last][rank], l1[last][rank]
+    t0, t1 = l0[last], l1[last]
     n, k, ln, lk = t0 * w0 + t1 * w1, t1 * w1, l0 * w0 + l1 * w1, l1 * w1
-    gain = _impurity(n, k) - _impurity(ln, lk) - _impurity(n - ln, k - lk)
-    gain[(l0 + l1 < rules.min_bucket) | (t0 + t1 - l0 - l1 < rules.min_bucket)] = -1.0
+    gain = _impurity(n, k)[rank] - _impurity(ln, lk) - _impurity(n[rank] - ln, k[rank] - lk)
+    if rules.min_bucket > 1:
+        left = l0 + l1
+        gain[(left < rules.min_bucket) | ((t0 + t1)[rank] - left < rules.min_bucket)] = -1.0
     gain[last] = -1.0
     top = np.maximum.reduceat(gain, first)
     hit = np.flatnonzero(gain == top[rank])
-    at = hit[np.unique(rank[hit], return_index=True)[1]]
+    at = hit[_starts(rank[hit])]
     sides = None
     if nominal:
-        bigger_left = (l0 + l1)[at] * 2 >= (t0 + t1)[at]
+        bigger_left = (l0 + l1)[at] * 2 >= t0 + t1
         sides = np.repeat(bigger_left[:, None], 256, axis=1)
         sides[rank, bins] = np.arange(len(node)) <= at[rank]
     return node[first], top, bins[at].astype(np.int32), sides
@@ -212,18 +223,27 @@ class TreeArrays:
 
     def leaves(self, bins: np.ndarray, nominal_from: int) -> np.ndarray:
         """Leaf of every row of bins; inputs from `nominal_from` on are nominal."""
-        at = np.zeros(len(bins), np.int32)
-        rows = np.flatnonzero(self.input[at] >= 0)
-        while len(rows):
-            node = at[rows]
-            i, cut = self.input[node], self.cut[node]
-            value = bins[rows, i]
-            left = value <= cut
-            by_set = np.flatnonzero(i >= nominal_from)
-            left[by_set] = self.sides[cut[by_set], value[by_set]]
-            at[rows] = self.child[node] + ~left
-            rows = rows[self.input[at[rows]] >= 0]
-        return at
+        # A node's side is a row of one table: a number's cut is the row of its number, a set comes after these.
+        # Leaves lead to themselves, so that finished rows need not be taken out at every step.
+        right = np.concatenate([np.arange(256)[None, :] > np.arange(256)[:, None], ~self.sides]).ravel()
+        leaf = self.input < 0
+        which = np.where(leaf, 0, self.input).astype(np.int64)
+        child = np.where(leaf, np.arange(len(leaf)), self.child).astype(np.int64)
+        row = np.where(leaf, 255, self.cut.astype(np.int64) + np.where(self.input >= nominal_from, 256, 0)) << 8
+        out = np.zeros(len(bins), np.int32)
+        for start in range(0, len(bins), WALKED_ROWS):
+            part = bins[start:start + WALKED_ROWS]
+            flat, rows = np.ascontiguousarray(part).ravel(), np.arange(start, start + len(part))
+            node, first = np.zeros(len(part), np.int64), np.arange(len(part)) * bins.shape[1]
+            while len(rows):
+                for _ in range(2):
+                    node = child.take(node) + right.take(row.take(node) + flat.take(first + which.take(node)))
+                inside = ~leaf.take(node)
+                ends = np.flatnonzero(~inside)
+                out[rows[ends]] = node[ends]
+                if len(ends):
+                    rows, node, first = rows[inside], node[inside], first[inside]
+        return out
 
     def events(self, weights: tuple[float, float] = (1.0, 1.0)) -> np.ndarray:
         """1 for nodes whose weighted majority is class 1 (ties: 0)."""
@@ -233,54 +253,58 @@ class TreeArrays:
 def grow_arrays(bins: np.ndarray, y: np.ndarray, count: np.ndarray, tree: int, path: str, mtry: int | None,
                 nominal_from: int, rules: Rules) -> TreeArrays:
     """The whole subtree of one node's rows, level by level."""
-    c1 = np.where(y > 0, count, 0).astype(np.int64)
-    c0 = count.astype(np.int64) - c1
+    # A row and input is one number: node, bin, class and count in 9 bits and more, 8, 1 and 8. Sorted, the numbers
+    # bring the rows of a cell together and still hold what is added up.
+    p, event = bins.shape[1], (y > 0).astype(np.uint32)
+    values = np.ascontiguousarray(bins.T).astype(np.uint32) << 9 | (event << 8 | count.astype(np.uint32))
+    bins = np.ascontiguousarray(bins).ravel()
+    c0, c1 = np.where(event, 0, count).astype(float), np.where(event, count, 0).astype(float)
     parts = {name: [] for name in ("input", "cut", "child", "n0", "n1", "gain")}
     sides: list[np.ndarray] = []
-    at = np.zeros(len(y), np.int64)                       # node of every row within its level, -1: in a leaf
-    by_bin = [np.argsort(bins[:, i], kind="stable") for i in range(bins.shape[1])]
-    rows = np.arange(len(y))
+    rows, at = np.arange(len(y)), np.zeros(len(y), np.int64)   # rows in open nodes, and their node within its level
     hashes, made, depth = root_hash(tree, path, rules.seed), 1, len(path)
     while len(hashes):
         size = len(hashes)
-        t0 = np.bincount(at[rows], c0[rows], size).astype(np.int64)
-        t1 = np.bincount(at[rows], c1[rows], size).astype(np.int64)
-        level = Level(t0, t1, depth, hashes, mtry, bins.shape[1], rules)
-        small = np.uint16 if size < 1 << 16 else np.int64  # short numbers are sorted by radix
-        for i in range(bins.shape[1]):
-            use = np.append(level.open & level.tried[:, i], False)
-            who = by_bin[i][use[at[by_bin[i]]]]
-            if len(who):
-                who = who[np.argsort(at[who].astype(small), kind="stable")]
-                cell = at[who] << 8 | bins[who, i]
-                first = np.flatnonzero(np.append(True, cell[1:] != cell[:-1]))
-                level.add(i, (cell[first] >> 8, cell[first] & 255, np.add.reduceat(c0[who], first),
-                              np.add.reduceat(c1[who], first)), i >= nominal_from)
+        t0 = np.bincount(at, c0[rows], size).astype(np.int64)
+        t1 = np.bincount(at, c1[rows], size).astype(np.int64)
+        level = Level(t0, t1, depth, hashes, mtry, p, rules)
+        node = at.astype(np.uint32 if size <= 1 << 15 else np.uint64) << 17
+        for i in range(p):
+            use = level.open & level.tried[:, i]
+            if use.all():
+                cells = values[i][rows] | node
+            else:
+                who = np.flatnonzero(use[at])
+                cells = values[i][rows[who]] | node[who]
+            if len(cells):
+                cells.sort()
+                first = _starts(cells >> 9)
+                own = (cells & 255).astype(np.int64)
+                both = np.add.reduceat(own, first)
+                own[cells & 256 == 0] = 0
+                events, cells = np.add.reduceat(own, first), cells[first].astype(np.int64)
+                level.add(i, (cells >> 17, cells >> 9 & 255, both - events, events), i >= nominal_from)
         split = np.flatnonzero(level.input >= 0)
         child = np.full(size, -1, np.int32)
         child[split] = made + 2 * np.arange(len(split))
         cut, old_sides = level.cut, len(sides)
-        for n in split.tolist():
-            if n in level.sides:
-                cut[n] = len(sides)
-                sides.append(level.sides[n])
-        for name, values in (("input", level.input), ("child", child), ("n0", t0), ("n1", t1), ("gain", level.gain)):
-            parts[name].append(values)
+        for n in sorted(level.sides):
+            cut[n] = len(sides)
+            sides.append(level.sides[n])
+        for name, found in (("input", level.input), ("child", child), ("n0", t0), ("n1", t1), ("gain", level.gain)):
+            parts[name].append(found)
         if len(split):
-            ends = level.input[at[rows]] < 0
-            at[rows[ends]] = -1
-            rows = rows[~ends]
-            by_bin = [order[at[order] >= 0] for order in by_bin]
-            node = at[rows]
-            chosen = level.input[node]
-            value = bins[rows, chosen]
-            left = value <= cut[node]
+            stays = level.input[at] >= 0
+            rows, at = rows[stays], at[stays]
+            chosen = level.input[at]
+            value = bins[rows * p + chosen]
+            right = value > cut[at]
             if level.sides:
                 by_set = np.flatnonzero(chosen >= nominal_from)
-                left[by_set] = np.array(sides[old_sides:])[cut[node[by_set]] - old_sides, value[by_set]]
+                right[by_set] = ~np.array(sides[old_sides:])[cut[at[by_set]] - old_sides, value[by_set]]
             rank = np.zeros(size, np.int64)
-            rank[split] = np.arange(len(split))
-            at[rows] = 2 * rank[node] + ~left
+            rank[split] = 2 * np.arange(len(split))
+            at = rank[at] + right
             both = hashes[split] * np.uint64(2)
             hashes = mix(np.stack([both + np.uint64(1), both + np.uint64(2)], axis=1).ravel())
         else:
@@ -409,18 +433,37 @@ def poisson_counts(h: np.ndarray, y: np.ndarray, tree: int, rates: tuple[float,
 
     The same for ever: training and out-of-bag passes see the same counts, on any partitioning.
     """
-    u = (mix(h.astype(np.uint64) ^ root_hash(tree, "", seed + 7919)[0]) >> np.uint64(11)).astype(float) * 2.0 ** -53
-    out = np.zeros(len(h), np.int64)
+    mixed = mix(h.astype(np.uint64) ^ root_hash(tree, "", seed + 7919)[0])
+    out, known = np.zeros(len(h), np.int64), {}
     for cls, rate in enumerate(rates):
-        steps, term, k = [], np.exp(-rate), 0
-        total = term
-        while total < 1 - 1e-12 and k < 255:
-            steps.append(total)
-            k += 1
-            term *= rate / k
-            total += term
+        if rate not in known:
+            known[rate] = _counts_at(mixed, _steps(rate))
         mine = (y > 0) == bool(cls)
-        out[mine] = np.searchsorted(np.array(steps), u[mine], "right")
+        np.copyto(out, known[rate], where=mine)
+    return out
+
+
+def _steps(rate: float) -> np.ndarray:
+    """Cumulated Poisson probabilities."""
+    steps, term, k = [], np.exp(-rate), 0
+    total = term
+    while total < 1 - 1e-12 and k < 255:
+        steps.append(total)
+        k += 1
+        term *= rate / k
+        total += term
+    return np.array(steps)
+
+
+def _counts_at(mixed: np.ndarray, steps: np.ndarray) -> np.ndarray:
+    """Number of steps not above the fraction that a hash stands for. Its first 12 bits tell, except in the few
+    of 4096 intervals that hold a step."""
+    edges = np.arange(4097) / 4096
+    low, high = np.searchsorted(steps, edges[:-1], "right"), np.searchsorted(steps, edges[1:], "left")
+    place = (mixed >> np.uint64(52)).astype(np.int64)
+    out = low[place]
+    open_ = np.flatnonzero((high > low)[place])
+    out[open_] = np.searchsorted(steps, (mixed[open_] >> np.uint64(11)).astype(float) * 2.0 ** -53, "right")
     return out
 
 
@@ -440,12 +483,13 @@ class Top:
         return cls([""], np.array([state], np.int8), np.full(1, -1, np.int16), np.zeros(1, np.int32),
                    np.zeros((1, 256), bool), root_hash(tree, "", seed))
 
-    def place(self, bins: np.ndarray) -> np.ndarray:
-        at = np.zeros(len(bins), np.int32)
-        rows = np.arange(len(bins)) if self.input[0] >= 0 else np.arange(0)
+    def place(self, bins: np.ndarray, use: np.ndarray) -> np.ndarray:
+        """Node of each of the rows `use` of bins."""
+        at = np.zeros(len(use), np.int32)
+        rows = np.arange(len(use)) if self.input[0] >= 0 else np.arange(0)
         while len(rows):
             node = at[rows]
-            at[rows] = node = self.child[node] + ~self.left[node, bins[rows, self.input[node]]]
+            at[rows] = node = self.child[node] + ~self.left[node, bins[use[rows], self.input[node]]]
             rows = rows[self.input[node] >= 0]
         return at
 
@@ -472,23 +516,23 @@ class Top:
 
 def _bagged(batches: Iterator[pa.RecordBatch], p: int, tops: dict[int, Top], rates: tuple[float, float] | None,
             seed: int, state: int) -> Iterator[tuple]:
-    """(tree, top, y, counts, bins, node) of the rows that lie in nodes of one state, tree by tree, for up to
-    `BLOCK_ROWS` rows of a task at a time."""
+    """(tree, top, rows, counts, node, y, columns of bins) of the rows that lie in nodes of one state, tree by tree,
+    for up to `BLOCK_ROWS` rows of a task at a time; `rows` are places in the last two."""
 
     def block(held):
         h, y, bins = (np.concatenate(x) for x in zip(*held))
+        y, columns = y.astype(np.uint8), np.ascontiguousarray(bins.T)
         for tree, top in tops.items():
             if not (top.state == state).any():
                 continue
             count = np.ones(len(h), np.int64) if rates is None else poisson_counts(h, y, tree, rates, seed)
             use = np.flatnonzero(count)
-            mine = bins[use]
-            at = top.place(mine)
+            at = top.place(bins, use)
             here = top.state[at] == state
             if not here.all():
-                use, mine, at = use[here], mine[here], at[here]
+                use, at = use[here], at[here]
             if len(use):
-                yield tree, top, y[use], count[use], mine, at
+                yield tree, top, use, count[use], at, y, columns
 
     held, rows = [], 0
     for batch in batches:
@@ -547,12 +591,14 @@ def _finish_small(rows: DataFrame, tops: dict[int, Top], path: str, p: int, nomi
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, size = [], 0
-        for tree, top, y, count, bins, at in _bagged(batches, p, shared.value, rates, rules.seed, LOCAL):
-            order = np.argsort(at.astype(np.uint16) if len(top.path) < 1 << 16 else at, kind="stable")
-            first = np.flatnonzero(np.append(True, np.diff(at[order])))
-            columns = np.concatenate([np.stack([y, count]), bins.T]).astype(np.uint8)[:, order]
-            for a, b in zip(first.tolist(), [*first[1:].tolist(), len(order)]):
-                out.append((tree, top.path[at[order[a]]], b - a, _squeeze(columns[:, a:b].tobytes())))
+        for tree, top, use, count, at, y, bins in _bagged(batches, p, shared.value, rates, rules.seed, LOCAL):
+            if len(top.path) > 1:
+                order = np.argsort(at.astype(np.uint16) if len(top.path) < 1 << 16 else at, kind="stable")
+                use, count, at = use[order], count[order], at[order]
+            columns = np.stack([y[use], count.astype(np.uint8), *(column[use] for column in bins)])
+            first = _starts(at)
+            for a, b in zip(first.tolist(), [*first[1:].tolist(), len(at)]):
+                out.append((tree, top.path[at[a]], b - a, _squeeze(columns[:, a:b].tobytes())))
                 size += len(out[-1][3])
             if size > 16 << 20:
                 yield _parts(out)
@@ -585,16 +631,16 @@ def _split_large(rows: DataFrame, tops: dict[int, Top], path: str, p: int, nomin
 
     def count_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, size = [], 0
-        for tree, top, y, count, bins, at in _bagged(batches, p, shared.value, rates, rules.seed, OPEN):
+        for tree, top, rows, count, at, y, bins in _bagged(batches, p, shared.value, rates, rules.seed, OPEN):
             nodes = np.flatnonzero(top.state == OPEN)
             slot = np.zeros(len(top.path), np.int64)
             slot[nodes] = np.arange(len(nodes))
             where, tried = slot[at], tried_inputs(top.hashes[nodes], tries[tree], p)
             have = np.bincount(where, minlength=len(nodes))
-            key, cells = (where * 2 + y) << 8, {}
+            key, cells = (where * 2 + y[rows]) << 8, {}
             for i in range(p):
-                use = slice(None) if tried[:, i].all() else tried[where, i]
-                cells[i] = np.bincount(key[use] | bins[use, i], count[use], len(nodes) * 512).astype(
+                use = slice(None) if tried[:, i].all() else np.flatnonzero(tried[where, i])
+                cells[i] = np.bincount(key[use] | bins[i][rows[use]], count[use], len(nodes) * 512).astype(
                     np.uint32).reshape(len(nodes), 2, 256)
             for j in np.flatnonzero(have).tolist():
                 counted = np.stack([cells[i][j] for i in np.flatnonzero(tried[j]).tolist()])

@@ -151,3 +151,32 @@ def test_packed_trees_are_small_and_come_back_whole():
     for name in ("input", "child", "n0", "n1", "gain"):
         assert np.array_equal(getattr(grown, name), getattr(back, name))
     assert np.array_equal(grown.leaves(bins, 3), back.leaves(bins, 3))
+
+
+def test_node_of_a_tenth_of_a_gigabyte_is_one_task(spark, monkeypatch):
+    """A tree of 70,000 rows is grown without a counting pass for every level of its large nodes."""
+    passes, split = [], cart._split_large
+    monkeypatch.setattr(cart, "_split_large", lambda *a: passes.append(1) or split(*a))
+    df = spark.range(70_000).selectExpr("id", "cast(id % 211 as double) a", "cast(id % 7 = 0 as int) y")
+    inputs = cart.Inputs.fit(df, ["a"])
+    path = cart.grow_trees(cart.encode_rows(df, inputs, "y", "id"), inputs, rules=cart.Rules(max_depth=3))
+    tree = cart.load_trees(spark, path)[0]
+    assert not passes and (tree.n0[0], tree.n1[0]) == (60_000, 10_000)
+
+
+def test_leaves_equal_a_walk_row_by_row():
+    """Numbers and sets, over more rows than go down a tree together."""
+    rng = np.random.default_rng(4)
+    n = cart.WALKED_ROWS + 999
+    bins = np.stack([rng.integers(0, 256, n), rng.integers(0, 6, n)], axis=1).astype(np.uint8)
+    y = (rng.random(n) < 0.2 + 0.5 * ((bins[:, 0] > 90) ^ np.isin(bins[:, 1], [1, 4]))).astype(np.uint8)
+    tree = cart.grow_arrays(bins[:3000], y[:3000], np.ones(3000, np.uint8), 0, "", None, 1, cart.Rules())
+    assert (tree.input == 1).any()
+    got = tree.leaves(bins, 1)
+    for row in [*range(0, n, 97), n - 1]:
+        at = 0
+        while tree.input[at] >= 0:
+            value, cut = bins[row, tree.input[at]], tree.cut[at]
+            at = tree.child[at] + (not (tree.sides[cut, value] if tree.input[at] else value <= cut))
+        assert got[row] == at
+    assert (np.bincount(got[:3000], minlength=len(tree.n0)) == np.where(tree.input < 0, tree.n0 + tree.n1, 0)).all()
