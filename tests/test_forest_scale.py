@@ -77,3 +77,66 @@ def test_a_worker_keeps_no_block_of_trees(spark):
             seen.append(number)
             assert [i for i, b in enumerate(blocks) if "_value" in b.__dict__] == [number]
         assert seen == [0, 1, 2] and not any("_value" in b.__dict__ for b in blocks)
+
+
+def test_a_large_node_table_is_pruned(spark):
+    """More nodes than the two million at which a tree of 27 million rows was refused, pruned on the driver in time."""
+    from quarry.operators import tree
+
+    assert tree.MAX_NODES >= 2 * 27_000_000 // 7
+    half = 1 << 20                                                # a full tree of 2,097,151 nodes
+    size = 2 * half - 1
+    split = np.arange(size) < half - 1
+    rng = np.random.default_rng(2)
+    n, k = np.zeros(size), np.zeros(size)
+    n[half - 1:], k[half - 1:] = 20, rng.integers(0, 21, half)
+    for first in (2 ** d - 1 for d in range(19, -1, -1)):
+        at = np.arange(first, 2 * first + 1)
+        n[at], k[at] = n[2 * at + 1] + n[2 * at + 2], k[2 * at + 1] + k[2 * at + 2]
+    left = np.where(split, 2 * np.arange(size) + 1, -1)
+    path = tree.pruning_path(tree.CartNodes(n, k, left, np.where(split, 0, -1), np.zeros(size)))
+    assert path[0].n_leaves == half and path[-1].n_leaves == 1
+    assert path[-1].rel_error == 1.0 and path[0].rel_error < 1.0
+
+
+def test_encoded_rows_are_packed_and_those_without_a_target_left_out(spark):
+    df = spark.range(1000).selectExpr(
+        "id", "cast(id % 31 as double) a", "cast(id % 5 as string) c", "if(id % 10 = 9, null, cast(id % 7 = 0 as int)) y")
+    inputs = cart.Inputs.fit(df, ["a"], ["c"])
+    encoded = cart.encode_rows(df.repartition(3), inputs, "y", "id")
+    want = {r["h"]: (r["y"], r["a"], r["c"]) for r in df.filter("y is not null").select(F.xxhash64("id").alias("h"), "y", "a", "c").collect()}
+    blocks = encoded.toArrow()
+    assert len(blocks) < 30 and cart.class_counts(encoded) == (
+        sum(y == 0 for y, _, _ in want.values()), sum(y == 1 for y, _, _ in want.values()))
+    got = {}
+    for h, y, columns in cart._unpacked(blocks.column("packed").combine_chunks(), 2):
+        got |= {k: (t, inputs.cuts["a"][a], inputs.levels["c"][c]) for k, t, a, c in zip(h.tolist(), y.tolist(), *columns.tolist())}
+    assert got == want
+
+
+def test_files_of_shuffles_go_until_the_last_thread_is_done(spark):
+    from concurrent.futures import ThreadPoolExecutor
+    from threading import Barrier
+
+    from quarry.session import shuffles_dropped
+
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, meet, apart = spark.conf.get(name, None), Barrier(2), Barrier(2)
+
+    def one(first):
+        with shuffles_dropped(spark):
+            meet.wait(20)
+            if first:
+                apart.wait(20)      # the other one is still inside
+                return spark.conf.get(name)
+            apart.wait(20)
+            apart.wait(20)
+            return spark.conf.get(name)
+
+    with ThreadPoolExecutor(2) as pool:
+        both = [pool.submit(one, x) for x in (True, False)]
+        both[0].result(20)
+        assert spark.conf.get(name, None) == "true"
+        apart.wait(20)
+        assert both[1].result(20) == "true"
+    assert spark.conf.get(name, None) == before
